@@ -92,23 +92,27 @@ def hold_out(df: DataFrame, keys: Sequence[str], share: float) -> tuple[DataFram
 def tag_keywords(docs: DataFrame, keywords: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, ticker) for each ticker one of whose keywords occurs in the text.
 
-    Single words are found by an equi-join on the text's distinct words. A phrase must contain
-    its first word, so it is joined on that word too and then checked in the whole text.
-    Matching ignores case; ``keywords`` has columns ticker and keyword.
+    Text and keywords are reduced to lower-case words, and a keyword of m words is found by an
+    equi-join on the text's distinct runs of m words; the text itself is never shuffled. The
+    longest keyword's length is read from the keyword list, which is configuration.
     """
-    words = F.array_distinct(F.split(F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}$]+", " ")), " "))
-    cleaned = F.lower(F.trim(F.regexp_replace("keyword", r"[^\p{L}\p{N}$]+", " ")))
-    terms = keywords.select("ticker", F.lower("keyword").alias("__phrase"),
-                            F.split(cleaned, " ")[0].alias("__word"),
-                            (F.size(F.split(cleaned, " ")) > 1).alias("__multi"))
-    singles = terms.where(~F.col("__multi")).select("ticker", "__word")
-    phrases = terms.where(F.col("__multi"))
-    tokens = docs.select(key, F.explode(words).alias("__word"))
-    by_word = tokens.join(singles, "__word").select(key, "ticker")
-    with_text = docs.select(key, F.lower(text).alias("__text"), F.explode(words).alias("__word"))
-    by_phrase = (with_text.join(phrases, "__word").where(F.contains("__text", "__phrase"))
-                 .select(key, "ticker"))
-    return by_word.unionByName(by_phrase).distinct()
+    def words(c: str | Column) -> Column:
+        return F.split(F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}$]+", " ")), " ")
+
+    terms = keywords.select("ticker", words("keyword").alias("__w"))
+    longest = terms.agg(F.max(F.size("__w"))).first()[0] or 1
+    terms = terms.select("ticker", F.array_join("__w", " ").alias("__term")).distinct()
+
+    def runs(m: int) -> Column:
+        if m == 1:
+            return F.col("__w")
+        starts = F.when(F.size("__w") >= m, F.sequence(F.lit(1), F.size("__w") - m + 1))
+        return F.coalesce(F.transform(starts, lambda i: F.array_join(F.slice("__w", i, m), " ")),
+                          F.array().cast("array<string>"))
+
+    found = F.array_distinct(F.concat(*[runs(m) for m in range(1, longest + 1)]))
+    tokens = docs.select(key, words(text).alias("__w")).select(key, F.explode(found).alias("__term"))
+    return tokens.join(terms, "__term").select(key, "ticker").distinct()
 
 
 def align_models(preds: DataFrame, models: Sequence[str]) -> DataFrame:

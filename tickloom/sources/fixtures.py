@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import panel as P
+from tickloom.sources.catalogue import small_table
 from tickloom.session import publish, publish_once
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -96,17 +97,18 @@ MACRO_IDS = ("A", "N", "R")
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two naive models' next closes: the previous close (a) and the mean of the last five (b)."""
-    panel = P.BARS
-
     def level(w):
         five = w.rowsBetween(-5, -1)
         return [F.lag("close", 1).over(w).alias("__a"),
                 F.when(F.count("close").over(five) == 5, F.avg("close").over(five)).alias("__b")]
 
-    wide = P.windowed(bars(spark, sf_dir), panel, [level], before=5)
-    model = F.expr("stack(2, 'a', __a, 'b', __b) AS (model, predicted)")
-    return (wide.select("ticker", "date", "pos", F.col("close").alias("actual"), model)
-            .where(F.col("predicted").isNotNull()))
+    def build() -> DataFrame:
+        wide = P.windowed(bars(spark, sf_dir), P.BARS, [level], before=5)
+        model = F.expr("stack(2, 'a', __a, 'b', __b) AS (model, predicted)")
+        return (wide.select("ticker", "date", "pos", F.col("close").alias("actual"), model)
+                .where(F.col("predicted").isNotNull()))
+
+    return publish_once(spark, sf_dir, "predictions", build)
 
 
 def classifier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,4 +129,4 @@ LEXICON = [
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LEXICON, "word string, polarity double, subjectivity double")
+    return small_table(spark, LEXICON, "word string, polarity double, subjectivity double")
