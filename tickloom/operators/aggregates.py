@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tickloom.operators import panel as P
+
 
 def daily_mean_sentiment(records: DataFrame) -> DataFrame:
     return records.groupBy("ticker", "date").agg(
@@ -130,10 +132,10 @@ def denormalise(df: DataFrame, parameters: DataFrame, columns: Sequence[str],
     return joined.select(*[back[c].alias(c) if c in back else F.col(c) for c in df.columns])
 
 
-def zscore_outliers(df: DataFrame, x: str, threshold: float = 3.0, keys: Sequence[str] = ("ticker",)) -> DataFrame:
-    moments = df.groupBy(*keys).agg(F.avg(x).alias("__m"), F.stddev_samp(x).alias("__s"))
+def zscore_outliers(df: DataFrame, x: str, threshold: float = 3.0, panel: P.Panel = P.BARS) -> DataFrame:
+    moments = [F.avg(x).alias("__m"), F.stddev_samp(x).alias("__s")]
     z = F.abs(F.try_divide(F.col(x) - F.col("__m"), F.col("__s")))
-    return (df.join(moments, list(keys)).withColumn("zscore", z)
+    return (P.attach_per_key(df, panel, moments).withColumn("zscore", z)
             .withColumn("is_outlier", F.coalesce((z > threshold).cast("int"), F.lit(0))).drop("__m", "__s"))
 
 

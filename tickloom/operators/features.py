@@ -133,14 +133,13 @@ def invert_min_max(df: DataFrame, fitted: DataFrame, columns: Sequence[str], key
 def chronological_split(df: DataFrame, shares: Sequence[tuple[str, float]] = (("train", 0.8), ("val", 0.1)),
                         rest: str = "test", panel: P.Panel = P.BARS, out: str = "split") -> DataFrame:
     """Name each row's part by position in its key; every part but the last has ``floor(n·share)`` rows."""
-    df = P.ensure_numbered(df, panel)
-    sizes = df.groupBy(*panel.keys).agg(F.count(F.lit(1)).alias("__n"), F.min(panel.pos).alias("__p0"))
+    sized = P.attach_per_key(df, panel, [F.count(F.lit(1)).alias("__n"), F.min(panel.pos).alias("__p0")])
     place = F.col(panel.pos) - F.col("__p0")
     bound, part = F.lit(0), None
     for name, share in shares:
         bound = bound + F.floor(F.col("__n") * F.lit(float(share)))
         part = F.when(place < bound, name) if part is None else part.when(place < bound, name)
-    return df.join(sizes, list(panel.keys)).withColumn(out, part.otherwise(rest)).drop("__n", "__p0")
+    return sized.withColumn(out, part.otherwise(rest)).drop("__n", "__p0")
 
 
 def sequences(df: DataFrame, columns: Sequence[str], label: str, length: int, horizon: int = 1,

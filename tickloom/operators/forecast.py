@@ -176,7 +176,7 @@ def grid_search(df: DataFrame, y: str = "close", max_p: int = 5, max_d: int = 2,
 def stationarity(df: DataFrame, y: str = "close", lags: int = 4, panel: P.Panel = P.BARS) -> DataFrame:
     """Augmented Dickey-Fuller t-statistic per key and the verdict at 5 %."""
     diffs = difference(df, y, 1, panel=panel).select(*panel.keys, panel.pos, F.col(y).alias("y"), "w")
-    lagged = P.windowed(diffs, panel, [lagged_columns({"y": 1, "w": lags}, panel)], before=lags)
+    lagged = P.windowed(diffs, panel, [lagged_columns({"y": 1, "w": lags}, panel)], before=max(1, lags))
     xs = [F.col("__y_1"), *[F.col(f"__w_{i}") for i in range(1, lags + 1)]]
     grams = gram(lagged, panel.keys, F.col("w"), xs)
     keys = list(panel.keys)

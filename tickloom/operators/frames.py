@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from tickloom.operators import panel as P
+
 
 def standardise_ohlcv(df: DataFrame, required: Sequence[str] = ("open", "high", "low", "close", "volume")) -> DataFrame:
     """Lower-case column names with underscores; raise when a required one is missing."""
@@ -33,13 +35,13 @@ def date_range(df: DataFrame, start=None, end=None, column: str = "date") -> Dat
     return df
 
 
-def lookback_slice(df: DataFrame, window: int = 30, day=None, keys: Sequence[str] = ("ticker",)) -> DataFrame:
+def lookback_slice(df: DataFrame, window: int = 30, day=None, panel: P.Panel = P.BARS) -> DataFrame:
     """Rows in ``[d - window, d]``; d is each key's last date when not given."""
     if day is not None:
         d = F.lit(day).cast("date")
         return df.where(F.col("date").between(F.date_sub(d, window), d))
-    last = df.groupBy(*keys).agg(F.max("date").alias("__d"))
-    return (df.join(last, list(keys)).where(F.col("date") >= F.date_sub("__d", window)).drop("__d"))
+    dated = P.attach_per_key(df, panel, [F.max("date").alias("__d")])
+    return dated.where(F.col("date") >= F.date_sub("__d", window)).drop("__d")
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ("ticker", "date", "pos")) -> list[str]:

@@ -123,6 +123,19 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition.cast("int"), F.lit(0))
 
 
+def attach_per_key(df: DataFrame, panel: Panel, aggs: Sequence[Column]) -> DataFrame:
+    """Every row with aggregates of its whole key.
+
+    The aggregates combine on the map side. They are then repeated once per block of the key
+    and joined on (key, block), so the rows of a hot key stay spread over its blocks.
+    """
+    df = ensure_numbered(df, panel)
+    block = _block_of(panel, panel.scan_rows)
+    stats = df.groupBy(*panel.keys).agg(*aggs, F.min(block).alias("__lo"), F.max(block).alias("__hi"))
+    spread = (stats.withColumn(_BLK, F.explode(F.sequence("__lo", "__hi"))).drop("__lo", "__hi"))
+    return df.withColumn(_BLK, block).join(spread, [*panel.keys, _BLK]).drop(_BLK)
+
+
 # --- running folds -----------------------------------------------------------------------
 
 _FOLDS = {
@@ -195,12 +208,11 @@ def fill_all(df: DataFrame, panel: Panel, columns: Sequence[str], default: float
     """Forward fill, then backward fill, then a constant.
 
     Once the forward fill is done only leading NULLs are left, and they all take the key's
-    first known value; that is one row per key, joined back.
+    first known value.
     """
     df = ensure_numbered(df, panel)
-    first = df.groupBy(*panel.keys).agg(
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(panel.pos))).alias(f"__f_{c}") for c in columns])
-    filled = forward_fill(df, panel, columns).join(first, list(panel.keys))
+    first = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(panel.pos))).alias(f"__f_{c}") for c in columns]
+    filled = forward_fill(attach_per_key(df, panel, first), panel, columns)
     return filled.select(*[F.coalesce(c, f"__f_{c}", F.lit(default)).alias(c) if c in columns else F.col(c)
                            for c in df.columns])
 

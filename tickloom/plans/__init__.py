@@ -4,7 +4,7 @@ import importlib
 
 from tickloom.plans.registry import ORACLES, QUERIES
 
-for _name in ("sources", "tables", "projection", "joins", "aggregates", "windows", "indicators", "features", "text", "patterns", "sets", "models"):
+for _name in ("sources", "tables", "projection", "joins", "aggregates", "windows", "indicators", "features", "text", "patterns", "sets", "models", "streams"):
     importlib.import_module(f"tickloom.plans.{_name}")
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -1,5 +1,6 @@
 """Models, evaluation and forecasting M1-M17, with F13 and F14."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tickloom.operators import evaluate as V
@@ -180,11 +181,44 @@ def m13_forecast(spark, sf):
     return C.forecast_arima(bars, C.fit_arima(bars, "close", 5, 1, 0), 30)
 
 
+_AR1 = f"""WITH {S.BARS}, g AS (SELECT ticker, close AS w, lag(close) OVER {S.W} AS x FROM bars),
+ r AS (SELECT ticker, regr_intercept(w, x) AS c, regr_slope(w, x) AS a FROM g GROUP BY ticker)"""
+
+
+@query("m13_ar1_forecast", _AR1.replace("WITH bars", "WITH RECURSIVE bars") + """, s AS (SELECT ticker, arg_max(close, date) AS y FROM bars GROUP BY ticker),
+ f AS (SELECT ticker, 0 AS step, y FROM s UNION ALL SELECT f.ticker, step + 1, c + a * y FROM f JOIN r USING (ticker) WHERE step < 15)
+ SELECT ticker, step, round(y, 3) AS predicted FROM f WHERE step > 0""")
+def m13_ar1_forecast(spark, sf):
+    bars = X.bars(spark, sf)
+    df = C.forecast_arima(bars, C.fit_arima(bars, "close", 1, 0, 0), 15)
+    return df.select("ticker", "step", *rounded(3, "predicted"))
+
+
 @query("m14_grid_search")
 def m14(spark, sf):
     return C.grid_search(X.bars(spark, sf)).select("ticker", "p", "d", "q", "n", "aic", "bic", "is_best")
 
 
+_SEARCH = ", ".join(f"""s{d} AS (SELECT ticker, w, lag(w) OVER (PARTITION BY ticker ORDER BY date) AS x FROM ({src}))""" for d, src in (
+    (0, "SELECT ticker, date, close AS w FROM bars"), (1, f"SELECT ticker, date, close - lag(close) OVER {S.W} AS w FROM bars")))
+_FITS = " UNION ALL ".join(f"""SELECT ticker, {p} AS p, {d} AS d, count(*) AS n, {'regr_syy(w, x) * (1 - regr_r2(w, x))' if p else 'var_pop(w) * count(*)'} AS rss
+ FROM s{d} WHERE w IS NOT NULL AND x IS NOT NULL GROUP BY ticker""" for d in (0, 1) for p in (0, 1))
+
+
+@query("m14_grid_search_ar", f"""WITH {S.BARS}, {_SEARCH}, f AS ({_FITS}), a AS (SELECT *, n * ln(rss / n) + 2 * (p + 1) AS aic, n * ln(rss / n) + ln(n) * (p + 1) AS bic FROM f)
+ SELECT ticker, p, d, n, round(aic, 4) AS aic, round(bic, 4) AS bic, aic = min(aic) OVER (PARTITION BY ticker) AS is_best FROM a""")
+def m14_ar(spark, sf):
+    df = C.grid_search(X.bars(spark, sf), max_p=1, max_d=1, max_q=0)
+    return df.select("ticker", "p", "d", "n", *rounded(4, "aic", "bic"), "is_best")
+
+
+@query("m15_dickey_fuller", f"""WITH {S.BARS}, g AS (SELECT ticker, close - lag(close) OVER {S.W} AS w, lag(close) OVER {S.W} AS x FROM bars),
+ r AS (SELECT ticker, regr_count(w, x) AS n, regr_slope(w, x) AS b, regr_syy(w, x) * (1 - regr_r2(w, x)) AS rss, regr_sxx(w, x) AS sxx FROM g GROUP BY ticker)
+ SELECT ticker, n, round(b / sqrt(rss / (n - 2) / sxx), 6) AS adf_statistic, b / sqrt(rss / (n - 2) / sxx) < -2.86 AS is_stationary FROM r""")
+def m15_simple(spark, sf):
+    return C.stationarity(X.bars(spark, sf), lags=0).select("ticker", "n", *rounded(6, "adf_statistic"), "is_stationary")
+
+
 @query("m15_stationarity")
 def m15(spark, sf):
     return C.stationarity(X.bars(spark, sf))
@@ -221,8 +255,8 @@ def f13(spark, sf):
     return M.principal_components(df.select(*BASE, *FEATURES), FEATURES, 5).select(*BASE, *[f"PCA_{i}" for i in range(1, 6)])
 
 
-@query("f14_assembled_features")
+@query("f14_assembled_features", f"""WITH {S.BARS}, t AS (SELECT *, lead(close) OVER {S.W} AS nxt FROM bars)
+ SELECT ticker, date, [open, high, low, close, volume::DOUBLE] AS features, CASE WHEN nxt > close THEN 1 ELSE 0 END AS label FROM t""")
 def f14(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-    df = feature_table(spark, sf).drop("split", "close")
+    df = E.step_targets(X.bars(spark, sf), 5)
     return M.training_frame(df).select(*BASE, vector_to_array("features").alias("features"), "label")

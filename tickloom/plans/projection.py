@@ -38,7 +38,7 @@ def p4(spark, sf):
     return R.lookback_slice(X.bars(spark, sf), 30).select(*BASE, "close")
 
 
-@query("p5_numeric_columns")
+@query("p5_numeric_columns", f"WITH {S.BARS} SELECT ticker, open, high, low, close, volume FROM bars")
 def p5(spark, sf):
     df = X.bars(spark, sf).withColumn("target_1d", F.lit(0.0))
     return df.select("ticker", *R.numeric_columns(df))

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from tickloom.operators import panel as P
+from tickloom.operators.features import sequences
+from tickloom.operators.frames import latest_rows
 from tickloom.plans import sql as S
 from tickloom.plans.registry import query, rounded, sql_rounded
 from tickloom.sources import fixtures as X
@@ -66,10 +68,8 @@ def w6(spark, sf):
  last_value(close) OVER u AS last_close FROM bars
  WINDOW u AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
 def w7(spark, sf):
-    df = X.bars(spark, sf)
-    ends = df.groupBy("ticker").agg(F.min_by("close", "date").alias("first_close"),
-                                    F.max_by("close", "date").alias("last_close"))
-    return df.join(ends, "ticker").select(*BASE, "first_close", "last_close")
+    ends = [F.min_by("close", "date").alias("first_close"), F.max_by("close", "date").alias("last_close")]
+    return P.attach_per_key(X.bars(spark, sf), P.BARS, ends).select(*BASE, "first_close", "last_close")
 
 
 _RUN = "(PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -118,7 +118,6 @@ def w10(spark, sf):
  SELECT ticker, date, close, CAST(row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS INTEGER) AS rank_latest FROM bars)
  WHERE rank_latest <= 20""")
 def w11(spark, sf):
-    from tickloom.operators.frames import latest_rows
     return latest_rows(X.bars(spark, sf), 20, rank="rank_latest").select(*BASE, "close", "rank_latest")
 
 
@@ -126,5 +125,4 @@ def w11(spark, sf):
  lead(close, 1) OVER {S.W} AS label, count(*) OVER {S.frame(10)} AS n FROM bars)
  SELECT ticker, date, sequence, label FROM s WHERE n = 10 AND label IS NOT NULL""")
 def w12(spark, sf):
-    from tickloom.operators.features import sequences
     return sequences(X.bars(spark, sf), ["close", "volume"], "close", 10, 1).select(*BASE, "sequence", "label")

@@ -29,6 +29,9 @@ def build_session(app: str = "tickloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -40,9 +43,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    root = tempfile.mkdtemp(prefix="tickloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="tickloom-")
+    return _local_roots[application]
 
 
 def publish(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

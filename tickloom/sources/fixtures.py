@@ -53,10 +53,13 @@ def bars_li(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(spark, sf_dir, "bars_li", raw)
 
 
+def ticks_of(events: DataFrame) -> DataFrame:
+    return events.select(F.col("event_type").alias("ticker"), "ts", "event_id", F.col("value").alias("price"),
+                         F.get_json_object("props", "$.k").cast("long").alias("size"))
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    return e.select(F.col("event_type").alias("ticker"), "ts", "event_id", F.col("value").alias("price"),
-                    F.get_json_object("props", "$.k").cast("long").alias("size"))
+    return ticks_of(table(spark, sf_dir, "events"))
 
 
 def bars_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,17 +75,21 @@ def bars_b(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("close") * (1 + (F.dayofmonth("date") - 15) / F.lit(1000.0))).alias("close")))
 
 
-def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sentiment_records(documents: DataFrame) -> DataFrame:
     """One record per document with fixed scores, spread over tickers and days of 2024-01."""
     names = F.array(*[F.lit(t) for t in EVENT_TYPES])
     d = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         "doc_id", F.element_at(names, (d % 5 + 1).cast("int")).alias("ticker"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.floor(d / 5) % 30).cast("int")).alias("date"),
         (((d * 37) % 201 - 100) / 100).alias("polarity"), (((d * 53) % 101) / 100).alias("subjectivity"),
         "source")
 
 
+def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentiment_records(table(spark, sf_dir, "documents"))
+
+
 def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three monthly series; the sum runs on decimals so that it does not depend on row order."""
     return (table(spark, sf_dir, "lineitem")
