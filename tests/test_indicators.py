@@ -73,7 +73,7 @@ def test_zero_price_and_volume_do_not_raise(spark):
 def test_obv(spark, dialect):
     pdf = make_bars({"A": 120, "B": 1})
     pdf.loc[10, "close"] = pdf.loc[9, "close"]
-    got = collected(I.with_obv(P.number_rows(to_spark(spark, pdf)), SMALL, dialect), "obv")
+    got = collected(I.with_obv(P.number_rows(to_spark(spark, pdf)), SMALL, {"obv": dialect}), "obv")
     want = []
     for _, g in pdf.groupby("ticker"):
         change = g.close.diff()

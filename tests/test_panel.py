@@ -66,7 +66,7 @@ def test_no_task_holds_a_hot_key(bars):
 @pytest.mark.parametrize("fold,fn", [("sum", "cumsum"), ("max", "cummax"), ("min", "cummin"), ("product", "cumprod")])
 def test_running_folds(bars, pdf, fold, fn):
     x = F.col("close") / 100
-    got = collected(P.running(bars, SMALL, {"y": (fold, x)}), "y")
+    got = collected(P.running(bars, SMALL, {"y": P.Run(fold, x)}), "y")
     want = by_ticker(pdf, lambda g: pd.DataFrame({"y": getattr(g.close / 100, fn)()}))
     close_to(got["y"], want["y"])
 
@@ -103,6 +103,15 @@ def test_ewm_with_gaps(spark, pdf):
     close_to(got["y"], by_ticker(holes, expected)["y"])
 
 
+def test_folds_by_time_need_no_positions(spark, bars, pdf):
+    plain = to_spark(spark, with_nulls(pdf))
+    runs = {"f": P.Run("last", F.col("close")), "b": P.Run("last", F.col("close"), reverse=True)}
+    a = collected(P.running(plain, SMALL, runs), "f", "b")
+    b = collected(P.running(P.number_rows(plain, SMALL), SMALL, runs), "f", "b")
+    close_to(a["f"], b["f"], rtol=0, atol=0)
+    close_to(a["b"], b["b"], rtol=0, atol=0)
+
+
 def test_attach_per_key(bars, pdf):
     got = collected(P.attach_per_key(bars, SMALL, [F.avg("close").alias("m"), F.max("volume").alias("v")]), "m", "v")
     g = pdf.sort_values(["ticker", "date"]).groupby("ticker")
@@ -122,7 +131,7 @@ def test_result_does_not_depend_on_partitioning_or_other_tickers(spark, pdf):
 def test_empty_input(spark):
     empty = spark.createDataFrame([], BAR_SCHEMA)
     assert P.windowed(empty, SMALL, [lambda w: [F.lag("close", 1).over(w).alias("x")]], before=1).count() == 0
-    assert P.running(empty, SMALL, {"s": ("sum", F.col("close"))}).count() == 0
+    assert P.running(empty, SMALL, {"s": P.Run("sum", F.col("close"))}).count() == 0
     assert P.fill_all(empty, SMALL, ["close"]).count() == 0
 
 

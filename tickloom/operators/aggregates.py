@@ -87,20 +87,23 @@ def volatility(df: DataFrame, keys: Sequence[str], x: str, out: str = "volatilit
     return df.groupBy(*keys).agg(F.stddev_samp(x).alias(out))
 
 
-def correlation(df: DataFrame, keys: Sequence[str], x: str, y: str, out: str) -> DataFrame:
-    """Pearson correlation per group; NULL where either side does not vary.
-
-    The group's deviations are taken from moments in one pass with map-side merging. The
-    covariance and variances are Spark's own aggregates, so no division by zero is reached.
-    """
+def correlation_moments(x: str, y: str) -> list[Column]:
+    """Aggregates that :func:`correlation_of` turns into a correlation."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     a, b = F.when(both, F.col(x)), F.when(both, F.col(y))
-    moments = df.groupBy(*keys).agg(
-        F.covar_pop(a, b).alias("__c"), F.stddev_pop(a).alias("__sa"), F.stddev_pop(b).alias("__sb"),
-        F.min(a).alias("__a0"), F.max(a).alias("__a1"), F.min(b).alias("__b0"), F.max(b).alias("__b1"))
+    return [F.covar_pop(a, b).alias("__c"), F.stddev_pop(a).alias("__sa"), F.stddev_pop(b).alias("__sb"),
+            F.min(a).alias("__a0"), F.max(a).alias("__a1"), F.min(b).alias("__b0"), F.max(b).alias("__b1")]
+
+
+def correlation_of() -> Column:
+    """NULL where either side does not vary, so no division by zero is reached."""
     varies = (F.col("__a0") < F.col("__a1")) & (F.col("__b0") < F.col("__b1"))
-    return moments.select(*keys, F.when(varies, F.try_divide(
-        F.col("__c"), F.col("__sa") * F.col("__sb"))).alias(out))
+    return F.when(varies, F.try_divide(F.col("__c"), F.col("__sa") * F.col("__sb")))
+
+
+def correlation(df: DataFrame, keys: Sequence[str], x: str, y: str, out: str) -> DataFrame:
+    """Pearson correlation per group in one pass with map-side merging."""
+    return df.groupBy(*keys).agg(*correlation_moments(x, y)).select(*keys, correlation_of().alias(out))
 
 
 def pivot_series(series: DataFrame, ids: Sequence[str], prefix: str = "macro_") -> DataFrame:
@@ -143,19 +146,18 @@ def exact_quantiles(df: DataFrame, x: str, probs: dict[str, float], keys: Sequen
                     bins: int = 4096) -> DataFrame:
     """Linearly interpolated quantiles without bringing a whole group to one task.
 
-    Distinct values are counted first. An equal-width histogram per key shows which bins hold
-    the wanted ranks; only those bins are ordered, each on its own.
+    Three passes with small shuffles: the range per key, an equal-width histogram that shows
+    which bins hold the wanted ranks, and the distinct values of those bins alone.
     """
     keys = list(keys)
-    values = df.where(F.col(x).isNotNull()).groupBy(*keys, F.col(x).cast("double").alias("__v")).agg(
-        F.count(F.lit(1)).alias("__n"))
+    values = df.where(F.col(x).isNotNull()).select(*keys, F.col(x).cast("double").alias("__v"))
     ranges = values.groupBy(*keys).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"),
-                                       F.sum("__n").alias("__total"))
+                                       F.count(F.lit(1)).alias("__total"))
     scaled = F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo"))
-    binned = values.join(ranges, keys).withColumn(
-        "__bin", F.coalesce(F.floor(scaled * bins), F.lit(0).cast("bigint")))
+    binned = values.join(ranges, keys).select(
+        *keys, "__v", "__total", F.coalesce(F.floor(scaled * bins), F.lit(0).cast("bigint")).alias("__bin"))
     earlier = W.partitionBy(*keys).orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
-    histogram = (binned.groupBy(*keys, "__bin").agg(F.sum("__n").alias("__c"), F.max("__total").alias("__total"))
+    histogram = (binned.groupBy(*keys, "__bin").agg(F.count(F.lit(1)).alias("__c"), F.max("__total").alias("__total"))
                  .withColumn("__start", F.coalesce(F.sum("__c").over(earlier), F.lit(0))))
 
     def rank(p: float) -> Column:
@@ -164,14 +166,15 @@ def exact_quantiles(df: DataFrame, x: str, probs: dict[str, float], keys: Sequen
     def covers(start: Column, n: Column, r: Column) -> Column:
         return (start <= r) & (r < start + n)
 
-    edges = [edge for p in probs.values() for edge in (F.floor(rank(p)), F.ceil(rank(p)))]
     wanted = F.lit(False)
-    for edge in edges:
-        wanted = wanted | covers(F.col("__start"), F.col("__c"), edge)
+    for p in probs.values():
+        for edge in (F.floor(rank(p)), F.ceil(rank(p))):
+            wanted = wanted | covers(F.col("__start"), F.col("__c"), edge)
     hit = histogram.where(wanted).select(*keys, "__bin", "__start")
+    counted = binned.join(hit, [*keys, "__bin"]).groupBy(*keys, "__bin", "__start", "__total", "__v").agg(
+        F.count(F.lit(1)).alias("__n"))
     inside = W.partitionBy(*keys, "__bin").orderBy("__v").rowsBetween(W.unboundedPreceding, -1)
-    ranked = binned.join(hit, [*keys, "__bin"]).withColumn(
-        "__first", F.col("__start") + F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    ranked = counted.withColumn("__first", F.col("__start") + F.coalesce(F.sum("__n").over(inside), F.lit(0)))
     picks = []
     for name, p in probs.items():
         for side, edge in (("a", F.floor(rank(p))), ("b", F.ceil(rank(p)))):

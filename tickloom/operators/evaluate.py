@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tickloom.operators import panel as P
 
@@ -50,24 +51,22 @@ def ranking_metrics(df: DataFrame, keys: Sequence[str] = (), label: str = "label
                     steps: int = 4096) -> DataFrame:
     """Area under the ROC and the precision-recall curve; tied scores form one point.
 
-    Rows are counted per distinct score first. The counts are then accumulated from the
-    highest score down with the panel kit, so the ordering is never in one task. ``steps`` is
-    the number of score buckets per unit of score.
+    Rows are counted per distinct score, and the counts are accumulated from the highest score
+    down over score buckets (``steps`` per unit), so the ordering is never in one task.
     """
     keys = list(keys) or ["__all"]
     source = df if keys != ["__all"] else df.withColumn("__all", F.lit(0))
     counts = source.groupBy(*keys, (-F.col(score)).alias("__s")).agg(
         F.count_if(F.col(label) == 1).alias("__pos"), F.count_if(F.col(label) == 0).alias("__neg"))
-    line = P.Panel(keys=tuple(keys), order=("__s",), pos="__at")
-    ordered = P.number_rows(counts, line, F.floor(F.col("__s") * steps))
-    curve = P.running(ordered, line, {"__tp": ("sum", F.col("__pos")), "__fp": ("sum", F.col("__neg"))})
-    totals = counts.groupBy(*keys).agg(F.sum("__pos").alias("__P"), F.sum("__neg").alias("__N"))
-    points = curve.withColumn("__prec", F.try_divide(F.col("__tp"), F.col("__tp") + F.col("__fp")))
-    points = P.windowed(points, line, [lambda w: [F.lag("__prec", 1).over(w).alias("__prec0")]], before=1)
+    line = P.Panel(keys=tuple(keys), order=("__s",))
+    points = P.running(counts, line, {"__tp": P.Run("sum", F.col("__pos")), "__fp": P.Run("sum", F.col("__neg"))},
+                       F.floor(F.col("__s") * steps))
     tp, fp, pos, neg = (F.col(c) for c in ("__tp", "__fp", "__pos", "__neg"))
-    roc = F.sum(neg * (tp - pos / 2))
-    pr = F.sum(pos * (F.col("__prec") + F.coalesce("__prec0", "__prec")) / 2)
-    areas = points.groupBy(*keys).agg(roc.alias("__roc"), pr.alias("__pr")).join(totals, keys)
+    here = F.try_divide(tp, tp + fp)
+    before = F.coalesce(F.try_divide(tp - pos, tp - pos + fp - neg), here)
+    areas = points.groupBy(*keys).agg(
+        F.sum(neg * (tp - pos / 2)).alias("__roc"), F.sum(pos * (here + before) / 2).alias("__pr"),
+        F.max(tp).alias("__P"), F.max(fp).alias("__N"))
     out = areas.select(*keys, F.try_divide(F.col("__roc"), F.col("__P") * F.col("__N")).alias("auc_roc"),
                        F.try_divide(F.col("__pr"), F.col("__P")).alias("auc_pr"))
     return out.drop("__all")
@@ -76,11 +75,31 @@ def ranking_metrics(df: DataFrame, keys: Sequence[str] = (), label: str = "label
 TRADING_DAYS = 252
 
 
+def equity_curve(moves: DataFrame, panel: P.Panel, growth: str) -> DataFrame:
+    """Running product of ``growth`` and its running peak, columns ``equity`` and ``peak``.
+
+    The peak of a block depends on the equity before it: a block's table row holds its growth
+    and its highest local equity, from which both carries follow in turn.
+    """
+    keys = list(panel.keys)
+    blocked = moves.withColumn("__blk", F.expr(f"`{panel.pos}` div {panel.scan_rows}"))
+    inside = W.partitionBy(*keys, "__blk").orderBy(panel.pos).rowsBetween(W.unboundedPreceding, 0)
+    local = blocked.withColumn("__e", F.product(growth).over(inside))
+    local = local.withColumn("__h", F.max("__e").over(inside))
+    across = W.partitionBy(*keys).orderBy("__blk").rowsBetween(W.unboundedPreceding, -1)
+    blocks = local.groupBy(*keys, "__blk").agg(F.max_by("__e", panel.pos).alias("__g"), F.max("__e").alias("__top"))
+    carries = (blocks.withColumn("__ce", F.coalesce(F.product("__g").over(across), F.lit(1.0)))
+               .withColumn("__ch", F.max(F.col("__ce") * F.col("__top")).over(across))
+               .select(*keys, "__blk", "__ce", "__ch"))
+    joined = local.join(carries, [*keys, "__blk"])
+    return joined.select(*moves.columns, (F.col("__ce") * F.col("__e")).alias("equity"),
+                         F.greatest("__ch", F.col("__ce") * F.col("__h")).alias("peak"))
+
+
 def backtest(preds: DataFrame, panel: P.Panel, initial: float = 10_000.0, prices: bool = True) -> DataFrame:
     """Long when the predicted return is positive, else cash; one row of figures per key.
 
-    ``preds`` has ``actual`` and ``predicted``, as prices or as returns. The equity is a
-    running product and its peak a running maximum, both with block carries.
+    ``preds`` has ``actual`` and ``predicted``, as prices or as returns.
     """
     df = P.ensure_numbered(preds, panel).select(*panel.keys, panel.pos, "actual", "predicted")
     first = F.col(panel.pos) == 0
@@ -93,12 +112,12 @@ def backtest(preds: DataFrame, panel: P.Panel, initial: float = 10_000.0, prices
         actual, predicted = F.col("actual"), F.col("predicted")
     moves = df.select(*panel.keys, panel.pos, predicted.alias("__pr"),
                       F.when(predicted > 0, actual).otherwise(F.lit(0.0)).alias("__s"))
-    equity = P.running(moves, panel, {"__e": ("product", 1 + F.col("__s"))})
-    peaked = P.running(equity, panel, {"__peak": ("max", F.col("__e"))})
+    curve = equity_curve(moves.withColumn("__growth", 1 + F.col("__s")), panel, "__growth")
     later = F.when(~first, F.col("__s"))
-    stats = peaked.groupBy(*panel.keys).agg(
-        F.max_by("__e", panel.pos).alias("__end"), F.count(F.lit(1)).alias("n"), F.avg(later).alias("__m"),
-        F.stddev_pop(later).alias("__sd"), F.max(F.try_divide(F.col("__peak") - F.col("__e"), F.col("__peak"))).alias("__dd"),
+    fall = F.try_divide(F.col("peak") - F.col("equity"), F.col("peak"))
+    stats = curve.groupBy(*panel.keys).agg(
+        F.max_by("equity", panel.pos).alias("__end"), F.count(F.lit(1)).alias("n"), F.avg(later).alias("__m"),
+        F.stddev_pop(later).alias("__sd"), F.max(fall).alias("__dd"),
         F.count_if(F.col("__s") > 0).alias("__wins"), F.count_if(F.col("__pr") != 0).alias("__trades"))
     end = F.col("__end")
     return stats.select(

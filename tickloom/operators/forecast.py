@@ -22,9 +22,8 @@ from tickloom.operators.frames import latest_rows
 ADF_CRITICAL = {"1%": -3.43, "5%": -2.86, "10%": -2.57}
 
 
-def difference(df: DataFrame, y: str, d: int = 0, seasonal: int = 0, season: int = 0,
-               panel: P.Panel = P.BARS, out: str = "w") -> DataFrame:
-    """``(1-B)^d (1-B^S)^D y`` as one expression over lags."""
+def difference_levels(y: str, d: int = 0, seasonal: int = 0, season: int = 0, out: str = "w") -> tuple[list[P.Level], int]:
+    """Levels for ``(1-B)^d (1-B^S)^D y`` and how many rows they look back."""
     coefficients = lag_polynomial(d, seasonal, season)
     lags = [i for i in range(1, len(coefficients)) if coefficients[i]]
 
@@ -37,7 +36,13 @@ def difference(df: DataFrame, y: str, d: int = 0, seasonal: int = 0, season: int
             total = total + F.lit(float(coefficients[i])) * F.col(f"__y{i}")
         return [total.alias(out)]
 
-    return P.drop_work_columns(P.windowed(df, panel, [lagged, combined], before=max(lags, default=0)))
+    return [lagged, combined], max(lags, default=0)
+
+
+def difference(df: DataFrame, y: str, d: int = 0, seasonal: int = 0, season: int = 0,
+               panel: P.Panel = P.BARS, out: str = "w") -> DataFrame:
+    levels, reach = difference_levels(y, d, seasonal, season, out)
+    return P.drop_work_columns(P.windowed(df, panel, levels, before=reach))
 
 
 def lag_polynomial(d: int, seasonal: int, season: int) -> list[float]:
@@ -127,47 +132,63 @@ def fit_orders(grams: DataFrame, keys: Sequence[str], max_p: int, max_q: int,
     return grams.mapInPandas(solve, schema)
 
 
-def with_residuals(df: DataFrame, w: str, order: int, panel: P.Panel = P.BARS, out: str = "e") -> DataFrame:
-    """Residuals of a long autoregression per key: the first stage of Hannan-Rissanen."""
-    lags = P.windowed(df, panel, [lagged_columns({w: order}, panel)], before=order)
-    xs = [F.col(f"__{w}_{i}") for i in range(1, order + 1)]
-    fitted = fit_orders(gram(lags, panel.keys, F.col(w), xs), panel.keys, order, 0, [(order, 0)])
-    joined = lags.join(fitted.select(*panel.keys, F.col("intercept").alias("__c"), F.col("ar").alias("__ar")),
-                       list(panel.keys))
+def arma_gram(df: DataFrame, levels: Sequence[P.Level], reach: int, max_p: int, max_q: int, panel: P.Panel,
+              long_order: int = 10) -> DataFrame:
+    """Gram matrix of [1, lags 1..p of w, lags 1..q of the residuals], w being made by ``levels``.
+
+    The residuals are those of a long autoregression per key, the first stage of
+    Hannan-Rissanen. Its coefficients join the rows before the window pass, so each stage is
+    one blocked pass and one aggregate.
+    """
+    rows = P.ensure_numbered(df, panel)
+    if not max_q:
+        lags = P.windowed(rows, panel, [*levels, lagged_columns({"w": max_p}, panel)], before=reach + max_p)
+        return gram(lags, panel.keys, F.col("w"), [F.col(f"__w_{i}") for i in range(1, max_p + 1)])
+    first = arma_gram(df, levels, reach, long_order, 0, panel)
+    fitted = fit_orders(first, panel.keys, long_order, 0, [(long_order, 0)])
+    rows = rows.join(fitted.select(*panel.keys, F.col("intercept").alias("__c"), F.col("ar").alias("__ar")),
+                     list(panel.keys))
     expected = F.col("__c")
-    for i, x in enumerate(xs):
-        expected = expected + F.col("__ar")[i] * x
-    return P.drop_work_columns(joined.withColumn(out, F.col(w) - expected))
-
-
-def arma_gram(df: DataFrame, y: str, max_p: int, d: int, max_q: int, panel: P.Panel = P.BARS,
-              seasonal: int = 0, season: int = 0, long_order: int = 10) -> DataFrame:
-    """Gram matrix of [1, lags 1..p of w, lags 1..q of the residuals] for the differenced series w."""
-    series = difference(df, y, d, seasonal, season, panel).select(*panel.keys, panel.pos, "w")
-    if max_q:
-        series = with_residuals(series, "w", long_order, panel)
-    columns = {"w": max_p, "e": max_q} if max_q else {"w": max_p}
-    lags = P.windowed(series, panel, [lagged_columns(columns, panel)], before=max(max_p, max_q))
-    xs = [F.col(f"__{c}_{i}") for c, k in columns.items() for i in range(1, k + 1)]
+    for i in range(1, long_order + 1):
+        expected = expected + F.col("__ar")[i - 1] * F.col(f"__w_{i}")
+    deep = max(max_p, long_order)
+    lags = P.windowed(rows, panel, [*levels, lagged_columns({"w": deep}, panel),
+                                    lambda w: [(F.col("w") - expected).alias("e")],
+                                    lagged_columns({"e": max_q}, panel)], before=reach + deep + max_q)
+    xs = [*[F.col(f"__w_{i}") for i in range(1, max_p + 1)], *[F.col(f"__e_{i}") for i in range(1, max_q + 1)]]
     return gram(lags, panel.keys, F.col("w"), xs)
 
 
 def fit_arima(df: DataFrame, y: str = "close", p: int = 5, d: int = 1, q: int = 0, panel: P.Panel = P.BARS,
               seasonal: int = 0, season: int = 0) -> DataFrame:
     """One ARIMA(p, d, q) per key, by least squares; moving-average terms by Hannan-Rissanen."""
-    fitted = fit_orders(arma_gram(df, y, p, d, q, panel, seasonal, season), panel.keys, p, q, [(p, q)])
-    return fitted.withColumn("d", F.lit(d))
+    levels, reach = difference_levels(y, d, seasonal, season)
+    grams = arma_gram(df.select(*panel.keys, *panel.order, *_pos(df, panel), y), levels, reach, p, q, panel)
+    return fit_orders(grams, panel.keys, p, q, [(p, q)]).withColumn("d", F.lit(d))
+
+
+def _pos(df: DataFrame, panel: P.Panel) -> list[str]:
+    return [panel.pos] if panel.pos in df.columns else []
 
 
 def grid_search(df: DataFrame, y: str = "close", max_p: int = 5, max_d: int = 2, max_q: int = 5,
                 criterion: str = "aic", panel: P.Panel = P.BARS) -> DataFrame:
-    """Every order of the grid per key with its rank. The rows are read once per d, not once per order."""
+    """Every order of the grid per key, the best one marked.
+
+    The differenced series become keys of their own, and all orders of one are fitted on
+    parts of a single Gram matrix: the rows are read once per stage, not once per order.
+    """
     orders = [(p, q) for p in range(max_p + 1) for q in range(max_q + 1)]
-    grams = None
-    for d in range(max_d + 1):
-        one = arma_gram(df, y, max_p, d, max_q, panel).withColumn("d", F.lit(d))
-        grams = one if grams is None else grams.unionByName(one)
-    fitted = fit_orders(grams, panel.keys, max_p, max_q, orders)
+    weights = [lag_polynomial(d, 0, 0) for d in range(max_d + 1)]
+    rows = df.select(*panel.keys, *panel.order, *_pos(df, panel), y)
+    wide = P.windowed(rows, panel, [
+        lagged_columns({y: max_d}, panel),
+        lambda w: [sum((F.lit(c) * F.col(f"__{y}_{i}") for i, c in enumerate(poly) if i), F.col(y).cast("double"))
+                   .alias(f"__d{d}") for d, poly in enumerate(weights)]], before=max_d)
+    stacked = F.expr(f"stack({max_d + 1}, {', '.join(f'{d}, __d{d}' for d in range(max_d + 1))}) AS (d, w)")
+    series = P.Panel((*panel.keys, "d"), panel.order, panel.pos, panel.block_rows, panel.scan_rows)
+    grams = arma_gram(wide.select(*panel.keys, *panel.order, panel.pos, stacked), [], 0, max_p, max_q, series)
+    fitted = fit_orders(grams, series.keys, max_p, max_q, orders)
     place = F.struct(F.col(criterion), "d", "p", "q")
     best = fitted.groupBy(*panel.keys).agg(F.min(place).alias("__best"))
     return fitted.join(best, list(panel.keys)).withColumn("is_best", place == F.col("__best")).drop("__best")
@@ -175,9 +196,10 @@ def grid_search(df: DataFrame, y: str = "close", max_p: int = 5, max_d: int = 2,
 
 def stationarity(df: DataFrame, y: str = "close", lags: int = 4, panel: P.Panel = P.BARS) -> DataFrame:
     """Augmented Dickey-Fuller t-statistic per key and the verdict at 5 %."""
-    diffs = difference(df, y, 1, panel=panel).select(*panel.keys, panel.pos, F.col(y).alias("y"), "w")
-    lagged = P.windowed(diffs, panel, [lagged_columns({"y": 1, "w": lags}, panel)], before=max(1, lags))
-    xs = [F.col("__y_1"), *[F.col(f"__w_{i}") for i in range(1, lags + 1)]]
+    levels, reach = difference_levels(y, 1)
+    rows = df.select(*panel.keys, *panel.order, *_pos(df, panel), F.col(y))
+    lagged = P.windowed(rows, panel, [*levels, lagged_columns({"w": lags}, panel)], before=reach + lags)
+    xs = [F.col("__y1"), *[F.col(f"__w_{i}") for i in range(1, lags + 1)]]
     grams = gram(lagged, panel.keys, F.col("w"), xs)
     keys = list(panel.keys)
     kinds = {f.name: f.dataType.simpleString() for f in grams.schema.fields}

@@ -7,15 +7,15 @@ halo, and one select per level.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.operators.panel import (
-    BARS, Ewm, Panel, Step, drop_work_columns, ensure_numbered, ewm_steps, flag, merge_steps, pct_change,
-    rolling, running, span_alpha, windowed,
+    BARS, Ewm, Panel, Run, Step, drop_work_columns, ewm_steps, flag, merge_steps, pct_change, rolling,
+    running, span_alpha, windowed,
 )
 
 
@@ -286,19 +286,18 @@ def price_to_ma(n: int) -> Indicator:
                      {f"price_to_ma{n}": _plain(F.try_divide(_c("close"), _c(f"__ma_{n}")))})
 
 
-def with_obv(df: DataFrame, panel: Panel = BARS, dialect: str = "a", out: str = "obv") -> DataFrame:
-    """On-balance volume. Dialect a adds nothing on ties and on the first row; b adds the volume.
+def with_obv(df: DataFrame, panel: Panel = BARS, outputs: Mapping[str, str] | None = None) -> DataFrame:
+    """On-balance volume; ``outputs`` maps column names to dialects (default ``{"obv": "a"}``).
 
-    The signed volume needs one previous row, so it is taken in a blocked pass and then folded.
+    Dialect a adds nothing on ties and on the first row; b adds the volume there. The sign
+    needs one previous row, so it is taken in a blocked pass and then folded.
     """
-    df = ensure_numbered(df, panel)
     signed = windowed(df, panel, [lambda w: [F.lag("close", 1).over(w).alias("__prev")]], before=1)
-    change = _c("close") - _c("__prev")
-    if dialect == "a":
-        step = F.when(change > 0, _c("volume")).when(change < 0, -_c("volume")).otherwise(F.lit(0))
-    else:
-        step = F.when(change < 0, -_c("volume")).otherwise(_c("volume"))
-    return drop_work_columns(running(signed, panel, {out: ("sum", step)}))
+    change, volume = _c("close") - _c("__prev"), _c("volume")
+    step = {"a": F.when(change > 0, volume).when(change < 0, -volume).otherwise(F.lit(0)),
+            "b": F.when(change < 0, -volume).otherwise(volume)}
+    runs = {out: Run("sum", step[dialect]) for out, dialect in (outputs or {"obv": "a"}).items()}
+    return drop_work_columns(running(signed, panel, runs))
 
 
 # The standard indicator settings.

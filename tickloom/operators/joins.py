@@ -33,12 +33,12 @@ def as_of_macro(bars: DataFrame, series: DataFrame, ids: Sequence[str]) -> DataF
 
     The result depends on the date alone, so the as-of search runs over the distinct dates of
     the bars and the series, and the bars then take their day's values by an equi-join.
-    Days are few whatever the number of bars; they are still blocked by the panel kit.
+    Days are few whatever the number of bars.
     """
     wide = pivot_series(series, ids)
     columns = [c for c in wide.columns if c != "date"]
     days = bars.select("date").distinct().join(wide, "date", "full")
-    line = P.Panel(keys=("__all",), order=("date",), pos="__day")
+    line = P.Panel(keys=("__all",))
     filled = P.forward_fill(days.withColumn("__all", F.lit(1)), line, columns)
     return bars.join(filled.select("date", *columns), "date", "left")
 
@@ -47,7 +47,8 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str
                bucket: Column | None = None, prefer_right: bool = True) -> DataFrame:
     """The last ``right`` row of the same key on or before each ``left`` row's time.
 
-    Union, tag, and a blocked forward fill: no range join and no key in one task. Right rows
+    Union, tag, and a forward fill over time buckets: no range join and no key in one task.
+    ``bucket`` must grow with the time and should leave a bucket of one key fit for a task. Right rows
     sort before left rows of equal time when ``prefer_right``. Several right rows at one time
     must be reduced to one by the caller.
     """
@@ -59,8 +60,8 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str
     r = right.select(*keys, time, F.lit(side).alias("__side"),
                      F.lit(None).cast(l.schema["__row"].dataType).alias("__row"), F.struct(*values).alias("__val"))
     both = l.unionByName(r)
-    line = P.Panel(keys=tuple(keys), order=(time, "__side"), pos="__pos")
-    filled = P.forward_fill(P.number_rows(both, line, bucket), line, ["__val"])
+    line = P.Panel(keys=tuple(keys), order=(time, "__side"))
+    filled = P.forward_fill(both, line, ["__val"], bucket)
     return (filled.where(F.col("__side") == 1 - side)
             .select(*keys, time, *[F.col("__row")[c].alias(c) for c in extra],
                     *[F.col("__val")[c].alias(c) for c in values]))
@@ -93,8 +94,8 @@ def tag_keywords(docs: DataFrame, keywords: DataFrame, text: str = "text", key:
     """(key, ticker) for each ticker one of whose keywords occurs in the text.
 
     Text and keywords are reduced to lower-case words, and a keyword of m words is found by an
-    equi-join on the text's distinct runs of m words; the text itself is never shuffled. The
-    longest keyword's length is read from the keyword list, which is configuration.
+    equi-join on the text's runs of m words (a run past the end is NULL and joins nothing);
+    the text itself is never shuffled. The longest keyword's length is read from the keyword list, which is configuration.
     """
     def words(c: str | Column) -> Column:
         return F.split(F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}$]+", " ")), " ")
@@ -103,15 +104,10 @@ def tag_keywords(docs: DataFrame, keywords: DataFrame, text: str = "text", key:
     longest = terms.agg(F.max(F.size("__w"))).first()[0] or 1
     terms = terms.select("ticker", F.array_join("__w", " ").alias("__term")).distinct()
 
-    def runs(m: int) -> Column:
-        if m == 1:
-            return F.col("__w")
-        starts = F.when(F.size("__w") >= m, F.sequence(F.lit(1), F.size("__w") - m + 1))
-        return F.coalesce(F.transform(starts, lambda i: F.array_join(F.slice("__w", i, m), " ")),
-                          F.array().cast("array<string>"))
-
-    found = F.array_distinct(F.concat(*[runs(m) for m in range(1, longest + 1)]))
-    tokens = docs.select(key, words(text).alias("__w")).select(key, F.explode(found).alias("__term"))
+    runs = [F.col("__w")]
+    for m in range(2, longest + 1):
+        runs.append(F.zip_with(runs[-1], F.slice("__w", m, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b)))
+    tokens = docs.select(key, words(text).alias("__w")).select(key, F.explode(F.concat(*runs)).alias("__term"))
     return tokens.join(terms, "__term").select(key, "ticker").distinct()
 
 

@@ -97,6 +97,8 @@ def windowed(df: DataFrame, panel: Panel, levels: Sequence[Level], before: int =
     else:
         df = df.withColumn(_BLK, own)
     w = W.partitionBy(*panel.keys, _BLK).orderBy(panel.pos)
+    # Windows over parts of a block (ewm) would otherwise each ask for a shuffle of their own.
+    df = df.repartition(*panel.keys, _BLK)
     for level in levels:
         df = df.select("*", *level(w))
     return df.where(F.col(_BLK) == own).drop(_BLK)
@@ -147,74 +149,83 @@ _FOLDS = {
 }
 
 
-def running(df: DataFrame, panel: Panel, outputs: dict[str, tuple[str, Column]],
-            reverse: bool = False) -> DataFrame:
-    """Running folds from the key's first row to the current one (or from the last, reversed).
+@dataclass(frozen=True)
+class Run:
+    """A running fold of ``x``: from the key's first row, or from its last when ``reverse``.
 
-    ``outputs`` maps a name to (fold, column); folds are sum, product, max, min and
-    ``last``, the latest non-NULL value. Each block is folded once into a small table, whose
-    own running fold gives the carry that is added to the block's local running fold.
+    Folds are sum, product, max, min and ``last``, the latest non-NULL value.
     """
-    df = ensure_numbered(df, panel)
-    keys, pos = list(panel.keys), panel.pos
-    inputs = {name: f"__x_{name}" for name in outputs}
-    base = df.select("*", _block_of(panel, panel.scan_rows).alias(_BLK),
-                     *[x.alias(inputs[name]) for name, (_, x) in outputs.items()])
-    step = F.col(pos) if not reverse else -F.col(pos)
-    block_order = F.col(_BLK).desc() if reverse else F.col(_BLK).asc()
-    across = W.partitionBy(*keys).orderBy(block_order).rowsBetween(W.unboundedPreceding, -1)
-    inside = (W.partitionBy(*keys, _BLK).orderBy(F.col(pos).desc() if reverse else F.col(pos).asc())
-              .rowsBetween(W.unboundedPreceding, 0))
-
-    def over(fold: str, column: str, frame: WindowSpec) -> Column:
-        if fold == "last":
+
+    fold: str
+    x: Column
+    reverse: bool = False
+
+
+def running(df: DataFrame, panel: Panel, outputs: dict[str, Run], bucket: Column | None = None) -> DataFrame:
+    """Running folds over each key's rows up to the current one.
+
+    Each block is folded into a small table, whose own running fold gives the carry that is
+    added to the block's local running fold. Blocks are runs of positions, or time buckets of
+    the order columns where the rows have no position: a fold needs an order, not a count.
+    """
+    keys = list(panel.keys)
+    numbered = panel.pos in df.columns
+    order = [panel.pos] if numbered else list(panel.order)
+    if numbered:
+        block = _block_of(panel, panel.scan_rows)
+    else:
+        block = time_bucket(df, order[0]) if bucket is None else bucket
+    base = df.select("*", block.alias(_BLK), *[r.x.alias(f"__x_{n}") for n, r in outputs.items()])
+    at = F.struct(*order)
+
+    def frames(r: Run) -> tuple[WindowSpec, WindowSpec]:
+        def direct(c: str) -> Column:
+            return F.col(c).desc() if r.reverse else F.col(c).asc()
+        across = W.partitionBy(*keys).orderBy(direct(_BLK)).rowsBetween(W.unboundedPreceding, -1)
+        inside = W.partitionBy(*keys, _BLK).orderBy(*[direct(c) for c in order])
+        return across, inside.rowsBetween(W.unboundedPreceding, 0)
+
+    def over(r: Run, column: str, frame: WindowSpec) -> Column:
+        if r.fold == "last":
             return F.last(column, ignorenulls=True).over(frame)
-        return _FOLDS[fold][0](column).over(frame)
-
-    def of_block(fold: str, column: str) -> Column:
-        if fold == "last":
-            return F.max_by(column, F.when(F.col(column).isNotNull(), step))
-        return _FOLDS[fold][0](column)
-
-    folded = base.groupBy(*keys, _BLK).agg(
-        *[of_block(fold, inputs[name]).alias(inputs[name]) for name, (fold, _) in outputs.items()])
-    carries = folded.select(*keys, _BLK, *[over(fold, inputs[name], across).alias(f"__c_{name}")
-                                           for name, (fold, _) in outputs.items()])
-    local = base.select("*", *[over(fold, inputs[name], inside).alias(f"__l_{name}")
-                               for name, (fold, _) in outputs.items()])
+        return _FOLDS[r.fold][0](column).over(frame)
+
+    def of_block(r: Run, column: str) -> Column:
+        if r.fold == "last":
+            known = F.when(F.col(column).isNotNull(), at)
+            return F.min_by(column, known) if r.reverse else F.max_by(column, known)
+        return _FOLDS[r.fold][0](column)
+
+    folded = base.groupBy(*keys, _BLK).agg(*[of_block(r, f"__x_{n}").alias(f"__x_{n}") for n, r in outputs.items()])
+    carries = folded.select(*keys, _BLK, *[over(r, f"__x_{n}", frames(r)[0]).alias(f"__c_{n}") for n, r in outputs.items()])
+    local = base.select("*", *[over(r, f"__x_{n}", frames(r)[1]).alias(f"__l_{n}") for n, r in outputs.items()])
     joined = local.join(carries, [*keys, _BLK])
     result = []
-    for name, (fold, _) in outputs.items():
-        carry, here = F.col(f"__c_{name}"), F.col(f"__l_{name}")
-        value = F.coalesce(here, carry) if fold == "last" else _FOLDS[fold][1](carry, here)
-        result.append(value.alias(name))
-    kept = [c for c in df.columns if c not in outputs]
-    return joined.select(*kept, *result)
+    for n, r in outputs.items():
+        carry, here = F.col(f"__c_{n}"), F.col(f"__l_{n}")
+        value = F.coalesce(here, carry) if r.fold == "last" else _FOLDS[r.fold][1](carry, here)
+        result.append(value.alias(n))
+    return joined.select(*[c for c in df.columns if c not in outputs], *result)
 
 
 # --- NULL handling along the order -------------------------------------------------------
 
 
-def forward_fill(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFrame:
-    return running(df, panel, {c: ("last", F.col(c)) for c in columns}).select(*_with_pos(df, panel))
+def forward_fill(df: DataFrame, panel: Panel, columns: Sequence[str], bucket: Column | None = None) -> DataFrame:
+    runs = {c: Run("last", F.col(c)) for c in columns}
+    return running(df, panel, runs, bucket).select(*df.columns)
 
 
-def backward_fill(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFrame:
-    filled = running(df, panel, {c: ("last", F.col(c)) for c in columns}, reverse=True)
-    return filled.select(*_with_pos(df, panel))
+def backward_fill(df: DataFrame, panel: Panel, columns: Sequence[str], bucket: Column | None = None) -> DataFrame:
+    runs = {c: Run("last", F.col(c), reverse=True) for c in columns}
+    return running(df, panel, runs, bucket).select(*df.columns)
 
 
 def fill_all(df: DataFrame, panel: Panel, columns: Sequence[str], default: float = 0) -> DataFrame:
-    """Forward fill, then backward fill, then a constant.
-
-    Once the forward fill is done only leading NULLs are left, and they all take the key's
-    first known value.
-    """
-    df = ensure_numbered(df, panel)
-    first = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(panel.pos))).alias(f"__f_{c}") for c in columns]
-    filled = forward_fill(attach_per_key(df, panel, first), panel, columns)
-    return filled.select(*[F.coalesce(c, f"__f_{c}", F.lit(default)).alias(c) if c in columns else F.col(c)
-                           for c in df.columns])
+    """Forward fill, then backward fill, then a constant, in one pass."""
+    both = running(df, panel, {f"__{side}_{c}": Run("last", F.col(c), side == "b") for c in columns for side in "fb"})
+    return both.select(*[F.coalesce(f"__f_{c}", f"__b_{c}", F.lit(default)).alias(c) if c in columns else F.col(c)
+                         for c in df.columns])
 
 
 def interpolate(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFrame:
@@ -222,8 +233,7 @@ def interpolate(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFram
     df = ensure_numbered(df, panel)
     pos = F.col(panel.pos)
     point = {c: F.when(F.col(c).isNotNull(), F.struct(pos.alias("p"), F.col(c).alias("v"))) for c in columns}
-    both = running(df, panel, {f"__a_{c}": ("last", point[c]) for c in columns})
-    both = running(both, panel, {f"__b_{c}": ("last", point[c]) for c in columns}, reverse=True)
+    both = running(df, panel, {f"__{side}_{c}": Run("last", point[c], side == "b") for c in columns for side in "ab"})
 
     def value(c: str) -> Column:
         a, b = F.col(f"__a_{c}"), F.col(f"__b_{c}")
@@ -234,10 +244,6 @@ def interpolate(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFram
     return both.select(*[value(c).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
-def _with_pos(df: DataFrame, panel: Panel) -> list[str]:
-    return df.columns if panel.pos in df.columns else [*df.columns, panel.pos]
-
-
 # --- exponentially weighted mean ---------------------------------------------------------
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators import panel as P
-from tickloom.operators.aggregates import correlation, daily_mean_sentiment, first_last, monthly_range, volatility
+from tickloom.operators.aggregates import (
+    correlation, correlation_moments, correlation_of, daily_mean_sentiment, first_last, monthly_range, volatility,
+)
 from tickloom.operators.joins import matched_difference
 
 
@@ -106,9 +108,9 @@ def price_breakouts(bars: DataFrame, period: int = 90, threshold: float = 0.05,
 
 def reconciliation(a: DataFrame, b: DataFrame) -> DataFrame:
     """Per ticker statistics of the difference of two vendors' closes on common days."""
-    pairs = matched_difference(a, b)
-    stats = pairs.groupBy("ticker").agg(
+    stats = matched_difference(a, b).groupBy("ticker").agg(
         F.avg("diff").alias("mean_diff"), F.avg("diff_pct").alias("mean_diff_pct"),
         F.max("diff").alias("max_diff"), F.min("diff").alias("min_diff"),
-        F.stddev_samp("diff").alias("std_diff"), F.count(F.lit(1)).alias("n_days"))
-    return stats.join(correlation(pairs, ("ticker",), "close_a", "close_b", "correlation"), "ticker")
+        F.stddev_samp("diff").alias("std_diff"), F.count(F.lit(1)).alias("n_days"),
+        *correlation_moments("close_a", "close_b"))
+    return P.drop_work_columns(stats.withColumn("correlation", correlation_of()))

@@ -21,11 +21,11 @@ def f1(spark, sf):
 
 @query("f2_history_features", f"""WITH {S.BARS} SELECT ticker, date, {", ".join(f"lag(close, {n}) OVER {S.W} AS close_lag_{n}" for n in (1, 2, 3, 5, 10))},
  {", ".join(f"round({S.full('avg', 'close', n)}, 6) AS close_rolling_mean_{n}" for n in (5, 10, 20))}, round({S.full('avg', 'close', 30)}, 4) AS close_rolling_mean_30,
- {", ".join(f"round({S.full('stddev_samp', 'close', n)}, 3) AS close_rolling_std_{n}" for n in (5, 10, 20, 30))} FROM bars""")
+ {", ".join(f"round({S.full('stddev_samp', 'close', n)}, 2) AS close_rolling_std_{n}" for n in (5, 10, 20, 30))} FROM bars""")
 def f2(spark, sf):
     return E.history_features(X.bars(spark, sf)).select(
         *BASE, *[f"close_lag_{n}" for n in E.TARGET_LAGS], *rounded(6, *[f"close_rolling_mean_{n}" for n in (5, 10, 20)]),
-        *rounded(4, "close_rolling_mean_30"), *rounded(3, *[f"close_rolling_std_{n}" for n in E.TARGET_WINDOWS]))
+        *rounded(4, "close_rolling_mean_30"), *rounded(2, *[f"close_rolling_std_{n}" for n in E.TARGET_WINDOWS]))
 
 
 @query("f3_step_targets", f"""WITH {S.BARS} SELECT ticker, date, {", ".join(f"lead(close, {n}) OVER {S.W} AS target_{n}d" for n in range(1, 6))},
@@ -74,9 +74,9 @@ def f8(spark, sf):
     return E.period_flags(X.bars(spark, sf).select(*BASE))
 
 
-@query("f9_cyclical", f"""WITH {S.BARS} SELECT ticker, date, round(sin(2 * pi() * (isodow(date) - 1) / 7), 8) + 0 AS sin_day_of_week,
- round(cos(2 * pi() * (isodow(date) - 1) / 7), 8) + 0 AS cos_day_of_week, round(sin(2 * pi() * month(date) / 12), 8) + 0 AS sin_month,
- round(cos(2 * pi() * month(date) / 12), 8) + 0 AS cos_month FROM bars""")
+@query("f9_cyclical", f"""WITH {S.BARS} SELECT ticker, date, round(sin(2 * pi() * (isodow(date) - 1) / 7), 8) AS sin_day_of_week,
+ round(cos(2 * pi() * (isodow(date) - 1) / 7), 8) AS cos_day_of_week, round(sin(2 * pi() * month(date) / 12), 8) AS sin_month,
+ round(cos(2 * pi() * month(date) / 12), 8) AS cos_month FROM bars""")
 def f9(spark, sf):
     return E.cyclical(X.bars(spark, sf).select(*BASE)).select(
         *BASE, *rounded(8, "sin_day_of_week", "cos_day_of_week", "sin_month", "cos_month"))

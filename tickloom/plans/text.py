@@ -55,8 +55,7 @@ def x3(spark, sf):
  SELECT ticker, date, round(avg(polarity), 9) AS polarity_mean, round(stddev_samp(polarity), 9) AS polarity_std, count(*) AS polarity_count,
  round(avg(subjectivity), 9) AS subjectivity_mean, round(stddev_samp(subjectivity), 9) AS subjectivity_std FROM d GROUP BY 1, 2""")
 def x4(spark, sf):
-    docs = X.sentiment(spark, sf).select("doc_id", "ticker", "date")
-    records = X.table(spark, sf, "documents").select("doc_id", "text").join(docs, "doc_id")
+    records = X.sentiment_records(X.table(spark, sf, "documents"))
     return N.daily_text_sentiment(records, X.lexicon(spark)).select(
         "ticker", "date", *rounded(9, "polarity_mean", "polarity_std"), "polarity_count",
         *rounded(9, "subjectivity_mean", "subjectivity_std"))

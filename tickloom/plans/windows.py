@@ -46,11 +46,11 @@ def w4(spark, sf):
 
 
 @query("w5_rolling_std", f"""WITH {S.BARS}, r AS (SELECT ticker, date, {S.full('stddev_samp', 'close', 20)} AS std_20 FROM bars)
- SELECT ticker, date, {sql_rounded(3, 'std_20')} FROM r""")
+ SELECT ticker, date, {sql_rounded(2, 'std_20')} FROM r""")
 def w5(spark, sf):
     df = P.windowed(X.bars(spark, sf), P.BARS,
                     [lambda w: [P.rolling(F.stddev_samp("close"), "close", 20, w).alias("std_20")]], before=19)
-    return df.select(*BASE, *rounded(3, "std_20"))
+    return df.select(*BASE, *rounded(2, "std_20"))
 
 
 @query("w6_rolling_extremes", f"""WITH {S.BARS} SELECT ticker, date, max(high) OVER {S.frame(14)} AS hh, min(low) OVER {S.frame(14)} AS ll,
@@ -80,29 +80,29 @@ _RUN = "(PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND
 def w8(spark, sf):
     factor = 1 + (F.dayofmonth("date") - 15) / F.lit(5000.0)
     df = P.running(X.bars(spark, sf), P.BARS, {
-        "running_volume": ("sum", F.col("volume")), "running_max": ("max", F.col("close")),
-        "running_product": ("product", factor)})
+        "running_volume": P.Run("sum", F.col("volume")), "running_max": P.Run("max", F.col("close")),
+        "running_product": P.Run("product", factor)})
     return df.select(*BASE, "running_volume", "running_max", *rounded(6, "running_product"))
 
 
 @query("w9_ewm", f"""WITH {S.BARS}, e AS (SELECT ticker, date, {S.ewm('close', '(2.0::DOUBLE/13)')} AS ewm_span_12,
  {S.ewm('close', '(1.0::DOUBLE/14)')} AS ewm_wilder_14, {S.ewm('close', '(2.0::DOUBLE/201)')} AS ewm_span_200 FROM bars)
- SELECT ticker, date, {sql_rounded(4, 'ewm_span_12', 'ewm_wilder_14', 'ewm_span_200')} FROM e""")
+ SELECT ticker, date, {sql_rounded(2, 'ewm_span_12', 'ewm_wilder_14', 'ewm_span_200')} FROM e""")
 def w9(spark, sf):
     close = F.col("close")
     df = P.ewm(X.bars(spark, sf), P.BARS, [
         P.Ewm("ewm_span_12", close, P.span_alpha(12)), P.Ewm("ewm_wilder_14", close, 1 / 14),
         P.Ewm("ewm_span_200", close, P.span_alpha(200))])
-    return df.select(*BASE, *rounded(4, "ewm_span_12", "ewm_wilder_14", "ewm_span_200"))
+    return df.select(*BASE, *rounded(2, "ewm_span_12", "ewm_wilder_14", "ewm_span_200"))
 
 
 @query("w9_ewm_with_gaps", f"""WITH {S.BARS_GAPPY}, e AS (
   SELECT ticker, date, list_reduce(list(close) FILTER (WHERE close IS NOT NULL) OVER (PARTITION BY ticker ORDER BY date
    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), lambda a, b: a * (1 - 2.0::DOUBLE/13) + b * (2.0::DOUBLE/13)) AS ewm_span_12
-  FROM bars_gappy) SELECT ticker, date, {sql_rounded(4, 'ewm_span_12')} FROM e""")
+  FROM bars_gappy) SELECT ticker, date, {sql_rounded(2, 'ewm_span_12')} FROM e""")
 def w9_gaps(spark, sf):
     df = P.ewm_with_gaps(X.bars_gappy(spark, sf), P.BARS, "ewm_span_12", "close", P.span_alpha(12))
-    return df.select(*BASE, *rounded(4, "ewm_span_12"))
+    return df.select(*BASE, *rounded(2, "ewm_span_12"))
 
 
 @query("w10_lag_of_window", f"""WITH {S.BARS}, m AS (SELECT ticker, date, avg(close) OVER {S.frame(7)} AS ma FROM bars)

@@ -83,16 +83,16 @@ def sentiment_records(documents: DataFrame) -> DataFrame:
         "doc_id", F.element_at(names, (d % 5 + 1).cast("int")).alias("ticker"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.floor(d / 5) % 30).cast("int")).alias("date"),
         (((d * 37) % 201 - 100) / 100).alias("polarity"), (((d * 53) % 101) / 100).alias("subjectivity"),
-        "source")
+        "source", "text")
 
 
 def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentiment_records(table(spark, sf_dir, "documents"))
+    return sentiment_records(table(spark, sf_dir, "documents")).drop("text")
 
 
 def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three monthly series; the sum runs on decimals so that it does not depend on row order."""
-    return (table(spark, sf_dir, "lineitem")
+    return publish_once(spark, sf_dir, "macro", lambda: table(spark, sf_dir, "lineitem")
             .groupBy(F.col("l_returnflag").alias("series_id"),
                      F.trunc(F.to_date("l_shipdate"), "MM").alias("date"))
             .agg(F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("s"), F.count(F.lit(1)).alias("n"))
@@ -102,6 +102,9 @@ def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
 MACRO_IDS = ("A", "N", "R")
 
 
+SERIES = P.Panel(keys=("model", "ticker"))
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two naive models' next closes: the previous close (a) and the mean of the last five (b)."""
     def level(w):
@@ -112,8 +115,8 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         wide = P.windowed(bars(spark, sf_dir), P.BARS, [level], before=5)
         model = F.expr("stack(2, 'a', __a, 'b', __b) AS (model, predicted)")
-        return (wide.select("ticker", "date", "pos", F.col("close").alias("actual"), model)
-                .where(F.col("predicted").isNotNull()))
+        known = wide.select("ticker", "date", F.col("close").alias("actual"), model).where("predicted IS NOT NULL")
+        return P.number_rows(known, SERIES)
 
     return publish_once(spark, sf_dir, "predictions", build)
 
