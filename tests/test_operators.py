@@ -107,6 +107,14 @@ def test_normalise_round_trip(bars):
     close_to(back["close"], collected(bars, "close")["close"])
 
 
+def test_volatility_sees_the_row_before_the_lookback(bars, pdf):
+    as_of = pdf[pdf.ticker == "HOT"].date.max()
+    got = {r["ticker"]: r["volatility"] for r in Q.high_volatility(bars, 300, 0.0, as_of, SMALL).collect()}
+    hot = pdf[pdf.ticker == "HOT"].sort_values("date")
+    recent = hot.close.pct_change()[(hot.date >= as_of - datetime.timedelta(300)).values]
+    assert recent.iloc[0] == recent.iloc[0] and got["HOT"] == pytest.approx(recent.std())
+
+
 # --- joins ---------------------------------------------------------------------------------
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The cleaning patterns, with word characters spelled out for any alphabet.
-URL = r"http\S+|www\S+|https\S+"
+URL = r"(?:http|www)\S+"
 MENTION = r"@[\p{L}\p{N}_]+"
 HASHTAG = r"#[\p{L}\p{N}_]+"
 NOT_WORD = r"[^\p{L}\p{N}_\s]"
+SPACES = r"\s{2,}|[^\S ]"
 PARAGRAPH = r"(?s)<p(?:\s[^>]*)?>(.*?)</p>"
 TAG = r"(?s)<[^>]*>"
 
@@ -19,7 +20,7 @@ def clean_text(text: str | Column) -> Column:
     c = F.col(text) if isinstance(text, str) else text
     for pattern in (URL, MENTION, HASHTAG, NOT_WORD):
         c = F.regexp_replace(c, pattern, "")
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.trim(F.regexp_replace(c, SPACES, " "))
 
 
 def html_paragraphs(html: str | Column, limit: int = 10) -> Column:

@@ -26,14 +26,25 @@ def with_return(df: DataFrame, panel: P.Panel, out: str = "daily_return") -> Dat
     return step.withColumn(out, P.pct_change(F.col("close"), F.col("__prev"))).drop("__prev")
 
 
-def high_volatility(bars: DataFrame, period: int = 30, threshold: float = 0.02, as_of=None,
-                    panel: P.Panel = P.BARS) -> DataFrame:
-    """The lookback applies after the lag, so the first day keeps its predecessor outside it.
+def with_predecessor(bars: DataFrame, cut: Column, panel: P.Panel) -> DataFrame:
+    """The rows from ``cut`` on and each key's last row before it.
 
-    Only the rows from one before the lookback can matter; a date filter cannot express
-    "one row before", so the scan is cut by the lookback only in the aggregate.
+    The older rows are reduced to one per key on the map side, so only the lookback is
+    shuffled, however long the history is.
     """
-    recent = with_return(bars, panel).where(F.col("date") >= since(as_of, period))
+    bars = P.ensure_numbered(bars, panel).select(*panel.keys, *panel.order, panel.pos, "close")
+    rest = [*panel.order, panel.pos, "close"]
+    last = (bars.where(F.col("date") < cut).groupBy(*panel.keys)
+            .agg(F.max_by(F.struct(*rest), F.col(panel.pos)).alias("__r"))
+            .select(*panel.keys, *[F.col("__r")[c].alias(c) for c in rest]))
+    return bars.where(F.col("date") >= cut).unionByName(last)
+
+
+def high_volatility(bars: DataFrame, period: int = 30, threshold: float = 0.02, as_of=None,
+                    panel: P.Panel = P.BARS) -> DataFrame:
+    """The lookback applies after the lag, so its first day keeps the predecessor outside it."""
+    cut = since(as_of, period)
+    recent = with_return(with_predecessor(bars, cut, panel), panel).where(F.col("date") >= cut)
     return (volatility(recent, panel.keys, "daily_return").where(F.col("volatility") > threshold)
             .orderBy(F.col("volatility").desc()))
 

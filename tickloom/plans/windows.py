@@ -106,13 +106,13 @@ def w9_gaps(spark, sf):
 
 
 @query("w9_wide_panel", f"""WITH {S.BARS_LI}, e AS (SELECT ticker, date, {S.ewm('close', '(2.0::DOUBLE/13)')} AS ewm_span_12, {S.full('avg', 'close', 20)} AS mean_20 FROM bars_li)
- SELECT ticker, date, {sql_rounded(3, 'ewm_span_12', 'mean_20')} FROM e""")
+ SELECT ticker, date, {sql_rounded(4, 'ewm_span_12')}, {sql_rounded(6, 'mean_20')} FROM e""")
 def w9_wide(spark, sf):
     panel, close = P.BARS, F.col("close")
     spec = P.Ewm("ewm_span_12", close, P.span_alpha(12))
     mean = {"mean_20": lambda w: P.rolling(F.avg("close"), "close", 20, w)}
     df = P.windowed(X.bars_li(spark, sf), panel, P.merge_steps([P.ewm_steps(panel, spec), [mean]]), before=spec.memory)
-    return df.select(*BASE, *rounded(3, "ewm_span_12", "mean_20"))
+    return df.select(*BASE, *rounded(4, "ewm_span_12"), *rounded(6, "mean_20"))
 
 
 @query("w10_lag_of_window", f"""WITH {S.BARS}, m AS (SELECT ticker, date, avg(close) OVER {S.frame(7)} AS ma FROM bars)

@@ -47,7 +47,7 @@ def bars_li(spark: SparkSession, sf_dir: str) -> DataFrame:
     def raw() -> DataFrame:
         return table(spark, sf_dir, "lineitem").groupBy(
             F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(
-            F.round(F.avg(F.col("l_extendedprice").cast("decimal(18,2)")), 4).cast("double").alias("close"),
+            F.round(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)), 4).alias("close"),
             F.max("l_extendedprice").alias("high"), F.min("l_extendedprice").alias("low"),
             F.sum("l_quantity").cast("long").alias("volume"))
     return numbered(spark, sf_dir, "bars_li", raw)
