@@ -270,6 +270,27 @@ def test_macro_csv_with_junk_and_time_of_day(spark, tmp_path):
     assert [(r["date"].month, r["value"]) for r in rows] == [(1, 1.5), (2, None)]
 
 
+def test_sentiment_file_without_ticker(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("title,source,published_at,polarity,subjectivity,sentiment\nx,news,2024-02-03 04:05:06,0.25,bad,positive\n")
+    row = G.load_sentiment(spark, str(tmp_path / "s.csv"), "AAA").first()
+    assert (row["ticker"], row["day"], row["polarity"], row["subjectivity"]) == ("AAA", datetime.date(2024, 2, 3), 0.25, None)
+
+
+@pytest.mark.parametrize("method", ["ffill", "bfill", "interpolate", "drop"])
+def test_missing_value_methods(spark, method):
+    rows = [("A", datetime.date(2024, 1, i + 1), v) for i, v in enumerate([None, 1.0, None, 3.0, None])]
+    df = P.number_rows(spark.createDataFrame(rows, "ticker string, date date, close double"))
+    got = [r["close"] for r in R.handle_missing(df, method).orderBy("date").collect()]
+    assert got == {"ffill": [None, 1, 1, 3, 3], "bfill": [1, 1, 3, 3, None], "interpolate": [None, 1, 2, 3, 3], "drop": [1, 3]}[method]
+
+
+def test_unknown_methods_raise(bars):
+    with pytest.raises(ValueError):
+        R.handle_missing(bars, "guess")
+    with pytest.raises(ValueError):
+        A.detect_outliers(bars, "close", "guess")
+
+
 # --- evaluation ----------------------------------------------------------------------------
 
 

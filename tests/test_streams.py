@@ -83,3 +83,20 @@ def test_replayed_batch_is_not_doubled(spark, tmp_path):
 @pytest.mark.parametrize("kind,text", [("stock", "60 seconds"), ("sentiment", "5 minutes"), ("macro", "60 minutes")])
 def test_cadence(kind, text):
     assert R.polled(kind) == {"processingTime": text}
+
+
+def test_worker_functions_need_no_package_on_the_worker(tmp_path):
+    """What is sent to Python workers must load in a process that cannot import this package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    from pyspark.sql import types as T
+
+    from tickloom.operators import forecast
+    things = (B.newest, B.LastRows(T.StructType([]), ["k"], ["t"], 1, 1), forecast._solve, forecast._matrices)
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(things))
+    code = "import pickle; print(len(pickle.load(open('f.pkl', 'rb'))))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120,
+                          env={k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"})
+    assert done.stdout.strip() == "4", done.stderr

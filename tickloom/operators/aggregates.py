@@ -194,6 +194,16 @@ def iqr_outliers(df: DataFrame, x: str, threshold: float = 3.0, keys: Sequence[s
             .drop("__q1", "__q3"))
 
 
+def detect_outliers(df: DataFrame, x: str, method: str = "zscore", threshold: float = 3.0,
+                    panel: P.Panel = P.BARS) -> DataFrame:
+    """``is_outlier`` by z-score or by quartile distance."""
+    if method == "zscore":
+        return zscore_outliers(df, x, threshold, panel)
+    if method == "iqr":
+        return iqr_outliers(df, x, threshold, panel.keys)
+    raise ValueError(f"unknown method {method!r}; use 'zscore' or 'iqr'")
+
+
 def first_last(bars: DataFrame) -> DataFrame:
     return bars.groupBy("ticker").agg(
         F.min("date").alias("start_date"), F.max("date").alias("end_date"),

@@ -138,3 +138,14 @@ def ensemble(wide: DataFrame, weights: Mapping[str, float] | None = None, models
         term = F.col(f"pred_{m}") * F.lit((weights[m] if weights else 1.0) / total)
         mean = term if mean is None else mean + term
     return wide.withColumn(out, (mean > 0.5).cast("int") if classify else mean)
+
+
+def combine_forecasts(forecasts: DataFrame, weights: Mapping[str, float], at: Sequence[str] = ("ticker", "step", "forecast_date")) -> DataFrame:
+    """Weighted average of long-form forecasts (weights normalised) where every model has a value."""
+    total = float(sum(weights.values()))
+    weight = F.lit(None).cast("double")
+    for name, w in weights.items():
+        weight = F.when(F.col("model") == name, F.lit(w / total)).otherwise(weight)
+    known = forecasts.withColumn("__w", weight).where(F.col("__w").isNotNull() & F.col("predicted").isNotNull())
+    return (known.groupBy(*at).agg(F.sum(F.col("__w") * F.col("predicted")).alias("predicted"), F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") == len(weights)).drop("__n"))

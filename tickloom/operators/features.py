@@ -22,6 +22,14 @@ def lag_features(df: DataFrame, k: int = 5, columns: Sequence[str] | None = None
                                              for c in names for n in range(1, k + 1)]], before=k)
 
 
+def period_returns(df: DataFrame, periods: Sequence[int] = (1, 5, 20), x: str = "close", panel: P.Panel = P.BARS) -> DataFrame:
+    """``return_<n>``: the change over n rows."""
+    out = P.windowed(df, panel, [
+        lambda w: [F.lag(x, n).over(w).alias(f"__{n}") for n in periods],
+        lambda w: [P.pct_change(F.col(x), F.col(f"__{n}")).alias(f"return_{n}") for n in periods]], before=max(periods))
+    return P.drop_work_columns(out)
+
+
 # Lags and windows of the target column.
 TARGET_LAGS = (1, 2, 3, 5, 10)
 TARGET_WINDOWS = (5, 10, 20, 30)

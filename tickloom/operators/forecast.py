@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators import panel as P
-from tickloom.operators.features import next_business_days
+from tickloom.operators.features import chronological_split, next_business_days
 from tickloom.operators.frames import latest_rows
 
 # Asymptotic Dickey-Fuller critical values with a constant.
@@ -265,3 +265,16 @@ def forecast_arima(df: DataFrame, fitted: DataFrame, steps: int = 30, y: str = "
     start = last_values(df, y, p + d, keys, order).join(fitted, list(keys))
     start = start.where(F.size("lags") == p + d).withColumn("__weights", F.array(*weights).cast("array<double>"))
     return recursive_forecast(start, F.col("intercept"), F.col("__weights"), steps, keys)
+
+
+def hold_out_forecast(df: DataFrame, y: str = "close", p: int = 5, d: int = 1, share: float = 0.8, horizon: int = 30,
+                      panel: P.Panel = P.BARS) -> DataFrame:
+    """Fit on each key's first rows, forecast the next ``horizon`` and set them beside the actual values."""
+    rows = P.ensure_numbered(df, panel).select(*panel.keys, *panel.order, panel.pos, y)
+    parts = chronological_split(rows, (("train", share),), panel=panel)
+    train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
+    last = train.groupBy(*panel.keys).agg(F.max(panel.pos).alias("__last"))
+    ahead = forecast_arima(train, fit_arima(train, y, p, d, 0, panel), horizon, y, panel.keys, panel.order[0])
+    placed = ahead.join(last, list(panel.keys)).withColumn(panel.pos, F.col("__last") + F.col("step"))
+    return (placed.join(test.select(*panel.keys, panel.pos, *panel.order, F.col(y).alias("actual")), [*panel.keys, panel.pos])
+            .select(*panel.keys, *panel.order, "step", "actual", "predicted"))

@@ -59,6 +59,27 @@ def null_loss(df: DataFrame, subset: Sequence[str], keys: Sequence[str] = ("tick
             .withColumn("loss", 1 - F.col("n_kept") / F.col("n_rows")))
 
 
+def handle_missing(df: DataFrame, method: str = "ffill", columns: Sequence[str] | None = None,
+                   panel: P.Panel = P.BARS) -> DataFrame:
+    """``ffill``, ``bfill``, ``interpolate`` or ``drop`` on the columns (default: all numeric ones)."""
+    names = list(columns or numeric_columns(df))
+    if method == "drop":
+        return df.na.drop(subset=names)
+    fills = {"ffill": P.forward_fill, "bfill": P.backward_fill, "interpolate": P.interpolate}
+    if method not in fills:
+        raise ValueError(f"unknown method {method!r}; use one of {sorted([*fills, 'drop'])}")
+    return fills[method](df, panel, names)
+
+
+def preprocess(df: DataFrame, fill: str | None = "ffill", drop: bool = True, columns: Sequence[str] | None = None,
+               panel: P.Panel = P.BARS) -> DataFrame:
+    """Fill, set what is left to 0, then drop rows that still have a NULL."""
+    names = list(columns or numeric_columns(df))
+    if fill:
+        df = handle_missing(df, fill, names, panel).na.fill(0, names)
+    return df.na.drop() if drop else df
+
+
 def latest_rows(df: DataFrame, k: int, keys: Sequence[str] = ("ticker",), order: str = "date",
                 rank: str = "rank_latest") -> DataFrame:
     """The last k rows per key; the rank limit is applied before the shuffle as well."""

@@ -129,6 +129,19 @@ def m10_class(spark, sf):
     return V.ensemble(wide, {"a": 0.4, "b": 0.6}, classify=True).select("doc_id", "ensemble")
 
 
+@query("m10_ensemble_forecast", f"""WITH RECURSIVE {S.BARS}, l AS (SELECT ticker, close, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS r FROM bars),
+ s AS (SELECT ticker, max(close) FILTER (r = 1) AS y1, max(close) FILTER (r = 2) AS y2 FROM l WHERE r <= 2 GROUP BY ticker),
+ f AS (SELECT ticker, 0 AS step, y1, y2, y1 AS z FROM s
+  UNION ALL SELECT ticker, step + 1, 0.5::DOUBLE * y1 + 0.25::DOUBLE * y2, y1, 100 + 0.75::DOUBLE * z FROM f WHERE step < 10)
+ SELECT ticker, step, round(0.75::DOUBLE * y1 + 0.25::DOUBLE * z, 3) AS predicted FROM f WHERE step > 0""")
+def m10_forecast(spark, sf):
+    start = C.last_values(X.bars(spark, sf), "close", 2)
+    a = C.recursive_forecast(start, F.lit(0.0), F.array(F.lit(0.5), F.lit(0.25)), 10)
+    b = C.recursive_forecast(start, F.lit(100.0), F.array(F.lit(0.75), F.lit(0.0)), 10)
+    both = a.withColumn("model", F.lit("a")).unionByName(b.withColumn("model", F.lit("b")))
+    return V.combine_forecasts(both, {"a": 3.0, "b": 1.0}).select("ticker", "step", *rounded(3, "predicted"))
+
+
 @query("m11_stacking")
 def m11(spark, sf):
     train, test = parts(spark, sf, "target_return_1d")
@@ -198,6 +211,16 @@ def m14(spark, sf):
     return C.grid_search(X.bars(spark, sf)).select("ticker", "p", "d", "q", "n", "aic", "bic", "is_best")
 
 
+@query("m13_hold_out", f"""WITH RECURSIVE {S.BARS}, q AS (SELECT ticker, date, close, row_number() OVER {S.W} - 1 AS pos, count(*) OVER (PARTITION BY ticker) AS n FROM bars),
+ t AS (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY date) AS x FROM q WHERE pos < floor(n * 0.8::DOUBLE)),
+ r AS (SELECT ticker, regr_intercept(close, x) AS c, regr_slope(close, x) AS a, arg_max(close, pos) AS y, max(pos) AS last FROM t GROUP BY ticker),
+ f AS (SELECT ticker, 0 AS step, y FROM r UNION ALL SELECT f.ticker, step + 1, c + a * f.y FROM f JOIN r USING (ticker) WHERE step < 10)
+ SELECT f.ticker, q.date, CAST(f.step AS INTEGER) AS step, q.close AS actual, round(f.y, 3) AS predicted FROM f JOIN r USING (ticker) JOIN q ON q.ticker = f.ticker AND q.pos = r.last + f.step WHERE f.step > 0""")
+def m13_hold_out(spark, sf):
+    df = C.hold_out_forecast(X.bars(spark, sf), "close", 1, 0, 0.8, 10)
+    return df.select(*BASE, "step", "actual", *rounded(3, "predicted"))
+
+
 _SEARCH = ", ".join(f"""s{d} AS (SELECT ticker, w, lag(w) OVER (PARTITION BY ticker ORDER BY date) AS x FROM ({src}))""" for d, src in (
     (0, "SELECT ticker, date, close AS w FROM bars"), (1, f"SELECT ticker, date, close - lag(close) OVER {S.W} AS w FROM bars")))
 _FITS = " UNION ALL ".join(f"""SELECT ticker, {p} AS p, {d} AS d, count(*) AS n, {'regr_syy(w, x) * (1 - regr_r2(w, x))' if p else 'var_pop(w) * count(*)'} AS rss

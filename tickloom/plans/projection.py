@@ -55,6 +55,14 @@ def p6_drop(spark, sf):
     return X.bars_gappy(spark, sf).na.drop(subset=["close", "volume"]).select(*BASE, "close", "volume")
 
 
+@query("p6_preprocess", f"""WITH {S.BARS_GAPPY} SELECT ticker, date, open, high, low,
+ coalesce(last_value(close IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS close,
+ coalesce(last_value(volume IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS volume
+ FROM bars_gappy""")
+def p6_preprocess(spark, sf):
+    return R.preprocess(X.bars_gappy(spark, sf)).drop("pos")
+
+
 _BEFORE = "(PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 _AFTER = "(PARTITION BY ticker ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
 

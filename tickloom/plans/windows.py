@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tickloom.operators import panel as P
-from tickloom.operators.features import sequences
+from tickloom.operators.features import period_returns, sequences
 from tickloom.operators.frames import latest_rows
 from tickloom.plans import sql as S
 from tickloom.plans.registry import query, rounded, sql_rounded
@@ -29,11 +29,7 @@ def w2(spark, sf):
 @query("w3_returns", f"""WITH {S.BARS} SELECT ticker, date,
  {", ".join(f"round(close / nullif(lag(close, {n}) OVER {S.W}, 0) - 1, 8) AS return_{n}" for n in (1, 5, 20))} FROM bars""")
 def w3(spark, sf):
-    names = [f"return_{n}" for n in (1, 5, 20)]
-    df = P.windowed(X.bars(spark, sf), P.BARS, [
-        lambda w: [F.lag("close", n).over(w).alias(f"__{n}") for n in (1, 5, 20)],
-        lambda w: [P.pct_change(F.col("close"), F.col(f"__{n}")).alias(f"return_{n}") for n in (1, 5, 20)]], before=20)
-    return df.select(*BASE, *rounded(8, *names))
+    return period_returns(X.bars(spark, sf)).select(*BASE, *rounded(8, *[f"return_{n}" for n in (1, 5, 20)]))
 
 
 @query("w4_rolling_mean", f"""WITH {S.BARS}, r AS (SELECT ticker, date, {S.full('avg', 'close', 20)} AS mean_full,

@@ -49,6 +49,19 @@ def load_macro(spark: SparkSession, path: str, start=None, end=None) -> DataFram
     return date_range(schemas.conform(load(spark, path, "csv"), schemas.MACRO), start, end)
 
 
+def load_sentiment(spark: SparkSession, path: str, ticker: str | None = None, fmt: str = "csv", start=None, end=None) -> DataFrame:
+    """Sentiment files with ``published_at`` or ``date``; files of one ticker may lack the column."""
+    raw = load(spark, path, fmt)
+    if "published_at" in raw.columns and "date" not in raw.columns:
+        raw = raw.withColumnRenamed("published_at", "date")
+    if ticker is not None and "ticker" not in raw.columns:
+        raw = raw.withColumn("ticker", F.lit(ticker))
+    out = schemas.conform(raw, schemas.SENTIMENT)
+    if ticker is not None:
+        out = out.where(F.col("ticker") == ticker)
+    return date_range(out.withColumn("day", F.to_date("date")), start, end, "day")
+
+
 def read_snapshots(spark: SparkSession, pattern: str | Sequence[str], fmt: str = "parquet",
                    schema: T.StructType | None = None) -> DataFrame:
     """All snapshot files as one table; columns that a file lacks are NULL."""
