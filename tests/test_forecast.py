@@ -70,7 +70,7 @@ def test_differencing(spark):
 
 def test_forecast_follows_the_recursion(df):
     fitted = C.fit_arima(df, "close", 2, 1, 0, SMALL)
-    got = C.forecast_arima(df, fitted, 5).where("ticker = 'AR'").orderBy("step").collect()
+    got = C.forecast_arima(df, fitted, 2, 1, 5).where("ticker = 'AR'").orderBy("step").collect()
     fit = fitted.where("ticker = 'AR'").first()
     y = [r["close"] for r in df.where("ticker = 'AR'").orderBy("date").collect()]
     for r in got:

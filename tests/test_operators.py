@@ -241,6 +241,19 @@ def test_replace_table_swaps(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
+def test_stored_upsert_leaves_other_folders_alone(spark, bars, tmp_path):
+    path = tmp_path / "t"
+    K.save_bars(bars, str(path))
+    before = {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    new = spark.createDataFrame([("MID", datetime.date(1999, 1, 1), 1.0), ("MID", bars.where("ticker = 'MID'").first()["date"], 2.0)],
+                                "ticker string, date date, close double")
+    K.upsert_stored(str(path), new.withColumn("bucket", G.ticker_bucket(F.col("ticker"))), ["ticker", "date"], "bucket")
+    kept = [p for p in before if p.exists() and p.stat().st_mtime_ns == before[p]]
+    folder = spark.range(1).select(G.ticker_bucket(F.lit("MID"))).first()[0]
+    assert len(kept) == len([p for p in before if f"bucket={folder}/" not in str(p)])
+    assert spark.read.parquet(str(path)).count() == bars.count() + 1
+
+
 def test_update_inserts_only_when_nothing_matches(spark):
     df = spark.createDataFrame([(1, 5), (2, None)], "k int, v int")
     hit = K.update_where(df, F.col("v") > 4, {"v": 0}, insert={"k": 9, "v": 9})

@@ -246,13 +246,9 @@ def recursive_forecast(start: DataFrame, intercept: Column, weights: Column, ste
     return days.select(*keys, "step", "forecast_date", F.element_at("values", F.col("step").cast("int")).alias("predicted"))
 
 
-def forecast_arima(df: DataFrame, fitted: DataFrame, steps: int = 30, y: str = "close",
+def forecast_arima(df: DataFrame, fitted: DataFrame, p: int, d: int, steps: int = 30, y: str = "close",
                    keys: Sequence[str] = ("ticker",), order: str = "date") -> DataFrame:
-    """Forecast levels from AR fits with one common order: the differencing is multiplied into the weights."""
-    row = fitted.select("p", "d").first()
-    if row is None:
-        raise ValueError("nothing was fitted")
-    p, d = row["p"], row["d"]
+    """Forecast levels from AR(p) fits on d-th differences: the differencing is multiplied into the weights."""
     poly = lag_polynomial(d, 0, 0)
     # (1 - a1 B - ... - ap B^p) · poly(B): weight i is minus its coefficient i.
     weights = []
@@ -274,7 +270,7 @@ def hold_out_forecast(df: DataFrame, y: str = "close", p: int = 5, d: int = 1, s
     parts = chronological_split(rows, (("train", share),), panel=panel)
     train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
     last = train.groupBy(*panel.keys).agg(F.max(panel.pos).alias("__last"))
-    ahead = forecast_arima(train, fit_arima(train, y, p, d, 0, panel), horizon, y, panel.keys, panel.order[0])
+    ahead = forecast_arima(train, fit_arima(train, y, p, d, 0, panel), p, d, horizon, y, panel.keys, panel.order[0])
     placed = ahead.join(last, list(panel.keys)).withColumn(panel.pos, F.col("__last") + F.col("step"))
     return (placed.join(test.select(*panel.keys, panel.pos, *panel.order, F.col(y).alias("actual")), [*panel.keys, panel.pos])
             .select(*panel.keys, *panel.order, "step", "actual", "predicted"))

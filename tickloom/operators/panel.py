@@ -34,7 +34,7 @@ class Panel:
     order: tuple[str, ...] = ("date",)
     pos: str = "pos"
     block_rows: int = 1024
-    scan_rows: int = 4096
+    scan_rows: int = 65_536
 
     def block_size(self, halo: int) -> int:
         """Blocks at least eight times the halo, so copies add at most an eighth."""

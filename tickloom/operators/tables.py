@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.session import publish
 from tickloom.sources.ingest import TICKER_BUCKETS, find, ticker_bucket
 
 
@@ -106,6 +107,21 @@ def replace_table(df: DataFrame, path: str) -> None:
         fs.delete(old, True)
 
 
+def upsert_stored(path: str, incoming: DataFrame, keys: Sequence[str], partition: str, order: str | None = None) -> None:
+    """Upsert into a partitioned Parquet table, rewriting only the folders that ``incoming`` touches.
+
+    ``partition`` must follow from the keys. The touched folders are merged into a new table
+    in the shared folder first, because a table cannot be overwritten while it is read.
+    """
+    spark = incoming.sparkSession
+    touched = incoming.select(partition).distinct()
+    current = spark.read.parquet(path)
+    affected = current.join(touched, partition, "left_semi").select(*current.columns)
+    merged = publish(upsert(affected, incoming, [*keys, partition], order), "upsert")
+    (merged.select(*current.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition).parquet(path))
+
+
 def _only_first(df: DataFrame, predicate: Column, keys: Sequence[str]) -> Column:
     """True on the matching row with the smallest key; found by one aggregate, used as a scalar."""
     first = df.where(predicate).agg(F.min(F.struct(*keys)).alias("k"))

@@ -52,6 +52,20 @@ for _id, _kind in (("m1", "random_forest"), ("m2", "gradient_boosted"), ("m3", "
         query(f"{_id}_{_kind}_{_task}")(_fit_and_score(_kind, _task))
 
 
+_ONE = f"""WITH {S.BARS}, f AS (SELECT ticker, date, row_number() OVER {S.W} - 1 AS pos, count(*) OVER (PARTITION BY ticker) AS n,
+ close / lag(close) OVER {S.W} - 1 AS x, lead(close) OVER {S.W} / close - 1 AS y FROM bars),
+ u AS (SELECT * FROM f WHERE pos >= 19 AND y IS NOT NULL),
+ r AS (SELECT regr_intercept(y, x) AS c, regr_slope(y, x) AS a FROM u WHERE pos < floor(n * 0.8::DOUBLE))
+ SELECT ticker, date, round(y, 6) AS label, round(c + a * x, 6) AS prediction FROM u, r WHERE pos >= floor(n * 0.8::DOUBLE)"""
+
+
+@query("m3_one_feature", _ONE)
+def m3_one(spark, sf):
+    train, test = parts(spark, sf, "target_return_1d")
+    model = M.pipeline("linear", "regression", ["daily_return"]).fit(train)
+    return M.score(model, test).select(*BASE, *rounded(6, "label", "prediction"))
+
+
 @query("m4_ranking_metrics", f"""WITH {S.CLF}, c AS (SELECT score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM clf GROUP BY score),
  r AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM c WINDOW w AS (ORDER BY score DESC)),
  p AS (SELECT *, tp / (tp + fp) AS prec FROM r), q AS (SELECT *, lag(prec) OVER (ORDER BY score DESC) AS prec0 FROM p)
@@ -105,13 +119,14 @@ def m8(spark, sf):
     return M.importance(M.pipeline("random_forest", "classification", FEATURES, numTrees=20).fit(train), FEATURES)
 
 
-@query("m9_saved_model")
+@query("m9_saved_model", _ONE)
 def m9(spark, sf):
     train, test = parts(spark, sf, "target_return_1d")
-    path = fresh(spark, "m9")
-    M.save_model(M.pipeline("linear", "regression", FEATURES).fit(train), path, FEATURES, "label", kind="linear")
+    path, features = fresh(spark, "m9"), ["daily_return"]
+    M.save_model(M.pipeline("linear", "regression", features).fit(train), path, features, "label", kind="linear")
     model, meta = M.load_model(path)
-    return M.score(model, test.select(*BASE, *meta["features"], meta["label"])).select(*BASE, "label", "prediction")
+    scored = M.score(model, test.select(*BASE, *meta["features"], meta["label"]))
+    return scored.select(*BASE, *rounded(6, "label", "prediction"))
 
 
 @query("m10_ensemble", f"""WITH {S.PREDS}, w AS (SELECT ticker, date, actual, max(CASE WHEN model = 'a' THEN predicted END) AS a,
@@ -190,7 +205,7 @@ def m13(spark, sf):
 @query("m13_forecast")
 def m13_forecast(spark, sf):
     bars = X.bars(spark, sf)
-    return C.forecast_arima(bars, C.fit_arima(bars, "close", 5, 1, 0), 30)
+    return C.forecast_arima(bars, C.fit_arima(bars, "close", 5, 1, 0), 5, 1, 30)
 
 
 _AR1 = f"""WITH {S.BARS}, g AS (SELECT ticker, close AS w, lag(close) OVER {S.W} AS x FROM bars),
@@ -202,7 +217,7 @@ _AR1 = f"""WITH {S.BARS}, g AS (SELECT ticker, close AS w, lag(close) OVER {S.W}
  SELECT ticker, step, round(y, 3) AS predicted FROM f WHERE step > 0""")
 def m13_ar1_forecast(spark, sf):
     bars = X.bars(spark, sf)
-    df = C.forecast_arima(bars, C.fit_arima(bars, "close", 1, 0, 0), 15)
+    df = C.forecast_arima(bars, C.fit_arima(bars, "close", 1, 0, 0), 1, 0, 15)
     return df.select("ticker", "step", *rounded(3, "predicted"))
 
 

@@ -76,6 +76,18 @@ def k6_stored(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("k6_upsert_partitions", f"""WITH {S.BARS}, n AS (SELECT ticker, date, close * 2 AS close, volume FROM bars WHERE ticker = '2-HIGH' AND date >= DATE '1998-01-01'),
+ o AS (SELECT ticker, date, close, volume FROM bars WHERE date < DATE '1999-01-01')
+ SELECT ticker, date, coalesce(n.close, o.close) AS close, coalesce(n.volume, o.volume) AS volume FROM o FULL JOIN n USING (ticker, date)""")
+def k6_partitions(spark, sf):
+    bars = X.bars(spark, sf).select(*BASE, "close", "volume")
+    path = fresh(spark, "k6-partitions")
+    K.save_bars(bars.where("date < '1999-01-01'"), path)
+    new = bars.where("ticker = '2-HIGH' AND date >= '1998-01-01'").withColumn("close", F.col("close") * 2)
+    K.upsert_stored(path, new.withColumn("bucket", G.ticker_bucket(F.col("ticker"))), BASE, "bucket")
+    return spark.read.parquet(path).drop("bucket")
+
+
 @query("k6_upsert_report", f"""WITH {S.BARS}, {_OLD}, {_NEW} SELECT count(*) FILTER (o.close IS NULL) AS inserted,
  count(*) FILTER (o.close IS NOT NULL) AS updated FROM n LEFT JOIN o USING (ticker, date)""")
 def k6_report(spark, sf):
