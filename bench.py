@@ -20,7 +20,8 @@ from tickloom.sources import fixtures  # noqa: E402
 
 HEADLINE = [
     "q1_high_volatility", "q2_price_trends", "q3_sentiment_correlation", "q4_macro_correlation", "q5_sentiment_momentum",
-    "q6_price_breakouts", "q7_reconciliation", "w4_rolling_mean", "w8_running", "w9_ewm", "w9_wide_panel", "w12_sequences",
+    "q6_price_breakouts", "q7_reconciliation", "w4_rolling_mean", "w8_running", "w9_ewm", "w9_wide_panel", "w4_rolling_ticks", "w8_running_ticks",
+    "w9_ewm_ticks", "p7_forward_fill_ticks", "w12_sequences",
     "t1_sma", "t2_ema", "t3_rsi", "t5_bollinger", "t6_macd", "t8_adx", "t10_obv", "t11_cci", "t14_volume", "p9_fill_all",
     "p11_interpolate", "j6_as_of_macro", "j6_as_of_ticks", "j9_keyword_tags", "a3_time_buckets", "a4_resample_week",
     "a13_quantiles", "f1_lag_features", "f10_sentiment_features", "f15_full_features", "f16_combine_sources",
@@ -39,7 +40,7 @@ def main() -> None:
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")})
     spark.sparkContext.setLogLevel("OFF")
     seconds = {}
-    for name in ("bars", "bars_ev", "macro", "predictions", "bars_li"):
+    for name in ("bars", "bars_ev", "macro", "predictions", "bars_li", "ticks_panel"):
         start = time.perf_counter()
         getattr(fixtures, name)(spark, sf_dir)
         seconds[f"derive_{name}"] = round(time.perf_counter() - start, 3)

@@ -87,11 +87,21 @@ def latest_rows(df: DataFrame, k: int, keys: Sequence[str] = ("ticker",), order:
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
 def latest_record(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """One row per key, the newest; a partial aggregate rather than a window."""
-    rest = [c for c in df.columns if c not in keys]
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(time)).alias("__r"))
-    return newest.select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
+    """One row per key, the newest; a partial aggregate rather than a window.
+
+    Rows of fixed-width columns are kept column by column, which Spark aggregates by hash;
+    a struct or text buffer would make it sort the input.
+    """
+    rest = [f for f in df.schema.fields if f.name not in keys]
+    if all(isinstance(f.dataType, _FIXED_WIDTH) for f in rest):
+        return df.groupBy(*keys).agg(*[F.max_by(f.name, time).alias(f.name) for f in rest]).select(*df.columns)
+    names = [f.name for f in rest]
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*names), F.col(time)).alias("__r"))
+    return newest.select(*keys, *[F.col("__r")[c].alias(c) for c in names])
 
 
 def recent_table(df: DataFrame, k: int = 20) -> DataFrame:

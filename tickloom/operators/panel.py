@@ -44,8 +44,8 @@ class Panel:
 BARS = Panel()
 
 
-def time_bucket(df: DataFrame, column: str, seconds: int = 3600) -> Column:
-    """A coarse time bucket: 256 days for a date, ``seconds`` for a timestamp, else 4096 units."""
+def time_bucket(df: DataFrame, column: str, seconds: int = 60) -> Column:
+    """A time bucket: 256 days for a date, ``seconds`` for a timestamp, else 4096 units."""
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.DateType):
         return F.floor(F.unix_date(column) / 256)
@@ -54,18 +54,28 @@ def time_bucket(df: DataFrame, column: str, seconds: int = 3600) -> Column:
     return F.floor(F.col(column) / 4096)
 
 
+_BUCKETS_PER_GROUP = 512
+
+
 def number_rows(df: DataFrame, panel: Panel = BARS, bucket: Column | None = None) -> DataFrame:
     """Add the position of every row within its key.
 
-    Rows are ranked inside (key, time bucket); the bucket's start is the running total of the
-    bucket counts. Only the count table is ordered per key. ``bucket`` must grow with the
-    order columns; take it fine enough for one bucket of one key to fit a task.
+    Rows are ranked inside (key, time bucket), and a bucket starts where the counts before it
+    end. Counts are summed in two steps, over groups of buckets and within a group, so fine
+    buckets do not make a long per-key table either. ``bucket`` is an integer that grows with
+    the order columns; take it fine enough for one bucket of one key to fit a task.
     """
     keys = list(panel.keys)
     bucketed = df.withColumn(_BUCKET, time_bucket(df, panel.order[0]) if bucket is None else bucket)
-    earlier = W.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
-    starts = (bucketed.groupBy(*keys, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
-              .select(*keys, _BUCKET, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start")))
+    group = F.floor(F.col(_BUCKET) / _BUCKETS_PER_GROUP).alias("__group")
+    counts = bucketed.groupBy(*keys, group, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    before = W.partitionBy(*keys).orderBy("__group").rowsBetween(W.unboundedPreceding, -1)
+    groups = (counts.groupBy(*keys, "__group").agg(F.sum("__n").alias("__n"))
+              .select(*keys, "__group", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base")))
+    within = W.partitionBy(*keys, "__group").orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
+    starts = (counts.withColumn("__in", F.coalesce(F.sum("__n").over(within), F.lit(0)))
+              .join(groups, [*keys, "__group"])
+              .select(*keys, _BUCKET, (F.col("__base") + F.col("__in")).alias("__start")))
     inside = W.partitionBy(*keys, _BUCKET).orderBy(*panel.order)
     return (bucketed.withColumn("__rank", F.row_number().over(inside))
             .join(starts, [*keys, _BUCKET])
@@ -176,7 +186,7 @@ def running(df: DataFrame, panel: Panel, outputs: dict[str, Run], bucket: Column
     else:
         block = time_bucket(df, order[0]) if bucket is None else bucket
     base = df.select("*", block.alias(_BLK), *[r.x.alias(f"__x_{n}") for n, r in outputs.items()])
-    at = F.struct(*order)
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
     def frames(r: Run) -> tuple[WindowSpec, WindowSpec]:
         def direct(c: str) -> Column:
@@ -232,14 +242,18 @@ def interpolate(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFram
     """Linear by row position; leading NULLs stay, trailing NULLs take the last value."""
     df = ensure_numbered(df, panel)
     pos = F.col(panel.pos)
-    point = {c: F.when(F.col(c).isNotNull(), F.struct(pos.alias("p"), F.col(c).alias("v"))) for c in columns}
-    both = running(df, panel, {f"__{side}_{c}": Run("last", point[c], side == "b") for c in columns for side in "ab"})
+    runs = {}
+    for c in columns:
+        known = F.when(F.col(c).isNotNull(), pos)
+        runs |= {f"__ap_{c}": Run("max", known), f"__av_{c}": Run("last", F.col(c)),
+                 f"__bp_{c}": Run("min", known, reverse=True), f"__bv_{c}": Run("last", F.col(c), reverse=True)}
+    both = running(df, panel, runs)
 
     def value(c: str) -> Column:
-        a, b = F.col(f"__a_{c}"), F.col(f"__b_{c}")
-        share = (pos - a["p"]) / (b["p"] - a["p"])
-        return (F.when(F.col(c).isNotNull(), F.col(c)).when(a.isNull(), F.lit(None))
-                .when(b.isNull(), a["v"]).otherwise(a["v"] + (b["v"] - a["v"]) * share))
+        ap, av, bp, bv = (F.col(f"__{k}_{c}") for k in ("ap", "av", "bp", "bv"))
+        between = av + (bv - av) * ((pos - ap) / (bp - ap))
+        return (F.when(F.col(c).isNotNull(), F.col(c)).when(ap.isNull(), F.lit(None)).when(bp.isNull(), av)
+                .otherwise(between))
 
     return both.select(*[value(c).alias(c) if c in columns else F.col(c) for c in df.columns])
 

@@ -12,6 +12,7 @@ from tickloom.operators import panel as P
 from tickloom.operators.aggregates import (
     correlation, correlation_moments, correlation_of, daily_mean_sentiment, first_last, monthly_range, volatility,
 )
+from tickloom.operators.frames import latest_record
 from tickloom.operators.joins import matched_difference
 
 
@@ -33,10 +34,7 @@ def with_predecessor(bars: DataFrame, cut: Column, panel: P.Panel) -> DataFrame:
     shuffled, however long the history is.
     """
     bars = P.ensure_numbered(bars, panel).select(*panel.keys, *panel.order, panel.pos, "close")
-    rest = [*panel.order, panel.pos, "close"]
-    last = (bars.where(F.col("date") < cut).groupBy(*panel.keys)
-            .agg(F.max_by(F.struct(*rest), F.col(panel.pos)).alias("__r"))
-            .select(*panel.keys, *[F.col("__r")[c].alias(c) for c in rest]))
+    last = latest_record(bars.where(F.col("date") < cut), panel.keys, panel.pos)
     return bars.where(F.col("date") >= cut).unionByName(last)
 
 

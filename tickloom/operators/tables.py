@@ -54,12 +54,15 @@ def append(current: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def _versions(current: DataFrame, incoming: DataFrame, order: str | None) -> DataFrame:
-    rank = F.struct(F.lit(1).alias("s"), (F.col(order) if order else F.lit(0)).cast("string").alias("o"))
-    if order:
-        rank = F.struct(F.lit(1).alias("s"), F.col(order).alias("o"))
-    nothing = F.lit(None).cast(incoming.select(rank).schema[0].dataType["o"].dataType)
-    old = current.withColumn("__rank", F.struct(F.lit(0).alias("s"), nothing.alias("o")))
-    return old.unionByName(incoming.withColumn("__rank", rank), allowMissingColumns=True)
+    """Both sides with ``__side`` (0 current, 1 incoming) and ``__rank``, which grows with recency."""
+    if order is None:
+        ranks = F.lit(0), F.lit(1)
+    else:
+        later = F.struct(F.lit(1).alias("s"), F.col(order).alias("o"))
+        kind = incoming.schema[order].dataType
+        ranks = F.struct(F.lit(0).alias("s"), F.lit(None).cast(kind).alias("o")), later
+    old = current.withColumns({"__side": F.lit(0), "__rank": ranks[0]})
+    return old.unionByName(incoming.withColumns({"__side": F.lit(1), "__rank": ranks[1]}), allowMissingColumns=True)
 
 
 def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
@@ -71,16 +74,12 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str], order:
     keys = list(keys)
     rows = _versions(current, incoming, order)
     newest = F.col("__rank")
-    from_current = F.when(F.col("__rank.s") == 0, F.col("__rank"))
-    columns = [c for c in rows.columns if c not in (*keys, "__rank")]
+    from_current = F.when(F.col("__side") == 0, F.col("__rank"))
+    columns = [c for c in rows.columns if c not in (*keys, "__rank", "__side")]
     shared = [c for c in columns if c in incoming.columns]
     kept = [c for c in columns if c not in shared]
-    aggs = [F.max_by(F.struct(*shared), newest).alias("__new")]
-    if kept:
-        aggs.append(F.max_by(F.struct(*kept), from_current).alias("__old"))
-    merged = rows.groupBy(*keys).agg(*aggs)
-    return merged.select(*keys, *[F.col("__new")[c].alias(c) for c in shared],
-                         *[F.col("__old")[c].alias(c) for c in kept])
+    return rows.groupBy(*keys).agg(*[F.max_by(c, newest).alias(c) for c in shared],
+                                   *[F.max_by(c, from_current).alias(c) for c in kept])
 
 
 def upsert_report(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

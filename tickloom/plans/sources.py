@@ -123,8 +123,7 @@ def s9(spark, sf):
 @query("s10_latest_record", f"""WITH {S.TICKS} SELECT ticker, ts, event_id, price, size FROM ticks
  QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY ts DESC, event_id DESC) = 1""")
 def s10(spark, sf):
-    ticks = X.ticks(spark, sf).withColumn("__at", F.struct("ts", "event_id"))
-    return latest_record(ticks, ["ticker"], "__at").drop("__at")
+    return latest_record(X.ticks(spark, sf), ["ticker"], "ts")
 
 
 @query("s11_find_documents", "SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en' AND n_chars > 200 ORDER BY n_chars DESC, doc_id LIMIT 50")

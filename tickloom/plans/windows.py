@@ -132,3 +132,49 @@ def w11(spark, sf):
  SELECT ticker, date, sequence, label FROM s WHERE n = 10 AND label IS NOT NULL""")
 def w12(spark, sf):
     return sequences(X.bars(spark, sf), ["close", "volume"], "close", 10, 1).select(*BASE, "sequence", "label")
+
+
+_TICK_ORDER = "PARTITION BY ticker ORDER BY ts, event_id"
+_LAST_50 = f"({_TICK_ORDER} ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)"
+
+
+@query("w4_rolling_ticks", f"""WITH {S.TICKS}, r AS (SELECT ticker, event_id, CASE WHEN count(price) OVER {_LAST_50} >= 50 THEN avg(price) OVER {_LAST_50} END AS mean_50,
+ CASE WHEN count(price) OVER {_LAST_50} >= 50 THEN stddev_samp(price) OVER {_LAST_50} END AS std_50, price / nullif(lag(price) OVER ({_TICK_ORDER}), 0) - 1 AS change FROM ticks)
+ SELECT ticker, event_id, {sql_rounded(6, 'mean_50', 'std_50')}, {sql_rounded(8, 'change')} FROM r""")
+def w4_ticks(spark, sf):
+    price = F.col("price")
+    df = P.windowed(X.ticks_panel(spark, sf), X.TICKS, [
+        lambda w: [P.rolling(F.avg("price"), "price", 50, w).alias("mean_50"),
+                   P.rolling(F.stddev_samp("price"), "price", 50, w).alias("std_50"), F.lag("price", 1).over(w).alias("__prev")],
+        lambda w: [P.pct_change(price, F.col("__prev")).alias("change")]], before=49)
+    return df.select("ticker", "event_id", *rounded(6, "mean_50", "std_50"), *rounded(8, "change"))
+
+
+_SO_FAR = f"({_TICK_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+@query("w8_running_ticks", f"""WITH {S.TICKS} SELECT ticker, event_id, CAST(sum(size) OVER {_SO_FAR} AS BIGINT) AS volume, max(price) OVER {_SO_FAR} AS peak,
+ round(sum(CAST(price * 100 AS BIGINT) * size) OVER {_SO_FAR} / 100.0::DOUBLE / nullif(sum(size) OVER {_SO_FAR}, 0), 6) AS vwap FROM ticks""")
+def w8_ticks(spark, sf):
+    cents = (F.col("price") * 100).cast("decimal(20,0)").cast("long")
+    df = P.running(X.ticks_panel(spark, sf), X.TICKS, {
+        "volume": P.Run("sum", F.col("size")), "peak": P.Run("max", F.col("price")), "__value": P.Run("sum", cents * F.col("size"))})
+    vwap = F.try_divide(F.col("__value") / 100, F.col("volume"))
+    return df.select("ticker", "event_id", "volume", "peak", F.round(vwap, 6).alias("vwap"))
+
+
+_TICK_LIST = f"list(price) OVER {_SO_FAR}"
+
+
+@query("w9_ewm_ticks", f"""WITH {S.TICKS}, e AS (SELECT ticker, event_id, list_reduce({_TICK_LIST}, lambda a, b: a * (1 - 2.0::DOUBLE/27) + b * (2.0::DOUBLE/27)) AS ewm_26 FROM ticks)
+ SELECT ticker, event_id, {sql_rounded(6, 'ewm_26')} FROM e""")
+def w9_ticks(spark, sf):
+    df = P.ewm(X.ticks_panel(spark, sf), X.TICKS, [P.Ewm("ewm_26", F.col("price"), P.span_alpha(26))])
+    return df.select("ticker", "event_id", *rounded(6, "ewm_26"))
+
+
+@query("p7_forward_fill_ticks", f"""WITH {S.TICKS}, h AS (SELECT ticker, ts, event_id, CASE WHEN event_id % 4 = 0 THEN price END AS price FROM ticks)
+ SELECT ticker, event_id, last_value(price IGNORE NULLS) OVER {_SO_FAR} AS price FROM h""")
+def p7_ticks(spark, sf):
+    holes = X.ticks(spark, sf).withColumn("price", F.when(F.col("event_id") % 4 == 0, F.col("price")))
+    return P.forward_fill(holes, X.TICKS, ["price"]).select("ticker", "event_id", "price")

@@ -62,6 +62,15 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_of(table(spark, sf_dir, "events"))
 
 
+TICKS = P.Panel(order=("ts", "event_id"))
+
+
+def ticks_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored ticks with their positions: a panel that grows with the data in every ticker."""
+    return publish_once(spark, sf_dir, "ticks", lambda: P.number_rows(
+        publish(ticks(spark, sf_dir), "ticks-raw"), TICKS))
+
+
 def bars_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.dayofyear("date") % 7 != 0
     return bars(spark, sf_dir).withColumns(

@@ -14,15 +14,15 @@ def tick_bars(ticks: DataFrame, width: str = "1 hour", delay: str = TICK_DELAY,
     """OHLCV per ticker and tumbling window; the same plan for a stream and for a table.
 
     Every aggregate combines partially before the shuffle, so a hot ticker sends one row per
-    task and window.
+    task and window. ``seq`` is a number that grows with time within a ticker; open and close
+    follow it, since a single fixed-width order keeps the aggregate on hashing.
     """
     source = ticks.withColumn(time, F.col(time).cast("timestamp"))
     if source.isStreaming:
         source = source.withWatermark(time, delay)
-    order = F.struct(time, seq)
     bars = source.groupBy("ticker", F.window(time, width)).agg(
-        F.min_by(price, order).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"),
-        F.max_by(price, order).alias("close"), F.sum(size).alias("volume"), F.count(F.lit(1)).alias("n_ticks"))
+        F.min_by(price, seq).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"),
+        F.max_by(price, seq).alias("close"), F.sum(size).alias("volume"), F.count(F.lit(1)).alias("n_ticks"))
     return bars.select("ticker", F.col("window.start").alias("bar_start"), F.col("window.end").alias("bar_end"),
                        "open", "high", "low", "close", "volume", "n_ticks")
 
