@@ -191,7 +191,7 @@ def m13_gram(spark, sf):
 
 
 @query("m13_ar1", f"""WITH {S.BARS}, g AS (SELECT ticker, close AS w, lag(close) OVER {S.W} AS x FROM bars)
- SELECT ticker, regr_count(w, x) AS n, round(regr_intercept(w, x), 3) AS intercept, round(regr_slope(w, x), 8) AS slope FROM g GROUP BY ticker""")
+ SELECT ticker, CAST(regr_count(w, x) AS BIGINT) AS n, round(regr_intercept(w, x), 3) AS intercept, round(regr_slope(w, x), 8) AS slope FROM g GROUP BY ticker""")
 def m13_ar1(spark, sf):
     fit = C.fit_arima(X.bars(spark, sf), "close", 1, 0, 0)
     return fit.select("ticker", "n", *rounded(3, "intercept"), F.round(F.col("ar")[0], 8).alias("slope"))
@@ -250,7 +250,7 @@ def m14_ar(spark, sf):
 
 
 @query("m15_dickey_fuller", f"""WITH {S.BARS}, g AS (SELECT ticker, close - lag(close) OVER {S.W} AS w, lag(close) OVER {S.W} AS x FROM bars),
- r AS (SELECT ticker, regr_count(w, x) AS n, regr_slope(w, x) AS b, regr_syy(w, x) * (1 - regr_r2(w, x)) AS rss, regr_sxx(w, x) AS sxx FROM g GROUP BY ticker)
+ r AS (SELECT ticker, CAST(regr_count(w, x) AS BIGINT) AS n, regr_slope(w, x) AS b, regr_syy(w, x) * (1 - regr_r2(w, x)) AS rss, regr_sxx(w, x) AS sxx FROM g GROUP BY ticker)
  SELECT ticker, n, round(b / sqrt(rss / (n - 2) / sxx), 6) AS adf_statistic, b / sqrt(rss / (n - 2) / sxx) < -2.86 AS is_stationary FROM r""")
 def m15_simple(spark, sf):
     return C.stationarity(X.bars(spark, sf), lags=0).select("ticker", "n", *rounded(6, "adf_statistic"), "is_stationary")
@@ -293,7 +293,7 @@ def f13(spark, sf):
 
 
 @query("f14_assembled_features", f"""WITH {S.BARS}, t AS (SELECT *, lead(close) OVER {S.W} AS nxt FROM bars)
- SELECT ticker, date, [open, high, low, close, volume::DOUBLE] AS features, CASE WHEN nxt > close THEN 1 ELSE 0 END AS label FROM t""")
+ SELECT ticker, date, CAST(to_json([open, high, low, close, volume::DOUBLE]) AS VARCHAR) AS features, CASE WHEN nxt > close THEN 1 ELSE 0 END AS label FROM t""")
 def f14(spark, sf):
     df = E.step_targets(X.bars(spark, sf), 5)
-    return M.training_frame(df).select(*BASE, vector_to_array("features").alias("features"), "label")
+    return M.training_frame(df).select(*BASE, F.to_json(vector_to_array("features")).alias("features"), "label")

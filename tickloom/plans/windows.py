@@ -129,9 +129,9 @@ def w11(spark, sf):
 
 @query("w12_sequences", f"""WITH {S.BARS}, s AS (SELECT ticker, date, list([close, volume::DOUBLE]) OVER {S.frame(10)} AS sequence,
  lead(close, 1) OVER {S.W} AS label, count(*) OVER {S.frame(10)} AS n FROM bars)
- SELECT ticker, date, sequence, label FROM s WHERE n = 10 AND label IS NOT NULL""")
+ SELECT ticker, date, CAST(to_json(sequence) AS VARCHAR) AS sequence, label FROM s WHERE n = 10 AND label IS NOT NULL""")
 def w12(spark, sf):
-    return sequences(X.bars(spark, sf), ["close", "volume"], "close", 10, 1).select(*BASE, "sequence", "label")
+    return sequences(X.bars(spark, sf), ["close", "volume"], "close", 10, 1).select(*BASE, F.to_json("sequence").alias("sequence"), "label")
 
 
 _TICK_ORDER = "PARTITION BY ticker ORDER BY ts, event_id"
