@@ -135,6 +135,16 @@ def test_empty_input(spark):
     assert P.fill_all(empty, SMALL, ["close"]).count() == 0
 
 
+def test_bucket_width_follows_the_densest_key(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 4 == 0, "S").otherwise("D").alias("ticker"), F.timestamp_seconds("id").alias("t"))
+    panel = P.Panel(order=("t",))
+    width = P.bucket_seconds(df, panel, rows=30)
+    assert width == pytest.approx(40, rel=0.01)
+    out = P.number_rows(df, panel, P.time_bucket(df, "t", width))
+    last = {r["ticker"]: (r["n"], r["p"]) for r in out.groupBy("ticker").agg(F.count("*").alias("n"), F.max("pos").alias("p")).collect()}
+    assert last == {"S": (1000, 999), "D": (3000, 2999)}
+
+
 def test_position_by_timestamp_and_tie_break(spark):
     rows = [("A", f"2024-01-01 00:0{i // 2}:00", i) for i in range(10)]
     df = spark.createDataFrame(rows, "ticker string, t string, seq int").select("ticker", F.to_timestamp("t").alias("t"), "seq")

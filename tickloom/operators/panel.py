@@ -44,16 +44,28 @@ class Panel:
 BARS = Panel()
 
 
-def time_bucket(df: DataFrame, column: str, seconds: int = 60) -> Column:
+def time_bucket(df: DataFrame, column: str, seconds: float = 900) -> Column:
     """A time bucket: 256 days for a date, ``seconds`` for a timestamp, else 4096 units."""
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.DateType):
         return F.floor(F.unix_date(column) / 256)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / seconds)
+        return F.floor(F.unix_micros(F.col(column).cast("timestamp")) / (seconds * 1e6))
     return F.floor(F.col(column) / 4096)
 
 
+def bucket_seconds(df: DataFrame, panel: Panel, rows: int = 200_000) -> float:
+    """A width at which the densest key has about ``rows`` rows per bucket.
+
+    One aggregate over keys and times that returns a single number, for use when a panel of
+    timestamps is stored.
+    """
+    at = F.unix_micros(F.col(panel.order[0]).cast("timestamp"))
+    spans = df.groupBy(*panel.keys).agg(F.count(F.lit(1)).alias("n"), (F.max(at) - F.min(at) + 1).alias("us"))
+    width = spans.agg(F.min(F.col("us") * rows / F.col("n"))).first()[0]
+    return max(width or 1.0, 1.0) / 1e6
+
+
 _BUCKETS_PER_GROUP = 512
 
 

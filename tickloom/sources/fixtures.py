@@ -67,8 +67,11 @@ TICKS = P.Panel(order=("ts", "event_id"))
 
 def ticks_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored ticks with their positions: a panel that grows with the data in every ticker."""
-    return publish_once(spark, sf_dir, "ticks", lambda: P.number_rows(
-        publish(ticks(spark, sf_dir), "ticks-raw"), TICKS))
+    def build() -> DataFrame:
+        raw = publish(ticks(spark, sf_dir), "ticks-raw")
+        return P.number_rows(raw, TICKS, P.time_bucket(raw, "ts", P.bucket_seconds(raw, TICKS)))
+
+    return publish_once(spark, sf_dir, "ticks", build)
 
 
 def bars_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
