@@ -3,7 +3,6 @@ import datetime
 import numpy as np
 import pytest
 from helpers import SMALL, close_to
-from pyspark.sql import functions as F
 
 from tickloom.operators import forecast as C
 from tickloom.operators import panel as P
