@@ -8,6 +8,7 @@ from tickloom.operators import panel as P
 from tickloom.operators import patterns as Q
 from tickloom.plans import sql as S
 from tickloom.plans.registry import query, rounded
+from tickloom.session import spread
 from tickloom.sources import fixtures as X
 from tickloom.sources.catalogue import MACRO_CATALOGUE, indicator_catalogue, keyword_table
 
@@ -111,7 +112,7 @@ def _term_sql():
 
 @query("j9_keyword_tags", _term_sql())
 def j9(spark, sf):
-    return J.tag_keywords(X.table(spark, sf, "documents").select("doc_id", "text"), keyword_table(spark, TERMS))
+    return J.tag_keywords(spread(X.table(spark, sf, "documents").select("doc_id", "text")), keyword_table(spark, TERMS))
 
 
 @query("j10_align_models", f"""WITH {S.PREDS} SELECT ticker, date, actual, max(CASE WHEN model = 'a' THEN predicted END) AS pred_a,

@@ -77,6 +77,14 @@ def m4(spark, sf):
     return V.ranking_metrics(clf).select(*rounded(8, "auc_roc", "auc_pr"), accuracy.scalar().alias("accuracy"))
 
 
+@query("m4_model_metrics")
+def m4_models(spark, sf):
+    """Ranking and classification metrics of a fitted model on the held-out rows."""
+    train, test = parts(spark, sf, "target_direction")
+    scored = M.score(M.pipeline("linear", "classification", FEATURES).fit(train), test, True)
+    return V.ranking_metrics(scored, ["ticker"]).join(V.classification_metrics(scored, ["ticker"]), "ticker")
+
+
 @query("m5_classification_metrics", f"""WITH {S.CLF}, k AS (SELECT DISTINCT label AS c FROM clf UNION SELECT DISTINCT prediction FROM clf),
  s AS (SELECT c, (SELECT count(*) FROM clf WHERE label = c) AS a, (SELECT count(*) FROM clf WHERE prediction = c) AS g,
  (SELECT count(*) FROM clf WHERE label = c AND prediction = c) AS tp FROM k)

@@ -77,3 +77,14 @@ def publish_once(spark: SparkSession, source: str, name: str, build) -> DataFram
     build().write.parquet(path)
     _published[key] = path
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than cores, over all cores; any other scan as it is.
+
+    For work that costs much more per row than moving the row, such as text processing, when
+    a table is small or stored in few row groups. Meant for plain scans, whose partition
+    count is known without running a job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -89,6 +89,12 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, trigger: dict,
             .foreachBatch(save).start())
 
 
+def write_topic(messages: DataFrame, topic: str, servers: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Send (key, value) messages to a Kafka topic; needs the connector on the classpath."""
+    return (messages.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
 def drain(stream: DataFrame, name: str, mode: str = "append",
           transform: Callable[[DataFrame], DataFrame] | None = None, batches: bool = False) -> DataFrame:
     """Process everything available and return the written table."""
