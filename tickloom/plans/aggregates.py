@@ -28,44 +28,39 @@ def a2(spark, sf):
                      *rounded(8, "subjectivity_mean", "subjectivity_std"))
 
 
-@query("a3_time_buckets", f"""WITH {S.TICKS}, f AS (SELECT * FROM ticks WHERE hour(ts) % 3 <> 1),
- b AS (SELECT ticker, date_trunc('hour', ts) AS bucket, avg(price) AS m, count(price) AS n FROM f GROUP BY 1, 2),
- s AS (SELECT ticker, unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 HOUR)) AS bucket FROM b GROUP BY ticker)
+@query("a3_time_buckets", f"""WITH {S.TICKS},
+ b AS (SELECT ticker, time_bucket(INTERVAL 10 MINUTE, ts) AS bucket, avg(price) AS m, count(price) AS n FROM ticks GROUP BY 1, 2),
+ s AS (SELECT ticker, unnest(generate_series(min(bucket), max(bucket), INTERVAL 10 MINUTE)) AS bucket FROM b GROUP BY ticker)
  SELECT ticker, bucket, round(m, 6) AS mean_value, coalesce(n, 0) AS n FROM s LEFT JOIN b USING (ticker, bucket)""")
 def a3(spark, sf):
-    ticks = X.ticks(spark, sf).where(F.hour("ts") % 3 != 1)
-    return A.time_buckets(ticks, "ts", "price", "1 hour").select("ticker", "bucket", *rounded(6, "mean_value"), "n")
+    return A.time_buckets(X.ticks(spark, sf), "ts", "price", "10 minutes").select("ticker", "bucket", *rounded(6, "mean_value"), "n")
 
 
 _AGG = """arg_min(open, date) AS open, max(high) AS high, min(low) AS low, arg_max(close, date) AS close, CAST(sum(volume) AS BIGINT) AS volume"""
 
 
 def _resampled(label, spine):
-    return f"""WITH {S.BARS}, thin AS (SELECT * FROM bars WHERE month(date) % 4 <> 2),
- r AS (SELECT ticker, {label} AS period_end, {_AGG} FROM thin GROUP BY 1, 2), s AS ({spine})
+    return f"""WITH {S.BARS},
+ r AS (SELECT ticker, {label} AS period_end, {_AGG} FROM bars GROUP BY 1, 2), s AS ({spine})
  SELECT ticker, period_end, open, high, low, close, coalesce(volume, 0) AS volume FROM s LEFT JOIN r USING (ticker, period_end)"""
 
 
-def _thin(spark, sf):
-    return X.bars(spark, sf).where(F.month("date") % 4 != 2)
-
-
 @query("a4_resample_week", _resampled("CAST(CAST(date_trunc('week', date) AS DATE) + 6 AS DATE)", """SELECT ticker, CAST(unnest(generate_series(min(period_end), max(period_end), INTERVAL 7 DAY)) AS DATE) AS period_end
  FROM r GROUP BY ticker"""))
 def a4_week(spark, sf):
-    return A.resample(_thin(spark, sf), "W")
+    return A.resample(X.bars(spark, sf), "W")
 
 
 @query("a4_resample_month", _resampled("last_day(date)", """SELECT ticker, last_day(CAST(unnest(generate_series(date_trunc('month', min(period_end)), date_trunc('month', max(period_end)), INTERVAL 1 MONTH)) AS DATE)) AS period_end
  FROM r GROUP BY ticker"""))
 def a4_month(spark, sf):
-    return A.resample(_thin(spark, sf), "M")
+    return A.resample(X.bars(spark, sf), "M")
 
 
 @query("a4_resample_day", _resampled("date", """SELECT ticker, CAST(unnest(generate_series(min(period_end), max(period_end), INTERVAL 1 DAY)) AS DATE) AS period_end
  FROM r GROUP BY ticker"""))
 def a4_day(spark, sf):
-    return A.resample(_thin(spark, sf), "D")
+    return A.resample(X.bars(spark, sf), "D")
 
 
 @query("a4_resample_custom", f"""WITH {S.BARS} SELECT ticker, CAST(CAST(date_trunc('week', date) AS DATE) + 6 AS DATE) AS period_end, round(avg(close), 4) AS mean_close,

@@ -11,6 +11,7 @@ from tickloom.plans.registry import query, rounded
 from tickloom.session import spread
 from tickloom.sources import fixtures as X
 from tickloom.sources.catalogue import MACRO_CATALOGUE, indicator_catalogue, keyword_table
+from tickloom.streaming.aggregates import tick_bars
 
 BASE = ("ticker", "date")
 DAILY = "daily AS (SELECT ticker, date, avg(polarity) AS avg_polarity, avg(subjectivity) AS avg_subjectivity FROM sentiment GROUP BY 1, 2)"
@@ -74,12 +75,13 @@ def j6(spark, sf):
         *BASE, "close", *[f"macro_{i}" for i in X.MACRO_IDS])
 
 
-@query("j6_as_of_ticks", f"""WITH {S.TICKS}, q AS (SELECT ticker, ts, max(price) AS price FROM ticks WHERE event_id % 5 = 0 GROUP BY 1, 2)
- SELECT t.ticker, t.ts, t.event_id, t.price, q.price AS quote FROM ticks t ASOF LEFT JOIN q ON t.ticker = q.ticker AND t.ts >= q.ts""")
+@query("j6_as_of_ticks", f"""WITH {S.TICKS}, q AS (SELECT ticker, date_trunc('hour', ts) + INTERVAL 1 HOUR AS ts, arg_max(price, event_id) AS price FROM ticks GROUP BY 1, 2)
+ SELECT t.ticker, t.ts, t.event_id, t.price, q.price AS hour_close FROM ticks t ASOF LEFT JOIN q ON t.ticker = q.ticker AND t.ts >= q.ts""")
 def j6_ticks(spark, sf):
-    ticks = X.ticks(spark, sf)
-    quotes = (ticks.where(F.col("event_id") % 5 == 0).groupBy("ticker", "ts").agg(F.max("price").alias("quote")))
-    return J.as_of_join(ticks.select("ticker", "ts", "event_id", "price"), quotes, ["ticker"], "ts", ["quote"])
+    """Each tick with the close of the last hourly bar that was complete."""
+    ticks = X.ticks(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    closes = tick_bars(ticks, "1 hour").select("ticker", F.col("bar_end").alias("ts"), F.col("close").alias("hour_close"))
+    return J.as_of_join(ticks.select("ticker", "ts", "event_id", "price"), closes, ["ticker"], "ts", ["hour_close"])
 
 
 @query("j7_hold_out")

@@ -19,10 +19,10 @@ def p1(spark, sf):
     return R.standardise_ohlcv(raw)
 
 
-@query("p2_coerce_numbers", """SELECT event_id, TRY_CAST(CASE WHEN event_id % 7 = 0 THEN '.' WHEN event_id % 11 = 0 THEN 'n/a'
+@query("p2_coerce_numbers", """SELECT event_id, TRY_CAST(CASE WHEN value < 5 THEN '.' WHEN value > 100 THEN 'n/a'
  ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS value FROM events""")
 def p2(spark, sf):
-    text = (F.when(F.col("event_id") % 7 == 0, ".").when(F.col("event_id") % 11 == 0, "n/a")
+    text = (F.when(F.col("value") < 5, ".").when(F.col("value") > 100, "n/a")
             .otherwise(F.col("value").cast("string")))
     return X.table(spark, sf, "events").select("event_id", R.to_number(text).alias("value"))
 

@@ -89,8 +89,8 @@ def s6(spark, sf):
     iso = F.date_format(F.timestamp_seconds(epoch), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     article = F.struct(
         F.concat(F.lit("Item "), d).alias("title"), F.col("lang").alias("description"), F.col("text").alias("content"),
-        F.concat(F.lit("http://news.example/"), d).alias("url"), F.when(d % 2 == 0, iso).alias("publishedAt"),
-        F.when(d % 2 == 1, epoch).alias("epoch"), F.struct(F.col("source").alias("name")).alias("source"))
+        F.concat(F.lit("http://news.example/"), d).alias("url"), F.when(F.col("lang") == "en", iso).alias("publishedAt"),
+        F.when(F.col("lang") != "en", epoch).alias("epoch"), F.struct(F.col("source").alias("name")).alias("source"))
     payloads = X.table(spark, sf, "documents").select("doc_id", F.to_json(F.array(article)).alias("payload"))
     return G.flatten_articles(payloads, ["doc_id"])
 
@@ -111,12 +111,12 @@ def s8(spark, sf):
     return G.page_text(X.table(spark, sf, "pages"))
 
 
-@query("s9_snapshots", f"""WITH {S.BARS} SELECT ticker, date, close, CASE WHEN year(date) % 2 = 0 THEN volume END AS volume FROM bars""")
+@query("s9_snapshots", f"""WITH {S.BARS} SELECT ticker, date, close, CASE WHEN date < DATE '1998-01-01' THEN volume END AS volume FROM bars""")
 def s9(spark, sf):
     root = fresh(spark, "s9-snapshots")
     bars = X.bars(spark, sf)
-    K.save(bars.where(F.year("date") % 2 == 0).select(*BASE, "close", "volume"), f"{root}/realtime_a")
-    K.save(bars.where(F.year("date") % 2 == 1).select(*BASE, "close"), f"{root}/realtime_b")
+    K.save(bars.where("date < '1998-01-01'").select(*BASE, "close", "volume"), f"{root}/realtime_a")
+    K.save(bars.where("date >= '1998-01-01'").select(*BASE, "close"), f"{root}/realtime_b")
     return G.read_snapshots(spark, f"{root}/realtime_*").select(*BASE, "close", "volume")
 
 

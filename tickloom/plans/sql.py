@@ -18,13 +18,13 @@ BARS_LI = """bars_li AS (
   FROM lineitem GROUP BY 1, 2)"""
 
 BARS_GAPPY = BARS + """, bars_gappy AS (
-  SELECT ticker, date, open, high, low, CASE WHEN dayofyear(date) % 7 <> 0 THEN close END AS close,
-         CASE WHEN dayofyear(date) % 7 <> 0 THEN volume END AS volume
+  SELECT ticker, date, open, high, low, CASE WHEN isodow(date) < 6 THEN close END AS close,
+         CASE WHEN isodow(date) < 6 THEN volume END AS volume
   FROM bars)"""
 
 BARS_B = BARS + """, bars_b AS (
   SELECT ticker, date, close * (1 + (day(date) - 15) / 1000.0::DOUBLE) AS close
-  FROM bars WHERE dayofyear(date) % 3 <> 0)"""
+  FROM bars WHERE isodow(date) < 6)"""
 
 TICKS = """ticks AS (
   SELECT event_type AS ticker, ts, event_id, value AS price,

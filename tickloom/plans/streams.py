@@ -20,19 +20,21 @@ def table_stream(spark, sf, name):
 
 
 def event_messages(spark, sf):
-    """Events as JSON messages on three topics; some lack the key, some the time, some are not JSON."""
-    e, n = table_stream(spark, sf, "events"), F.col("event_id")
-    ticker = F.when(n % 50 != 0, F.col("event_type"))
-    at = F.when(n % 7 != 0, F.col("ts"))
-    topic = (F.when(n % 10 < 7, R.STOCK_TOPIC).when(n % 10 < 9, R.SENTIMENT_TOPIC).otherwise(R.MACRO_TOPIC))
-    stock = F.struct(ticker.alias("ticker"), F.col("value").alias("price"), at.alias("timestamp"), n)
-    other = F.struct(ticker.alias("ticker"), (F.col("value") / 100).alias("score"), at.alias("timestamp"), n)
-    macro = F.struct(ticker.alias("series_id"), F.to_date("ts").alias("date"), F.col("value"), n)
-    value = (F.when(n % 10 < 7, F.to_json(stock)).when(n % 10 < 9, F.to_json(other)).otherwise(F.to_json(macro)))
-    return e.select(topic.alias("topic"), F.when(n % 33 == 0, F.substring(value, 1, 12)).otherwise(value).alias("value"))
+    """Every event as one JSON message on each topic; some lack the key or the time, some are not JSON."""
+    e = X.ticks_of(table_stream(spark, sf, "events"))
+    ticker, price = F.when(F.col("price") >= 1, F.col("ticker")), F.col("price")
+    at, n = F.when(F.col("size") < 90, F.col("ts")).alias("timestamp"), F.col("event_id")
+    bodies = {R.STOCK_TOPIC: F.struct(ticker.alias("ticker"), price, at, n),
+              R.SENTIMENT_TOPIC: F.struct(ticker.alias("ticker"), (price / 100).alias("score"), at, n),
+              R.MACRO_TOPIC: F.struct(ticker.alias("series_id"), F.to_date("ts").alias("date"), price.alias("value"), n)}
+    broken = F.when(F.col("size") == 13, "{oops ").otherwise("")
+    messages = F.array(*[F.struct(F.lit(topic).alias("topic"), F.concat(broken, F.to_json(body)).alias("value"))
+                         for topic, body in bodies.items()])
+    return e.select(F.inline(messages))
 
 
-KEPT = "event_id % 50 <> 0 AND event_id % 33 <> 0"
+SIZED = "e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS size FROM events)"
+KEPT = f"WITH {SIZED}, kept AS (SELECT * FROM e WHERE value >= 1 AND size <> 13)"
 
 
 @query("s13_stream_source", "SELECT event_id, ts, user_id, event_type, value FROM events")
@@ -40,32 +42,32 @@ def s13(spark, sf):
     return R.drain(table_stream(spark, sf, "events"), "s13").select("event_id", "ts", "user_id", "event_type", "value")
 
 
-@query("r1_decode_stock", f"SELECT event_id, event_type AS ticker, value AS price FROM events WHERE event_id % 10 < 7 AND {KEPT}")
+@query("r1_decode_stock", f"{KEPT} SELECT event_id, event_type AS ticker, value AS price FROM kept")
 def r1(spark, sf):
     rows = R.decode(event_messages(spark, sf), R.STOCK_TOPIC, R.STOCK_MESSAGE + ", event_id bigint")
     return R.drain(rows, "r1").select("event_id", "ticker", "price")
 
 
-@query("r1_decode_macro", f"SELECT event_id, event_type AS series_id, CAST(ts AS DATE) AS date, value FROM events WHERE event_id % 10 = 9 AND {KEPT}")
+@query("r1_decode_macro", f"{KEPT} SELECT event_id, event_type AS series_id, CAST(ts AS DATE) AS date, value FROM kept")
 def r1_macro(spark, sf):
     rows = R.decode(event_messages(spark, sf), R.MACRO_TOPIC, R.MACRO_MESSAGE + ", event_id bigint", "series_id")
     return R.drain(rows, "r1m").select("event_id", "series_id", "date", "value")
 
 
-@query("r1_dropped_messages", "SELECT count(*) AS n_dropped FROM events WHERE event_id % 10 < 7 AND (event_id % 50 = 0 OR event_id % 33 = 0)")
+@query("r1_dropped_messages", f"WITH {SIZED} SELECT count(*) AS n_dropped FROM e WHERE value < 1 OR size = 13")
 def r1_dropped(spark, sf):
     rows = R.corrupt(event_messages(spark, sf), R.STOCK_TOPIC, R.STOCK_MESSAGE + ", event_id bigint")
     return R.drain(rows, "r1d").agg(F.count(F.lit(1)).alias("n_dropped"))
 
 
-@query("r2_arrival_stamp", f"""SELECT event_id, true AS has_time, event_id % 7 = 0 AS stamped_on_arrival FROM events WHERE event_id % 10 < 7 AND {KEPT}""")
+@query("r2_arrival_stamp", f"{KEPT} SELECT event_id, true AS has_time, size >= 90 AS stamped_on_arrival FROM kept")
 def r2(spark, sf):
     rows = R.decode(event_messages(spark, sf), R.STOCK_TOPIC, R.STOCK_MESSAGE + ", event_id bigint")
     marked = R.stamped(rows.withColumn("stamped_on_arrival", F.col("timestamp").isNull()))
     return R.drain(marked, "r2").select("event_id", F.col("timestamp").isNotNull().alias("has_time"), "stamped_on_arrival")
 
 
-@query("r3_last_rows", f"""SELECT event_type AS ticker, event_id, value AS price FROM events WHERE event_id % 10 < 7 AND {KEPT}
+@query("r3_last_rows", f"""{KEPT} SELECT event_type AS ticker, event_id, value AS price FROM kept
  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) <= 200""")
 def r3(spark, sf):
     rows = R.decode(event_messages(spark, sf), R.STOCK_TOPIC, "ticker string, price double, event_id bigint")
@@ -73,7 +75,7 @@ def r3(spark, sf):
         "ticker", "event_id", "price")
 
 
-@query("r3_last_records", f"""SELECT event_type AS ticker, event_id, round(value / 100, 6) AS score FROM events WHERE event_id % 10 IN (7, 8) AND {KEPT}
+@query("r3_last_records", f"""{KEPT} SELECT event_type AS ticker, event_id, round(value / 100, 6) AS score FROM kept
  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) <= 1000""")
 def r3_records(spark, sf):
     rows = R.decode(event_messages(spark, sf), R.SENTIMENT_TOPIC, "ticker string, score double, event_id bigint")

@@ -98,8 +98,8 @@ def k6_report(spark, sf):
  SELECT user_id, event_id, value FROM f QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")
 def k6_last(spark, sf):
     events = X.table(spark, sf, "events").select("user_id", "event_id", "value")
-    return K.upsert(events.where("event_id % 2 = 0").groupBy("user_id").agg(
-        F.max("event_id").alias("event_id"), F.max_by("value", "event_id").alias("value")), events, ["user_id"], "event_id")
+    first = events.groupBy("user_id").agg(F.min("event_id").alias("event_id"), F.min_by("value", "event_id").alias("value"))
+    return K.upsert(first, events, ["user_id"], "event_id")
 
 
 @query("k7_update_where", f"""WITH {S.BARS} SELECT ticker, date, CASE WHEN volume < 2 THEN 0 ELSE close END AS close, volume FROM bars

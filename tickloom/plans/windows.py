@@ -173,8 +173,8 @@ def w9_ticks(spark, sf):
     return df.select("ticker", "event_id", *rounded(6, "ewm_26"))
 
 
-@query("p7_forward_fill_ticks", f"""WITH {S.TICKS}, h AS (SELECT ticker, ts, event_id, CASE WHEN event_id % 4 = 0 THEN price END AS price FROM ticks)
+@query("p7_forward_fill_ticks", f"""WITH {S.TICKS}, h AS (SELECT ticker, ts, event_id, CASE WHEN size > 75 THEN price END AS price FROM ticks)
  SELECT ticker, event_id, last_value(price IGNORE NULLS) OVER {_SO_FAR} AS price FROM h""")
 def p7_ticks(spark, sf):
-    holes = X.ticks(spark, sf).withColumn("price", F.when(F.col("event_id") % 4 == 0, F.col("price")))
+    holes = X.ticks(spark, sf).withColumn("price", F.when(F.col("size") > 75, F.col("price")))
     return P.forward_fill(holes, X.TICKS, ["price"]).select("ticker", "event_id", "price")

@@ -81,10 +81,20 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str, trigger: dict, m
 
 def write_batches(stream: DataFrame, path: str, checkpoint: str, trigger: dict, mode: str = "append",
                   transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """One folder per batch, overwritten when a batch is replayed, so results are exactly once."""
+    """One folder per batch, overwritten when a batch is replayed, so results are exactly once.
+
+    A transform may read its batch several times, so the batch is kept for as long as it runs.
+    """
     def save(batch: DataFrame, batch_id: int) -> None:
-        out = batch if transform is None else transform(batch)
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        target = f"{path}/batch_id={batch_id}"
+        if transform is None:
+            batch.write.mode("overwrite").parquet(target)
+            return
+        kept = batch.persist()
+        try:
+            transform(kept).write.mode("overwrite").parquet(target)
+        finally:
+            kept.unpersist()
     return (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**trigger)
             .foreachBatch(save).start())
 
