@@ -139,15 +139,14 @@ _LAST_50 = f"({_TICK_ORDER} ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)"
 
 
 @query("w4_rolling_ticks", f"""WITH {S.TICKS}, r AS (SELECT ticker, event_id, CASE WHEN count(price) OVER {_LAST_50} >= 50 THEN avg(price) OVER {_LAST_50} END AS mean_50,
- CASE WHEN count(price) OVER {_LAST_50} >= 50 THEN stddev_samp(price) OVER {_LAST_50} END AS std_50, price / nullif(lag(price) OVER ({_TICK_ORDER}), 0) - 1 AS change FROM ticks)
- SELECT ticker, event_id, {sql_rounded(6, 'mean_50', 'std_50')}, {sql_rounded(8, 'change')} FROM r""")
+ CASE WHEN count(price) OVER {_LAST_50} >= 50 THEN stddev_samp(price) OVER {_LAST_50} END AS std_50, lag(price) OVER ({_TICK_ORDER}) AS prev_price FROM ticks)
+ SELECT ticker, event_id, {sql_rounded(6, 'mean_50', 'std_50')}, prev_price FROM r""")
 def w4_ticks(spark, sf):
-    price = F.col("price")
     df = P.windowed(X.ticks_panel(spark, sf), X.TICKS, [
         lambda w: [P.rolling(F.avg("price"), "price", 50, w).alias("mean_50"),
-                   P.rolling(F.stddev_samp("price"), "price", 50, w).alias("std_50"), F.lag("price", 1).over(w).alias("__prev")],
-        lambda w: [P.pct_change(price, F.col("__prev")).alias("change")]], before=49)
-    return df.select("ticker", "event_id", *rounded(6, "mean_50", "std_50"), *rounded(8, "change"))
+                   P.rolling(F.stddev_samp("price"), "price", 50, w).alias("std_50"),
+                   F.lag("price", 1).over(w).alias("prev_price")]], before=49)
+    return df.select("ticker", "event_id", *rounded(6, "mean_50", "std_50"), "prev_price")
 
 
 _SO_FAR = f"({_TICK_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
