@@ -5,12 +5,13 @@ that Spark knows will do. One row holds whole documents in order: ``docs`` and `
 their ids as little-endian 64-bit words, ``offsets`` the first word of every 1,024 ids, ``escapes`` the ids too large
 for a word. Rows are ordered by (part, block) and hold the number of ids before them within their part.
 
-A word's top four bits select how many ids of how many bits its other 60 bits hold. Selector 15 marks an escape: one
-id of more than 60 bits, stored beside the words.
+A word's top four bits select how many ids of how many bits its other 60 bits hold. Sixty set bits mark an escape: an
+id of that size or more, stored beside the words.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -24,71 +25,74 @@ from tickloom.llm.common import query, table
 from tickloom.session import shared_root
 
 #: Ids per word and their bits, by selector (fixed values of the code); selectors 0 and 1 are runs of zeros.
-PACKED = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30)]
+PACKED = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6),
+          (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
+ESCAPE = (1 << 60) - 1
 SPAN = 1024
-BLOCK_IDS = 1 << 16
+BLOCK_IDS = 1 << 20
 
-BLOCKS = ("part int, block int, before long, docs array<long>, lengths array<int>, words binary, offsets binary, "
-          "escapes binary")
+BLOCKS = ("part int, block int, before long, ids long, docs array<long>, lengths array<long>, words binary, "
+          "offsets binary, escapes binary")
+
+
+def _selectors(bits: np.ndarray) -> np.ndarray:
+    """For every place of every row, the layout of most ids whose width holds them all; rows end in 240 zeros.
+
+    The maximum over n places is that of two overlapping runs of a power of two, and those double from one another.
+    """
+    runs = {1: bits}
+    for n in (2, 4, 8, 16, 32, 64, 128):
+        runs[n] = runs[n // 2].copy()
+        np.maximum(runs[n][:, :-n // 2], runs[n // 2][:, n // 2:], out=runs[n][:, :-n // 2])
+    select = np.full(bits.shape, len(PACKED) - 1, np.uint8)
+    for s in range(len(PACKED) - 2, -1, -1):
+        n, wide = PACKED[s]
+        half = 1 << (n.bit_length() - 1)
+        most = runs[half].copy()
+        if n > half:
+            np.maximum(most[:, :half - n], runs[half][:, n - half:], out=most[:, :half - n])
+        select[most <= wide] = s
+    return select
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words, the first word of every span of 1,024 ids, and the escaped ids.
+    """Words, the first word of every span of 1,024 ids (with their number at the end), and the escaped ids.
 
-    Every span is packed on its own, greedily: each word takes the widest run that fits. Steps run over all spans at
-    once, one word of each per step.
+    Every span is packed on its own, greedily: each word takes the layout of most ids that fits, where places past the
+    end of the span count as zeros. The walk from word to word steps through all spans at once.
     """
     ids = np.asarray(ids, np.uint64)
     spans = -(-len(ids) // SPAN)
     if not spans:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint32), np.zeros(0, np.uint64)
-    ends = np.minimum(np.arange(1, spans + 1) * SPAN, len(ids))
-    # The run of ids from each place on that fit in each selector's bits, by the distance to the next id that does not.
-    room = np.empty((len(PACKED), len(ids)), np.int32)
-    places = np.arange(len(ids))
-    last = np.repeat(ends, np.diff(np.concatenate(([0], ends))))
-    for s, (_, bits) in enumerate(PACKED):
-        if s and PACKED[s - 1][1] == bits:
-            room[s] = room[s - 1]
-            continue
-        wall = np.where(ids >> np.uint64(bits) != 0, places, len(ids)) if bits < 64 else np.full(len(ids), len(ids))
-        wall = np.minimum.accumulate(wall[::-1])[::-1]
-        room[s] = np.minimum(wall, last) - places
-    at = np.concatenate(([0], ends[:-1]))
-    made, owners, escapes, escaped_by = [], [], [], []
-    alive = np.arange(spans)
-    while len(alive):
-        here = at[alive]
-        fits = room[:, here] >= np.array([n for n, _ in PACKED])[:, None]
-        # A short tail is one word of the widest layout that holds all of it; the reader knows how many ids remain.
-        fits |= (room[:, here] == (ends[alive] - here)) & (room[:, here] > 0) & (room[:, here] <= np.array([n for n, _ in PACKED])[:, None])
-        select = np.where(fits.any(axis=0), fits.argmax(axis=0), 15)
-        word = select.astype(np.uint64) << np.uint64(60)
-        took = np.ones(len(alive), np.int64)
-        for s in np.unique(select):
-            chosen = np.flatnonzero(select == s)
-            if s == 15:
-                escapes.append(ids[here[chosen]])
-                escaped_by.append(alive[chosen])
-                continue
-            n, bits = PACKED[s]
-            took[chosen] = np.minimum(n, ends[alive[chosen]] - here[chosen])
-            if bits:
-                lanes = here[chosen][:, None] + np.arange(n)
-                inside = np.arange(n) < took[chosen][:, None]
-                values = np.where(inside, ids[np.minimum(lanes, len(ids) - 1)], np.uint64(0))
-                word[chosen] |= np.bitwise_or.reduce(values << (np.arange(n, dtype=np.uint64) * np.uint64(bits)), axis=1)
-        made.append(word)
-        owners.append(alive)
-        at[alive] += took
-        alive = alive[at[alive] < ends[alive]]
-    owner, words = np.concatenate(owners), np.concatenate(made)
-    order = np.argsort(owner, kind="stable")
-    offsets = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=spans)))).astype(np.uint32)
-    if escapes:
-        by = np.concatenate(escaped_by)
-        escapes = np.concatenate(escapes)[np.argsort(by, kind="stable")]
-    return words[order], offsets, np.asarray(escapes, np.uint64)
+    escaped = ids >= np.uint64(ESCAPE)
+    row = SPAN + 240
+    values = np.zeros((spans, row), np.uint64)
+    flat = np.zeros(spans * SPAN, np.uint64)
+    flat[:len(ids)] = np.where(escaped, np.uint64(ESCAPE), ids)
+    values[:, :SPAN] = flat.reshape(spans, SPAN)
+    bits = np.frexp(values.astype(np.float64))[1].astype(np.uint8)  # rounding up matters to no layout but the last
+    select, values = _selectors(bits).ravel(), values.ravel()
+    step = np.array([n for n, _ in PACKED])[select]
+    at = np.arange(spans) * row
+    ends = at + np.minimum(SPAN, len(ids) - np.arange(spans) * SPAN)
+    heads = []
+    while len(at):
+        heads.append(at)
+        at = at + step[at]
+        alive = at < ends
+        at, ends = at[alive], ends[alive]
+    heads = np.sort(np.concatenate(heads))
+    chosen = select[heads]
+    words = chosen.astype(np.uint64) << np.uint64(60)
+    for s in np.unique(chosen):
+        n, wide = PACKED[s]
+        if wide:
+            rows = np.flatnonzero(chosen == s)
+            for lane in range(n):
+                words[rows] |= values[heads[rows] + lane] << np.uint64(lane * wide)
+    offsets = np.searchsorted(heads, np.arange(spans + 1) * row).astype(np.uint32)
+    return words, offsets, ids[escaped]
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, count: int) -> np.ndarray:
@@ -96,101 +100,206 @@ def decode(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, count: i
     if not count:
         return np.zeros(0, np.uint64)
     select = (words >> np.uint64(60)).astype(np.int64)
-    sizes = np.array([n for n, _ in PACKED] + [1])[select]
+    sizes = np.array([n for n, _ in PACKED])[select]
     # Only the last word of a span can hold fewer ids than its layout has room for.
-    spans = len(offsets) - 1
-    full = np.minimum(np.full(spans, SPAN), count - np.arange(spans) * SPAN)
-    total = np.concatenate(([0], np.cumsum(sizes)))
-    over = total[offsets[1:]] - total[offsets[:-1]] - full
-    sizes[offsets[1:].astype(np.int64) - 1] -= over
+    held = np.concatenate(([0], np.cumsum(sizes)))
+    offsets = offsets.astype(np.int64)
+    span = np.minimum(SPAN, count - np.arange(len(offsets) - 1) * SPAN)
+    sizes[offsets[1:] - 1] -= held[offsets[1:]] - held[offsets[:-1]] - span
     start = np.cumsum(sizes) - sizes
     out = np.zeros(count, np.uint64)
     for s in np.unique(select):
-        chosen = np.flatnonzero(select == s)
-        if s == 15:
-            out[start[chosen]] = escapes
-            continue
-        n, bits = PACKED[s]
-        if not bits:
-            continue
-        lanes = np.arange(n)
-        values = words[chosen][:, None] >> (lanes.astype(np.uint64) * np.uint64(bits)) & np.uint64((1 << bits) - 1)
-        inside = lanes < sizes[chosen][:, None]
-        out[(start[chosen][:, None] + lanes)[inside]] = values[inside]
+        n, wide = PACKED[s]
+        if wide:
+            rows = np.flatnonzero(select == s)
+            for lane in range(n):
+                got = rows[sizes[rows] > lane]
+                out[start[got] + lane] = words[got] >> np.uint64(lane * wide) & np.uint64((1 << wide) - 1)
+    out[out == np.uint64(ESCAPE)] = escapes
     return out
 
 
 class WordCoder:
-    """A tokenizer with a memory of blank-led words.
+    """A byte-level tokenizer with a memory of blank-led words.
 
-    Byte-level pre-tokenizers never join characters across a blank that stands between two words: the blank opens the
-    next piece. A text whose blanks all stand so is cut there, and each different piece is encoded once; any other
-    text is encoded whole. The memory is emptied when it reaches ``most`` pieces, which bounds it.
+    Such a tokenizer never joins characters across a blank that stands between two other characters: the blank opens
+    the next piece. So a text is cut there and each different word is encoded once, many words in one call. A text with
+    any other blank is encoded whole. The memory is emptied when it holds ``most`` words, which bounds it.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose token starts with a blank
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.most = most
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.sizes = np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def learn(self, pieces: list[str]) -> None:
-        for piece, coded in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            ids, number = coded.ids, len(self.known)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            if number == len(self.starts):
-                self.starts, self.sizes = np.tile(self.starts, 2), np.tile(self.sizes, 2)
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.starts[number], self.sizes[number] = self.used, len(ids)
-            self.used += len(ids)
-            self.known[piece] = number
+        self.known: dict[str, int] = {}  # word after a blank: its number, or -1 where a text must not be cut
+        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, words: list[str]) -> None:
+        self.known.update((w, -1) for w in words if not w or w[0].isspace() or w[-1].isspace())
+        words = [w for w in words if w not in self.known]
+        if not words:
+            return
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        starts = np.flatnonzero(self.opens[ids])
+        assert len(starts) == len(words)
+        self.known.update(zip(words, range(len(self.starts), len(self.starts) + len(words))))
+        self.starts = np.concatenate((self.starts, len(self.ids) + starts))
+        self.sizes = np.concatenate((self.sizes, np.diff(np.append(starts, len(ids)))))
+        self.ids = np.concatenate((self.ids, ids))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and each text's number of ids."""
         if len(self.known) > self.most:
             self.clear()
         split = [t.split(" ") for t in texts]
-        whole = [i for i, words in enumerate(split) if not all(w and not w[0].isspace() and not w[-1].isspace() for w in words)]
-        for i in whole:
-            split[i] = []
-        opening = ["\n" + words[0] if words else None for words in split]  # a first word has no blank before it
-        missing = {w for words in split for w in words[1:]}.difference(self.known)
-        first = {w for w in opening if w is not None and w not in self.known}
-        if missing or first:
-            ordered, heads = sorted(missing), sorted(first)
-            self.learn_as([" " + w for w in ordered], ordered)
-            self.learn_as([w[1:] for w in heads], heads)
-        known = self.known
-        numbers = np.fromiter((known[w] for head, words in zip(opening, split) if head is not None for w in (head, *words[1:])),
-                              np.int64, sum(map(len, split)))
-        lengths = np.array([len(words) for words in split], np.int64)
+        bounds = np.concatenate(([0], np.cumsum([len(words) for words in split])))
+        words = [w for text in split for w in text]
+        numbers = list(map(self.known.get, words))
+        missing = {w for w, n in zip(words, numbers) if n is None}
+        if missing:
+            self.learn(list(missing))
+            numbers = list(map(self.known.__getitem__, words))
+        numbers = np.array(numbers, np.int64)
+        whole = np.minimum.reduceat(numbers, bounds[:-1]) < 0 if texts else np.zeros(0, bool)
+        # The first word of a text has no blank before it, so it is encoded apart, as are texts that must not be cut.
+        heads = self.tokenizer.encode_batch_fast([t if w else s[0] for t, w, s in zip(texts, whole, split)], add_special_tokens=False)
+        heads = [h.ids for h in heads]
+        alone = np.repeat(whole, np.diff(bounds))
+        alone[bounds[:-1]] = True
+        kept = np.concatenate(([0], np.cumsum(~alone)))[bounds]
+        numbers = numbers[~alone]
         sizes = self.sizes[numbers]
-        total = int(sizes.sum())
-        places = np.repeat(self.starts[numbers] - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
-        flat = self.ids[places]
-        ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(lengths)]
-        counts = np.diff(np.concatenate(([0], ends)))
-        if not whole:
-            return flat, counts
-        coded = self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)
-        parts = np.split(flat, ends[:-1])
-        for i, c in zip(whole, coded):
-            parts[i] = np.array(c.ids, np.uint32)
-            counts[i] = len(parts[i])
-        return np.concatenate(parts), counts
-
-    def learn_as(self, pieces: list[str], names: list[str]) -> None:
-        before = len(self.known)
-        self.learn(pieces)
-        for k, piece in enumerate(pieces):
-            del self.known[piece]
-            self.known[names[k]] = before + k
+        reach = np.concatenate(([0], np.cumsum(sizes)))
+        flat = self.ids[np.repeat(self.starts[numbers] - reach[:-1], sizes) + np.arange(reach[-1])]
+        head_sizes = np.array([len(h) for h in heads], np.int64)
+        flat = np.insert(flat, np.repeat(reach[kept[:-1]], head_sizes), [i for h in heads for i in h])
+        return flat, np.diff(reach[kept]) + head_sizes
+
+
+def coder(path: str) -> WordCoder:
+    """One coder per worker process and file: kept with the tokenizer library, it outlives the tasks of a worker."""
+    import tokenizers
+    kept = vars(tokenizers).setdefault("word_coders", {})
+    if path not in kept:
+        kept[path] = WordCoder(path)
+    return kept[path]
+
+
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
+    """Token blocks of every text of ``docs`` in ascending doc_id order, as a folder at ``path``.
+
+    Each document's ids end with ``end_id``. Null texts count as empty; null doc_ids come first; rows of one doc_id
+    follow each other in the order of their texts. An empty table makes an empty folder of the same schema. Documents
+    are dealt out by ranges of doc_id and sorted in their partition, so ranges stay even whatever the ids are.
+    """
+    def run(batches):
+        words, part, block, before = coder(tokenizer), TaskContext.get().partitionId(), 0, 0
+        docs_, lengths, pieces, held = [], [], [], 0
+
+        def flush():
+            ids = np.concatenate(pieces)
+            packed, offsets, escapes = encode(ids)
+            return pa.RecordBatch.from_pylist([{
+                "part": part, "block": block, "before": before, "ids": len(ids), "docs": docs_, "lengths": lengths,
+                "words": packed.astype("<u8").tobytes(), "offsets": offsets.astype("<u4").tobytes(),
+                "escapes": escapes.astype("<u8").tobytes()}], schema)
+
+        for batch in batches:
+            names = batch.column("doc_id").to_pylist()
+            texts = batch.column("text").to_pylist()
+            at = 0
+            while at < len(texts):
+                stop, size = at, 0
+                while stop < len(texts) and (size < 1 << 20 or stop == at):
+                    size += len(texts[stop] or "")
+                    stop += 1
+                flat, counts = words.encode([t or "" for t in texts[at:stop]])
+                ends = np.cumsum(counts)
+                flat = np.insert(flat, ends, end_id)
+                counts = counts + 1
+                pieces.append(flat)
+                docs_ += names[at:stop]
+                lengths += counts.tolist()
+                held += len(flat)
+                at = stop
+                if held >= BLOCK_IDS:
+                    yield flush()
+                    block, before = block + 1, before + held
+                    docs_, lengths, pieces, held = [], [], [], 0
+        if docs_:
+            yield flush()
+
+    schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("ids", pa.int64()),
+                        ("docs", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("words", pa.binary()),
+                        ("offsets", pa.binary()), ("escapes", pa.binary())])
+    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
+     .sortWithinPartitions("doc_id", "text").mapInArrow(run, BLOCKS).write.parquet(path))
+
+
+def _blocks(spark: SparkSession, path: str) -> DataFrame:
+    """The blocks of a folder with ``start``, the number of ids before each; one sum per part is all that meets."""
+    blocks = spark.read.parquet(path)
+    parts = blocks.groupBy("part").agg(F.sum("ids").alias("held"))
+    ahead = F.sum("held").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("part", F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    return blocks.join(parts, "part").select("docs", "lengths", "words", "offsets", "escapes",
+                                             (F.col("ahead") + F.col("before")).alias("start"))
+
+
+def _decoded(batch: pa.RecordBatch):
+    for row in batch.to_pylist():
+        lengths = np.array(row["lengths"], np.int64)
+        ids = decode(np.frombuffer(row["words"], "<u8"), np.frombuffer(row["offsets"], "<u4"),
+                     np.frombuffer(row["escapes"], "<u8"), int(lengths.sum()))
+        yield row["docs"], row["start"], lengths, ids
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, start, ids) of every document of a folder; ``start`` counts the ids of all documents before it."""
+    def run(batches):
+        for batch in batches:
+            for docs, start, lengths, ids in _decoded(batch):
+                ends = np.cumsum(lengths)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(docs, pa.int64()), pa.array(start + ends - lengths),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids.astype(np.int64)))],
+                    ["doc_id", "start", "ids"])
+
+    return _blocks(spark, path).mapInArrow(run, "doc_id long, start long, ids array<long>")
+
+
+def digests(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document of a folder, from its ids as 32-bit numbers."""
+    def run(batches):
+        for batch in batches:
+            for docs, start, lengths, ids in _decoded(batch):
+                ends = np.cumsum(lengths)
+                raw = memoryview(ids.astype("<u4").tobytes())
+                sums = [zlib.crc32(raw[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(docs, pa.int64()), pa.array(start + ends - lengths), pa.array(lengths), pa.array(sums, pa.int64())],
+                    ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return _blocks(spark, path).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """``digests`` of ``docs`` written to a new folder in the shared one."""
+    if tokenizer is None:
+        import public_tokenizers
+        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    path = f"{shared_root(spark)}/tokens-{uuid.uuid4().hex}"
+    write_tokens(docs, path, str(tokenizer))
+    return digests(spark, path)
+
+
+@query("op7_token_blocks")
+def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenized(spark, table(spark, sf_dir, "documents"))
