@@ -51,10 +51,23 @@ def _selectors(bits: np.ndarray) -> np.ndarray:
         most = runs[half].copy()
         if n > half:
             np.maximum(most[:, :half - n], runs[half][:, n - half:], out=most[:, :half - n])
-        select[most <= wide] = s
+        if (fits := most <= wide).any():
+            np.putmask(select, fits, s)
     return select
 
 
+def _bit_lengths(values: np.ndarray) -> np.ndarray:
+    if not len(values) or values.max() >> np.uint64(32):
+        return np.frexp(values.astype(np.float64))[1].astype(np.uint8)  # rounding up matters to no layout but the last
+    short = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+    low = values.astype(np.uint32)
+    high = low >> 16
+    bits = short[low & 0xFFFF]
+    if high.any():
+        bits = np.where(high, short[high] + np.uint8(16), bits)
+    return bits
+
+
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, the first word of every span of 1,024 ids (with their number at the end), and the escaped ids.
 
@@ -71,7 +84,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     flat = np.zeros(spans * SPAN, np.uint64)
     flat[:len(ids)] = np.where(escaped, np.uint64(ESCAPE), ids)
     values[:, :SPAN] = flat.reshape(spans, SPAN)
-    bits = np.frexp(values.astype(np.float64))[1].astype(np.uint8)  # rounding up matters to no layout but the last
+    bits = _bit_lengths(values)
     select, values = _selectors(bits).ravel(), values.ravel()
     step = np.array([n for n, _ in PACKED])[select]
     at = np.arange(spans) * row
@@ -127,13 +140,14 @@ class WordCoder:
     any other blank is encoded whole. The memory is emptied when it holds ``most`` words, which bounds it.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose token starts with a blank
         self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.marks = {m: self.tokenizer.encode(m).ids[0] for m in ".,;:!?"}
         self.most = most
         self.clear()
 
@@ -142,16 +156,33 @@ class WordCoder:
         self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def learn(self, words: list[str]) -> None:
+        """Words that end in one mark after a letter or digit are put together from their parts."""
         self.known.update((w, -1) for w in words if not w or w[0].isspace() or w[-1].isspace())
         words = [w for w in words if w not in self.known]
-        if not words:
+        marked = [w for w in words if len(w) > 1 and w[-1] in ".,;:!?" and w[-2].isalnum()]
+        self._encode_new({w for w in words if not (len(w) > 1 and w[-1] in ".,;:!?" and w[-2].isalnum())}
+                         | {core for w in marked if (core := w[:-1]) not in self.known})
+        if not marked:
             return
-        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
-        starts = np.flatnonzero(self.opens[ids])
-        assert len(starts) == len(words)
+        number = np.array([self.known[w[:-1]] for w in marked], np.int64)
+        mark = np.array([self.marks[w[-1]] for w in marked], np.uint32)
+        sizes = self.sizes[number]
+        first = np.cumsum(sizes) - sizes
+        ids = np.insert(self.ids[np.repeat(self.starts[number] - first, sizes) + np.arange(sizes.sum())], first + sizes, mark)
+        self._add(marked, ids, sizes + 1)
+
+    def _encode_new(self, words: set[str]) -> None:
+        if words:
+            ordered = list(words)
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(ordered)], add_special_tokens=False)[0].ids, np.uint32)
+            starts = np.flatnonzero(self.opens[ids])
+            assert len(starts) == len(ordered)
+            self._add(ordered, ids, np.diff(np.append(starts, len(ids))))
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.known.update(zip(words, range(len(self.starts), len(self.starts) + len(words))))
-        self.starts = np.concatenate((self.starts, len(self.ids) + starts))
-        self.sizes = np.concatenate((self.sizes, np.diff(np.append(starts, len(ids)))))
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes) - sizes))
+        self.sizes = np.concatenate((self.sizes, sizes))
         self.ids = np.concatenate((self.ids, ids))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
