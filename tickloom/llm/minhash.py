@@ -52,14 +52,8 @@ def signatures(docs: DataFrame, words: int, tables: int, width: int) -> DataFram
         run, "doc_id long, n long, set_x long, set_y long, left array<long>, right array<long>")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets have 100 * intersection >= percent * union.
-
-    Texts are shuffled once, and only those of documents in some pair go on, as sets of hashes.
-    """
-    pairs = publish(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-
+def set_table(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(doc_id, items) of the wanted ids: sorted shingle hashes as bytes. Texts are shuffled this once."""
     def hashed(batches):
         for batch in batches:
             for start, stop, data, at in text_slices(batch):
@@ -67,20 +61,25 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
                     batch.column("doc_id").slice(start, stop - start),
                     pa.array([s.tobytes() for s in shingle_sets(data, at, words)], pa.binary())], ["doc_id", "items"])
 
-    sets = publish(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-                   .mapInArrow(hashed, "doc_id long, items binary"), "sets")
+    # The hint keeps ids that grow with the input from being broadcast.
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
+    return publish(docs.mapInArrow(hashed, "doc_id long, items binary"), "sets")
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([x, y]))
+    same = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * same >= percent * (len(both) - same)
+
 
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole shingle sets have 100 * intersection >= percent * union."""
     def check(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                both = np.sort(np.concatenate([x, y]))
-                same = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * same >= percent * (len(both) - same))
+            keep = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                    for x, y in zip(batch.column("x"), batch.column("y"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
@@ -88,6 +87,58 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
             .select("a", "b", "x", "y").mapInArrow(check, "a long, b long").distinct())
 
 
+def across(named: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
+    """Links between components that meet in a bucket, from ``named`` (key, rep, part): at least one per linked pair.
+
+    Pairs of components, not of documents, are formed. The larger component of a pair is its centre; all documents of
+    the smaller ones that meet it are compared with all of the centre's, in blocks of about ``block`` by ``block``
+    sets with a common index of their items, and each gives at most one link per block.
+    """
+    parts = named.select("key", "part").distinct()
+    inside = publish(named.select("rep", "part").distinct(), "inside")
+    sizes = inside.groupBy("part").agg(F.count("*").alias("size"))
+    pairs = parts.withColumnRenamed("part", "p").join(parts.withColumnRenamed("part", "q"), "key").where("p < q").select("p", "q").distinct()
+    pairs = pairs.join(sizes.select(F.col("part").alias("p"), F.col("size").alias("m")), "p").join(
+        sizes.select(F.col("part").alias("q"), F.col("size").alias("n")), "q")
+    first = F.col("m") >= F.col("n")
+    pairs = pairs.select(F.when(first, F.col("p")).otherwise(F.col("q")).alias("centre"), F.greatest("m", "n").alias("m"),
+                         F.when(first, F.col("q")).otherwise(F.col("p")).alias("part"), F.least("m", "n").alias("n"))
+    pairs = publish(pairs, "meetings")
+    blocks = lambda c: F.ceil(F.col(c) / block).cast("int")
+    centres = pairs.groupBy("centre").agg(F.max("m").alias("m"), F.sum("n").alias("n")).select(
+        "centre", blocks("m").alias("lefts"), blocks("n").alias("rights"))
+    slot = lambda c: F.pmod(F.xxhash64("rep"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = inside.withColumnRenamed("part", "centre").join(centres, "centre").select(
+        "centre", "rep", slot("lefts").alias("l"), every("rights").alias("r"), F.lit(0).alias("side"))
+    right = pairs.select("centre", "part").join(inside, "part").join(centres, "centre").select(
+        "centre", "rep", every("lefts").alias("l"), slot("rights").alias("r"), F.lit(1).alias("side"))
+    rows = left.union(right).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+
+    def compare(block_: pa.Table) -> pa.Table:
+        side = block_.column("side").to_numpy()
+        ids = block_.column("rep").to_numpy()
+        items = [np.frombuffer(x.as_buffer(), np.uint64) for x in block_.column("items")]
+        ours, theirs = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        found = []
+        if len(ours) and len(theirs):
+            lengths = np.array([len(items[i]) for i in ours])
+            order = np.argsort(flat := np.concatenate([items[i] for i in ours]), kind="stable")
+            flat, owner = flat[order], np.repeat(np.arange(len(ours)), lengths)[order]
+            for j in theirs:
+                low, high = np.searchsorted(flat, items[j], "left"), np.searchsorted(flat, items[j], "right")
+                take = high - low
+                places = np.repeat(low - (np.cumsum(take) - take), take) + np.arange(take.sum())
+                same = np.bincount(owner[places], minlength=len(ours))
+                hits = np.flatnonzero(100 * same >= percent * (lengths + len(items[j]) - same))
+                if len(hits):
+                    found.append((ids[ours[hits[0]]], ids[j]))
+        found = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
+
+    return rows.groupBy("centre", "l", "r").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tables: int = 12, width: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -96,8 +147,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tables:
 
     1. Documents with equal sets become one class, named by its smallest doc_id.
     2. In every bucket each class is paired with the bucket's smallest; pairs are confirmed, and components formed.
-    3. Buckets that still hold several components yield the pairs across components, so that no link between
-       different texts depends on the choice in step 2; the members of one component are never paired again.
+    3. Components that still meet in some bucket are compared in blocks, all documents of one with all of the other,
+       so no link between different texts depends on the choice in step 2. Members of one component never are.
 
     Buckets and classes are found by pre-aggregated minima and joins, never gathered. Null and empty texts have no
     shingles: size 0, linked with nothing. Rows of one doc_id count as one document. A row with a null doc_id gets the
@@ -113,16 +164,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tables:
     rows = halves.select("rep", slots.alias("key"))
     shared = rows.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     members = publish(rows.join(shared.select("key", "low").hint("shuffle_hash"), "key"), "members")
+    sets = set_table(docs, members.select(F.col("rep").alias("doc_id")).distinct(), words)
 
     stars = members.where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
-    links = publish(confirmed(stars, docs, words, percent), "links")
+    links = publish(confirmed(stars, sets, percent), "links")
     found = publish(components(links), "components")
     named = members.join(found, members.rep == found.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("part"))
     mixed = named.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("key")
-    named = named.join(mixed, "key").distinct()
-    across = named.select("key", F.col("rep").alias("a"), F.col("part").alias("p")).join(
-        named.select("key", F.col("rep").alias("b"), F.col("part").alias("q")), "key").where("a < b and p <> q").select("a", "b").distinct()
-    more = confirmed(across.join(stars, ["a", "b"], "left_anti"), docs, words, percent)
+    more = across(publish(named.join(mixed, "key"), "named"), sets, percent)
+
     # Rows of one doc_id with different texts stand for one document: their classes are linked too.
     equal = publish(sig.join(rep, ["n", "set_x", "set_y"], "left").select("doc_id", "n", "rep"), "rows")
     ids = equal.where("doc_id is not null and rep is not null").select("doc_id", "rep").distinct()
