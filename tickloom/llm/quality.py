@@ -171,7 +171,8 @@ def learning_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     Labels are reduced to one per doc_id (the largest) before the join.
     """
     known = labels.where(F.col(label).isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.max(label).alias("label"))
-    return docs.select("doc_id", "text").join(known, "doc_id").select("text", "label", F.col("doc_id").alias("key"))
+    # The hint keeps labels that grow with the input from being broadcast.
+    return docs.select("doc_id", "text").join(known.hint("shuffle_hash"), "doc_id").select("text", "label", F.col("doc_id").alias("key"))
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality", keep: tuple[str, ...] = ("doc_id",),
