@@ -1,8 +1,8 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
-Words become templates: numbers, units and names turn into typed placeholders and everything else into small letters.
-Windows of templates are hash-joined with those of the benchmark, and a candidate's slots (what the placeholders stand
-for) must map consistently, so a question with other names and numbers is caught and chance matches are not.
+Words become templates: numbers, units and names turn into typed placeholders, other words into small letters without
+marks. Windows of templates are hash-joined with those of the benchmark, and what the placeholders stand for must map
+consistently along a match, so a question with other names and numbers is caught and chance matches are not.
 """
 
 from __future__ import annotations
@@ -10,10 +10,119 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WORD, query, table
+from tickloom.llm.common import query, table
 from tickloom.session import publish
 
-#: The units that count as placeholders.
-UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "lb", "oz", "ml", "l", "s", "sec", "min", "h", "hr", "hours", "minutes",
-         "seconds", "days", "weeks", "months", "years", "miles", "feet", "inches", "metres", "meters", "dollars", "euros",
-         "cents", "percent", "%", "$", "€")
+#: Words after a number that count as its unit.
+UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "lb", "oz", "ml", "l", "s", "min", "h", "hours", "minutes", "seconds",
+         "days", "weeks", "months", "years", "miles", "feet", "inches", "metres", "meters", "dollars", "euros", "cents", "percent")
+#: Opens a placeholder: a private-use character, removed from texts beforehand. Its type follows, then the word itself.
+MARK = "\ue000"
+WIDTH = 5
+
+_NAME = r"([^.!?:\s]\x20)(\p{Lu}\p{Ll})"
+_NUMBER = r"(^|[\s($])([0-9])"
+_UNIT = rf"({MARK}d[^\s]*\x20)({'|'.join(UNITS)})([\s.,;:!?)]|$)"
+_STRIP = r"[!-/:-@\[-`{-~]+"
+
+
+def tokens(text: str = "text") -> Column:
+    """Words in small letters without ASCII marks, placeholders as mark, type and word.
+
+    A capitalised word is a name unless it opens a text, line or sentence; the rule runs twice, as neighbouring names
+    share the blank between them.
+    """
+    out = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(MARK), F.lit(""))
+    for _ in range(2):
+        out = F.regexp_replace(out, _NAME, f"$1{MARK}n$2")
+    numbered = F.regexp_replace(F.regexp_replace(out, _NUMBER, f"$1{MARK}d$2"), _UNIT, f"$1{MARK}u$2$3")
+    out = F.when(F.col(text).rlike("[0-9]"), numbered).otherwise(out)
+    return F.filter(F.split(F.lower(F.regexp_replace(out, _STRIP, "")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
+def windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The columns of ``rows`` but tokens, with place, hash and slots of every run of ``width`` tokens.
+
+    ``slots`` has the words behind the placeholders of a run, null where it has none.
+    """
+    kept = [c for c in rows.columns if c != "tokens"]
+    plain = F.transform("tokens", lambda w: F.when(w.startswith(MARK), F.substring(w, 1, 2)).otherwise(w))
+    rows = rows.where(F.size("tokens") >= width).withColumn(
+        "marked", F.exists("tokens", lambda w: w.startswith(MARK))).withColumn("templates", F.when(F.col("marked"), plain).otherwise(F.col("tokens")))
+    runs = F.expr(f"transform(sequence(1, size(templates) - {width - 1}), i -> xxhash64(slice(templates, i, {width})))")
+    rows = rows.select(*kept, F.when(F.col("marked"), F.col("tokens")).alias("words"), F.posexplode(runs).alias("place", "hash"))
+    held = F.filter(F.slice("words", F.col("place") + 1, width), lambda w: w.startswith(MARK))
+    return rows.select(*kept, "place", "hash", F.when(F.size(held) > 0, held).alias("slots"))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = 0.5, enough: int = 9) -> DataFrame:
+    """(doc_id, item_id, windows): the benchmark items that each document holds, with the windows of the longest match.
+
+    A match is a run of windows at one distance between document and item. It counts with ``share`` of the item's
+    windows, or ``enough`` of them (nine windows of five words are 13 words), if every slot value of the item stands
+    for one value of the document throughout. Items and texts of fewer than ``width`` words, null and empty ones match
+    nothing. Repeated items are reported one by one; rows of one doc_id count as one document, and so do rows without.
+    Other columns are ignored. The side of the benchmark is broadcast only if Spark finds its written size small.
+    """
+    items = windows(benchmark.select("item_id", tokens().alias("tokens")), width)
+    items = publish(items.distinct(), "items")
+    wanted = items.groupBy("item_id").agg(F.count_distinct("place").alias("all"))
+    wanted = wanted.select("item_id", F.least(F.ceil(F.col("all") * share), F.lit(enough)).alias("needed"))
+    found = windows(docs.select("doc_id", tokens().alias("tokens")), width).join(
+        items.select("item_id", F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots")), "hash")
+    pairs = F.when(F.col("slots").isNotNull(), F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")))
+    matched = found.groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("distance")).agg(
+        F.count_distinct("item_place").alias("windows"), F.flatten(F.collect_set(pairs)).alias("pairs"))
+    values = F.array_distinct(F.transform("pairs", lambda p: p["i"]))
+    matched = matched.join(wanted, "item_id").where(
+        (F.col("windows") >= F.col("needed")) & (F.size(values) == F.size(F.array_distinct("pairs"))))
+    return matched.groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"))
+
+
+def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, contaminated, n_items, items (ids in order, comma-joined)."""
+    found = leaks(docs, benchmark).groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("ids")).withColumnRenamed("doc_id", "of")
+    rows = docs.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    count = F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids"))
+    return rows.select("doc_id", (count > 0).alias("contaminated"), count.cast("long").alias("n_items"),
+                       F.coalesce(F.array_join("ids", ","), F.lit("")).alias("items"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, all columns as they are."""
+    found = leaks(docs, benchmark).select(F.col("doc_id").alias("__of")).distinct()
+    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("__of")), "left_anti")
+
+
+def _sql_tokens(source: str, key: str) -> str:
+    units = "|".join(UNITS)
+    name = r"regexp_replace({}, '([^.!?:\s]\x20)(\p{{Lu}}\p{{Ll}})', '\1" + MARK + r"n\2', 'g')"
+    named = name.format(name.format(f"replace(coalesce(text, ''), '{MARK}', '')"))
+    numbered = (rf"regexp_replace(regexp_replace({named}, '(^|[\s($])([0-9])', '\1{MARK}d\2', 'g'), "
+                rf"'({MARK}d[^\s]*\x20)({units})([\s.,;:!?)]|$)', '\1{MARK}u\2\3', 'g')")
+    return (rf"SELECT {key}, regexp_extract_all(lower(regexp_replace(CASE WHEN regexp_matches(text, '[0-9]') THEN {numbered} ELSE {named} END, "
+            rf"'[!-/:-@\[-`{{-~]+', '', 'g')), '[^\x20\x09-\x0D]+') AS w FROM {source}")
+
+
+_ORACLE = f"""
+WITH d AS ({_sql_tokens('documents', 'doc_id')}), b AS ({_sql_tokens('benchmark', 'item_id')}),
+dw AS (SELECT doc_id, unnest(range(0, len(w) - 4)) AS place, w FROM d WHERE len(w) >= 5),
+bw AS (SELECT DISTINCT item_id, unnest(range(0, len(w) - 4)) AS place, w FROM b WHERE len(w) >= 5),
+dt AS (SELECT doc_id, place, list_slice(w, place + 1, place + 5) AS w, list_transform(list_slice(w, place + 1, place + 5), lambda x: CASE WHEN starts_with(x, '{MARK}') THEN x[1:2] ELSE x END) AS t FROM dw),
+bt AS (SELECT item_id, place, list_slice(w, place + 1, place + 5) AS w, list_transform(list_slice(w, place + 1, place + 5), lambda x: CASE WHEN starts_with(x, '{MARK}') THEN x[1:2] ELSE x END) AS t FROM bw),
+needed AS (SELECT item_id, least(ceil(count(DISTINCT place) * 0.5), 9) AS needed FROM bt GROUP BY item_id),
+hit AS (SELECT dt.doc_id, bt.item_id, dt.place - bt.place AS distance, bt.place, dt.w AS dw, bt.w AS bw FROM dt JOIN bt ON dt.t = bt.t),
+slot AS (SELECT doc_id, item_id, distance, unnest(bw) AS i, unnest(dw) AS v FROM hit),
+torn AS (SELECT DISTINCT doc_id, item_id, distance FROM slot WHERE starts_with(i, '{MARK}') GROUP BY doc_id, item_id, distance, i HAVING count(DISTINCT v) > 1),
+runs AS (SELECT doc_id, item_id, distance, count(DISTINCT place) AS n FROM hit GROUP BY ALL),
+leak AS (SELECT DISTINCT r.doc_id, r.item_id FROM runs r JOIN needed USING (item_id) WHERE n >= needed
+         AND NOT EXISTS (SELECT 1 FROM torn t WHERE t.doc_id = r.doc_id AND t.item_id = r.item_id AND t.distance = r.distance)),
+ids AS (SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items FROM leak GROUP BY doc_id)
+SELECT documents.doc_id, n IS NOT NULL AS contaminated, CAST(coalesce(n, 0) AS BIGINT) AS n_items, coalesce(items, '') AS items
+FROM documents LEFT JOIN ids USING (doc_id)
+"""
+
+
+@query("op10_benchmark_templates", _ORACLE)
+def _templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
