@@ -184,12 +184,11 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", keep: tupl
     scored alike; repeated labels of one document count once.
     """
     model = fit(publish(learning_rows(docs, labels, label), "labelled"), fit_rows)
-    carrier = docs.select(*keep, F.col("text").alias("text"))
+    carrier = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), F.col("text").alias("t"))
 
     def run(batches):
         for batch in batches:
-            batch = batch.rename_columns([str(i) for i in range(batch.num_columns)])
-            for start, stop, data, at in text_slices(batch, str(batch.num_columns - 1)):
+            for start, stop, data, at in text_slices(batch, "t"):
                 scores = model.scores(model.margins(*features(data, at)))
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(start, stop - start) for c in batch.columns[:-1]), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
