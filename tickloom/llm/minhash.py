@@ -88,38 +88,32 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def across(named: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
-    """Links between components that meet in a bucket, from ``named`` (key, rep, part): at least one per linked pair.
+    """Links between components that meet in a bucket, from ``named`` (family, rep, part): at least one per linked pair.
 
-    Pairs of components, not of documents, are formed. The larger component of a pair is its centre; all documents of
-    the smaller ones that meet it are compared with all of the centre's, in blocks of about ``block`` by ``block``
-    sets with a common index of their items, and each gives at most one link per block.
+    The buckets whose smallest member is of one component form a family. Its documents of other components are
+    compared with each other and with those of that component, in blocks of about ``block`` by ``block`` sets with a
+    common index of their items; documents of the family's own component are not compared with each other. A document
+    gives at most one link per block and component, so pairs are never listed.
     """
-    parts = named.select("key", "part").distinct()
-    inside = publish(named.select("rep", "part").distinct(), "inside")
-    sizes = inside.groupBy("part").agg(F.count("*").alias("size"))
-    pairs = parts.withColumnRenamed("part", "p").join(parts.withColumnRenamed("part", "q"), "key").where("p < q").select("p", "q").distinct()
-    pairs = pairs.join(sizes.select(F.col("part").alias("p"), F.col("size").alias("m")), "p").join(
-        sizes.select(F.col("part").alias("q"), F.col("size").alias("n")), "q")
-    first = F.col("m") >= F.col("n")
-    pairs = pairs.select(F.when(first, F.col("p")).otherwise(F.col("q")).alias("centre"), F.greatest("m", "n").alias("m"),
-                         F.when(first, F.col("q")).otherwise(F.col("p")).alias("part"), F.least("m", "n").alias("n"))
-    pairs = publish(pairs, "meetings")
-    blocks = lambda c: F.ceil(F.col(c) / block).cast("int")
-    centres = pairs.groupBy("centre").agg(F.max("m").alias("m"), F.sum("n").alias("n")).select(
-        "centre", blocks("m").alias("lefts"), blocks("n").alias("rights"))
+    own = F.col("part") == F.col("family")
+    rows = publish(named.select("family", "rep", "part", own.alias("own")).distinct(), "families")
+    sizes = rows.groupBy("family").agg(F.count_if("own").alias("m"), F.count_if(~F.col("own")).alias("n"))
+    slots = lambda c: F.greatest(F.ceil(F.col(c) / block), F.lit(1)).cast("int")
+    rows = rows.join(sizes.select("family", slots("m").alias("lefts"), slots("n").alias("rights")), "family")
     slot = lambda c: F.pmod(F.xxhash64("rep"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = inside.withColumnRenamed("part", "centre").join(centres, "centre").select(
-        "centre", "rep", slot("lefts").alias("l"), every("rights").alias("r"), F.lit(0).alias("side"))
-    right = pairs.select("centre", "part").join(inside, "part").join(centres, "centre").select(
-        "centre", "rep", every("lefts").alias("l"), slot("rights").alias("r"), F.lit(1).alias("side"))
-    rows = left.union(right).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-
-    def compare(block_: pa.Table) -> pa.Table:
-        side = block_.column("side").to_numpy()
-        ids = block_.column("rep").to_numpy()
-        items = [np.frombuffer(x.as_buffer(), np.uint64) for x in block_.column("items")]
-        ours, theirs = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    kept = ("family", "rep", "part")
+    left = rows.where("own").select(*kept, F.lit(0).alias("kind"), slot("lefts").alias("l"), every("rights").alias("r"), F.lit(True).alias("first"), F.lit(False).alias("second"))
+    right = rows.where(~F.col("own")).select(*kept, F.lit(0).alias("kind"), every("lefts").alias("l"), slot("rights").alias("r"), F.lit(False).alias("first"), F.lit(True).alias("second"))
+    both = rows.where(~F.col("own")).select(*kept, slot("rights").alias("mine"), every("rights").alias("other")).select(
+        *kept, F.lit(1).alias("kind"), F.least("mine", "other").alias("l"), F.greatest("mine", "other").alias("r"),
+        (F.col("mine") <= F.col("other")).alias("first"), (F.col("mine") >= F.col("other")).alias("second"))
+    rows = left.union(right).union(both).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+
+    def compare(held: pa.Table) -> pa.Table:
+        ids, part = held.column("rep").to_numpy(), held.column("part").to_numpy()
+        items = [np.frombuffer(x.as_buffer(), np.uint64) for x in held.column("items")]
+        ours, theirs = (np.flatnonzero(held.column(c).to_numpy()) for c in ("first", "second"))
         found = []
         if len(ours) and len(theirs):
             lengths = np.array([len(items[i]) for i in ours])
@@ -130,13 +124,13 @@ def across(named: DataFrame, sets: DataFrame, percent: int, block: int = 256) ->
                 take = high - low
                 places = np.repeat(low - (np.cumsum(take) - take), take) + np.arange(take.sum())
                 same = np.bincount(owner[places], minlength=len(ours))
-                hits = np.flatnonzero(100 * same >= percent * (lengths + len(items[j]) - same))
-                if len(hits):
-                    found.append((ids[ours[hits[0]]], ids[j]))
+                hits = ours[100 * same >= percent * (lengths + len(items[j]) - same)]
+                hits = hits[part[hits] != part[j]]
+                found += [(ids[i], ids[j]) for i in hits[np.unique(part[hits], return_index=True)[1]]]
         found = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
 
-    return rows.groupBy("centre", "l", "r").applyInArrow(compare, "a long, b long")
+    return rows.groupBy("family", "kind", "l", "r").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tables: int = 12, width: int = 3) -> DataFrame:
@@ -147,8 +141,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tables:
 
     1. Documents with equal sets become one class, named by its smallest doc_id.
     2. In every bucket each class is paired with the bucket's smallest; pairs are confirmed, and components formed.
-    3. Components that still meet in some bucket are compared in blocks, all documents of one with all of the other,
-       so no link between different texts depends on the choice in step 2. Members of one component never are.
+    3. Where components still meet in a bucket, their documents are compared in blocks, so no link between different
+       texts depends on the choice in step 2.
 
     Buckets and classes are found by pre-aggregated minima and joins, never gathered. Null and empty texts have no
     shingles: size 0, linked with nothing. Rows of one doc_id count as one document. A row with a null doc_id gets the
@@ -169,9 +163,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tables:
     stars = members.where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
     links = publish(confirmed(stars, sets, percent), "links")
     found = publish(components(links), "components")
-    named = members.join(found, members.rep == found.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("part"))
-    mixed = named.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("key")
-    more = across(publish(named.join(mixed, "key"), "named"), sets, percent)
+    parts = lambda node, part: found.select(F.col("node").alias(node), F.col("component").alias(part))
+    named = members.join(parts("rep", "part"), "rep", "left").withColumn("part", F.coalesce("part", "rep"))
+    mixed = named.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.min("low").alias("low")).where("p < q")
+    mixed = mixed.join(parts("low", "family"), "low", "left").select("key", F.coalesce("family", "low").alias("family"))
+    more = across(named.select("key", "rep", "part").join(mixed, "key"), sets, percent)
 
     # Rows of one doc_id with different texts stand for one document: their classes are linked too.
     equal = publish(sig.join(rep, ["n", "set_x", "set_y"], "left").select("doc_id", "n", "rep"), "rows")
