@@ -33,8 +33,10 @@ def tokens(text: str = "text") -> Column:
     share the blank between them.
     """
     out = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(MARK), F.lit(""))
+    named = out
     for _ in range(2):
-        out = F.regexp_replace(out, _NAME, f"$1{MARK}n$2")
+        named = F.regexp_replace(named, _NAME, f"$1{MARK}n$2")
+    out = F.when(out.rlike(_NAME), named).otherwise(out)
     numbered = F.regexp_replace(F.regexp_replace(out, _NUMBER, f"$1{MARK}d$2"), _UNIT, f"$1{MARK}u$2$3")
     out = F.when(F.col(text).rlike("[0-9]"), numbered).otherwise(out)
     return F.filter(F.split(F.lower(F.regexp_replace(out, _STRIP, "")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
@@ -49,10 +51,11 @@ def windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     plain = F.transform("tokens", lambda w: F.when(w.startswith(MARK), F.substring(w, 1, 2)).otherwise(w))
     rows = rows.where(F.size("tokens") >= width).withColumn(
         "marked", F.exists("tokens", lambda w: w.startswith(MARK))).withColumn("templates", F.when(F.col("marked"), plain).otherwise(F.col("tokens")))
-    runs = F.expr(f"transform(sequence(1, size(templates) - {width - 1}), i -> xxhash64(slice(templates, i, {width})))")
-    rows = rows.select(*kept, F.when(F.col("marked"), F.col("tokens")).alias("words"), F.posexplode(runs).alias("place", "hash"))
-    held = F.filter(F.slice("words", F.col("place") + 1, width), lambda w: w.startswith(MARK))
-    return rows.select(*kept, "place", "hash", F.when(F.size(held) > 0, held).alias("slots"))
+    runs = F.expr(f"""transform(sequence(1, size(templates) - {width - 1}), i -> named_struct(
+        'hash', xxhash64(slice(templates, i, {width})),
+        'slots', if(marked, filter(slice(tokens, i, {width}), w -> startswith(w, '{MARK}')), null)))""")
+    rows = rows.select(*kept, F.posexplode(runs).alias("place", "run"))
+    return rows.select(*kept, "place", F.col("run.hash").alias("hash"), F.when(F.size("run.slots") > 0, F.col("run.slots")).alias("slots"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = 0.5, enough: int = 9) -> DataFrame:
