@@ -60,7 +60,7 @@ def test_bounds_hold(d):
     rng = np.random.default_rng(d)
     x = rng.normal(size=(60, d))
     x[30:] = x[:30] + rng.normal(size=(30, d)) * 0.2
-    i, j = V.links_within(x, np.arange(60), np.arange(60), 0.93)
+    i, j = V.links_within(x, np.arange(60), np.arange(60), 0.93, V.rotations(d, 1))
     exact = x @ x.T / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(x, axis=1))
     want = set(zip(*map(list, np.nonzero(exact >= 0.93))))
     assert len(want - set(zip(i, j))) <= 0.001 * len(want)

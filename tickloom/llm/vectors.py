@@ -35,24 +35,24 @@ def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
 
 
-def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket keys (uint16 per band), rotated unit vectors, and the correction factors of their sign codes."""
-    n, d = vectors.shape
+    d = vectors.shape[1]
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    turned = unit @ rotations(d, -(-BANDS * SIGNS // d))
-    keys = np.packbits(turned[:, :BANDS * SIGNS] > 0, axis=1).view(np.uint16)
+    turned = unit @ turn
+    keys = np.packbits(turned[:, :BANDS * SIGNS] > 0, axis=1)
     first = turned[:, :d]
-    return keys, first, np.abs(first).sum(axis=1) / np.sqrt(d)
+    return keys.view(np.uint16) if keys.shape[1] % 2 == 0 else None, first, np.abs(first).sum(axis=1) / np.sqrt(d)
 
 
-def links_within(vectors: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def links_within(vectors: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i of ``left``, j of ``right``) whose cosine reaches the threshold.
 
     The estimate of <x, y> is <sign(x)/sqrt(d), y> / factor(x); its error is sqrt((1 - factor^2) / factor^2 / (d - 1))
     times a standard normal at most. Pairs whose bounds exclude the threshold are not computed exactly.
     """
     d = vectors.shape[1]
-    _, turned, factor = encode(vectors)
+    _, turned, factor = encode(vectors, turn)
     code = np.where(turned[left] > 0, 1.0, -1.0) / np.sqrt(d)
     estimate = code @ turned[right].T / factor[left][:, None]
     bound = WIDTH * np.sqrt(np.maximum(1 - factor[left] ** 2, 0) / factor[left] ** 2 / max(1, d - 1))
@@ -107,7 +107,7 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93) -> DataFrame:
             for d in np.unique(lengths):
                 own = np.flatnonzero(lengths == d)
                 vectors = values[(ends[own] - d)[:, None] + np.arange(d)]
-                keys, _, _ = encode(vectors)
+                keys, _, _ = encode(vectors, rotations(d, -(-BANDS * SIGNS // d)))
                 yield pa.RecordBatch.from_arrays([
                     *(batch.column(c).take(pa.array(own)) for c in ("class", "x", "label", "d", "weight")),
                     pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array([k.tobytes() for k in keys], pa.binary()),
@@ -133,14 +133,16 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93) -> DataFrame:
         order = np.lexsort((high, low, bucket))
         edges = np.flatnonzero(np.concatenate(([True], np.any(np.diff(np.stack([bucket, low, high])[:, order], axis=1) != 0, axis=0))))
         raw, packed = held.column("v").combine_chunks(), held.column("keys").combine_chunks()
-        counts, tos, froms = np.zeros(len(order), np.int64), [], []
+        counts, tos, froms, turns = np.zeros(len(order), np.int64), [], [], {}
         for at in np.split(order, edges[1:]):
             vectors = np.stack([np.frombuffer(raw[int(k)].as_buffer(), np.float64) for k in at])
             left = np.flatnonzero(own[at] == low[at[0]])
             right = np.flatnonzero(own[at] == high[at[0]])
             if not len(left) or not len(right):
                 continue
-            i, j = links_within(vectors, left, right, threshold)
+            if (d := vectors.shape[1]) not in turns:
+                turns[d] = rotations(d, 1)
+            i, j = links_within(vectors, left, right, threshold, turns[d])
             once = i < j if low[at[0]] == high[at[0]] else np.ones(len(i), bool)
             i, j = i[once], j[once]
             if not len(i):
