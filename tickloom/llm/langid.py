@@ -154,7 +154,7 @@ class Identifier:
         self.models = [KneserNey(*counts[lang]) for lang in self.languages]
         known = np.unique(np.concatenate([counts[lang][0] for lang in self.languages])) if counts else np.zeros(0, np.uint64)
         self.joint = HashArray(known, np.stack([m.log2(known) for m in self.models], 1).astype(np.float32)) if counts else None
-        self.sharpness, self.limit = 8.0, np.full(len(self.languages), np.inf)
+        self.sharpness, self.limit = 8.0, np.full(len(self.languages), 16.0)  # 16 bits: no better than any character at random
 
     def entropies(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bits per character of each text under each language, and whether it has letters."""

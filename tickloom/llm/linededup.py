@@ -71,13 +71,14 @@ def without_templates(docs: DataFrame, least_docs: int = 3, depth: int = 3, like
     template, however often it repeats it; rows of one doc_id count as one document, and so do rows without. Columns
     named n_lines or n_dropped give way to the results.
     """
-    lost = dropped_lines(docs.select("doc_id", "text"), least_docs, depth, likeness, least_words).withColumnRenamed("doc_id", "__of")
+    lost = dropped_lines(docs.select("doc_id", "text"), least_docs, depth, likeness, least_words).select(
+        F.col("doc_id").alias("__of"), F.col("lines").alias("__lost"))
     rows = docs.drop("n_lines", "n_dropped")
     # The hint keeps lists that grow with the input from being broadcast.
     rows = rows.join(lost.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(F.col("__of")), "left")
     lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda line: ~F.coalesce(F.array_contains("lines", F.md5(_masked(line).cast("binary"))), F.lit(False)))
-    kept = F.when(F.col("lines").isNull(), lines).otherwise(kept)
+    kept = F.filter(lines, lambda line: ~F.coalesce(F.array_contains("__lost", F.md5(_masked(line).cast("binary"))), F.lit(False)))
+    kept = F.when(F.col("__lost").isNull(), lines).otherwise(kept)
     rows = rows.withColumns({"__lines": lines, "__kept": kept})
     count = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0)).cast("long")
     return rows.select(*[F.array_join("__kept", "\n").alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")],
