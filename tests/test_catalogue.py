@@ -8,9 +8,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tickloom.plans import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

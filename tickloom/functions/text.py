@@ -10,7 +10,7 @@ URL = r"(?:http|www)\S+"
 MENTION = r"@[\p{L}\p{N}_]+"
 HASHTAG = r"#[\p{L}\p{N}_]+"
 NOT_WORD = r"[^\p{L}\p{N}_\s]"
-SPACES = r"\s{2,}|[^\S ]"
+SPACES = r"\s+"
 PARAGRAPH = r"(?s)<p(?:\s[^>]*)?>(.*?)</p>"
 TAG = r"(?s)<[^>]*>"
 

@@ -14,6 +14,8 @@ from tickloom.sources.ingest import TICKER_BUCKETS, find, ticker_bucket
 
 def save(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
          partition_by: Sequence[str] = ()) -> None:
+    if partition_by:  # few files per folder, and large folders split over tasks
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
@@ -110,14 +112,16 @@ def upsert_stored(path: str, incoming: DataFrame, keys: Sequence[str], partition
     """Upsert into a partitioned Parquet table, rewriting only the folders that ``incoming`` touches.
 
     ``partition`` must follow from the keys. The touched folders are merged into a new table
-    in the shared folder first, because a table cannot be overwritten while it is read.
+    in the shared folder first, because a table cannot be overwritten while it is read. Fields
+    that the table lacks are added; read such a table with ``mergeSchema``.
     """
     spark = incoming.sparkSession
     touched = incoming.select(partition).distinct()
-    current = spark.read.parquet(path)
+    current = spark.read.option("mergeSchema", "true").parquet(path)
     affected = current.join(touched, partition, "left_semi").select(*current.columns)
     merged = publish(upsert(affected, incoming, [*keys, partition], order), "upsert")
-    (merged.select(*current.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    columns = [*current.columns, *(c for c in merged.columns if c not in current.columns)]
+    (merged.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))
 
 

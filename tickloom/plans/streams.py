@@ -115,6 +115,17 @@ def r5(spark, sf):
     return R.drain(joined, "r5").select("ticker", "date", "close", *rounded(8, "polarity_mean", "subjectivity_mean"), "polarity_count")
 
 
+@query("r5_bars_left_sentiment", f"""WITH {S.BARS_EV}, {S.SENTIMENT}, d AS (SELECT ticker, date, avg(polarity) AS p, avg(subjectivity) AS s, count(*) AS n FROM sentiment
+ WHERE date + 1 <= (SELECT max(date) FROM sentiment) - 1 GROUP BY 1, 2)
+ SELECT ticker, date, close, round(coalesce(p, 0), 8) AS polarity_mean, round(coalesce(s, 0), 8) AS subjectivity_mean, coalesce(n, 0) AS polarity_count
+ FROM bars_ev LEFT JOIN d USING (ticker, date)""")
+def r5_left(spark, sf):
+    records = X.sentiment_records(table_stream(spark, sf, "documents"))
+    daily = R.drain(A.daily_sentiment(records.withColumn("ts", F.col("date").cast("timestamp"))), "r5_left")
+    joined = A.bars_with_sentiment(X.bars_ev(spark, sf), daily)
+    return joined.select("ticker", "date", "close", *rounded(8, "polarity_mean", "subjectivity_mean"), "polarity_count")
+
+
 @query("r6_newest_predictions")
 def r6(spark, sf):
     return C.newest_predictions(scored(spark, sf, "r6")).select("ticker", "model", "date", "predicted", "batch_id")

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from tickloom.functions import text as T
 from tickloom.operators import sentiment as N
 from tickloom.plans.registry import query, rounded
-from tickloom.session import spread
 from tickloom.sources import fixtures as X
 
 
@@ -33,20 +32,20 @@ RICH = "text || ' see https://x.example/a?b=1 @user_1 #tag9 www.site.example 50%
 @query("x1_clean_text", f"SELECT doc_id, {clean_sql(RICH)} AS clean FROM documents")
 def x1(spark, sf):
     rich = F.concat("text", F.lit(" see https://x.example/a?b=1 @user_1 #tag9 www.site.example 50%!"))
-    return spread(X.table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", T.clean_text(rich).alias("clean"))
+    return X.table(spark, sf, "documents").select("doc_id", "text").select("doc_id", T.clean_text(rich).alias("clean"))
 
 
 @query("x2_lexicon_score", f"""WITH {LEXICON}, src AS (SELECT doc_id AS key, text FROM documents), {scored_sql('src')}
  SELECT key AS doc_id, round(polarity, 10) AS polarity, round(subjectivity, 10) AS subjectivity FROM scored""")
 def x2(spark, sf):
-    df = N.score_text(spread(X.table(spark, sf, "documents").select("doc_id", "text")), X.lexicon(spark))
+    df = N.score_text(X.table(spark, sf, "documents").select("doc_id", "text"), X.lexicon(spark))
     return df.select("doc_id", *rounded(10, "polarity", "subjectivity"))
 
 
 @query("x3_sentiment_label", f"""WITH {LEXICON}, src AS (SELECT doc_id AS key, text FROM documents), {scored_sql('src')},
  r AS (SELECT key, round(polarity, 6) AS polarity FROM scored) SELECT key AS doc_id, {LABEL} AS sentiment FROM r""")
 def x3(spark, sf):
-    df = N.score_text(spread(X.table(spark, sf, "documents").select("doc_id", "text")), X.lexicon(spark))
+    df = N.score_text(X.table(spark, sf, "documents").select("doc_id", "text"), X.lexicon(spark))
     return df.select("doc_id", T.sentiment_label(F.round("polarity", 6)).alias("sentiment"))
 
 
@@ -56,7 +55,7 @@ def x3(spark, sf):
  SELECT ticker, date, round(avg(polarity), 9) AS polarity_mean, round(stddev_samp(polarity), 9) AS polarity_std, count(*) AS polarity_count,
  round(avg(subjectivity), 9) AS subjectivity_mean, round(stddev_samp(subjectivity), 9) AS subjectivity_std FROM d GROUP BY 1, 2""")
 def x4(spark, sf):
-    records = X.sentiment_records(spread(X.table(spark, sf, "documents").select("doc_id", "text", "source")))
+    records = X.sentiment_records(X.table(spark, sf, "documents").select("doc_id", "text", "source"))
     return N.daily_text_sentiment(records, X.lexicon(spark)).select(
         "ticker", "date", *rounded(9, "polarity_mean", "polarity_std"), "polarity_count",
         *rounded(9, "subjectivity_mean", "subjectivity_std"))
@@ -67,7 +66,7 @@ def x4(spark, sf):
  SELECT key AS page_id, round(polarity, 10) AS polarity, round(subjectivity, 10) AS subjectivity,
  CASE WHEN round(polarity, 6) > 0.1 THEN 'positive' WHEN round(polarity, 6) < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment FROM scored""")
 def x4_pages(spark, sf):
-    pages = spread(X.table(spark, sf, "pages").select("page_id", "html")).select("page_id", T.html_paragraphs("html").alias("text"))
+    pages = X.table(spark, sf, "pages").select("page_id", "html").select("page_id", T.html_paragraphs("html").alias("text"))
     df = N.score_text(pages, X.lexicon(spark), keys=["page_id"])
     return df.select("page_id", *rounded(10, "polarity", "subjectivity"),
                      T.sentiment_label(F.round("polarity", 6)).alias("sentiment"))

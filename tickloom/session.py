@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -64,9 +65,20 @@ def publish(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
 _published: dict[tuple[str, str, str], str] = {}
 
 
+def fingerprint(spark: SparkSession, source: str) -> str:
+    """The paths, lengths and times of the files under ``source``, as one hash."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listFiles(path, True)
+    seen = []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def publish_once(spark: SparkSession, source: str, name: str, build) -> DataFrame:
-    """``publish(build(), name)`` once per application, shared folder and source folder."""
-    key = (spark.sparkContext.applicationId + shared_root(spark), source, name)
+    """``publish(build(), name)`` once per application, shared folder and content of the source folder."""
+    key = (spark.sparkContext.applicationId + shared_root(spark), source + fingerprint(spark, source), name)
     path = _published.get(key)
     if path:
         try:
@@ -78,13 +90,3 @@ def publish_once(spark: SparkSession, source: str, name: str, build) -> DataFram
     _published[key] = path
     return spark.read.parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer partitions than cores, over all cores; any other scan as it is.
-
-    For work that costs much more per row than moving the row, such as text processing, when
-    a table is small or stored in few row groups. Meant for plain scans, whose partition
-    count is known without running a job.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

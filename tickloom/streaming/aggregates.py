@@ -36,6 +36,15 @@ def daily_sentiment(records: DataFrame, delay: str = SENTIMENT_DELAY, time: str
                         "subjectivity_mean", "polarity_count")
 
 
+def bars_with_sentiment(bars: DataFrame, daily: DataFrame) -> DataFrame:
+    """Every bar with the drained daily scores of its ticker and day, 0 where there are none.
+
+    A bounded run writes only the windows that the watermark has closed, so its last days count as missing.
+    """
+    scores = ("polarity_mean", "subjectivity_mean", "polarity_count")
+    return bars.select("ticker", "date", "close").join(daily.select("ticker", "date", *scores), ["ticker", "date"], "left").fillna(0, list(scores))
+
+
 def with_bars(daily: DataFrame, bars: DataFrame) -> DataFrame:
     """A stream of daily scores joined to the stored bars of the same ticker and day."""
     return daily.join(bars.select("ticker", "date", "close"), ["ticker", "date"])
