@@ -50,7 +50,8 @@ def dropped_lines(docs: DataFrame, least_docs: int = 3, depth: int = 3, likeness
     heads = variants.groupBy("leaf").agg(
         F.min_by("line", F.struct(-F.col("docs"), F.col("line"))).alias("head"), F.count("*").alias("variants")).where("variants > 1").select("leaf", "head")
     heads = publish(heads, "heads")
-    texts = _lines(docs, depth, least_words).join(heads, "leaf").select("leaf", "head", hashed.alias("line"), "masked")
+    # The hint keeps leaves that grow with the input from being broadcast.
+    texts = _lines(docs, depth, least_words).join(heads.hint("shuffle_hash"), "leaf").select("leaf", "head", hashed.alias("line"), "masked")
     texts = publish(texts.groupBy("leaf", "head", "line").agg(F.min("masked").alias("masked")), "texts")
     first = texts.where("line = head").select("leaf", F.split("masked", "\x20").alias("model"))
     words = F.split("masked", "\x20")
