@@ -140,7 +140,7 @@ class WordCoder:
     any other blank is encoded whole. The memory is emptied when it holds ``most`` words, which bounds it.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
@@ -214,15 +214,6 @@ class WordCoder:
         return flat, np.diff(reach[kept]) + head_sizes
 
 
-def coder(path: str) -> WordCoder:
-    """One coder per worker process and file: kept with the tokenizer library, it outlives the tasks of a worker."""
-    import tokenizers
-    kept = vars(tokenizers).setdefault("word_coders", {})
-    if path not in kept:
-        kept[path] = WordCoder(path)
-    return kept[path]
-
-
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
     """Token blocks of every text of ``docs`` in ascending doc_id order, as a folder at ``path``.
 
@@ -231,7 +222,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
     are dealt out by ranges of doc_id and sorted in their partition, so ranges stay even whatever the ids are.
     """
     def run(batches):
-        words, part, block, before = coder(tokenizer), TaskContext.get().partitionId(), 0, 0
+        words, part, block, before = WordCoder(tokenizer), TaskContext.get().partitionId(), 0, 0
         docs_, lengths, pieces, held = [], [], [], 0
 
         def flush():
