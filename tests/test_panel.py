@@ -92,6 +92,26 @@ def test_ewm(spark, span):
     close_to(got["y"], want["y"], rtol=1e-12)
 
 
+@pytest.mark.parametrize("span", [2, 12])
+def test_ewm_keeps_the_whole_history(spark, span):
+    """NULLs in first, middle and last rows, NaN, infinity and a spike over many blocks and segments."""
+    n, k = 3000, P.span_alpha(span)
+    series = {t: [100.0 + i % 7 for i in range(n)] for t in ("NAN", "INF", "SPIKE", "HOLES", "NONE")}
+    series["NAN"][5], series["INF"][5], series["SPIKE"][2880 - 500] = float("nan"), float("inf"), 1e60
+    series["HOLES"] = [None if i % 50 or i == 0 or i > 2900 else v for i, v in enumerate(series["HOLES"])]
+    series["NONE"] = [None] * 40
+    rows = [(t, i, v) for t, values in series.items() for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "ticker string, pos long, close double")
+    blocked = P.Panel(order=("pos",), block_rows=16, scan_rows=2)
+    got = {(r.ticker, r.pos): r.y for r in P.ewm(df, blocked, [P.Ewm("y", F.col("close"), k)]).collect()}
+    assert len(got) == len(rows)
+    for t, values in series.items():
+        y = None
+        for i, v in enumerate(values):
+            y = y if v is None else v if y is None else y * (1 - k) + v * k
+            assert got[t, i] == y or got[t, i] == pytest.approx(y, rel=1e-11, nan_ok=True), (t, i)
+
+
 def test_ewm_with_gaps(spark, pdf):
     holes = with_nulls(pdf)
     df = P.number_rows(to_spark(spark, holes), SMALL)

@@ -18,7 +18,7 @@ def exchanges(plan):
     return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
 
 
-SINGLE_PASS = ["t1_sma", "t2_ema", "t6_macd", "t8_adx", "t9_atr", "t14_volume", "t24_configured_set", "w3_returns", "w9_ewm",
+SINGLE_PASS = ["t1_sma", "t14_volume", "w3_returns",
                "f1_lag_features", "f2_history_features", "f4_return_targets", "w12_sequences", "w4_rolling_ticks"]
 
 
@@ -28,6 +28,13 @@ def test_one_shuffle_by_block(spark, name):
     assert len(found) == 1 and re.match(r"ticker#\d+L?, __blk#\d+L?", found[0])
 
 
+@pytest.mark.parametrize("name", ["t2_ema", "t6_macd", "t8_adx", "t9_atr", "t24_configured_set", "w9_ewm"])
+def test_exponential_means_by_block(spark, name):
+    """Rows are shuffled by block only; segments and keys are small tables with one row per run of blocks."""
+    for found in exchanges(plan_of(spark, name)):
+        assert re.match(r"ticker#\d+L?, (__blk|__group|_groupingexpression)#\d+L?", found) or re.fullmatch(r"ticker#\d+L?, \d+", found), found
+
+
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n[0] in "wtpfaqjx"))
 def test_windows_and_joins(spark, name):
     plan = plan_of(spark, name)

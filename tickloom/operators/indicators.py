@@ -2,7 +2,8 @@
 
 An indicator lists its columns by dependency level and how many rows it looks back.
 ``compute`` merges any number of them into one blocked window pass: one shuffle, one shared
-halo, and one select per level.
+halo, and one select per level. Exponential means end a phase: they need the whole history,
+so they are folded over blocks before the columns built on them.
 """
 
 from __future__ import annotations
@@ -14,26 +15,52 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.operators.panel import (
-    BARS, Ewm, Panel, Run, Step, drop_work_columns, ewm_steps, flag, merge_steps, pct_change, rolling,
+    BARS, Ewm, Panel, Run, Step, drop_work_columns, ensure_numbered, ewm, flag, merge_steps, pct_change, rolling,
     running, span_alpha, windowed,
 )
 
 
 @dataclass(frozen=True)
-class Indicator:
+class Phase:
+    """Window steps that look back ``before`` rows in all, then exponential means of their columns."""
+
     steps: tuple[Step, ...]
     before: int
+    means: tuple[Ewm, ...] = ()
+
+
+@dataclass(frozen=True)
+class Indicator:
+    phases: tuple[Phase, ...]
+
+
+def phase(before: int, *steps: Step, means: Sequence[Ewm] = ()) -> Phase:
+    """A phase after the first that looks back 0 rows has plain columns only."""
+    return Phase(tuple(steps), before, tuple(means))
 
 
 def indicator(before: int, *steps: Step) -> Indicator:
-    return Indicator(tuple(steps), before)
+    return Indicator((phase(before, *steps),))
 
 
 def compute(df: DataFrame, indicators: Sequence[Indicator], panel: Panel = BARS) -> DataFrame:
     """``df`` plus the columns of all indicators."""
-    levels = merge_steps([i.steps for i in indicators])
-    reach = max((i.before for i in indicators), default=0)
-    return drop_work_columns(windowed(df, panel, levels, before=reach))
+    df, made = ensure_numbered(df, panel), set()
+    for depth in range(max((len(i.phases) for i in indicators), default=0)):
+        phases = [i.phases[depth] for i in indicators if depth < len(i.phases)]
+        parts = [[{n: fn for n, fn in step.items() if n not in made} for step in p.steps] for p in phases]
+        levels, reach = merge_steps(parts), max(p.before for p in phases)
+        if levels and (reach or not depth):
+            df = windowed(df, panel, levels, before=reach)
+        else:
+            for level in levels:
+                df = df.select("*", *level(None))
+        made |= {n for steps in parts for step in steps for n in step}
+        means = {m.out: m for p in phases for m in p.means if m.out not in made}
+        if means:
+            df = ewm(df, panel, list(means.values()))
+            made |= set(means)
+    return drop_work_columns(df)
 
 
 def _c(name: str) -> Column:
@@ -73,8 +100,7 @@ def sma(n: int, x: str = "close", out: str | None = None, min_periods: int | Non
 
 
 def ema(n: int, x: str = "close", out: str | None = None, panel: Panel = BARS) -> Indicator:
-    spec = Ewm(out or f"ema_{n}", _c(x).cast("double"), span_alpha(n))
-    return indicator(spec.memory, *ewm_steps(panel, spec))
+    return Indicator((phase(0, means=[Ewm(out or f"ema_{n}", _c(x), span_alpha(n))]),))
 
 
 def bollinger(n: int = 20, width: float = 2.0, population: bool = False) -> Indicator:
@@ -88,14 +114,12 @@ def bollinger(n: int = 20, width: float = 2.0, population: bool = False) -> Indi
 
 
 def macd(fast: int = 12, slow: int = 26, signal: int = 9, panel: Panel = BARS) -> Indicator:
-    close = _c("close").cast("double")
-    a, b = Ewm(f"__ema_{fast}", close, span_alpha(fast)), Ewm(f"__ema_{slow}", close, span_alpha(slow))
+    a, b = Ewm(f"__ema_{fast}", _c("close"), span_alpha(fast)), Ewm(f"__ema_{slow}", _c("close"), span_alpha(slow))
     tail = _suffix((fast, 12), (slow, 26), (signal, 9))
     s = Ewm(f"macd_signal{tail}", _c(f"macd{tail}"), span_alpha(signal))
-    both = [{**x, **y} for x, y in zip(ewm_steps(panel, a), ewm_steps(panel, b))]
-    return indicator(max(a.memory, b.memory) + s.memory, *both,
-                     {f"macd{tail}": _plain(_c(a.out) - _c(b.out))}, *ewm_steps(panel, s),
-                     {f"macd_hist{tail}": _plain(_c(f"macd{tail}") - _c(s.out))})
+    return Indicator((
+        phase(0, means=[a, b]), phase(0, {f"macd{tail}": _plain(_c(a.out) - _c(b.out))}, means=[s]),
+        phase(0, {f"macd_hist{tail}": _plain(_c(f"macd{tail}") - _c(s.out))})))
 
 
 # --- oscillators ------------------------------------------------------------------------
@@ -124,10 +148,10 @@ def rsi(n: int = 14, dialect: str = "panel") -> Indicator:
 def rsi_wilder(n: int = 14, panel: Panel = BARS) -> Indicator:
     g = Ewm(f"__wilder_gain_{n}", _c("__gain"), 1.0 / n, seed_pos=1)
     l = Ewm(f"__wilder_loss_{n}", _c("__loss"), 1.0 / n, seed_pos=1)
-    both = [{**x, **y} for x, y in zip(ewm_steps(panel, g), ewm_steps(panel, l))]
     ready = _c(panel.pos) >= n - 1
-    return indicator(g.memory + 1, PREV, _gain_loss(), *both,
-                     {f"rsi_wilder{_suffix((n, 14))}": _plain(F.when(ready, _rsi(g.out, l.out, F.lit(100.0))))})
+    return Indicator((
+        phase(1, PREV, _gain_loss(), means=[g, l]),
+        phase(0, {f"rsi_wilder{_suffix((n, 14))}": _plain(F.when(ready, _rsi(g.out, l.out, F.lit(100.0))))})))
 
 
 def stochastic(n: int = 14, d: int = 3) -> Indicator:
@@ -185,7 +209,7 @@ def _wilder(panel: Panel, out: str, x: str, n: int, first: int) -> tuple[Step, E
 
 def atr(n: int = 14, panel: Panel = BARS) -> Indicator:
     seed, spec = _wilder(panel, f"atr{_suffix((n, 14))}", "true_range", n, 0)
-    return indicator(spec.memory + n, PREV, {"true_range": _plain(_true_range())}, seed, *ewm_steps(panel, spec))
+    return Indicator((phase(n, PREV, {"true_range": _plain(_true_range())}, seed, means=[spec]),))
 
 
 def atr_simple(n: int = 14) -> Indicator:
@@ -203,19 +227,18 @@ def adx(n: int = 14, panel: Panel = BARS) -> Indicator:
     seeds: Step = {}
     for step, _ in parts:
         seeds |= step
-    smooth: list[Step] = []
-    for steps in zip(*[ewm_steps(panel, spec) for _, spec in parts]):
-        smooth.append({k: v for s in steps for k, v in s.items()})
     plus, minus = _c(f"plus_di{tail}"), _c(f"minus_di{tail}")
     total = plus + minus
     dx_seed, dx_spec = _wilder(panel, f"adx{tail}", f"__dx_{n}", n, n - 1)
-    return indicator(2 * dx_spec.memory + 2 * n,
-                     {**PREV, "__prev_high": _lag("high", 1), "__prev_low": _lag("low", 1)}, moves, seeds, *smooth,
-                     {f"plus_di{tail}": _plain(100 * F.try_divide(_c(f"__wpdm_{n}"), _c(f"__wtr_{n}"))),
-                      f"minus_di{tail}": _plain(100 * F.try_divide(_c(f"__wmdm_{n}"), _c(f"__wtr_{n}")))},
-                     {f"__dx_{n}": _plain(F.when(total.isNull() | (total == 0), F.lit(0.0))
-                                     .otherwise(100 * F.try_divide(F.abs(plus - minus), total)))},
-                     dx_seed, *ewm_steps(panel, dx_spec))
+    return Indicator((
+        phase(n, {**PREV, "__prev_high": _lag("high", 1), "__prev_low": _lag("low", 1)}, moves, seeds,
+              means=[spec for _, spec in parts]),
+        phase(n - 1,
+              {f"plus_di{tail}": _plain(100 * F.try_divide(_c(f"__wpdm_{n}"), _c(f"__wtr_{n}"))),
+               f"minus_di{tail}": _plain(100 * F.try_divide(_c(f"__wmdm_{n}"), _c(f"__wtr_{n}")))},
+              {f"__dx_{n}": _plain(F.when(total.isNull() | (total == 0), F.lit(0.0))
+                                   .otherwise(100 * F.try_divide(F.abs(plus - minus), total)))},
+              dx_seed, means=[dx_spec])))
 
 
 # --- returns, volume, flags -------------------------------------------------------------

@@ -119,7 +119,7 @@ def windowed(df: DataFrame, panel: Panel, levels: Sequence[Level], before: int =
     else:
         df = df.withColumn(_BLK, own)
     w = W.partitionBy(*panel.keys, _BLK).orderBy(panel.pos)
-    # Windows over parts of a block (ewm) would otherwise each ask for a shuffle of their own.
+    # Windows over parts of a block would otherwise each ask for a shuffle of their own.
     df = df.repartition(*panel.keys, _BLK)
     for level in levels:
         df = df.select("*", *level(w))
@@ -275,10 +275,9 @@ def interpolate(df: DataFrame, panel: Panel, columns: Sequence[str]) -> DataFram
 
 @dataclass(frozen=True)
 class Ewm:
-    """``y = (1-k)·y_prev + k·x`` from row ``seed_pos`` on, where ``y = x``; no NULL after it.
+    """``y = (1-k)·y_prev + k·x`` over the non-NULL ``x`` from row ``seed_pos`` on.
 
-    The weight of a row ``memory`` rows back is below 1e-30 of the newest one, under the
-    resolution of a double, so a halo of ``memory`` rows gives the value of the full history.
+    The first such value seeds ``y``; a NULL row repeats the value before it; NaN stays.
     """
 
     out: str
@@ -288,11 +287,7 @@ class Ewm:
 
     @property
     def decay(self) -> float:
-        return -math.log1p(-self.alpha) if self.alpha < 1 else math.inf
-
-    @property
-    def memory(self) -> int:
-        return 0 if self.alpha >= 1 else math.ceil(69 / self.decay)
+        return -math.log1p(-self.alpha)
 
     @property
     def chunk(self) -> int:
@@ -307,36 +302,6 @@ def span_alpha(span: float) -> float:
 Step = dict[str, Callable[[WindowSpec], Column]]
 
 
-def ewm_steps(panel: Panel, s: Ewm) -> list[Step]:
-    """Three levels of named columns for one EWM, linear in the rows and free of Python.
-
-    With q = 1-k and i the row's index in its chunk, the chunk's own part of y is
-    ``q^i · Σ w·x·q^-i``, a plain running sum. The previous chunk's last value enters with
-    weight ``q^(i+1)``; what lies before it is below 1e-80.
-    """
-    pos = F.col(panel.pos)
-    loc, car = f"__loc_{s.out}", f"__car_{s.out}"
-    if s.alpha >= 1:
-        return [{s.out: lambda w: F.when(pos >= s.seed_pos, s.x)}]
-    index = (pos % s.chunk).cast("double")
-
-    def local(_: WindowSpec) -> Column:
-        weight = F.when(pos == s.seed_pos, F.lit(1.0)).when(pos > s.seed_pos, F.lit(float(s.alpha)))
-        chunk = (W.partitionBy(*panel.keys, _BLK, F.expr(f"`{panel.pos}` div {s.chunk}"))
-                 .orderBy(panel.pos).rowsBetween(W.unboundedPreceding, 0))
-        return F.sum(weight * s.x * F.exp(index * s.decay)).over(chunk) * F.exp(-index * s.decay)
-
-    def carried(w: WindowSpec) -> Column:
-        last_of_chunk = F.when(pos % s.chunk == s.chunk - 1, F.col(loc))
-        return F.last(last_of_chunk, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
-
-    def value(_: WindowSpec) -> Column:
-        before = F.coalesce(F.col(car), F.lit(0.0)) * F.exp(-(index + 1) * s.decay)
-        return F.when(pos >= s.seed_pos, F.coalesce(F.col(loc), F.lit(0.0)) + before)
-
-    return [{loc: local}, {car: carried}, {s.out: value}]
-
-
 def merge_steps(parts: Sequence[Sequence[Step]]) -> list[Level]:
     """One level per dependency depth; a column named in several parts is computed once."""
     first: dict[str, int] = {}
@@ -358,18 +323,85 @@ def drop_work_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
+_BLOCKS_PER_SEGMENT = 1024
+
+
 def ewm(df: DataFrame, panel: Panel, specs: Sequence[Ewm]) -> DataFrame:
-    """EWM columns where the inputs have no NULL from their seed row on."""
-    reach = max((s.memory for s in specs), default=0)
-    levels = merge_steps([ewm_steps(panel, s) for s in specs])
-    return drop_work_columns(windowed(df, panel, levels, before=reach))
+    """``df`` plus one column per spec: the exact recursion over the whole history.
+
+    The recursion is affine. A block of ``n`` values, the first of them ``f``, turns a value
+    ``c`` into ``(q·c + k·f)·q^(n-1) + e``, or ``f·q^(n-1) + e`` where there is none before, and
+    ``e`` is the part of its other values, a running sum of ``k·x·q^-i`` scaled back by ``q^i``. Blocks become one row each; runs of 1,024 of them are folded in an array, then the runs
+    of a key, and each block's rows get the carry of all rows before it. Nothing is cut off,
+    and no rows are copied whatever the span.
+    """
+    df = ensure_numbered(df, panel)
+    keys, pos, columns = list(panel.keys), F.col(panel.pos), df.columns
+    seen = {s.out: F.when(pos >= s.seed_pos, s.x.cast("double")) for s in specs}
+    latest = {s.out: Run("last", seen[s.out]) for s in specs if s.alpha >= 1}
+    if latest:
+        df = running(df, panel, latest)
+    specs = [s for s in specs if s.alpha < 1]
+    if not specs:
+        return df
+    numbered = list(enumerate(specs))
+    size = min([panel.scan_rows, *[s.chunk for s in specs]])
+    base = df.select("*", _block_of(panel, size).alias(_BLK), *[seen[s.out].alias(f"__x{i}") for i, s in numbered])
+    so_far = W.partitionBy(*keys, _BLK).orderBy(panel.pos).rowsBetween(W.unboundedPreceding, 0)
+    counted = base.select("*", *[F.count(f"__x{i}").over(so_far).alias(f"__n{i}") for i, _ in numbered])
+
+    def own(i: int, s: Ewm) -> Column:
+        index = F.col(f"__n{i}") - 1
+        scaled = F.when(index > 0, F.lit(s.alpha) * F.col(f"__x{i}") * F.exp(index * s.decay))
+        return F.coalesce(F.sum(scaled).over(so_far) * F.exp(index * -s.decay), F.lit(0.0))
+
+    local = counted.select("*", *[own(i, s).alias(f"__e{i}") for i, s in numbered])
+
+    def onward(i: int, s: Ewm, before: Column, part: Callable[[str], Column], seed: Column | None = None) -> Column:
+        """The value after a stretch; ``seed`` stands for its first value where none is before it."""
+        n, first = part(f"__n{i}"), part(f"__f{i}")
+        start = F.coalesce(before * (1 - s.alpha) + first * s.alpha, first if seed is None else seed)
+        # An infinite value stays, also where its weight is too small for a double.
+        kept = F.when(F.abs(start) == math.inf, start).otherwise(start * F.exp((n - 1) * -s.decay))
+        return F.when(n == 0, before).otherwise(kept + part(f"__e{i}"))
+
+    def after(i: int, s: Ewm, stretches: Column, start: Column, seed: Column | None = None) -> Column:
+        return F.aggregate(stretches, start, lambda value, b: onward(i, s, value, lambda name: b[name], seed))
+
+    def total(name: str) -> Column:
+        return F.aggregate("__held", F.lit(0).cast("long"), lambda n, b: n + b[name])
+
+    def first_known(name: str) -> Column:
+        return F.aggregate("__held", nothing, lambda f, b: F.coalesce(f, b[name]))
+
+    nothing = F.lit(None).cast("double")
+    parts = [f"__{k}{i}" for i, _ in numbered for k in "nef"]
+    blocks = local.groupBy(*keys, _BLK).agg(*[c for i, _ in numbered for c in (
+        F.max(f"__n{i}").alias(f"__n{i}"), F.max_by(f"__e{i}", panel.pos).alias(f"__e{i}"),
+        F.min_by(f"__x{i}", F.when(F.col(f"__x{i}").isNotNull(), pos)).alias(f"__f{i}"))])
+    held = F.sort_array(F.collect_list(F.struct(_BLK, *parts)))
+    segments = (blocks.groupBy(*keys, F.floor(F.col(_BLK) / _BLOCKS_PER_SEGMENT).alias("__group"))
+                .agg(held.alias("__held")))
+    whole = [c for i, s in numbered for c in (
+        total(f"__n{i}").alias(f"__n{i}"),
+        F.coalesce(after(i, s, F.col("__held"), nothing, F.lit(0.0)), F.lit(0.0)).alias(f"__e{i}"),
+        first_known(f"__f{i}").alias(f"__f{i}"))]
+    earlier = W.partitionBy(*keys).orderBy("__group").rowsBetween(W.unboundedPreceding, -1)
+    segments = (segments.select("*", *whole)
+                .select(*keys, "__held", F.collect_list(F.struct(*parts)).over(earlier).alias("__ahead"))
+                .select(*keys, "__held", *[after(i, s, F.col("__ahead"), nothing).alias(f"__s{i}") for i, s in numbered]))
+
+    def block_carries(at: Column) -> Column:
+        ahead, block = F.slice("__held", F.lit(1), at - 1), F.element_at("__held", at)
+        return F.struct(block[_BLK].alias(_BLK), *[c for i, s in numbered for c in (
+            after(i, s, ahead, F.col(f"__s{i}")).alias(f"__c{i}"), block[f"__f{i}"].alias(f"__f{i}"))])
+
+    carries = (segments.select(*keys, F.explode(F.transform(F.sequence(F.lit(1), F.size("__held")), block_carries)).alias("__b"))
+               .select(*keys, "__b.*"))
+    return local.join(carries, [*keys, _BLK]).select(
+        *columns, *latest, *[onward(i, s, F.col(f"__c{i}"), F.col).alias(s.out) for i, s in numbered])
 
 
 def ewm_with_gaps(df: DataFrame, panel: Panel, out: str, x: str, alpha: float) -> DataFrame:
     """EWM over the non-NULL values; a NULL row repeats the value before it."""
-    df = ensure_numbered(df, panel)
-    at = [*panel.keys, panel.pos]
-    dense = Panel(panel.keys, (panel.pos,), "__dense", panel.block_rows, panel.scan_rows)
-    known = number_rows(df.where(F.col(x).isNotNull()).select(*at, x), dense)
-    smoothed = ewm(known, dense, [Ewm(out, F.col(x), alpha)])
-    return forward_fill(df.join(smoothed.select(*at, out), at, "left"), panel, [out])
+    return ewm(df, panel, [Ewm(out, F.col(x), alpha)])

@@ -67,6 +67,21 @@ def t6(spark, sf):
     return I.compute(X.bars(spark, sf), [I.macd()]).select(*BASE, *rounded(2, "macd", "macd_signal", "macd_hist"))
 
 
+@query("t2_ema_with_gaps", f"""WITH {S.BARS_GAPPY}, e AS (SELECT ticker, date, {S.ewm_gaps('close', '(2.0::DOUBLE/6)')} AS ema_5,
+ {S.ewm_gaps('close', '(2.0::DOUBLE/27)')} AS ema_26 FROM bars_gappy)
+ SELECT ticker, date, round(ema_5, 2) AS ema_5, round(ema_26, 2) AS ema_26 FROM e""")
+def t2_gaps(spark, sf):
+    return I.compute(X.bars_gappy(spark, sf), [I.ema(5), I.ema(26)]).select(*BASE, *rounded(2, "ema_5", "ema_26"))
+
+
+@query("t6_macd_with_gaps", f"""WITH {S.BARS_GAPPY}, m AS (SELECT ticker, date,
+  {S.ewm_gaps('close', '(2.0::DOUBLE/13)')} - {S.ewm_gaps('close', '(2.0::DOUBLE/27)')} AS macd FROM bars_gappy),
+ s AS (SELECT ticker, date, macd, {S.ewm_gaps('macd', '(2.0::DOUBLE/10)')} AS sig FROM m)
+ SELECT ticker, date, round(macd, 2) AS macd, round(sig, 2) AS macd_signal, round(macd - sig, 2) AS macd_hist FROM s""")
+def t6_gaps(spark, sf):
+    return I.compute(X.bars_gappy(spark, sf), [I.macd()]).select(*BASE, *rounded(2, "macd", "macd_signal", "macd_hist"))
+
+
 @query("t7_stochastic", f"""WITH {S.BARS}, e AS (SELECT ticker, date, close, {S.full('max', 'high', 14)} AS hh, {S.full('min', 'low', 14)} AS ll FROM bars),
  k AS (SELECT ticker, date, 100 * (close - ll) / nullif(hh - ll, 0) AS k FROM e)
  SELECT ticker, date, round(k, 6) AS stoch_k, round({S.full('avg', 'k', 3)}, 6) AS stoch_d FROM k""")

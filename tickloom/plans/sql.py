@@ -72,3 +72,9 @@ def ewm(x: str, k: str, order: str = "date") -> str:
     """The exact recursion over all rows so far; x has no NULL."""
     return (f"list_reduce(list({x}) OVER (PARTITION BY ticker ORDER BY {order} "
             f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), lambda a, b: a * (1 - {k}) + b * {k})")
+
+
+def ewm_gaps(x: str, k: str) -> str:
+    """The recursion over the non-NULL values so far."""
+    return (f"list_reduce(list({x}) FILTER (WHERE {x} IS NOT NULL) OVER (PARTITION BY ticker ORDER BY date "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), lambda a, b: a * (1 - {k}) + b * {k})")

@@ -93,8 +93,7 @@ def w9(spark, sf):
 
 
 @query("w9_ewm_with_gaps", f"""WITH {S.BARS_GAPPY}, e AS (
-  SELECT ticker, date, list_reduce(list(close) FILTER (WHERE close IS NOT NULL) OVER (PARTITION BY ticker ORDER BY date
-   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), lambda a, b: a * (1 - 2.0::DOUBLE/13) + b * (2.0::DOUBLE/13)) AS ewm_span_12
+  SELECT ticker, date, {S.ewm_gaps('close', '(2.0::DOUBLE/13)')} AS ewm_span_12
   FROM bars_gappy) SELECT ticker, date, {sql_rounded(2, 'ewm_span_12')} FROM e""")
 def w9_gaps(spark, sf):
     df = P.ewm_with_gaps(X.bars_gappy(spark, sf), P.BARS, "ewm_span_12", "close", P.span_alpha(12))
@@ -104,10 +103,9 @@ def w9_gaps(spark, sf):
 @query("w9_wide_panel", f"""WITH {S.BARS_LI}, e AS (SELECT ticker, date, {S.ewm('close', '(2.0::DOUBLE/13)')} AS ewm_span_12, {S.full('avg', 'close', 20)} AS mean_20 FROM bars_li)
  SELECT ticker, date, {sql_rounded(4, 'ewm_span_12')}, {sql_rounded(6, 'mean_20')} FROM e""")
 def w9_wide(spark, sf):
-    panel, close = P.BARS, F.col("close")
-    spec = P.Ewm("ewm_span_12", close, P.span_alpha(12))
     mean = {"mean_20": lambda w: P.rolling(F.avg("close"), "close", 20, w)}
-    df = P.windowed(X.bars_li(spark, sf), panel, P.merge_steps([P.ewm_steps(panel, spec), [mean]]), before=spec.memory)
+    df = P.windowed(X.bars_li(spark, sf), P.BARS, P.merge_steps([[mean]]), before=19)
+    df = P.ewm(df, P.BARS, [P.Ewm("ewm_span_12", F.col("close"), P.span_alpha(12))])
     return df.select(*BASE, *rounded(4, "ewm_span_12"), *rounded(6, "mean_20"))
 
 
