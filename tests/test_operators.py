@@ -277,6 +277,20 @@ def test_ticker_folder_is_pruned(spark, bars, tmp_path):
     assert "PartitionFilters: [isnotnull(bucket" in plan
 
 
+def test_any_number_of_ticker_folders_is_read(spark, bars, tmp_path):
+    path = str(tmp_path / "bars")
+    K.save_bars(bars, path, buckets=3)
+    one = G.load_bars(spark, path, "MID")
+    assert one.count() == 80
+    assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="3 ticker folders"):
+        K.save_bars(bars, path, "append")
+    K.save_bars(bars, path, "append", buckets=3)
+    assert G.load_bars(spark, path, "MID").count() == 160
+    K.save(bars.withColumn("bucket", F.lit(0)), str(tmp_path / "plain"), partition_by=["bucket"])
+    assert G.load_bars(spark, str(tmp_path / "plain"), "MID").count() == 80
+
+
 def test_macro_csv_with_junk_and_time_of_day(spark, tmp_path):
     (tmp_path / "m.csv").write_text("date,value,series_id,indicator_name\n2020-01-01 05:00:00,1.5,A,x\n2020-02-01,.,A,x\n")
     rows = G.load_macro(spark, str(tmp_path / "m.csv")).orderBy("date").collect()

@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.session import publish
-from tickloom.sources.ingest import TICKER_BUCKETS, find, ticker_bucket
+from tickloom.sources.ingest import TICKER_BUCKETS, find, stored_buckets, ticker_bucket
 
 
 def save(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -23,8 +24,19 @@ def save(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite"
 
 
 def save_bars(df: DataFrame, path: str, mode: str = "overwrite", buckets: int = TICKER_BUCKETS) -> None:
-    """Bars in a bounded number of ticker folders, so a ticker filter prunes to one of them."""
-    save(df.withColumn("bucket", ticker_bucket(F.col("ticker"), buckets)), path, "parquet", mode, ["bucket"])
+    """Bars in a bounded number of ticker folders, so a ticker filter prunes to one of them.
+
+    The number is stored with the ticker column; appending with another one is an error.
+    """
+    if mode == "append":
+        try:
+            stored = stored_buckets(df.sparkSession.read.parquet(path))
+        except AnalysisException:  # nothing there yet
+            stored = None
+        if stored not in (None, buckets):
+            raise ValueError(f"{path} has {stored} ticker folders, not {buckets}")
+    noted = df.withMetadata("ticker", {**df.schema["ticker"].metadata, "buckets": buckets})
+    save(noted.withColumn("bucket", ticker_bucket(F.col("ticker"), buckets)), path, "parquet", mode, ["bucket"])
 
 
 def save_table(df: DataFrame, name: str, database: str, location: str, mode: str = "overwrite",

@@ -33,12 +33,19 @@ def ticker_bucket(ticker: Column, buckets: int = TICKER_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(ticker), F.lit(buckets)).cast("int")
 
 
-def load_bars(spark: SparkSession, path: str, ticker: str | None = None, start=None, end=None,
-              buckets: int = TICKER_BUCKETS) -> DataFrame:
-    """One ticker's (or all) bars from the stored table; only the ticker's folder is read."""
+def stored_buckets(bars: DataFrame) -> int | None:
+    """The number of ticker folders, as ``save_bars`` notes it with the ticker column."""
+    return bars.schema["ticker"].metadata.get("buckets") if "bucket" in bars.columns else None
+
+
+def load_bars(spark: SparkSession, path: str, ticker: str | None = None, start=None, end=None) -> DataFrame:
+    """One ticker's (or all) bars from the stored table.
+
+    Only the ticker's folder is read where the table tells how many it has, else all of them.
+    """
     df = spark.read.parquet(path)
     if ticker is not None:
-        if "bucket" in df.columns:
+        if buckets := stored_buckets(df):
             df = df.where(F.col("bucket") == ticker_bucket(F.lit(ticker), buckets))
         df = df.where(F.col("ticker") == ticker)
     return date_range(df, start, end).drop("bucket")
