@@ -16,6 +16,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,10 @@ PACKED = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10,
 ESCAPE = (1 << 60) - 1
 SPAN = 1024
 BLOCK_IDS = 1 << 20
+#: Bytes of text that are encoded together.
+BATCH_BYTES = 1 << 23
+#: Different words in one call of the tokenizer.
+WORDS = 1 << 13
 
 BLOCKS = ("part int, block int, before long, ids long, docs array<long>, lengths array<long>, words binary, "
           "offsets binary, escapes binary")
@@ -132,86 +137,79 @@ def decode(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, count: i
     return out
 
 
+def _runs(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``ids[start:start + size]`` of every run, one after another."""
+    before = np.cumsum(sizes) - sizes
+    return ids[np.repeat(starts - before, sizes) + np.arange(sizes.sum())]
+
+
 class WordCoder:
-    """A byte-level tokenizer with a memory of blank-led words.
+    """A byte-level tokenizer that encodes each different word of a batch once.
 
     Such a tokenizer never joins characters across a blank that stands between two other characters: the blank opens
-    the next piece. So a text is cut there and each different word is encoded once, many words in one call. A text with
-    any other blank is encoded whole. The memory is emptied when it holds ``most`` words, which bounds it.
+    the next piece. So texts are cut there, and the different words of a batch are encoded in one call. A text with any
+    other blank is encoded whole. Nothing is kept from batch to batch, so a batch bounds the memory.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose token starts with a blank
         self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.marks = {m: self.tokenizer.encode(m).ids[0] for m in ".,;:!?"}
-        self.most = most
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}  # word after a blank: its number, or -1 where a text must not be cut
-        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def learn(self, words: list[str]) -> None:
-        """Words that end in one mark after a letter or digit are put together from their parts."""
-        self.known.update((w, -1) for w in words if not w or w[0].isspace() or w[-1].isspace())
-        words = [w for w in words if w not in self.known]
-        marked = [w for w in words if len(w) > 1 and w[-1] in ".,;:!?" and w[-2].isalnum()]
-        self._encode_new({w for w in words if not (len(w) > 1 and w[-1] in ".,;:!?" and w[-2].isalnum())}
-                         | {core for w in marked if (core := w[:-1]) not in self.known})
-        if not marked:
-            return
-        number = np.array([self.known[w[:-1]] for w in marked], np.int64)
-        mark = np.array([self.marks[w[-1]] for w in marked], np.uint32)
-        sizes = self.sizes[number]
-        first = np.cumsum(sizes) - sizes
-        ids = np.insert(self.ids[np.repeat(self.starts[number] - first, sizes) + np.arange(sizes.sum())], first + sizes, mark)
-        self._add(marked, ids, sizes + 1)
-
-    def _encode_new(self, words: set[str]) -> None:
-        if words:
-            ordered = list(words)
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(ordered)], add_special_tokens=False)[0].ids, np.uint32)
-            starts = np.flatnonzero(self.opens[ids])
-            assert len(starts) == len(ordered)
-            self._add(ordered, ids, np.diff(np.append(starts, len(ids))))
-
-    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.known.update(zip(words, range(len(self.starts), len(self.starts) + len(words))))
-        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes) - sizes))
-        self.sizes = np.concatenate((self.sizes, sizes))
-        self.ids = np.concatenate((self.ids, ids))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and each text's number of ids."""
-        if len(self.known) > self.most:
-            self.clear()
-        split = [t.split(" ") for t in texts]
-        bounds = np.concatenate(([0], np.cumsum([len(words) for words in split])))
-        words = [w for text in split for w in text]
-        numbers = list(map(self.known.get, words))
-        missing = {w for w, n in zip(words, numbers) if n is None}
-        if missing:
-            self.learn(list(missing))
-            numbers = list(map(self.known.__getitem__, words))
-        numbers = np.array(numbers, np.int64)
-        whole = np.minimum.reduceat(numbers, bounds[:-1]) < 0 if texts else np.zeros(0, bool)
+        self.marks = pa.array(list(".,;:!?"))
+        self.mark_ids = np.array([self.tokenizer.encode(m).ids[0] for m in self.marks.to_pylist()], np.uint32)
+
+    def _texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts as they are, one after another, and each text's number of ids."""
+        texts, coded = texts.to_pylist(), []
+        for at in range(0, len(texts), 256):  # what a call returns takes many times its ids' room
+            group = self.tokenizer.encode_batch_fast(texts[at:at + 256], add_special_tokens=False)
+            coded += [np.array(c.ids, np.uint32) for c in group]
+        return np.concatenate([np.zeros(0, np.uint32), *coded]), np.array([len(c) for c in coded], np.int64)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, each after a blank, and each word's number of ids.
+
+        A mark that ends a word after a letter or digit is a piece of its own, so such words share the ids of the rest.
+        """
+        marked = pc.match_substring_regex(words, r"[\p{L}\p{N}][.,;:!?]$")
+        cores = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+        ordered = cores.dictionary.to_pylist()
+        calls = [pa.array(["".join(" " + w for w in ordered[at:at + WORDS])]) for at in range(0, len(ordered), WORDS)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *[self._texts(call)[0] for call in calls]])
+        starts = np.flatnonzero(self.opens[ids])
+        assert len(starts) == len(cores.dictionary)
+        number = cores.indices.to_numpy()
+        starts, sizes = starts[number], np.diff(np.append(starts, len(ids)))[number]
+        marked = marked.to_numpy(zero_copy_only=False)
+        last = pc.index_in(pc.utf8_slice_codeunits(words.filter(pa.array(marked)), -1), self.marks).to_numpy(zero_copy_only=False)
+        ids = np.insert(_runs(ids, starts, sizes), np.cumsum(sizes)[marked], self.mark_ids[last.astype(np.int64)])
+        return ids, sizes + marked
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and each text's number of ids."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        split = pc.split_pattern(texts, " ")
+        first = split.offsets.to_numpy()[:-1]
+        coded = split.flatten().dictionary_encode()
+        words, number = coded.dictionary, coded.indices.to_numpy()
+        blank = pc.or_(pc.equal(words, ""), pc.not_equal(pc.utf8_trim_whitespace(words), words)).to_numpy(zero_copy_only=False)
+        whole = np.logical_or.reduceat(blank[number], first)
         # The first word of a text has no blank before it, so it is encoded apart, as are texts that must not be cut.
-        heads = self.tokenizer.encode_batch_fast([t if w else s[0] for t, w, s in zip(texts, whole, split)], add_special_tokens=False)
-        heads = [h.ids for h in heads]
-        alone = np.repeat(whole, np.diff(bounds))
-        alone[bounds[:-1]] = True
-        kept = np.concatenate(([0], np.cumsum(~alone)))[bounds]
-        numbers = numbers[~alone]
-        sizes = self.sizes[numbers]
-        reach = np.concatenate(([0], np.cumsum(sizes)))
-        flat = self.ids[np.repeat(self.starts[numbers] - reach[:-1], sizes) + np.arange(reach[-1])]
-        head_sizes = np.array([len(h) for h in heads], np.int64)
-        flat = np.insert(flat, np.repeat(reach[kept[:-1]], head_sizes), [i for h in heads for i in h])
-        return flat, np.diff(reach[kept]) + head_sizes
+        apart, apart_sizes = self._texts(pc.if_else(pa.array(whole), texts, words.take(pa.array(number[first]))))
+        alone = np.repeat(whole, np.diff(np.append(first, len(number))))
+        alone[first] = True
+        used = np.zeros(len(words), bool)
+        used[number[~alone]] = True
+        ids, used_sizes = self._words(words.filter(pa.array(used)))
+        sizes, starts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        sizes[used], starts[used] = used_sizes, np.cumsum(used_sizes) - used_sizes
+        sizes, starts = np.where(alone, 0, sizes[number]), starts[number]
+        sizes[first], starts[first] = apart_sizes, len(ids) + np.cumsum(apart_sizes) - apart_sizes
+        return _runs(np.concatenate((ids, apart)), starts, sizes), np.add.reduceat(sizes, first)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
@@ -234,27 +232,28 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
                 "escapes": escapes.astype("<u8").tobytes()}], schema)
 
         for batch in batches:
-            names = batch.column("doc_id").to_pylist()
-            texts = batch.column("text").to_pylist()
+            names, texts = batch.column("doc_id").to_pylist(), pc.fill_null(batch.column("text"), "")
+            size = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
             at = 0
             while at < len(texts):
-                stop, size = at, 0
-                while stop < len(texts) and (size < 1 << 20 or stop == at):
-                    size += len(texts[stop] or "")
-                    stop += 1
-                flat, counts = words.encode([t or "" for t in texts[at:stop]])
+                stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + BATCH_BYTES, "right")))
+                flat, counts = words.encode(texts.slice(at, stop - at))
+                flat, counts = np.insert(flat, np.cumsum(counts), end_id), counts + 1
                 ends = np.cumsum(counts)
-                flat = np.insert(flat, ends, end_id)
-                counts = counts + 1
-                pieces.append(flat)
-                docs_ += names[at:stop]
-                lengths += counts.tolist()
-                held += len(flat)
+                done = 0
+                while done < len(counts):
+                    begin = int(ends[done] - counts[done])
+                    more = 1 + int(np.searchsorted(ends, begin + BLOCK_IDS - held))
+                    pieces.append(flat[begin:int(ends[min(more, len(ends)) - 1])])
+                    docs_ += names[at + done:at + more][:len(counts) - done]
+                    lengths += counts[done:more].tolist()
+                    held += len(pieces[-1])
+                    done = min(more, len(counts))
+                    if held >= BLOCK_IDS:
+                        yield flush()
+                        block, before = block + 1, before + held
+                        docs_, lengths, pieces, held = [], [], [], 0
                 at = stop
-                if held >= BLOCK_IDS:
-                    yield flush()
-                    block, before = block + 1, before + held
-                    docs_, lengths, pieces, held = [], [], [], 0
         if docs_:
             yield flush()
 
@@ -266,12 +265,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
 
 
 def _blocks(spark: SparkSession, path: str) -> DataFrame:
-    """The blocks of a folder with ``start``, the number of ids before each; one sum per part is all that meets."""
+    """The blocks of a folder with ``start``, the number of ids before each.
+
+    One sum per part is all that meets and all that is broadcast: as many rows as the writing job had tasks, which
+    ``spark.sql.shuffle.partitions`` bounds.
+    """
     blocks = spark.read.parquet(path)
     parts = blocks.groupBy("part").agg(F.sum("ids").alias("held"))
     ahead = F.sum("held").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.select("part", F.coalesce(ahead, F.lit(0)).alias("ahead"))
-    return blocks.join(parts, "part").select("docs", "lengths", "words", "offsets", "escapes",
+    return blocks.join(F.broadcast(parts), "part").select("docs", "lengths", "words", "offsets", "escapes",
                                              (F.col("ahead") + F.col("before")).alias("start"))
 
 
