@@ -50,7 +50,23 @@ def test_grid_orders_share_rows_and_one_is_best(df):
     assert all(len(n) == 1 for n in by.values())
     best = {r["ticker"]: r for r in rows if r["is_best"]}
     assert best["AR"]["d"] == 0 and best["AR"]["p"] == 2
-    assert all(best[r["ticker"]]["aic"] <= r["aic"] for r in rows)
+    assert all(best[r["ticker"]]["aic"] <= r["aic"] for r in rows if r["aic"] is not None)
+    assert {r["ticker"] for r in rows} == {"AR", "ARMA", "WALK", "FLAT", "SHORT"}
+    assert all(r["aic"] is None and r["ar"] is None and r["reason"] for r in rows if r["ticker"] == "SHORT")
+
+
+def test_short_series_get_their_autoregressive_orders(spark):
+    y = 10 + simulate(12, (0.5,), seed=4)
+    df = series_frame(spark, {"LONG": 10 + simulate(200, (0.5,), seed=5), "TWELVE": y})
+    rows = {(r["p"], r["q"]): r for r in C.grid_search(df, max_p=1, max_d=0, max_q=1, panel=SMALL).where("ticker = 'TWELVE'").collect()}
+    x = np.column_stack([np.ones(11), y[:-1]])
+    coef, rss, *_ = np.linalg.lstsq(x, y[1:], rcond=None)
+    close_to([rows[1, 0]["intercept"], *rows[1, 0]["ar"]], coef, rtol=1e-6)
+    assert rows[0, 0]["n"] == rows[1, 0]["n"] == 11 and rows[1, 1]["aic"] is None
+    assert [rows[0, 1]["reason"], rows[0, 0]["reason"]] == ["too few rows for residuals", None]
+    assert {r["ticker"] for r in C.stationarity(df, lags=12, panel=SMALL).collect()} == {"LONG", "TWELVE"}
+    ahead = C.forecast_arima(df, C.fit_arima(df, "close", 12, 0, 0, SMALL), 12, 0, 3).where("ticker = 'TWELVE'").collect()
+    assert len(ahead) == 3 and all(r["predicted"] is None for r in ahead)
 
 
 def test_stationarity_verdicts(df):

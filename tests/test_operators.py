@@ -72,18 +72,33 @@ def test_correlation_bucket_edges(spark):
     assert got == ["Strong Positive", "Positive", "Positive", "Weak", "Negative", "Strong Negative", None]
 
 
-@pytest.mark.parametrize("bins", [1, 7, 4096])
-def test_exact_quantiles_with_heavy_ties(spark, bins):
+@pytest.mark.parametrize("margin", [0.5, 0.05, 2e-4])
+def test_exact_quantiles_with_heavy_ties(spark, margin):
     rng = np.random.default_rng(0)
     pdf = pd.DataFrame({"ticker": ["A"] * 500 + ["B"] * 3 + ["C"], "x": np.concatenate(
         [np.where(rng.random(500) < 0.6, 5.0, rng.normal(0, 3, 500)), [1.0, 2.0, 10.0], [4.0]])})
     df = spark.createDataFrame([(t, float(x)) for t, x in pdf.itertuples(index=False)], "ticker string, x double")
     probs = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
-    got = A.exact_quantiles(df, "x", probs, bins=bins).toPandas().set_index("ticker")
+    got = A.exact_quantiles(df, "x", probs, margin=margin).toPandas().set_index("ticker")
     for name, p in probs.items():
         close_to(got[name].sort_index(), pdf.groupby("ticker").x.quantile(p).sort_index())
 
 
+def test_quantiles_beside_an_outlier(spark):
+    values = [float(i) for i in range(5000)] + [1e9]
+    df = spark.createDataFrame([("A", v) for v in values], "ticker string, x double")
+    got = A.exact_quantiles(df, "x", {"p05": 0.05, "p50": 0.5}).first()
+    close_to([got["p05"], got["p50"]], np.quantile(values, [0.05, 0.5]))
+
+
+def test_attached_tables_keep_every_row(spark):
+    df = spark.createDataFrame([("A", 1), ("A", 1), ("A", 2), ("B", None), (None, 3)], "ticker string, x int")
+    table = spark.createDataFrame([("A", 10)], "ticker string, y int")
+    got = P.attach_table(df, table, ["ticker"]).collect()
+    assert sorted((r["ticker"] or "", r["x"] or 0, r["y"] or 0) for r in got) == [
+        ("", 3, 0), ("A", 1, 10), ("A", 1, 10), ("A", 2, 10), ("B", 0, 0)]
+
+
 def test_outliers_on_a_constant_series_are_none(bars):
     flat = A.zscore_outliers(bars, "close", panel=SMALL).where("ticker IN ('FLAT', 'ONE')")
     assert flat.agg(F.max("is_outlier")).first()[0] == 0
@@ -328,7 +343,7 @@ def test_ranking_against_pairs(spark):
     got = V.ranking_metrics(df).first()
     diff = s[y == 1][:, None] - s[y == 0][None, :]
     assert got["auc_roc"] == pytest.approx(((diff > 0) + 0.5 * (diff == 0)).mean())
-    coarse = V.ranking_metrics(df, steps=3).first()
+    coarse = V.ranking_metrics(df, buckets=3).first()
     assert coarse["auc_roc"] == pytest.approx(got["auc_roc"]) and coarse["auc_pr"] == pytest.approx(got["auc_pr"])
 
 

@@ -48,19 +48,21 @@ def classification_metrics(df: DataFrame, keys: Sequence[str] = (), label: str =
 
 
 def ranking_metrics(df: DataFrame, keys: Sequence[str] = (), label: str = "label", score: str = "score",
-                    steps: int = 4096) -> DataFrame:
+                    buckets: int = 64) -> DataFrame:
     """Area under the ROC and the precision-recall curve; tied scores form one point.
 
     Rows are counted per distinct score, and the counts are accumulated from the highest score
-    down over score buckets (``steps`` per unit), so the ordering is never in one task.
+    down over buckets of about equally many distinct scores, so the ordering is never in one task.
     """
     keys = list(keys) or ["__all"]
     source = df if keys != ["__all"] else df.withColumn("__all", F.lit(0))
     counts = source.groupBy(*keys, (-F.col(score)).alias("__s")).agg(
         F.count_if(F.col(label) == 1).alias("__pos"), F.count_if(F.col(label) == 0).alias("__neg"))
+    edges = counts.groupBy(*keys).agg(F.percentile_approx("__s", [i / buckets for i in range(1, buckets)]).alias("__edges"))
+    counts = P.attach_table(counts, edges, keys)
     line = P.Panel(keys=tuple(keys), order=("__s",))
     points = P.running(counts, line, {"__tp": P.Run("sum", F.col("__pos")), "__fp": P.Run("sum", F.col("__neg"))},
-                       F.floor(F.col("__s") * steps))
+                       F.size(F.filter("__edges", lambda e: e <= F.col("__s"))))
     tp, fp, pos, neg = (F.col(c) for c in ("__tp", "__fp", "__pos", "__neg"))
     here = F.try_divide(tp, tp + fp)
     before = F.coalesce(F.try_divide(tp - pos, tp - pos + fp - neg), here)

@@ -126,14 +126,14 @@ def min_max(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("ticke
 
 def apply_min_max(df: DataFrame, fitted: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("ticker",)) -> DataFrame:
     """Scaled columns; a constant column becomes 0."""
-    joined = df.join(fitted, list(keys))
+    joined = P.attach_table(df, fitted, keys)
     new = {c: F.coalesce(F.try_divide(F.col(c) - F.col(f"{c}_min"), F.col(f"{c}_range")),
                          F.when(F.col(c).isNotNull(), F.lit(0.0))) for c in columns}
     return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
 
 
 def invert_min_max(df: DataFrame, fitted: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("ticker",)) -> DataFrame:
-    joined = df.join(fitted, list(keys))
+    joined = P.attach_table(df, fitted, keys)
     new = {c: F.col(c) * F.col(f"{c}_range") + F.col(f"{c}_min") for c in columns}
     return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
 

@@ -61,20 +61,29 @@ def lagged_columns(columns: dict[str, int], panel: P.Panel):
     return lambda w: [F.lag(c, i).over(w).alias(f"__{c}_{i}") for c, n in columns.items() for i in range(1, n + 1)]
 
 
-def gram(df: DataFrame, keys: Sequence[str], y: Column, xs: Sequence[Column]) -> DataFrame:
+def gram(df: DataFrame, keys: Sequence[str], y: Column, xs: Sequence[Column], *also: Column) -> DataFrame:
     """Per key: n, X'X (upper triangle by rows), X'y and y'y, with a constant as the first x.
 
-    Rows with a NULL in y or any x are left out of every sum, so all orders share their rows.
+    Rows with a NULL in y or any x are left out of every sum, so all orders share their rows. A
+    key without a complete row has n = 0 and sums of 0. ``also`` are further aggregates of ``df``.
     """
     names = [f"__x{i}" for i in range(len(xs))]
-    rows = df.select(*keys, y.cast("double").alias("__t"), *[x.cast("double").alias(n) for x, n in zip(xs, names)])
-    rows = rows.na.drop(subset=["__t", *names])
-    terms = [F.lit(1.0), *[F.col(n) for n in names]]
+    rows = df.select("*", y.cast("double").alias("__t"), *[x.cast("double").alias(n) for x, n in zip(xs, names)])
+    complete = F.lit(True)
+    for c in ("__t", *names):
+        complete = complete & F.col(c).isNotNull()
+    rows = rows.withColumn("__one", F.when(complete, F.lit(1.0)))
+
+    def total(x: Column) -> Column:
+        return F.coalesce(F.sum(F.col("__one") * x), F.lit(0.0))
+
+    terms = [F.col("__one"), *[F.col(n) for n in names]]
     m = len(terms)
-    xtx = [F.sum(terms[i] * terms[j]) for i in range(m) for j in range(i, m)]
+    xtx = [total(terms[i] * terms[j]) for i in range(m) for j in range(i, m)]
     return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.array(*xtx).alias("xtx"),
-        F.array(*[F.sum(t * F.col("__t")) for t in terms]).alias("xty"), F.sum(F.col("__t") * F.col("__t")).alias("yty"))
+        F.count("__one").alias("n"), F.array(*xtx).alias("xtx"),
+        F.array(*[total(t * F.col("__t")) for t in terms]).alias("xty"),
+        total(F.col("__t") * F.col("__t")).alias("yty"), *also)
 
 
 def _matrices(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -97,20 +106,23 @@ def _solve(a: np.ndarray, b: np.ndarray, yty: np.ndarray, n: np.ndarray):
     rss = yty - 2 * np.einsum("ti,ti->t", coef, b) + np.einsum("ti,tij,tj->t", coef, a, coef)
     rss = np.maximum(rss, 1e-12 * np.maximum(yty, 1e-300))
     m = b.shape[1]
-    aic = n * np.log(rss / n) + 2 * m
-    bic = n * np.log(rss / n) + m * np.log(n)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        aic = n * np.log(rss / n) + 2 * m
+        bic = n * np.log(rss / n) + m * np.log(n)
     return coef, inverse, rss, aic, bic
 
 
 def fit_orders(grams: DataFrame, keys: Sequence[str], max_p: int, max_q: int,
                orders: Sequence[tuple[int, int]]) -> DataFrame:
-    """Fit each (p, q) on the matching part of the full Gram matrix; one output row per key and order."""
-    keys = list(keys)
-    passed = [c for c in grams.columns if c not in ("xtx", "xty", "yty", "n")]
+    """Fit each (p, q) on the matching part of the full Gram matrix; one output row per key and order.
+
+    An order that a key cannot be fitted with has NULL coefficients and figures, and ``reason`` says why.
+    """
+    passed = [c for c in grams.columns if c not in ("xtx", "xty", "yty", "n", "staged")]
     kinds = {f.name: f.dataType.simpleString() for f in grams.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in passed) + (
         ", p int, q int, n bigint, intercept double, ar array<double>, ma array<double>,"
-        " rss double, sigma2 double, aic double, bic double")
+        " rss double, sigma2 double, aic double, bic double, reason string")
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -120,14 +132,18 @@ def fit_orders(grams: DataFrame, keys: Sequence[str], max_p: int, max_q: int,
             for p, q in orders:
                 use = [0, *range(1, p + 1), *range(1 + max_p, 1 + max_p + q)]
                 enough = n > len(use)
+                staged = batch["staged"].to_numpy(bool) if q and "staged" in batch else np.full(len(batch), True)
+                fits = enough & staged
                 coef, _, rss, aic, bic = _solve(a[:, use][:, :, use], b[:, use], yty, n)
                 out = batch[passed].copy()
                 out["p"], out["q"], out["n"] = p, q, n.astype(int)
                 out["intercept"] = coef[:, 0]
-                out["ar"] = list(coef[:, 1:p + 1])
-                out["ma"] = list(coef[:, p + 1:])
-                out["rss"], out["sigma2"], out["aic"], out["bic"] = rss, rss / n, aic, bic
-                yield out[enough]
+                out["ar"] = [c if ok else None for c, ok in zip(coef[:, 1:p + 1], fits)]
+                out["ma"] = [c if ok else None for c, ok in zip(coef[:, p + 1:], fits)]
+                out["rss"], out["sigma2"], out["aic"], out["bic"] = rss, rss / np.maximum(n, 1), aic, bic
+                out.loc[~fits, ["intercept", "rss", "sigma2", "aic", "bic"]] = np.nan
+                out["reason"] = np.select([fits, enough], [None, "too few rows for residuals"], "too few rows")
+                yield out
 
     return grams.mapInPandas(solve, schema)
 
@@ -138,7 +154,8 @@ def arma_gram(df: DataFrame, levels: Sequence[P.Level], reach: int, max_p: int,
 
     The residuals are those of a long autoregression per key, the first stage of
     Hannan-Rissanen. Its coefficients join the rows before the window pass, so each stage is
-    one blocked pass and one aggregate.
+    one blocked pass and one aggregate. A key too short for it has residuals of 0 and ``staged``
+    false: its autoregressive orders are fitted on all its rows.
     """
     rows = P.ensure_numbered(df, panel)
     if not max_q:
@@ -146,17 +163,18 @@ def arma_gram(df: DataFrame, levels: Sequence[P.Level], reach: int, max_p: int,
         return gram(lags, panel.keys, F.col("w"), [F.col(f"__w_{i}") for i in range(1, max_p + 1)])
     first = arma_gram(df, levels, reach, long_order, 0, panel)
     fitted = fit_orders(first, panel.keys, long_order, 0, [(long_order, 0)])
-    rows = rows.join(fitted.select(*panel.keys, F.col("intercept").alias("__c"), F.col("ar").alias("__ar")),
-                     list(panel.keys))
+    rows = P.attach_table(rows, fitted.select(*panel.keys, F.col("intercept").alias("__c"), F.col("ar").alias("__ar")), panel.keys)
     expected = F.col("__c")
     for i in range(1, long_order + 1):
         expected = expected + F.col("__ar")[i - 1] * F.col(f"__w_{i}")
     deep = max(max_p, long_order)
     lags = P.windowed(rows, panel, [*levels, lagged_columns({"w": deep}, panel),
-                                    lambda w: [(F.col("w") - expected).alias("e")],
+                                    lambda w: [F.when(F.col("__c").isNull(), F.lit(0.0)).otherwise(F.col("w") - expected).alias("e")],
                                     lagged_columns({"e": max_q}, panel)], before=reach + deep + max_q)
-    xs = [*[F.col(f"__w_{i}") for i in range(1, max_p + 1)], *[F.col(f"__e_{i}") for i in range(1, max_q + 1)]]
-    return gram(lags, panel.keys, F.col("w"), xs)
+    staged = F.col("__c").isNotNull()
+    residuals = [F.when(staged, F.col(f"__e_{i}")).otherwise(F.lit(0.0)) for i in range(1, max_q + 1)]
+    xs = [*[F.col(f"__w_{i}") for i in range(1, max_p + 1)], *residuals]
+    return gram(lags, panel.keys, F.col("w"), xs, F.max(staged).alias("staged"))
 
 
 def fit_arima(df: DataFrame, y: str = "close", p: int = 5, d: int = 1, q: int = 0, panel: P.Panel = P.BARS,
@@ -176,7 +194,8 @@ def grid_search(df: DataFrame, y: str = "close", max_p: int = 5, max_d: int = 2,
     """Every order of the grid per key, the best one marked.
 
     The differenced series become keys of their own, and all orders of one are fitted on
-    parts of a single Gram matrix: the rows are read once per stage, not once per order.
+    parts of a single Gram matrix: the rows are read once per stage, not once per order. Orders
+    that a key is too short for are kept, with a ``reason`` and without figures.
     """
     orders = [(p, q) for p in range(max_p + 1) for q in range(max_q + 1)]
     weights = [lag_polynomial(d, 0, 0) for d in range(max_d + 1)]
@@ -190,12 +209,13 @@ def grid_search(df: DataFrame, y: str = "close", max_p: int = 5, max_d: int = 2,
     grams = arma_gram(wide.select(*panel.keys, *panel.order, panel.pos, stacked), [], 0, max_p, max_q, series)
     fitted = fit_orders(grams, series.keys, max_p, max_q, orders)
     place = F.struct(F.col(criterion), "d", "p", "q")
-    best = fitted.groupBy(*panel.keys).agg(F.min(place).alias("__best"))
-    return fitted.join(best, list(panel.keys)).withColumn("is_best", place == F.col("__best")).drop("__best")
+    best = fitted.groupBy(*panel.keys).agg(F.min(F.when(F.col(criterion).isNotNull(), place)).alias("__best"))
+    chosen = F.coalesce(place == F.col("__best"), F.lit(False))
+    return fitted.join(best, list(panel.keys)).withColumn("is_best", chosen).drop("__best")
 
 
 def stationarity(df: DataFrame, y: str = "close", lags: int = 4, panel: P.Panel = P.BARS) -> DataFrame:
-    """Augmented Dickey-Fuller t-statistic per key and the verdict at 5 %."""
+    """Augmented Dickey-Fuller t-statistic per key and the verdict at 5 %; NULL for a key with too few rows."""
     levels, reach = difference_levels(y, 1)
     rows = df.select(*panel.keys, *panel.order, *_pos(df, panel), F.col(y))
     lagged = P.windowed(rows, panel, [*levels, lagged_columns({"w": lags}, panel)], before=reach + lags)
@@ -213,7 +233,7 @@ def stationarity(df: DataFrame, y: str = "close", lags: int = 4, panel: P.Panel
             variance = rss / np.maximum(n - b.shape[1], 1) * inverse[:, 1, 1]
             out = batch[keys].copy()
             out["n"] = n.astype(int)
-            out["adf_statistic"] = np.where(variance > 0, coef[:, 1] / np.sqrt(np.maximum(variance, 1e-300)), np.nan)
+            out["adf_statistic"] = np.where((variance > 0) & (n > b.shape[1]), coef[:, 1] / np.sqrt(np.maximum(variance, 1e-300)), np.nan)
             yield out
 
     schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n bigint, adf_statistic double"
@@ -233,7 +253,8 @@ def recursive_forecast(start: DataFrame, intercept: Column, weights: Column, ste
                        keys: Sequence[str] = ("ticker",)) -> DataFrame:
     """Feed each prediction back as the newest lag; dated on the next business days.
 
-    ``start`` has ``lags`` (newest first) and ``date``; ``weights`` is an array of equal length.
+    ``start`` has ``lags`` (newest first) and ``date``; ``weights`` is an array of equal length, or
+    NULL for a key without a fit, whose steps are then dated and NULL.
     """
     def step(lags: Column, _: Column) -> Column:
         products = F.zip_with(F.slice(lags, F.lit(1), F.size(weights)), weights, lambda x, a: x * a)
@@ -241,7 +262,8 @@ def recursive_forecast(start: DataFrame, intercept: Column, weights: Column, ste
         return F.concat(F.array(value), lags)
 
     path = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.col("lags").cast("array<double>"), step)
-    grown = start.select(*keys, "date", F.slice(F.reverse(F.slice(path, 1, steps)), 1, steps).alias("values"))
+    values = F.when(weights.isNotNull(), F.slice(F.reverse(F.slice(path, 1, steps)), 1, steps))
+    grown = start.select(*keys, "date", values.alias("values"))
     days = next_business_days(grown, steps)
     return days.select(*keys, "step", "forecast_date", F.element_at("values", F.col("step").cast("int")).alias("predicted"))
 
@@ -259,7 +281,7 @@ def forecast_arima(df: DataFrame, fitted: DataFrame, p: int, d: int, steps: int
                 total = total + F.col("ar")[k - 1] * F.lit(float(poly[i - k]))
         weights.append(total)
     start = last_values(df, y, p + d, keys, order).join(fitted, list(keys))
-    start = start.where(F.size("lags") == p + d).withColumn("__weights", F.array(*weights).cast("array<double>"))
+    start = start.withColumn("__weights", F.when(F.size("lags") == p + d, F.array(*weights).cast("array<double>")))
     return recursive_forecast(start, F.col("intercept"), F.col("__weights"), steps, keys)
 
 

@@ -160,6 +160,21 @@ def attach_per_key(df: DataFrame, panel: Panel, aggs: Sequence[Column]) -> DataF
     return df.withColumn(_BLK, block).join(spread, [*panel.keys, _BLK]).drop(_BLK)
 
 
+_PARTS = 64
+
+
+def attach_table(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row with the columns of its key's row in ``table``, which has one row per key; NULLs where it has none.
+
+    The table is repeated for 64 parts and the rows are spread over them by a hash of their values, so the rows of a
+    hot key do not meet in one task, and a repeated attempt sends every row to the same part.
+    """
+    keys = list(keys)
+    parts = table.select("*", F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1))).alias("__part"))
+    rows = df.withColumn("__part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_PARTS)).cast("int"))
+    return rows.join(parts, [*keys, "__part"], "left").drop("__part")
+
+
 # --- running folds -----------------------------------------------------------------------
 
 _FOLDS = {

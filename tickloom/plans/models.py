@@ -234,6 +234,26 @@ def m14(spark, sf):
     return C.grid_search(X.bars(spark, sf)).select("ticker", "p", "d", "q", "n", "aic", "bic", "is_best")
 
 
+@query("m14_grid_search_short", f"""WITH {S.BARS}, t AS (SELECT DISTINCT ticker FROM bars UNION ALL SELECT 'SHORT'), o AS (SELECT ticker, p.i AS p, d.i AS d, q.i AS q
+ FROM t, range(3) p(i), range(2) d(i), range(2) q(i))
+ SELECT ticker, CAST(p AS INTEGER) AS p, CAST(d AS INTEGER) AS d, CAST(q AS INTEGER) AS q, ticker <> 'SHORT' OR q = 0 AS fitted,
+ CASE WHEN ticker = 'SHORT' AND q > 0 THEN 'too few rows for residuals' END AS reason, CAST(1 AS BIGINT) AS n_best FROM o""")
+def m14_short(spark, sf):
+    """A ticker of twelve rows beside the others: its autoregressive orders are fitted, the rest say why not."""
+    bars = X.bars(spark, sf).select(*BASE, "pos", "close")
+    short = bars.where("pos < 12 AND ticker = '1-URGENT'")
+    df = C.grid_search(bars.unionByName(short.withColumn("ticker", F.lit("SHORT"))), max_p=2, max_d=1, max_q=1)
+    best = df.groupBy("ticker").agg(F.count_if("is_best").alias("n_best"))
+    return df.join(best, "ticker").select("ticker", "p", "d", "q", F.col("aic").isNotNull().alias("fitted"), "reason", "n_best")
+
+
+@query("m14_best_is_least", f"""WITH {S.BARS} SELECT DISTINCT ticker, CAST(108 AS BIGINT) AS n_orders, CAST(1 AS BIGINT) AS n_best, true AS least FROM bars""")
+def m14_least(spark, sf):
+    df = C.grid_search(X.bars(spark, sf))
+    return df.groupBy("ticker").agg(F.count("aic").alias("n_orders"), F.count_if("is_best").alias("n_best"),
+                                    (F.max(F.when(F.col("is_best"), F.col("aic"))) == F.min("aic")).alias("least"))
+
+
 @query("m13_hold_out", f"""WITH RECURSIVE {S.BARS}, q AS (SELECT ticker, date, close, row_number() OVER {S.W} - 1 AS pos, count(*) OVER (PARTITION BY ticker) AS n FROM bars),
  t AS (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY date) AS x FROM q WHERE pos < floor(n * 0.8::DOUBLE)),
  r AS (SELECT ticker, regr_intercept(close, x) AS c, regr_slope(close, x) AS a, arg_max(close, pos) AS y, max(pos) AS last FROM t GROUP BY ticker),

@@ -19,9 +19,16 @@ def table_stream(spark, sf, name):
     return R.file_stream(spark, sf, X.table(spark, sf, name).schema, glob=f"{name}.parquet")
 
 
-def event_messages(spark, sf):
+def split_stream(spark, sf, name, files=4):
+    """A table as a stream of several files, one per trigger."""
+    folder, table = fresh(spark, f"{name}-files"), X.table(spark, sf, name)
+    table.repartition(files).write.parquet(folder)
+    return R.file_stream(spark, folder, table.schema, files_per_trigger=1)
+
+
+def event_messages(spark, sf, events=None):
     """Every event as one JSON message on each topic; some lack the key or the time, some are not JSON."""
-    e = X.ticks_of(table_stream(spark, sf, "events"))
+    e = X.ticks_of(table_stream(spark, sf, "events") if events is None else events)
     ticker, price = F.when(F.col("price") >= 1, F.col("ticker")), F.col("price")
     at, n = F.when(F.col("size") < 90, F.col("ts")).alias("timestamp"), F.col("event_id")
     bodies = {R.STOCK_TOPIC: F.struct(ticker.alias("ticker"), price, at, n),
@@ -54,6 +61,20 @@ def r1_macro(spark, sf):
     return R.drain(rows, "r1m").select("event_id", "series_id", "date", "value")
 
 
+@query("r1_macro_text", f"""{KEPT} SELECT event_id, event_type AS series_id, CASE WHEN size % 2 = 0 THEN value END AS value FROM kept""")
+def r1_macro_text(spark, sf):
+    """Values sent as text, every other one a lone dot: such a message is kept and its value is NULL."""
+    broken = F.regexp_replace("value", '"value":[^,}]*', '"value":"."')
+    odd = F.get_json_object("value", "$.odd") == "1"
+    e = X.ticks_of(table_stream(spark, sf, "events")).where("price >= 1 AND size <> 13")
+    body = F.to_json(F.struct(F.col("ticker").alias("series_id"), F.col("price").alias("value"), "event_id",
+                              (F.col("size") % 2).alias("odd")))
+    messages = e.select(F.lit(R.MACRO_TOPIC).alias("topic"), body.alias("value"))
+    messages = messages.withColumn("value", F.when(odd, broken).otherwise(F.col("value")))
+    rows = R.decode(messages, R.MACRO_TOPIC, "series_id string, value double, event_id bigint", "series_id")
+    return R.drain(rows, "r1t").select("event_id", "series_id", "value")
+
+
 @query("r1_dropped_messages", f"WITH {SIZED} SELECT count(*) AS n_dropped FROM e WHERE value < 1 OR size = 13")
 def r1_dropped(spark, sf):
     rows = R.corrupt(event_messages(spark, sf), R.STOCK_TOPIC, R.STOCK_MESSAGE + ", event_id bigint")
@@ -71,15 +92,25 @@ def r2(spark, sf):
  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) <= 200""")
 def r3(spark, sf):
     rows = R.decode(event_messages(spark, sf), R.STOCK_TOPIC, "ticker string, price double, event_id bigint")
-    return R.drain(B.last_rows(rows, order=["event_id"], size=B.BARS_KEPT), "r3", "update", batches=True).select(
+    return B.newest_buffers(R.drain(B.last_rows(rows, order=["event_id"], size=B.BARS_KEPT), "r3", "update", batches=True)).select(
         "ticker", "event_id", "price")
 
 
+@query("r3_last_rows_batches", f"""{KEPT} SELECT event_type AS ticker, event_id, value AS price FROM kept
+ QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) <= 50""")
+def r3_batches(spark, sf):
+    """The buffers after the last of several triggers."""
+    messages = event_messages(spark, sf, split_stream(spark, sf, "events"))
+    rows = R.decode(messages, R.STOCK_TOPIC, "ticker string, price double, event_id bigint")
+    stored = R.drain(B.last_rows(rows, order=["event_id"], size=50), "r3b", "update", batches=True)
+    return B.newest_buffers(stored).select("ticker", "event_id", "price")
+
+
 @query("r3_last_records", f"""{KEPT} SELECT event_type AS ticker, event_id, round(value / 100, 6) AS score FROM kept
  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) <= 1000""")
 def r3_records(spark, sf):
     rows = R.decode(event_messages(spark, sf), R.SENTIMENT_TOPIC, "ticker string, score double, event_id bigint")
-    return R.drain(B.last_rows(rows, order=["event_id"], size=B.RECORDS_KEPT), "r3s", "update", batches=True).select(
+    return B.newest_buffers(R.drain(B.last_rows(rows, order=["event_id"], size=B.RECORDS_KEPT), "r3s", "update", batches=True)).select(
         "ticker", "event_id", *rounded(6, "score"))
 
 
@@ -150,3 +181,11 @@ def r7_batch(spark, sf):
 def r8(spark, sf):
     return R.drain(table_stream(spark, sf, "events").select(F.col("event_type").alias("ticker")), "r8").groupBy(
         "ticker").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("r8_processing_time", "SELECT event_type AS ticker, count(*) AS n FROM events GROUP BY 1")
+def r8_processing_time(spark, sf):
+    """Several triggers on a clock, one file each."""
+    stream = split_stream(spark, sf, "events").select(F.col("event_type").alias("ticker"))
+    rows = R.drain(stream, "r8p", trigger={"processingTime": "200 milliseconds"})
+    return rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"))

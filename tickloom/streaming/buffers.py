@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -13,6 +14,7 @@ from tickloom.streaming.sources import use_rocksdb
 
 # Buffer sizes and the rows needed before scoring.
 BARS_KEPT, RECORDS_KEPT, BARS_NEEDED = 200, 1000, 60
+#: Rows that a task holds while trimming; passing rows on earlier changes no result.
 _FLUSH_ROWS = 200_000
 
 
@@ -38,6 +40,12 @@ def trim(stream: DataFrame, keys: Sequence[str], order: Sequence[str], size: int
     return stream.mapInPandas(run, stream.schema)
 
 
+def newest_buffers(stored: DataFrame, keys: Sequence[str] = ("ticker",)) -> DataFrame:
+    """The buffer of each key's latest trigger, from the batch folders that the buffers were written to."""
+    latest = stored.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
+    return stored.join(latest, [*keys, "batch_id"], "left_semi")
+
+
 class LastRows(StatefulProcessor):
     """State: the key's last rows in order. Emits the whole buffer once it holds ``minimum`` rows."""
 

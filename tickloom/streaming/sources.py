@@ -39,19 +39,36 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType | str, fm
     return reader.load(folder)
 
 
+def _parsed(messages: DataFrame, topic: str, schema: str) -> DataFrame:
+    """The messages of a topic with ``m``, their fields as text: a number that is not one makes no message unreadable."""
+    fields = T._parse_datatype_string(schema).names
+    texts = ", ".join(f"`{n}` string" for n in [*fields, "_corrupt"])
+    parsed = F.from_json("value", texts, {"columnNameOfCorruptRecord": "_corrupt"})
+    return messages.where(F.col("topic") == topic).withColumn("m", parsed)
+
+
+def _typed(schema: str) -> list[Column]:
+    fields = T._parse_datatype_string(schema).fields
+    return [F.col(f"m.`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields]
+
+
+def _readable(schema: str, key: str) -> Column:
+    typed = dict(zip(T._parse_datatype_string(schema).names, _typed(schema)))
+    return F.coalesce(F.col("m._corrupt").isNull() & typed[key].isNotNull(), F.lit(False))
+
+
 def decode(messages: DataFrame, topic: str, schema: str, key: str = "ticker") -> DataFrame:
-    """Typed rows of one topic; messages without a key or with text that is not JSON are dropped."""
-    fields = schema + ", _corrupt string"
-    parsed = F.from_json("value", fields, {"columnNameOfCorruptRecord": "_corrupt"})
-    rows = messages.where(F.col("topic") == topic).select(parsed.alias("m")).select("m.*")
-    return rows.where(F.col(key).isNotNull() & F.col("_corrupt").isNull()).drop("_corrupt")
+    """Typed rows of one topic; messages without a key or with text that is not JSON are dropped.
+
+    A field whose text is not of its type is NULL, as in files.
+    """
+    rows = _parsed(messages, topic, schema)
+    return rows.where(_readable(schema, key)).select(_typed(schema))
 
 
 def corrupt(messages: DataFrame, topic: str, schema: str, key: str = "ticker") -> DataFrame:
     """The messages that :func:`decode` drops, for inspection."""
-    parsed = F.from_json("value", schema + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
-    rows = messages.where(F.col("topic") == topic).withColumn("m", parsed)
-    return rows.where(F.col("m").isNull() | F.col(f"m.{key}").isNull() | F.col("m._corrupt").isNotNull()).drop("m")
+    return _parsed(messages, topic, schema).where(~_readable(schema, key)).select(messages.columns)
 
 
 def stamped(rows: DataFrame, column: str = "timestamp") -> DataFrame:
@@ -106,14 +123,24 @@ def write_topic(messages: DataFrame, topic: str, servers: str, checkpoint: str,
 
 
 def drain(stream: DataFrame, name: str, mode: str = "append",
-          transform: Callable[[DataFrame], DataFrame] | None = None, batches: bool = False) -> DataFrame:
-    """Process everything available and return the written table."""
+          transform: Callable[[DataFrame], DataFrame] | None = None, batches: bool = False,
+          trigger: dict | None = None) -> DataFrame:
+    """Process everything available and return the written table.
+
+    A stream under a ``processingTime`` trigger is stopped once all that is there has been processed.
+    """
     spark = stream.sparkSession
     root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     write = write_batches if batches or transform else write_stream
     args = {"transform": transform} if transform else {}
-    query = write(stream, f"{root}/out", f"{root}/checkpoint", ALL_AVAILABLE, mode, **args)
-    query.awaitTermination()
+    query = write(stream, f"{root}/out", f"{root}/checkpoint", trigger or ALL_AVAILABLE, mode, **args)
+    if trigger and "processingTime" in trigger:
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    else:
+        query.awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 
