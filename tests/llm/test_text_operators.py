@@ -142,6 +142,28 @@ def test_kneser_ney_sums_to_one():
     assert abs(np.exp2(model.log2(every)).sum() - 1) < 1e-9
 
 
+def test_language_keeps_every_run(spark):
+    rng = random.Random(11)
+    many = "".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(300_000))
+    rows = [(i, many[k:k + 3000], "many") for i, k in enumerate(range(0, 300_000, 3000))] + [(1000 + i, sentences(rng, ["th", "er", "an"], 30), "few") for i in range(100)]
+    model = langid.learn(spark.createDataFrame(rows, "key long, text string, lang string"))
+    letters, models = langid._letters(), {}
+
+    def keys_of(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return langid.runs(data, np.array([0, len(data)]), letters)[0]
+
+    for lang in ("few", "many"):
+        unique, counts = np.unique(np.concatenate([keys_of(t) for _, t, k in rows if k == lang]), return_counts=True)
+        models[lang] = langid.KneserNey(unique, counts.astype(float))
+    tests = [(0, many[:500]), (1, many[150_000:150_400]), (2, rows[120][1]), (3, "Ab " + many[7:20] + " zz")]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(tests, "doc_id long, text string"), model).collect()}
+    for i, text in tests:
+        bits = {lang: -m.log2(keys_of(text)).mean() for lang, m in models.items()}
+        assert got[i].lang_pred == min(bits, key=bits.get) and abs(got[i].bits - min(bits.values())) < 1e-4
+    assert [got[i].lang_pred for i in range(3)] == ["many", "many", "few"]
+
+
 # --- quality ----------------------------------------------------------------------------------------------------------
 
 def test_quality(spark):

@@ -1,26 +1,33 @@
 """Language identification by interpolated Kneser-Ney character models, one per language.
 
-Counts of four-character runs come from every learning document. A model keeps its runs of each order as sorted arrays
-of 64-bit hashes; a text gets the language of lowest cross-entropy per character, with a calibrated probability and a
-rejection mark for texts that are worse than what the language's own texts look like.
+Counts of four-character runs come from every learning document and stay in tables, as do the counts of shorter runs
+and of contexts; nothing of the model is cut or sent whole to a task. Texts are packed into slices, the distinct runs
+of a slice are joined with their log-probabilities and looked up as a sorted array of 64-bit hashes. A text gets the
+language of lowest cross-entropy per character, with a calibrated probability and a rejection mark for texts that are
+worse than what the language's own texts look like.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import held_out, mix, query, table, text_slices
 from tickloom.session import publish
 
 ORDER = 4
-#: Runs that a model keeps per language, those of highest count; this and MOST_LANGUAGES bound what is broadcast.
-ENTRIES = 1 << 18
+#: Discounts and limits per language are literals of the tasks; more languages raise an error.
 MOST_LANGUAGES = 200
-#: Learning documents set apart for calibration: at most so many, those of lowest hash among one in 64.
+#: Learning documents tried for calibration: at most so many, those of lowest hash among one in 64.
 CALIBRATION_ROWS = 2000
+#: Bytes of text in a slice, with up to four languages; fewer with more, as every run brings a number per language.
+SLICE_BYTES = 2 << 20
 
 
 def _letters() -> np.ndarray:
@@ -122,14 +129,17 @@ class HashArray:
         return np.where(there, self.values[at], default)
 
 
+def discount_of(ones: float, twos: float) -> float:
+    return ones / (ones + 2 * twos) if ones and twos else 0.5
+
+
 class KneserNey:
-    """One language: what each run gains over the next shorter one, and what each context leaves to it."""
+    """One language in memory: what each run gains over the next shorter one, and what each context leaves to it."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
         self.gains, self.rests = [], []
         for order in range(ORDER, 0, -1):
-            ones, twos = np.count_nonzero(counts == 1), np.count_nonzero(counts == 2)
-            discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+            discount = discount_of(np.count_nonzero(counts == 1), np.count_nonzero(counts == 2))
             contexts, inverse = np.unique(keys >> np.uint64(16), return_inverse=True)
             total, types = np.bincount(inverse, counts), np.bincount(inverse)
             self.gains.append(HashArray(keys, (counts - np.minimum(discount, counts)) / total[inverse]))
@@ -146,30 +156,125 @@ class KneserNey:
         return np.log2(chance)
 
 
+def _low(run: str, order: int) -> Column:
+    return F.col(run) if order == ORDER else F.col(run).bitwiseAND(F.lit((1 << 16 * order) - 1))
+
+
+def _dense(column: pa.Array, field: str, languages: int) -> np.ndarray:
+    """A row of numbers by language for each list of (lang, ...); 0 where a language is not in it."""
+    lengths, flat = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), column.flatten()
+    out = np.zeros((len(column), languages))
+    out[np.repeat(np.arange(len(column)), lengths), pc.struct_field(flat, "lang").to_numpy(zero_copy_only=False)] = pc.struct_field(
+        flat, field).to_numpy(zero_copy_only=False)
+    return out
+
+
+def _packed(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    rows = np.ascontiguousarray(rows)
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1] * rows.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
+class Counts:
+    """The counts behind the models of all languages: one table of (lang, run, n) for each order, and its discounts.
+
+    An order's count of a run below the longest is the number of longer runs that end in it.
+    """
+
+    def __init__(self, counts: DataFrame, languages: int):
+        self.languages, self.grams = languages, {ORDER: counts}
+        for order in range(ORDER - 1, 0, -1):
+            shorter = self.grams[order + 1].groupBy("lang", _low("run", order).alias("run")).agg(F.count("*").alias("n"))
+            self.grams[order] = publish(shorter, "runs")
+        seen = None
+        for order, grams in self.grams.items():
+            rare = grams.where("n <= 2").groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos"))
+            rare = rare.withColumn("order", F.lit(order))
+            seen = rare if seen is None else seen.union(rare)
+        self.discounts = {order: np.full(languages, 0.5) for order in self.grams}
+        for r in seen.collect():  # a row per language and order
+            self.discounts[r.order][r.lang] = discount_of(r.ones, r.twos)
+
+    def bits(self, wanted: DataFrame) -> DataFrame:
+        """(run, bits) for the distinct runs ``wanted``: the log2-probabilities under all languages as 4-byte floats."""
+        chances, languages = None, self.languages
+        for order in range(1, ORDER + 1):
+            grams, discount = self.grams[order], self.discounts[order]
+            own = grams.groupBy("run").agg(F.collect_list(F.struct("lang", "n")).alias("own"))
+            around = grams.groupBy("lang", F.shiftrightunsigned("run", 16).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("types"))
+            around = around.groupBy("context").agg(F.collect_list(F.struct("lang", "total", "types")).alias("around"))
+            rows = wanted.select(_low("run", order).alias("run")).distinct()
+            rows = rows.join(own, "run", "left").withColumn("context", F.shiftrightunsigned("run", 16)).join(around, "context", "left")
+            if chances is not None:
+                rows = rows.withColumn("shorter", _low("run", order - 1)).join(chances.withColumnRenamed("run", "shorter"), "shorter")
+            else:
+                rows = rows.withColumn("bits", F.lit(None).cast("binary"))
+
+            def chance(batches, order=order, discount=discount):
+                for batch in batches:
+                    if not batch.num_rows:
+                        continue
+                    shorter = 1 / (1 << 16)
+                    if order > 1:
+                        shorter = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.float64).reshape(-1, languages)
+                    n, total, types = (_dense(batch.column(c), field, languages) for c, field in (("own", "n"), ("around", "total"), ("around", "types")))
+                    out = np.where(total > 0, (n - np.minimum(discount, n) + discount * types * shorter) / np.maximum(total, 1), shorter)
+                    out = np.log2(out).astype(np.float32) if order == ORDER else out
+                    yield pa.RecordBatch.from_arrays([batch.column("run"), _packed(out)], ["run", "bits"])
+
+            chances = rows.select("run", "own", "around", "bits").mapInArrow(chance, "run long, bits binary")
+        return chances
+
+
+def entropies(rows: DataFrame, carried: str, counts: Counts, finish: Callable, schema: str) -> DataFrame:
+    """``finish`` of every slice of ``rows``: the column ``carried``, bits per character of each text under each language, letters.
+
+    Texts travel compressed, once into the table of slices and once to the log-probabilities of their slice's runs.
+    """
+    kind, languages = rows.schema[carried].dataType.simpleString(), counts.languages
+    letters, bytes_each = _letters(), max(1 << 16, SLICE_BYTES * 4 // max(4, languages))
+
+    def cut(batches):
+        for batch in batches:
+            for start, stop, data, at in text_slices(batch, bytes_each=bytes_each):
+                own = np.unique(runs(data, at, letters)[0]).astype(np.int64)
+                text = pa.compress(data.tobytes(), codec="zstd", asbytes=True) if len(data) else b""
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([uuid.uuid4().bytes]), pa.array([batch.column(carried).slice(start, stop - start).to_pylist()], pa.list_(batch.column(carried).type)),
+                     pa.array([np.diff(at).tolist()], pa.list_(pa.int64())), pa.array([text]), pa.array([own], pa.list_(pa.int64()))],
+                    ["slice", "carried", "sizes", "text", "runs"])
+
+    slices = publish(rows.select(carried, "text").mapInArrow(cut, f"slice binary, carried array<{kind}>, sizes array<long>, text binary, runs array<long>"), "slices")
+    each = slices.select("slice", F.explode("runs").alias("run"))
+    known = counts.bits(publish(each.select("run").distinct(), "wanted"))
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.slice(0, 1).combine_chunks()
+        at = np.concatenate(([0], np.cumsum(row.column("sizes").chunk(0).flatten().to_numpy()))).astype(np.int64)
+        text = row.column("text")[0].as_py()
+        data = np.frombuffer(pa.decompress(text, decompressed_size=int(at[-1]), codec="zstd", asbytes=True) if text else b"", np.uint8)
+        keys, first, lettered = runs(data, at, letters)
+        out, full = np.zeros((len(at) - 1, languages)), np.flatnonzero(np.diff(first))
+        if len(full):
+            bits = np.frombuffer(b"".join(right.column("bits").to_pylist()), np.float32).reshape(-1, languages)
+            known = HashArray(right.column("run").to_numpy().astype(np.uint64), bits)
+            places, there = known.find(keys)
+            if not there.all():
+                raise ValueError("runs of a slice without log-probabilities")
+            out[full] = -np.add.reduceat(known.values[places], first[full], axis=0, dtype=np.float64) / np.diff(first)[full][:, None]
+        return finish(row.column("carried").chunk(0).flatten(), out, lettered)
+
+    return slices.select("slice", "carried", "sizes", "text").groupBy("slice").cogroup(
+        each.join(known, "run").select(F.col("slice").alias("of"), "run", "bits").groupBy("of")).applyInArrow(score, schema)
+
+
 class Identifier:
-    """All languages' models and one joint array of the log-probabilities of every run that any of them holds."""
-
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.letters, self.languages = _letters(), sorted(counts)
-        self.models = [KneserNey(*counts[lang]) for lang in self.languages]
-        known = np.unique(np.concatenate([counts[lang][0] for lang in self.languages])) if counts else np.zeros(0, np.uint64)
-        self.joint = HashArray(known, np.stack([m.log2(known) for m in self.models], 1).astype(np.float32)) if counts else None
-        self.sharpness, self.limit = 8.0, np.full(len(self.languages), 16.0)  # 16 bits: no better than any character at random
-
-    def entropies(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bits per character of each text under each language, and whether it has letters."""
-        keys, first, lettered = runs(data, at, self.letters)
-        out = np.zeros((len(at) - 1, len(self.languages)))
-        full = np.flatnonzero(np.diff(first))
-        if not len(full):
-            return out, lettered
-        place, there = self.joint.find(keys)
-        bits = self.joint.values[place]
-        if not there.all():
-            strange, inverse = np.unique(keys[~there], return_inverse=True)
-            bits[~there] = np.stack([m.log2(strange) for m in self.models], 1).astype(np.float32)[inverse]
-        out[full] = -np.add.reduceat(bits, first[full], axis=0, dtype=np.float64) / np.diff(first)[full][:, None]
-        return out, lettered
+    """The counts of all languages, with how entropies become a probability and a rejection."""
+
+    def __init__(self, counts: Counts | None, languages: list[str]):
+        self.counts, self.languages = counts, languages
+        self.sharpness, self.limit = 8.0, np.full(len(languages), 16.0)  # 16 bits: no better than any character at random
 
     def posterior(self, entropies: np.ndarray) -> np.ndarray:
         weight = np.exp2(-self.sharpness * (entropies - entropies.min(axis=1, keepdims=True)))
@@ -189,54 +294,41 @@ class Identifier:
                 self.limit[k] = own.mean() + 4 * own.std()
 
 
-def learn(rows: DataFrame, entries: int = ENTRIES, calibration_rows: int = CALIBRATION_ROWS) -> Identifier:
+def learn(rows: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Identifier:
     """An identifier from (text, lang, key) rows; null and empty texts and null languages teach nothing.
 
-    Counts cover every row but the calibration part. A language keeps the runs above the lowest count at which it has
-    at most ``entries`` of them, found from how many runs have each count; that many numbers reach the driver.
+    Counts cover every row. For calibration the rows that are tried are taken off the counts again.
     """
     rows = rows.where("lang is not null and text is not null")
+    place = F.xxhash64("key", "text")
     part = F.pmod(F.xxhash64(F.lit("calibration"), "key"), F.lit(64)) == 0
-    counts = publish(run_counts(rows.where(~part).select("text", "lang")), "runs")
-    ladder = counts.groupBy("lang", "n").agg(F.count("*").alias("types"))
-    languages = [r[0] for r in counts.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
+    last = rows.where(part).select(place.alias("place")).orderBy("place").limit(calibration_rows).agg(F.max("place")).first()[0]
+    tried = part & (place <= last) if last is not None else F.lit(False)
+    marked = rows.select("text", F.concat(F.when(tried, "1").otherwise("0"), "lang").alias("lang"))
+    counts = run_counts(marked).groupBy(F.expr("substring(lang, 2)").alias("lang"), "run").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("lang").startswith("0"), F.col("n")).otherwise(0)).alias("others"))
+    counts = publish(counts, "runs")
+    languages = sorted(r[0] for r in counts.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    over = F.sum("types").over(_falling())
-    cut = ladder.withColumn("over", over).where(F.col("over") <= entries).groupBy("lang").agg(F.min("n").alias("least"))
-    kept = counts.join(F.broadcast(cut), "lang").where("n >= least").select("lang", "run", "n").toArrow()  # a row per language
-    arrays = {}
-    names, run, n = np.array(kept.column("lang").to_pylist(), object), kept.column("run").to_numpy(), kept.column("n").to_numpy()
-    for lang in languages:
-        own = names == lang
-        if own.any():
-            order = np.argsort(run[own].astype(np.uint64))
-            arrays[lang] = run[own].astype(np.uint64)[order], n[own].astype(float)[order]
-    model = Identifier(arrays)
-    if arrays:
-        place = F.xxhash64("key", "text")
-        apart = rows.where(part & F.col("lang").isin(list(arrays)))
-        last = apart.select(place.alias("place")).orderBy("place").limit(calibration_rows).agg(F.max("place")).first()[0]
-        if last is not None:
-            tried = _entropies(apart.where(place <= last).select("lang", "text"), model).toArrow()
-            table_ = np.array(tried.column("bits").to_pylist()).reshape(-1, len(model.languages))
-            model.calibrate(table_, np.array([model.languages.index(x) for x in tried.column("lang").to_pylist()], int))
+    if not languages:
+        return Identifier(None, [])
+    place_of = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")).cast("int") - 1
+    counts = counts.withColumn("lang", place_of)
+    model = Identifier(Counts(counts.select("lang", "run", "n"), len(languages)), languages)
+    if last is not None:
+        others = Counts(counts.where("others > 0").select("lang", "run", F.col("others").alias("n")), len(languages))
+        out = _entropies(rows.where(tried).select("text", "lang"), others).toArrow()
+        model.calibrate(np.array(out.column("bits").to_pylist()).reshape(-1, len(languages)),
+                        np.array([languages.index(x) for x in out.column("lang").to_pylist()], int))
     return model
 
 
-def _falling():
-    from pyspark.sql.window import Window
-    return Window.partitionBy("lang").orderBy(F.desc("n"))
-
-
-def _entropies(rows: DataFrame, model: Identifier) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            for start, stop, data, at in text_slices(batch):
-                bits, lettered = model.entropies(data, at)
-                yield pa.RecordBatch.from_arrays([batch.column("lang").slice(start, stop - start).filter(pa.array(lettered)),
-                                                  pa.array(bits[lettered].tolist(), pa.list_(pa.float64()))], ["lang", "bits"])
-    return rows.mapInArrow(run, "lang string, bits array<double>")
+def _entropies(rows: DataFrame, counts: Counts) -> DataFrame:
+    """(lang, bits) of every row of ``rows`` (text, lang) with letters."""
+    def finish(lang, bits, lettered):
+        return pa.table([lang.filter(pa.array(lettered)), pa.array(bits[lettered].tolist(), pa.list_(pa.float64()))], ["lang", "bits"])
+    return entropies(rows, "lang", counts, finish, "lang string, bits array<double>")
 
 
 def identify(docs: DataFrame, model: Identifier) -> DataFrame:
@@ -246,24 +338,22 @@ def identify(docs: DataFrame, model: Identifier) -> DataFrame:
     ``bits`` is the cross-entropy per character of the chosen language; above its limit the text is marked rejected,
     and its score falls accordingly. Equal entropies give the first language by name. Repeated rows agree.
     """
-    def run(batches):
-        for batch in batches:
-            for start, stop, data, at in text_slices(batch):
-                n = stop - start
-                names, scores, bits, rejected = ["und"] * n, np.zeros(n), np.zeros(n), np.zeros(n, bool)
-                if model.joint is not None:
-                    entropies, lettered = model.entropies(data, at)
-                    best = entropies.argmin(axis=1)
-                    bits = np.where(lettered, entropies[np.arange(n), best], 0)
-                    excess = np.maximum(bits - model.limit[best], 0)
-                    scores = np.where(lettered, model.posterior(entropies)[np.arange(n), best] * np.exp2(-excess), 0)
-                    rejected = lettered & (excess > 0)
-                    names = [model.languages[b] if has else "und" for b, has in zip(best, lettered)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, n), pa.array(names), pa.array(scores),
-                                                  pa.array(bits), pa.array(rejected)], ["doc_id", "lang_pred", "score", "bits", "rejected"])
-
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, bits double, rejected boolean")
+    if model.counts is None:
+        return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits"), F.lit(False).alias("rejected"))
+    languages, limit, posterior = model.languages, model.limit, Identifier(None, model.languages)
+    posterior.sharpness = model.sharpness
+
+    def finish(doc_id, entropies, lettered):
+        best = entropies.argmin(axis=1)
+        bits = np.where(lettered, entropies[np.arange(len(best)), best], 0)
+        excess = np.maximum(bits - limit[best], 0)
+        scores = np.where(lettered, posterior.posterior(entropies)[np.arange(len(best)), best] * np.exp2(-excess), 0)
+        names = [languages[b] if has else "und" for b, has in zip(best, lettered)]
+        return pa.table([doc_id, pa.array(names, pa.string()), pa.array(scores), pa.array(bits), pa.array(lettered & (excess > 0))],
+                        ["doc_id", "lang_pred", "score", "bits", "rejected"])
+
+    return entropies(rows, "doc_id", model.counts, finish, "doc_id long, lang_pred string, score double, bits double, rejected boolean")
 
 
 @query("op2_language_id")
