@@ -246,6 +246,16 @@ def test_templates_and_slots(spark):
     assert sorted(r.doc_id for r in decontam.clean(docs, bench).collect()) == [2, 3, 4, 5]
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    bench = [(1, "What is the capital of France?"), (2, "Solve 3x + 7 = 22"), (3, "日本の首都はどこですか"), (4, "see Anna Bert Carl Dora Emil"), (5, "Photosynthesis")]
+    texts = [(1, "he asked what is the capital of this land"), (2, "So what is the capital of France? Nobody knew"), (3, "Please solve 3x + 7 = 22 now"),
+             (4, "Please solve 5x + 9 = 31 now"), (5, "問題。日本の首都はどこですか？答え"), (6, "we see Rita Susi Toni Uwe Vera"), (7, "we see Anna Bert Carl Dora Emil"),
+             (8, "about photosynthesis"), (9, "日本の首都")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r["items"] for r in decontam.report(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert got == {1: "", 2: "1", 3: "2", 4: "", 5: "3", 6: "", 7: "4", 8: "5", 9: ""}
+
+
 # --- mixture ----------------------------------------------------------------------------------------------------------
 
 def test_mixture(spark):

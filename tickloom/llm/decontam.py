@@ -19,10 +19,14 @@ UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "lb", "oz", "ml", "l", "s", "mi
 #: Opens a placeholder: a private-use character, removed from texts beforehand. Its type follows, then the word itself.
 MARK = "\ue000"
 WIDTH = 5
+#: A match has so many windows at least, or all of its item's; and so many tokens that are literal or have the item's own value, or all.
+LEAST, LITERAL = 3, 5
 
 _NAME = r"([^.!?:\s]\x20)(\p{Lu}\p{Ll})"
 _NUMBER = r"(^|[\s($])([0-9])"
 _UNIT = rf"({MARK}d[^\s]*\x20)({'|'.join(UNITS)})([\s.,;:!?)]|$)"
+#: Characters of scripts that write words without blanks between them: each is a token.
+_SOLID = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}]"
 _STRIP = r"[!-/:-@\[-`{-~]+"
 
 
@@ -32,7 +36,12 @@ def tokens(text: str = "text") -> Column:
     A capitalised word is a name unless it opens a text, line or sentence; the rule runs twice, as neighbouring names
     share the blank between them.
     """
-    out = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(MARK), F.lit(""))
+    whole = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(MARK), F.lit(""))
+    # Each text takes one branch, so nothing is replaced or matched twice.
+    return F.when(F.col(text).rlike(_SOLID), _words(F.regexp_replace(whole, f"({_SOLID})", "\x20$1\x20"), text)).otherwise(_words(whole, text))
+
+
+def _words(out: Column, text: str) -> Column:
     named = out
     for _ in range(2):
         named = F.regexp_replace(named, _NAME, f"$1{MARK}n$2")
@@ -58,27 +67,48 @@ def windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     return rows.select(*kept, "place", F.col("run.hash").alias("hash"), F.when(F.size("run.slots") > 0, F.col("run.slots")).alias("slots"))
 
 
+def _placed(rows: DataFrame, width: int) -> DataFrame:
+    """``windows`` of benchmark items of one width, with the places of their literal tokens and of their placeholders."""
+    of = lambda kept: F.expr(
+        f"filter(sequence(place, place + {width - 1}), p -> {kept} startswith(element_at(of, int(p + 1)), '{MARK}'))")
+    found = windows(rows.withColumn("of", F.col("tokens")), width)
+    return found.withColumns({"plain": of("not"), "held": of(""), "width": F.lit(width)}).drop("of")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = 0.5, enough: int = 9) -> DataFrame:
     """(doc_id, item_id, windows): the benchmark items that each document holds, with the windows of the longest match.
 
     A match is a run of windows at one distance between document and item. It counts with ``share`` of the item's
-    windows, or ``enough`` of them (nine windows of five words are 13 words), if every slot value of the item stands
-    for one value of the document throughout. Items and texts of fewer than ``width`` words, null and empty ones match
-    nothing. Repeated items are reported one by one; rows of one doc_id count as one document, and so do rows without.
-    Other columns are ignored. The side of the benchmark is broadcast only if Spark finds its written size small.
+    windows, but ``LEAST`` of them or else all, or with ``enough`` of them (nine windows of five words are 13 words), if
+    every slot value of the item stands for one value of the document throughout and ``LITERAL`` tokens (all, in a
+    shorter item) are literal or have the item's own value. An item of fewer than ``width`` words is one window of its
+    own width, so that it has to be there whole and as it is. Null and empty items and texts match nothing. Repeated
+    items are reported one by one; rows of one doc_id count as one document, and so do rows without. Other columns are
+    ignored. The side of the benchmark is broadcast only if Spark finds its written size small.
     """
-    items = windows(benchmark.select("item_id", tokens().alias("tokens")), width)
+    listed = benchmark.select("item_id", tokens().alias("tokens"))
+    short = sorted(r[0] for r in listed.select(F.size("tokens").alias("n")).where((F.col("n") > 0) & (F.col("n") < width)).distinct().collect())
+    items = _placed(listed, width)
+    for n in short:
+        items = items.union(_placed(listed.where(F.size("tokens") == n), n))
     items = publish(items.distinct(), "items")
-    wanted = items.groupBy("item_id").agg(F.count_distinct("place").alias("all"))
-    wanted = wanted.select("item_id", F.least(F.ceil(F.col("all") * share), F.lit(enough)).alias("needed"))
-    found = windows(docs.select("doc_id", tokens().alias("tokens")), width).join(
-        items.select("item_id", F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots")), "hash")
+    wanted = items.groupBy("item_id").agg(F.count_distinct("place").alias("all"), F.max("width").alias("width"))
+    wanted = wanted.select("item_id", F.greatest(F.least(F.ceil(F.col("all") * share), F.lit(enough)), F.least("all", F.lit(LEAST))).alias("needed"),
+                           F.least(F.col("all") + F.col("width") - 1, F.lit(LITERAL)).alias("literal"))
+    texts = docs.select("doc_id", tokens().alias("tokens"))
+    runs = windows(texts, width)
+    for n in short:
+        runs = runs.union(windows(texts, n))
+    found = runs.join(items.select("item_id", F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"), "plain", "held"), "hash")
     pairs = F.when(F.col("slots").isNotNull(), F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")))
+    same = F.when(F.col("slots").isNotNull(), F.expr(
+        "transform(filter(arrays_zip(held, item_slots, slots), x -> x.item_slots = x.slots), x -> x.held)")).otherwise(F.lit([]).cast("array<int>"))
     matched = found.groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("distance")).agg(
-        F.count_distinct("item_place").alias("windows"), F.flatten(F.collect_set(pairs)).alias("pairs"))
+        F.count_distinct("item_place").alias("windows"), F.flatten(F.collect_set(pairs)).alias("pairs"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(F.concat("plain", same))))).alias("literals"))
     values = F.array_distinct(F.transform("pairs", lambda p: p["i"]))
     matched = matched.join(wanted, "item_id").where(
-        (F.col("windows") >= F.col("needed")) & (F.size(values) == F.size(F.array_distinct("pairs"))))
+        (F.col("windows") >= F.col("needed")) & (F.col("literals") >= F.col("literal")) & (F.size(values) == F.size(F.array_distinct("pairs"))))
     return matched.groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"))
 
 
