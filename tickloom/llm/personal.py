@@ -142,18 +142,17 @@ def pattern_edges(found: DataFrame) -> DataFrame:
 def occurrences(docs: DataFrame, edges: DataFrame) -> DataFrame:
     """(pattern, total): how often the words of each pattern occur in the corpus, whatever follows.
 
-    Words other than the last words of patterns are left out before word pairs are counted; these last words are one
-    small row each, and Spark broadcasts them only where its measure of them allows.
+    Words other than the last words of patterns are left out first, then pairs that are no pattern, and what is left is
+    counted where it is read. Patterns and their last words are one small row each, and Spark broadcasts them only where its
+    measure of them allows.
     """
     patterns = publish(edges.groupBy("pattern").agg(F.first("fills").alias("fills")), "patterns")
     last = publish(patterns.select(F.substring_index("pattern", " ", -1).alias("w")).distinct(), "last-words")
     words = docs.where("text is not null").select(F.split(F.lower("text"), _BLANKS).alias("words"))
     pairs = words.select(F.inline(F.arrays_zip(F.col("words").alias("w"), F.concat(F.array(F.lit("")), "words").alias("before"))))
-    counts = publish(pairs.join(last, "w", "left_semi").groupBy("before", "w").agg(F.count(F.lit(1)).alias("n")), "word-pairs")
-    single = counts.groupBy(F.col("w").alias("pattern")).agg(F.sum("n").alias("n"))
-    both = counts.select(F.concat_ws(" ", "before", "w").alias("pattern"), "n")
-    total = patterns.join(single.unionByName(both), "pattern", "left").groupBy("pattern").agg(
-        F.greatest(F.coalesce(F.max("n"), F.lit(0)), F.max("fills")).alias("total"))
+    each = pairs.join(last, "w", "left_semi").select(F.explode(F.array("w", F.concat_ws(" ", "before", "w"))).alias("pattern"))
+    counts = publish(each.join(patterns, "pattern", "left_semi").groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "pattern-counts")
+    total = patterns.join(counts, "pattern", "left").select("pattern", F.greatest(F.coalesce("n", F.lit(0)), "fills").alias("total"))
     return publish(total, "pattern-totals")
 
 
