@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from helpers import SMALL, close_to, collected, make_bars, to_spark
+from helpers import BAR_SCHEMA, SMALL, close_to, collected, make_bars, to_spark
 
 from tickloom.operators import indicators as I
 from tickloom.operators import panel as P
@@ -86,3 +86,20 @@ def test_same_indicator_with_other_settings_keeps_both(spark):
     df = P.number_rows(to_spark(spark, make_bars({"A": 60})))
     out = I.compute(df, I.from_spec({"rsi": [14, 7], "stochastic": [(14, 3), (5, 3)], "bollinger": [(20, 2.0), (10, 1.5)]}))
     assert {"rsi", "rsi_7", "stoch_k", "stoch_k_5_3", "bb_upper", "bb_upper_10_1_5"} <= set(out.columns)
+
+
+def test_folds_and_fill_run_inside_compute(spark):
+    """Small blocks, gaps and two tickers: one of them shorter than the windows."""
+    pdf = make_bars({"A": 70, "B": 3})
+    pdf.loc[[5, 6, 40], "volume"] = None
+    df = to_spark(spark, pdf, BAR_SCHEMA.replace("bigint", "double"))
+    chosen = [I.obv(), I.obv("obv_b", "b"), I.sma(5), I.macd(), I.cci()]
+    made = collected(I.compute(df, chosen, SMALL), "obv", "obv_b")
+    want = collected(I.with_obv(df, SMALL, {"obv": "a", "obv_b": "b"}), "obv", "obv_b")
+    close_to(made[["obv", "obv_b"]], want[["obv", "obv_b"]])
+    names = ["volume", "obv", "sma_5", "macd_signal", "cci"]
+    plain = collected(I.compute(df, chosen, SMALL), *names)
+    filled = plain.groupby("ticker")[names].transform(lambda x: x.ffill().bfill()).fillna(0)
+    for staged in (False, True):
+        got = collected(I.compute(df, chosen, SMALL, fill=True, staged=staged), *names)
+        close_to(got[names], filled)

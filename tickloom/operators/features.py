@@ -181,6 +181,18 @@ def full_features(bars: DataFrame, records: DataFrame | None = None, target_peri
     return return_targets(out, target_periods, drop_tail=False, panel=panel) if target_periods else out
 
 
+def pipeline_features(bars: DataFrame, records: DataFrame | None = None, target_periods: Sequence[int] = (1, 5),
+                      panel: P.Panel = P.BARS) -> DataFrame:
+    """The whole feature pipeline: every indicator without gaps, calendar parts, sentiment, forward targets.
+
+    The indicators are staged: the table is written between levels of exponential means. Indicators are filled as in :func:`indicators.compute`; targets are not, so the newest rows have none.
+    """
+    out = time_features(I.compute(bars, I.full_set(), panel, fill=True, staged=True))
+    if records is not None:
+        out = sentiment_features(out, records, panel)
+    return return_targets(out, target_periods, drop_tail=False, panel=panel) if target_periods else out
+
+
 def next_business_days(last: DataFrame, steps: int, date: str = "date") -> DataFrame:
     """The next ``steps`` weekdays after each row's date, numbered from 1."""
     span = F.sequence(F.date_add(date, 1), F.date_add(date, 2 * steps + 4))

@@ -14,19 +14,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from tickloom.operators.frames import numeric_columns
 from tickloom.operators.panel import (
-    BARS, Ewm, Panel, Run, Step, drop_work_columns, ensure_numbered, ewm, flag, merge_steps, pct_change, rolling,
+    BARS, Ewm, Panel, Run, Step, drop_work_columns, ensure_numbered, ewm, fill_all, flag, merge_steps, pct_change, rolling,
     running, span_alpha, windowed,
 )
+from tickloom.session import publish
 
 
 @dataclass(frozen=True)
 class Phase:
-    """Window steps that look back ``before`` rows in all, then exponential means of their columns."""
+    """Window steps that look back ``before`` rows in all, then exponential means and running folds of their columns."""
 
     steps: tuple[Step, ...]
     before: int
     means: tuple[Ewm, ...] = ()
+    folds: tuple[tuple[str, Run], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -34,21 +37,30 @@ class Indicator:
     phases: tuple[Phase, ...]
 
 
-def phase(before: int, *steps: Step, means: Sequence[Ewm] = ()) -> Phase:
+def phase(before: int, *steps: Step, means: Sequence[Ewm] = (), folds: Mapping[str, Run] | None = None) -> Phase:
     """A phase after the first that looks back 0 rows has plain columns only."""
-    return Phase(tuple(steps), before, tuple(means))
+    return Phase(tuple(steps), before, tuple(means), tuple((folds or {}).items()))
 
 
 def indicator(before: int, *steps: Step) -> Indicator:
     return Indicator((phase(before, *steps),))
 
 
-def compute(df: DataFrame, indicators: Sequence[Indicator], panel: Panel = BARS) -> DataFrame:
-    """``df`` plus the columns of all indicators."""
-    df, made = ensure_numbered(df, panel), set()
+def compute(df: DataFrame, indicators: Sequence[Indicator], panel: Panel = BARS, fill: bool = False, staged: bool = False) -> DataFrame:
+    """``df`` plus the columns of all indicators.
+
+    A level of exponential means reads its rows twice, for the blocks and for the rows, so levels on levels repeat the work
+    below them. With ``staged`` the table is written to the shared folder after each such level, and every level runs once.
+
+    With ``fill``, a gap in any numeric column takes the value before it, else the one after it, else 0, as the last pass.
+    Targets and the position stay as they are.
+    """
+    df, made, repeated = ensure_numbered(df, panel), set(), False
     for depth in range(max((len(i.phases) for i in indicators), default=0)):
         phases = [i.phases[depth] for i in indicators if depth < len(i.phases)]
         parts = [[{n: fn for n, fn in step.items() if n not in made} for step in p.steps] for p in phases]
+        if repeated and staged:
+            df = publish(df, "levels")
         levels, reach = merge_steps(parts), max(p.before for p in phases)
         if levels and (reach or not depth):
             df = windowed(df, panel, levels, before=reach)
@@ -60,7 +72,15 @@ def compute(df: DataFrame, indicators: Sequence[Indicator], panel: Panel = BARS)
         if means:
             df = ewm(df, panel, list(means.values()))
             made |= set(means)
-    return drop_work_columns(df)
+        folds = {n: run for p in phases for n, run in p.folds if n not in made}
+        if folds:
+            df = running(df, panel, folds)
+            made |= set(folds)
+        repeated = bool(means or folds)
+    df = drop_work_columns(df)
+    if fill and staged:
+        df = publish(df, "levels")
+    return fill_all(df, panel, [c for c in numeric_columns(df) if c != panel.pos]) if fill else df
 
 
 def _c(name: str) -> Column:
@@ -323,6 +343,14 @@ def with_obv(df: DataFrame, panel: Panel = BARS, outputs: Mapping[str, str] | No
     return drop_work_columns(running(signed, panel, runs))
 
 
+def obv(out: str = "obv", dialect: str = "a") -> Indicator:
+    """On-balance volume as an indicator among others; the dialects are those of :func:`with_obv`."""
+    change, volume = _c("close") - _c("__prev"), _c("volume")
+    signed = {"a": F.when(change > 0, volume).when(change < 0, -volume).otherwise(F.lit(0)),
+              "b": F.when(change < 0, -volume).otherwise(volume)}[dialect]
+    return Indicator((phase(1, PREV, {f"__signed_{dialect}": _plain(signed)}, folds={out: Run("sum", _c(f"__signed_{dialect}"))}),))
+
+
 # The standard indicator settings.
 STANDARD_SPEC = {
     "sma": [5, 10, 20, 50, 100, 200], "ema": [5, 10, 20, 50, 100, 200], "rsi": [14], "bollinger": [(20, 2.0)],
@@ -332,8 +360,19 @@ BUILDERS: dict[str, Callable[..., Indicator]] = {
     "sma": sma, "ema": ema, "rsi": rsi, "rsi_wilder": rsi_wilder, "bollinger": bollinger, "macd": macd,
     "stochastic": stochastic, "williams_r": williams_r, "cci": cci, "roc": roc, "atr": atr, "adx": adx,
     "volatility": volatility, "momentum": momentum, "above_ma": above_ma, "cross_event": cross_event,
-    "cross_state": cross_state, "price_to_ma": price_to_ma,
+    "cross_state": cross_state, "price_to_ma": price_to_ma, "obv": obv,
 }
+# The settings of the whole feature pipeline.
+FULL_SPEC = {
+    **STANDARD_SPEC, "rsi_wilder": [14], "adx": [14], "atr": [14], "cci": [14], "williams_r": [14], "roc": [10, (10, "mom_10")],
+    "price_to_ma": [5, 10, 20, 50, 100, 200], "cross_state": [(5, 10), (10, 20), (20, 50), (50, 200)], "obv": ["obv"],
+}
+
+
+def full_set() -> list[Indicator]:
+    return [*from_spec(FULL_SPEC), returns(), gap_and_range(), volume_stats(), volume_oscillator()]
+
+
 
 
 def from_spec(spec: dict[str, Sequence]) -> list[Indicator]:

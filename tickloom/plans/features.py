@@ -6,7 +6,7 @@ from tickloom.operators import features as E
 from tickloom.plans import sql as S
 from tickloom.plans.indicators import MAS
 from tickloom.plans.joins import DAILY
-from tickloom.plans.registry import query, rounded
+from tickloom.plans.registry import ORACLES, query, rounded
 from tickloom.sources import fixtures as X
 
 BASE = ("ticker", "date")
@@ -144,6 +144,66 @@ def f15(spark, sf):
                      *rounded(8, "polarity_mean", "target_5d"), "target_5d_up")
 
 
+# The columns of the whole pipeline by the digits they are compared to, with the query whose SQL gives them without the fill.
+_FULL = {
+    "t1_sma": {6: [f"sma_{n}" for n in (5, 10, 20, 50, 100, 200)]}, "t2_ema": {2: [f"ema_{n}" for n in (5, 10, 20, 50, 100, 200)]},
+    "t3_rsi": {6: ["rsi"]}, "t4_rsi_wilder": {6: ["rsi_wilder"]},
+    "t5_bollinger": {4: ["bb_middle"], 2: ["bb_std", "bb_upper", "bb_lower"], 8: ["bb_width"]},
+    "t6_macd": {2: ["macd", "macd_signal", "macd_hist"]}, "t7_stochastic": {6: ["stoch_k", "stoch_d"]},
+    "t8_adx": {6: ["plus_di", "minus_di", "adx"]}, "t9_atr": {4: ["true_range"], 3: ["atr"]}, "t10_obv": {0: ["obv"]}, "t11_cci": {5: ["cci"]},
+    "t12_roc_mom": {6: ["roc_10", "mom_10"]}, "t13_williams_r": {6: ["williams_r"]},
+    "t14_volume": {6: ["volume_ma5", "volume_ma10", "volume_ma20", "volume_change", "volume_ratio_ma5", "volume_ratio_ma20", "volume_volatility"]},
+    "t15_volume_oscillator": {6: ["volume_osc", "price_volume_ratio"]}, "t16_returns": {8: ["daily_return", "log_return"]},
+    "t17_volatility": {6: [f"volatility_{n}" for n in (5, 10, 20)]}, "t18_momentum": {8: [f"momentum_{n}" for n in (5, 10, 20)]},
+    "t19_gap_range": {8: ["gap", "hl_range"]}, "t22_ma_state": {None: [f"ma_state_{a}_{b}" for a, b in ((5, 10), (10, 20), (20, 50), (50, 200))]},
+    "t23_price_to_ma": {8: [f"price_to_ma{n}" for n in (5, 10, 20, 50, 100, 200)]},
+}
+_INDICATORS = {c: digits for groups in _FULL.values() for digits, names in groups.items() for c in names}
+_CALENDAR = {"f7_date_parts": ["day_of_week", "day_of_month", "week_of_year", "month", "quarter", "year"],
+             "f8_period_flags": [f"is_{u}_{e}" for u in ("month", "quarter", "year") for e in ("start", "end")],
+             "f9_cyclical": ["sin_day_of_week", "cos_day_of_week", "sin_month", "cos_month"]}
+_TARGETS = [f"target_{n}d" for n in (1, 5)]
+
+
+def _whole_sql(source):
+    """Every indicator filled forward, then backward, then with 0; calendar parts; targets; over the bars of ``source``."""
+    def of(name):
+        return ORACLES[name].replace(S.BARS, source)
+    past, ahead = f"{S.W[:-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)", f"{S.W[:-1]} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    filled = ", ".join(f"coalesce(last_value({c} IGNORE NULLS) OVER {past}, first_value({c} IGNORE NULLS) OVER {ahead}, 0) AS {c}" for c in _INDICATORS)
+    tables = ", ".join(f"{name} AS ({of(name)})" for name in (*_FULL, *_CALENDAR))
+    forward = ", ".join(f"lead(close, {n}) OVER {S.W} / nullif(close, 0) - 1 AS target_{n}d" for n in (1, 5))
+    return f"""{source}, {tables}, wide AS (SELECT * FROM {" JOIN ".join([next(iter(_FULL)), *(f"{n} USING (ticker, date)" for n in [*_FULL, *_CALENDAR][1:])])}),
+ filled AS (SELECT ticker, date, {filled}, {", ".join(c for names in _CALENDAR.values() for c in names)} FROM wide),
+ targets AS (SELECT ticker, date, {forward} FROM bars),
+ whole AS (SELECT ticker, date, {", ".join(f"round({c}, {d}) AS {c}" if d else c for c, d in _INDICATORS.items())}, {", ".join(c for names in _CALENDAR.values() for c in names)},
+  {", ".join(f"round({c}, 8) AS {c}, coalesce(CAST({c} > 0 AS INTEGER), 0) AS {c}_up" for c in _TARGETS)} FROM filled JOIN targets USING (ticker, date))"""
+
+
+def _whole_columns():
+    return [*BASE, *(rounded(d, c)[0] if d else F.col(c) for c, d in _INDICATORS.items()), *(c for names in _CALENDAR.values() for c in (
+        rounded(8, *names) if names[0].startswith("sin") else names)), *rounded(8, *_TARGETS), *(f"{c}_up" for c in _TARGETS)]
+
+
+@query("f15_all_indicators", f"WITH {_whole_sql(S.BARS)} SELECT * FROM whole")
+def f15_all(spark, sf):
+    """Every column of the pipeline over long series."""
+    return E.pipeline_features(X.bars(spark, sf)).select(*_whole_columns())
+
+
+_EV_AS_BARS = S.BARS_EV.replace("bars_ev AS", "bars AS")
+
+
+@query("f15_whole_pipeline", f"""WITH {_whole_sql(_EV_AS_BARS)}, bars_ev AS (SELECT * FROM bars), {S.SENTIMENT}, {_PROFILE}, {_JOINED},
+ rolled AS (SELECT ticker, date, round(polarity_mean, 8) AS polarity_mean, polarity_count,
+  {", ".join(f"round({S.full('avg', c, n)}, 8) AS {c}_rolling_{n}d" for c, n in _ROLLS)} FROM joined)
+ SELECT * FROM whole JOIN rolled USING (ticker, date)""")
+def f15_whole(spark, sf):
+    """Every column of the pipeline with news sentiment; series shorter than the longest window are filled."""
+    out = E.pipeline_features(X.bars_ev(spark, sf), X.sentiment(spark, sf))
+    return out.select(*_whole_columns(), *rounded(8, "polarity_mean"), "polarity_count", *rounded(8, *[f"{c}_rolling_{n}d" for c, n in _ROLLS]))
+
+
 @query("f16_combine_sources", f"""WITH {S.BARS_EV}, {S.SENTIMENT}, {DAILY}, {S.MACRO},
  shifted AS (SELECT series_id, CAST(date + INTERVAL 25 YEAR AS DATE) AS date, value FROM macro)
  SELECT b.ticker, b.date, b.close, round(coalesce(avg_polarity, 0), 8) AS avg_polarity, {", ".join(f"m{i}.value AS macro_{i}" for i in "ANR")}
