@@ -7,16 +7,22 @@ is never gathered anywhere.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tickloom.operators import panel as P
 from tickloom.operators.features import chronological_split, next_business_days
-from tickloom.operators.frames import latest_rows
+from tickloom.operators.frames import latest_record, latest_rows
+from tickloom.operators.indicators import Indicator, compute
+from tickloom.operators.models import score
+from tickloom.session import publish
 
 # Asymptotic Dickey-Fuller critical values with a constant.
 ADF_CRITICAL = {"1%": -3.43, "5%": -2.86, "10%": -2.57}
@@ -296,3 +302,47 @@ def hold_out_forecast(df: DataFrame, y: str = "close", p: int = 5, d: int = 1, s
     placed = ahead.join(last, list(panel.keys)).withColumn(panel.pos, F.col("__last") + F.col("step"))
     return (placed.join(test.select(*panel.keys, panel.pos, *panel.order, F.col(y).alias("actual")), [*panel.keys, panel.pos])
             .select(*panel.keys, *panel.order, "step", "actual", "predicted"))
+
+
+def next_weekday(day: Column) -> Column:
+    return F.date_add(day, F.when(F.weekday(day) == 4, 3).when(F.weekday(day) == 5, 2).otherwise(1))
+
+
+def iterated_forecast(bars: DataFrame, models: Mapping[str, PipelineModel], indicators: Sequence[Indicator], steps: int = 5,
+                      rows: int = 200, returns: bool = True, unknown: Mapping[str, Column] | None = None,
+                      panel: P.Panel = P.BARS) -> DataFrame:
+    """Forecasts of fitted pipelines over several steps: each prediction becomes the next bar, and features are made anew.
+
+    Each key's last ``rows`` bars, the reach of the indicators or more, are the start; one bar per key and model is added a step, so
+    no step reads more than the tails. A predicted return (or a level, without ``returns``) gives the close; open, high and low of
+    that bar are the same, other columns keep their last value, and those of ``unknown`` take the one given. Bars are dated on
+    weekdays. Every step is one written table, so lineage stays short. A key whose newest row lacks a feature has no forecast
+    from that step on. Rows: keys, ``model``, ``step``, ``forecast_date``, ``predicted``.
+    """
+    keys, day = list(panel.keys), panel.order[0]
+    columns = [c for c in bars.columns if c != panel.pos]
+    inner = replace(panel, keys=(*panel.keys, "model"))
+    size = F.count(F.lit(1)).over(W.partitionBy(*keys))
+    tails = latest_rows(bars.select(*columns), rows, keys, day, rank="__r").withColumn(panel.pos, (size - F.col("__r")).cast("long")).drop("__r")
+    names = F.array(*(F.lit(n) for n in models))
+    known = publish(tails.select("*", F.explode(names).alias("model")), "tails")
+    kinds, ahead = dict(known.dtypes), []
+    for step in range(1, steps + 1):
+        newest = publish(latest_record(compute(known, indicators, inner), [*keys, "model"], panel.pos), "newest")
+        scored = None
+        for name, model in models.items():
+            one = score(model, newest.where(F.col("model") == name)).select(*newest.columns, F.col("prediction").cast("double"))
+            scored = one if scored is None else scored.unionByName(one)
+        close = F.col("close") * (1 + F.col("prediction")) if returns else F.col("prediction")
+        made = {"close": close, day: next_weekday(F.col(day)), panel.pos: F.col(panel.pos) + 1,
+                **{c: close for c in ("open", "high", "low") if c in columns}, **(unknown or {})}
+        # A key without a prediction in an earlier step still has an older newest bar.
+        reached = scored if step == 1 else scored.join(ahead[-1].select(*keys, "model", F.col(panel.pos)), [*keys, "model", panel.pos], "left_semi")
+        bar = reached.select(*(made.get(c, F.col(c)).cast(kinds[c]).alias(c) for c in known.columns))
+        ahead.append(publish(bar.where("close is not null"), "forecast-bars"))
+        known = known.unionByName(ahead[-1])
+    out = None
+    for step, bar in enumerate(ahead, 1):
+        one = bar.select(*keys, "model", F.lit(step).alias("step"), F.col(day).alias("forecast_date"), F.col("close").alias("predicted"))
+        out = one if out is None else out.unionByName(one)
+    return out

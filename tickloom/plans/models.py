@@ -303,6 +303,24 @@ def m16(spark, sf):
     return df.select("ticker", "step", "forecast_date", *rounded(4, "predicted"))
 
 
+_NEXT_DAY = "CASE WHEN isodow(d) = 5 THEN d + 3 WHEN isodow(d) = 6 THEN d + 2 ELSE d + 1 END"
+
+
+@query("m16_fitted_forecast", f"""WITH RECURSIVE {S.BARS}, f AS (SELECT ticker, date, close, row_number() OVER {S.W} - 1 AS pos, count(*) OVER (PARTITION BY ticker) AS n,
+ close / lag(close) OVER {S.W} - 1 AS x, lead(close) OVER {S.W} / close - 1 AS y FROM bars),
+ u AS (SELECT * FROM f WHERE pos >= 19 AND y IS NOT NULL),
+ r AS (SELECT regr_intercept(y, x) AS c, regr_slope(y, x) AS a FROM u WHERE pos < floor(n * 0.8::DOUBLE)),
+ s AS (SELECT ticker, date AS d, close AS y1, x, 0 AS step FROM f WHERE pos = n - 1
+  UNION ALL SELECT ticker, {_NEXT_DAY}, y1 * (1 + (c + a * x)), c + a * x, step + 1 FROM s, r WHERE step < 5)
+ SELECT ticker, 'linear' AS model, CAST(step AS INTEGER) AS step, CAST(d AS DATE) AS forecast_date, round(y1, 2) AS predicted FROM s WHERE step > 0""")
+def m16_fitted(spark, sf):
+    """A fitted pipeline's predicted returns become bars, from which its feature is made again."""
+    train, _ = parts(spark, sf, "target_return_1d")
+    model = M.pipeline("linear", "regression", ["daily_return"]).fit(train)
+    df = C.iterated_forecast(X.bars(spark, sf), {"linear": model}, [I.returns()], steps=5, rows=30)
+    return df.select("ticker", "model", "step", "forecast_date", *rounded(2, "predicted"))
+
+
 @query("m17_seasonal_difference", f"""WITH {S.BARS}, s AS (SELECT ticker, date, close - lag(close, 5) OVER {S.W} AS v FROM bars)
  SELECT ticker, date, round(v - lag(v) OVER {S.W}, 4) AS w FROM s""")
 def m17(spark, sf):

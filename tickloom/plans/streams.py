@@ -1,5 +1,7 @@
 """Streams R1-R8 and the stream source S13, over the event table as a file stream."""
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from tickloom.operators import indicators as I
@@ -114,6 +116,16 @@ def r3_records(spark, sf):
         "ticker", "event_id", *rounded(6, "score"))
 
 
+@query("r3_macro_records", f"""{KEPT} SELECT event_type AS series_id, event_id, CAST(ts AS DATE) AS date, value FROM kept
+ QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) <= 1000""")
+def r3_macro(spark, sf):
+    """The buffers of macro series over several triggers."""
+    messages = event_messages(spark, sf, split_stream(spark, sf, "events", 2))
+    rows = R.decode(messages, R.MACRO_TOPIC, "series_id string, date date, value double, event_id bigint", "series_id")
+    stored = R.drain(B.last_rows(rows, keys=["series_id"], order=["event_id"], size=B.RECORDS_KEPT), "r3m", "update", batches=True)
+    return B.newest_buffers(stored, ["series_id"]).select("series_id", "event_id", "date", "value")
+
+
 def bar_messages(spark, sf):
     """The stored daily bars as a stream of bar messages."""
     folder = fresh(spark, "bar-stream")
@@ -136,6 +148,60 @@ def r4(spark, sf):
     return scored(spark, sf, "r4").select("ticker", "date", "close", "model", "predicted")
 
 
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+_RECORDS = f"""records AS (SELECT {list(PRIORITIES)}[doc_id % 5 + 1] AS ticker, CAST(DATE '1998-07-06' + CAST((doc_id // 5) % 28 AS INTEGER) AS DATE) AS date,
+ CAST((doc_id // 5) % 28 AS BIGINT) * 86400 + doc_id % 86400 AS moment, ((doc_id * 37) % 201 - 100) / 100.0::DOUBLE AS polarity FROM documents)"""
+
+
+def record_stream(spark, sf):
+    """Sentiment records of the last four weeks of the bars, one second apart within a day."""
+    d = F.col("doc_id")
+    day = F.date_add(F.lit("1998-07-06").cast("date"), (F.floor(d / 5) % 28).cast("int"))
+    names = F.array(*[F.lit(t) for t in PRIORITIES])
+    return table_stream(spark, sf, "documents").select(
+        F.element_at(names, (d % 5 + 1).cast("int")).alias("ticker"), F.timestamp_seconds(F.unix_timestamp(day) + d % 86400).alias("ts"),
+        (((d * 37) % 201 - 100) / 100).alias("polarity"), (((d * 53) % 101) / 100).alias("subjectivity"))
+
+
+# Two fixed linear models over features of prices and sentiment.
+MODELS = {"trend": "0.0005 + 0.2 * daily_return - 0.1 * (price_to_ma5 - 1) + 0.01 * polarity_3", "news": "0.001 - 0.05 * daily_return + 0.02 * polarity_3"}
+HORIZON = 5
+
+
+def forecast_stream(spark, sf, name, transform=lambda forecasts: forecasts):
+    """Bars and sentiment records meet in one keyed state; its buffers are forecast batch by batch."""
+    models = {n: PipelineModel([SQLTransformer(statement=f"SELECT *, {formula} AS prediction FROM __THIS__")]) for n, formula in MODELS.items()}
+    indicators = [I.returns(), I.price_to_ma(5), I.sma(3, "polarity_mean", "polarity_3", min_periods=1)]
+    run = C.forecaster(models, indicators, HORIZON, {"polarity_mean": F.lit(0.0), "subjectivity_mean": F.lit(0.0)})
+    bars = R.decode(bar_messages(spark, sf), R.STOCK_TOPIC, R.BAR_MESSAGE)
+    return R.drain(B.bars_and_scores(bars, record_stream(spark, sf)), name, "update", transform=lambda batch: transform(run(batch)))
+
+
+_FORECASTS = f"""WITH RECURSIVE {S.BARS}, {_RECORDS}, l AS (SELECT ticker, date, close, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS r FROM bars),
+ kept AS (SELECT * FROM records QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY moment DESC) <= 1000),
+ daily AS (SELECT ticker, date, avg(polarity) AS p FROM kept GROUP BY 1, 2),
+ s AS (SELECT ticker, max(date) AS d, list(close ORDER BY r) AS y, list(coalesce(p, 0.0::DOUBLE) ORDER BY r) AS p FROM l LEFT JOIN daily USING (ticker, date) WHERE r <= 5 GROUP BY 1),
+ f AS (SELECT ticker, m.model, d, 0 AS step, y, p FROM s, (SELECT unnest(['trend', 'news']) AS model) m
+  UNION ALL SELECT ticker, model, {"CASE WHEN isodow(d) = 5 THEN d + 3 WHEN isodow(d) = 6 THEN d + 2 ELSE d + 1 END"}, step + 1,
+   list_prepend(y[1] * (1 + CASE model WHEN 'trend' THEN 0.0005::DOUBLE + 0.2::DOUBLE * (y[1] / y[2] - 1) - 0.1::DOUBLE * (y[1] / list_avg(y[1:5]) - 1) + 0.01::DOUBLE * list_avg(p[1:3])
+    ELSE 0.001::DOUBLE - 0.05::DOUBLE * (y[1] / y[2] - 1) + 0.02::DOUBLE * list_avg(p[1:3]) END), y), list_prepend(0.0::DOUBLE, p) FROM f WHERE step < {HORIZON})
+"""
+
+
+@query("r4_forecasts_with_sentiment", f"""{_FORECASTS}
+ SELECT ticker, model, CAST(step AS INTEGER) AS step, CAST(d AS DATE) AS forecast_date, round(y[1], 4) AS predicted FROM f WHERE step > 0""")
+def r4_forecasts(spark, sf):
+    return forecast_stream(spark, sf, "r4f").select("ticker", "model", "step", "forecast_date", *rounded(4, "predicted"))
+
+
+@query("r6_prediction_documents", f"""{_FORECASTS}
+ SELECT ticker, CAST({HORIZON} AS INTEGER) AS prediction_horizon, model, CAST(d AS DATE) AS forecast_date, round(y[1], 4) AS predicted FROM f WHERE step > 0""")
+def r6_documents(spark, sf):
+    """Nested documents written per batch, and the newest of each ticker read back."""
+    stored = forecast_stream(spark, sf, "r6d", lambda forecasts: C.prediction_documents(forecasts, HORIZON))
+    return C.flat_documents(C.newest_documents(stored)).select("ticker", "prediction_horizon", "model", "forecast_date", *rounded(4, "predicted"))
+
+
 @query("r5_streamed_sentiment", f"""WITH {S.BARS_EV}, {S.SENTIMENT}, d AS (SELECT ticker, date, avg(polarity) AS p, avg(subjectivity) AS s, count(*) AS n FROM sentiment GROUP BY 1, 2)
  SELECT ticker, date, close, round(p, 8) AS polarity_mean, round(s, 8) AS subjectivity_mean, n AS polarity_count FROM d JOIN bars_ev USING (ticker, date)
  WHERE date + 1 <= (SELECT max(date) FROM sentiment) - 1""")
