@@ -93,3 +93,40 @@ def test_forecast_follows_the_recursion(df):
         y.append(y[-1] + fit["intercept"] + fit["ar"][0] * w[0] + fit["ar"][1] * w[1])
         assert r["predicted"] == pytest.approx(y[-1])
         assert r["forecast_date"].weekday() < 5
+
+
+def test_iterated_forecast_makes_features_anew(spark):
+    """Two models, a short series without features, and one that ends on a Friday."""
+    import datetime
+
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    from tickloom.operators import indicators as I
+    friday = datetime.date(2024, 1, 5)
+    closes = {"A": [10.0, 11.0, 12.0, 11.0, 13.0, 12.5], "B": [5.0, 4.0, 4.5], "C": [7.0]}
+    rows = [(t, friday - datetime.timedelta(len(c) - 1 - k), x, x, x, x, 100) for t, c in closes.items() for k, x in enumerate(c)]
+    df = spark.createDataFrame(rows, "ticker string, date date, open double, high double, low double, close double, volume bigint")
+    models = {"up": PipelineModel([SQLTransformer(statement="SELECT *, daily_return / 2 AS prediction FROM __THIS__ WHERE daily_return IS NOT NULL")]),
+              "mean": PipelineModel([SQLTransformer(statement="SELECT *, 1 - price_to_ma3 AS prediction FROM __THIS__ WHERE price_to_ma3 IS NOT NULL")])}
+    got = C.iterated_forecast(df, models, [I.returns(), I.price_to_ma(3)], steps=3, rows=4).collect()
+    want = {}
+    for t, path in closes.items():
+        for m in models:
+            c, day = list(path), friday
+            for step in (1, 2, 3):
+                if m == "up":
+                    if len(c) < 2:
+                        break
+                    r = (c[-1] / c[-2] - 1) / 2
+                else:
+                    if len(c) < 3:
+                        break
+                    r = 1 - c[-1] / (sum(c[-3:]) / 3)
+                c.append(c[-1] * (1 + r))
+                day += datetime.timedelta(3 if day.weekday() == 4 else 1)
+                want[t, m, step] = (day, c[-1])
+    assert {(r["ticker"], r["model"], r["step"]) for r in got} == set(want)
+    for r in got:
+        day, value = want[r["ticker"], r["model"], r["step"]]
+        assert r["forecast_date"] == day and abs(r["predicted"] - value) < 1e-9

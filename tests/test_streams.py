@@ -100,3 +100,60 @@ def test_worker_functions_need_no_package_on_the_worker(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120,
                           env={k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"})
     assert done.stdout.strip() == "4", done.stderr
+
+
+def test_buffer_takes_late_rows_by_their_order_and_keeps_ties(spark, tmp_path):
+    """Rows may come late: what counts is their order, not the trigger; rows of one time all count."""
+    batches = [ticks("A", 10, 4), [*ticks("A", 0, 3), *ticks("A", 12, 1)], [*ticks("A", 11, 1), ("A", None, 77, 1.0, 1)]]
+    stream = R.file_stream(spark, write_files(spark, str(tmp_path), batches), SCHEMA, files_per_trigger=1)
+    out = R.drain(B.last_rows(stream, order=["ts"], size=5), "late-test", "update", batches=True).orderBy("batch_id").collect()
+    by_batch = {}
+    for r in out:
+        by_batch.setdefault(r["batch_id"], []).append(r["event_id"])
+    assert sorted(by_batch[0]) == [10, 11, 12, 13]
+    assert sorted(by_batch[1]) == [10, 11, 12, 12, 13]
+    assert sorted(by_batch[2]) == [11, 12, 12, 13, 77]
+
+
+def test_bars_and_scores_share_a_state(spark, tmp_path):
+    day = datetime.date(2024, 1, 1)
+    bar_schema, record_schema = "ticker string, date date, close double", "ticker string, ts timestamp, polarity double, subjectivity double"
+
+    def at(k, hour):
+        return T0 + datetime.timedelta(days=k, hours=hour)
+    bars = [[("A", day, 1.0), ("B", day, 5.0)], [("A", day + datetime.timedelta(1), 2.0)], [("A", day + datetime.timedelta(2), 3.0)]]
+    records = [[("A", at(0, 1), 0.5, 0.2), ("A", at(0, 2), 0.1, None), ("C", at(0, 2), 1.0, 1.0)], [("A", at(1, 3), -1.0, 0.4)], [("A", at(9, 3), 1.0, 1.0)]]
+
+    def files(name, schema, batches):
+        import pathlib
+        import shutil
+        import time
+        folder = tmp_path / name
+        (folder / "flat").mkdir(parents=True)
+        for i, rows in enumerate(batches):
+            spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(folder / f"b{i}"))
+            shutil.copy(next(pathlib.Path(folder, f"b{i}").glob("*.parquet")), folder / "flat" / f"{i}.parquet")
+            time.sleep(0.05)
+        return R.file_stream(spark, str(folder / "flat"), schema, files_per_trigger=1)
+    joined = B.bars_and_scores(files("bars", bar_schema, bars), files("records", record_schema, records), size=2, records_size=3, minimum=1)
+    out = R.drain(joined, "two-inputs", "update", batches=True)
+    newest = sorted(tuple(r) for r in B.newest_buffers(out).select("ticker", "date", "close", "polarity_mean", "subjectivity_mean").collect())
+    one, two = day + datetime.timedelta(1), day + datetime.timedelta(2)
+    assert newest == [("A", one, 2.0, -1.0, 0.4), ("A", two, 3.0, 0.0, 0.0), ("B", day, 5.0, 0.0, 0.0)]
+    first = {r["polarity_mean"] for r in out.where("batch_id = 0 AND ticker = 'A'").collect()}
+    assert len(first) == 1 and abs(first.pop() - 0.3) < 1e-12
+
+
+def test_documents_are_read_newest_batch_first(spark, tmp_path):
+    from tickloom.streaming import scoring as C
+    schema = "ticker string, model string, step int, forecast_date date, predicted double, scored_at timestamp"
+    day = datetime.date(2024, 1, 1)
+
+    def rows(value, tickers):
+        return spark.createDataFrame([(t, m, k, day + datetime.timedelta(k), value + k, T0) for t in tickers for m in ("x", "y") for k in (1, 2)], schema)
+    out = str(tmp_path / "docs")
+    for batch, (value, tickers) in enumerate([(0.0, "AB"), (10.0, "A")]):
+        C.prediction_documents(rows(value, tickers), 2).write.parquet(f"{out}/batch_id={batch}")
+    got = C.flat_documents(C.newest_documents(spark.read.parquet(out))).collect()
+    assert {(r["ticker"], r["model"], r["forecast_date"].day): r["predicted"] for r in got} == {
+        (t, m, 1 + k): (10.0 if t == "A" else 0.0) + k for t in "AB" for m in "xy" for k in (1, 2)}
