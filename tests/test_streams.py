@@ -157,3 +157,30 @@ def test_documents_are_read_newest_batch_first(spark, tmp_path):
     got = C.flat_documents(C.newest_documents(spark.read.parquet(out))).collect()
     assert {(r["ticker"], r["model"], r["forecast_date"].day): r["predicted"] for r in got} == {
         (t, m, 1 + k): (10.0 if t == "A" else 0.0) + k for t in "AB" for m in "xy" for k in (1, 2)}
+
+
+def test_late_ticks_and_bars_account_for_every_row(spark, tmp_path):
+    late = [("A", T0 + datetime.timedelta(minutes=5), 999, 1e6, 1), ("B", T0 + datetime.timedelta(minutes=150), 998, 7.0, 2)]
+    batches = [ticks("A", 0, 90), ticks("A", 90, 90), late + ticks("A", 180, 60) + [("A", None, 1000, 1.0, 1)], ticks("A", 240, 1)]
+    stream = R.file_stream(spark, write_files(spark, str(tmp_path), batches), SCHEMA, files_per_trigger=1)
+    out = str(tmp_path / "out")
+    for run in ("c1", "c2"):
+        A.bars_and_late_ticks(stream, out, str(tmp_path / run), R.ALL_AVAILABLE).awaitTermination()
+    assert [r["event_id"] for r in spark.read.parquet(f"{out}/late").collect()] == [999]
+    bars = {(r["ticker"], r["bar_start"]): r for r in A.merged_bars(spark.read.parquet(f"{out}/bars")).collect()}
+    want = A.tick_bars(spark.createDataFrame([r for b in batches for r in b if r[2] not in (999, 1000)], SCHEMA)).drop("bar_end").collect()
+    assert bars == {(r["ticker"], r["bar_start"]): r for r in want}
+
+
+def test_bars_wait_for_the_records_of_their_day(spark, tmp_path):
+    """A bar of a closed day without records leaves as missing; records that come after that change nothing."""
+    from tickloom.plans.streams import in_triggers
+    day = datetime.date(2024, 1, 1)
+    bars = spark.createDataFrame([("A", day + datetime.timedelta(k), float(k)) for k in range(12)], "ticker string, date date, close double")
+    at = [0, 1, 1, 3, 6, 7, 9, 11, 1]
+    records = spark.createDataFrame([("A", T0 + datetime.timedelta(days=k, hours=i), float(i), 0.5, i) for i, k in enumerate(at)],
+                                    "ticker string, ts timestamp, polarity double, subjectivity double, i int")
+    left = in_triggers(spark, "bars-test", bars, F.col("close") <= 5, F.col("close") <= 9)
+    right = in_triggers(spark, "records-test", records, F.expr("date(ts) <= '2024-01-06' and i < 8"), F.expr("i < 7")).drop("i")
+    got = {r["close"]: (r["polarity_mean"], r["polarity_count"]) for r in R.drain(A.bars_left_sentiment(left, right), "left-join").collect()}
+    assert got == {0.0: (0.0, 1), 1.0: (1.5, 2), 2.0: (0.0, 0), 3.0: (3.0, 1), 4.0: (0.0, 0), 5.0: (0.0, 0), 6.0: (4.0, 1), 7.0: (5.0, 1), 8.0: (0.0, 0), 9.0: (6.0, 1)}

@@ -223,6 +223,35 @@ def r5_left(spark, sf):
     return joined.select("ticker", "date", "close", *rounded(8, "polarity_mean", "subjectivity_mean"), "polarity_count")
 
 
+_MIDDLE = "DATE '2024-01-15'"
+
+
+def in_triggers(spark, name, table, *parts):
+    """A table as a stream that delivers the rows of each part in a trigger of its own, and then the others."""
+    folder, rest = fresh(spark, name), F.lit(True)
+    for part in (*parts, F.lit(True)):
+        table.where(rest & part).repartition(4).write.mode("append").parquet(folder)
+        rest = rest & ~part
+    return R.file_stream(spark, folder, table.schema, files_per_trigger=4)
+
+
+@query("r5_stream_left_join", f"""WITH {S.BARS_EV}, {S.SENTIMENT},
+ w AS (SELECT least((SELECT max(date) FROM bars_ev WHERE date <= {_MIDDLE}), (SELECT max(date) FROM sentiment WHERE date <= {_MIDDLE} AND ticker <> 'view')) - 1 AS first,
+  least((SELECT max(date) FROM bars_ev), (SELECT max(date) FROM sentiment)) - 1 AS last),
+ d AS (SELECT ticker, date, avg(polarity) AS p, avg(subjectivity) AS s, count(*) AS n FROM sentiment, w WHERE NOT (ticker = 'view' AND date + 1 <= first) GROUP BY 1, 2)
+ SELECT ticker, date, close, round(coalesce(p, 0), 8) AS polarity_mean, round(coalesce(s, 0), 8) AS subjectivity_mean, coalesce(n, 0) AS polarity_count
+ FROM bars_ev LEFT JOIN d USING (ticker, date), w WHERE date + 1 <= last""")
+def r5_stream_join(spark, sf):
+    """Two streams in three triggers; the early records of one ticker come in the last, when most of their days are closed."""
+    records = X.sentiment_records(X.table(spark, sf, "documents")).select("ticker", "polarity", "subjectivity", F.col("date").cast("timestamp").alias("ts"))
+    early, middle = F.expr(f"date(ts) <= {_MIDDLE}"), F.expr(f"date(ts) BETWEEN {_MIDDLE} + 1 AND {_MIDDLE} + 10")
+    scores = in_triggers(spark, "r5-records", records, early & (F.col("ticker") != "view"), middle)
+    bars = in_triggers(spark, "r5-bars", X.bars_ev(spark, sf).select("ticker", "date", "close"),
+                       F.expr(f"date <= {_MIDDLE}"), F.expr(f"date <= {_MIDDLE} + 10"))
+    joined = R.drain(A.bars_left_sentiment(bars, scores), "r5j")
+    return joined.select("ticker", "date", "close", *rounded(8, "polarity_mean", "subjectivity_mean"), "polarity_count")
+
+
 @query("r6_newest_predictions")
 def r6(spark, sf):
     return C.newest_predictions(scored(spark, sf, "r6")).select("ticker", "model", "date", "predicted", "batch_id")
@@ -237,6 +266,30 @@ def r7(spark, sf):
     return R.drain(bars, "r7").drop("bar_end")
 
 
+_LATE = f"""{S.TICKS}, w AS (SELECT max(ts) - INTERVAL 10 MINUTE AS closed FROM ticks WHERE ticker <> 'view'),
+ marked AS (SELECT ticks.*, ticker = 'view' AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= closed AS late FROM ticks, w)"""
+
+
+def late_views(spark, sf, name):
+    """Ticks in three triggers, those of one ticker in the last, when most of their hours are closed."""
+    stream = in_triggers(spark, f"{name}-ticks", X.ticks(spark, sf), F.expr(f"ticker <> 'view' AND ts < {_MIDDLE}"), F.col("ticker") != "view")
+    path = fresh(spark, name)
+    A.bars_and_late_ticks(stream, path, f"{path}-checkpoint", R.ALL_AVAILABLE).awaitTermination()
+    return path
+
+
+@query("r7_late_ticks", f"WITH {_LATE} SELECT ticker, ts, event_id, price, size FROM marked WHERE late")
+def r7_late(spark, sf):
+    return spark.read.parquet(f"{late_views(spark, sf, 'r7-late')}/late").select("ticker", "ts", "event_id", "price", "size")
+
+
+@query("r7_bars_in_time", f"""WITH {_LATE} SELECT ticker, date_trunc('hour', ts) AS bar_start, arg_min(price, event_id) AS open, max(price) AS high, min(price) AS low,
+ arg_max(price, event_id) AS close, CAST(sum(size) AS BIGINT) AS volume, count(*) AS n_ticks FROM marked WHERE NOT late GROUP BY 1, 2""")
+def r7_in_time(spark, sf):
+    """Bars whose ticks came over several triggers; with the late ticks they account for every row."""
+    return A.merged_bars(spark.read.parquet(f"{late_views(spark, sf, 'r7-in-time')}/bars"))
+
+
 @query("r7_tick_bars_batch", f"""WITH {S.TICKS} SELECT ticker, date_trunc('hour', ts) AS bar_start, arg_min(price, event_id) AS open, max(price) AS high, min(price) AS low,
  arg_max(price, event_id) AS close, CAST(sum(size) AS BIGINT) AS volume, count(*) AS n_ticks FROM ticks GROUP BY 1, 2""")
 def r7_batch(spark, sf):
