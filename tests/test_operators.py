@@ -371,3 +371,30 @@ def test_backtest_across_blocks(spark):
     assert got["sharpe_ratio"] == pytest.approx(daily.mean() / daily.std() * np.sqrt(252))
     assert got["max_drawdown"] == pytest.approx(100 * ((peak - equity) / peak).max())
     assert got["win_rate"] == pytest.approx(100 * (s > 0).sum() / (p != 0).sum())
+
+
+def test_stored_changes_leave_other_files_alone(spark, tmp_path):
+    """Files without a match keep their path and time, also below partition folders; running again changes nothing."""
+    import os
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/*/part-*.parquet")}
+
+    def rows():
+        return sorted(tuple(r) for r in spark.read.option("mergeSchema", "true").parquet(path).select("k", "p", "x", "y").collect())
+    path = str(tmp_path / "t")
+    df = spark.range(40).select(F.col("id").alias("k"), (F.col("id") % 3).cast("int").alias("p"), F.lit(1.0).alias("x"), F.lit("a b").alias("y"))
+    df.repartitionByRange(4, "k").write.partitionBy("p").parquet(path)
+    before, want = files(), {(k, k % 3, 1.0, "a b") for k in range(40)}
+    new = spark.createDataFrame([(0, 0, 5.0), (100, 7, 6.0)], "k long, p int, x double")
+    for _ in range(2):
+        K.upsert_files(path, new, ["k", "p"], partition_by=["p"])
+        want = {(k, p, 5.0 if k == 0 else x, y) for k, p, x, y in want if k != 100} | {(100, 7, 6.0, None)}
+        assert rows() == sorted(want, key=lambda r: r[:2])
+    after = files()
+    assert sum(before.get(f) == t for f, t in after.items()) == len(before) - 1
+    assert K.update_files(spark, path, F.col("k") == 39, {"x": 9.0}, ["p"]) == 1 and K.delete_files(spark, path, F.col("k") == 38, ["p"]) == 1
+    assert K.update_files(spark, path, F.col("k") == -1, {"x": 9.0}, ["p"]) == 0
+    want = {(k, p, 9.0 if k == 39 else x, y) for k, p, x, y in want if k != 38}
+    assert rows() == sorted(want, key=lambda r: r[:2]) and sum(before.get(f) == t for f, t in files().items()) == len(before) - 3
+    assert not [f for f in os.listdir(path) if f.startswith("_staged")]

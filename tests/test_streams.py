@@ -180,7 +180,7 @@ def test_bars_wait_for_the_records_of_their_day(spark, tmp_path):
     at = [0, 1, 1, 3, 6, 7, 9, 11, 1]
     records = spark.createDataFrame([("A", T0 + datetime.timedelta(days=k, hours=i), float(i), 0.5, i) for i, k in enumerate(at)],
                                     "ticker string, ts timestamp, polarity double, subjectivity double, i int")
-    left = in_triggers(spark, "bars-test", bars, F.col("close") <= 5, F.col("close") <= 9)
-    right = in_triggers(spark, "records-test", records, F.expr("date(ts) <= '2024-01-06' and i < 8"), F.expr("i < 7")).drop("i")
+    left = in_triggers(spark, "bars-test", bars, F.col("close") <= 5, F.col("close") <= 9, files=1)
+    right = in_triggers(spark, "records-test", records, F.expr("date(ts) <= '2024-01-06' and i < 8"), F.expr("i < 7"), files=1).drop("i")
     got = {r["close"]: (r["polarity_mean"], r["polarity_count"]) for r in R.drain(A.bars_left_sentiment(left, right), "left-join").collect()}
     assert got == {0.0: (0.0, 1), 1.0: (1.5, 2), 2.0: (0.0, 0), 3.0: (3.0, 1), 4.0: (0.0, 0), 5.0: (0.0, 0), 6.0: (4.0, 1), 7.0: (5.0, 1), 8.0: (0.0, 0), 9.0: (6.0, 1)}

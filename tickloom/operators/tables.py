@@ -137,6 +137,71 @@ def upsert_stored(path: str, incoming: DataFrame, keys: Sequence[str], partition
      .partitionBy(partition).parquet(path))
 
 
+def _files_of(rows: DataFrame) -> list[str]:
+    """The data files that rows of a stored table come from: names only, no more than the table has files."""
+    return [r[0] for r in rows.select(F.col("_metadata.file_path")).distinct().collect()]
+
+
+def _swap_files(spark: SparkSession, path: str, old: Sequence[str], fresh: DataFrame, partition_by: Sequence[str]) -> None:
+    """Write ``fresh`` aside, move its files into the table, and delete the ``old`` ones.
+
+    All else in the table keeps its name and time. A reader that lists the table between the moves and the deletions sees the
+    rows of both, one that lists it before or after sees one version; a run that dies there is completed by running it again.
+    """
+    jvm = spark._jvm
+    root, staged = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}")
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fresh.write.partitionBy(*partition_by).parquet(staged.toString())
+    base, found = fs.makeQualified(staged).toString(), fs.listFiles(staged, True)
+    while found.hasNext():
+        file = found.next().getPath()
+        inside = file.toString()[len(base) + 1:]
+        if file.getName().startswith("part-"):
+            target = jvm.org.apache.hadoop.fs.Path(root, inside)
+            fs.mkdirs(target.getParent())
+            fs.rename(file, target)
+    for file in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)), False)
+    fs.delete(staged, True)
+
+
+def _stored(spark: SparkSession, path: str, files: Sequence[str] | None = None) -> DataFrame:
+    reader = spark.read.option("mergeSchema", "true").option("basePath", path)
+    return reader.parquet(*(files if files is not None else [path]))
+
+
+def upsert_files(path: str, incoming: DataFrame, keys: Sequence[str], order: str | None = None, partition_by: Sequence[str] = ()) -> None:
+    """Upsert into a stored table, rewriting only the files that hold a matching key; new keys go into new files.
+
+    Incoming rows are the smaller side: the table is read once with its keys alone, to find the files. Fields that the table
+    lacks are added in the files written; read such a table with ``mergeSchema``.
+    """
+    spark, keys = incoming.sparkSession, list(keys)
+    table = _stored(spark, path)
+    hits = table.select(*keys, "_metadata").join(incoming.select(*keys).distinct(), keys, "left_semi")
+    files = _files_of(hits)
+    current = _stored(spark, path, files) if files else table.limit(0)
+    merged = upsert(current, incoming, keys, order)
+    columns = [*current.columns, *(c for c in merged.columns if c not in current.columns)]
+    _swap_files(spark, path, files, merged.select(*columns), partition_by)
+
+
+def update_files(spark: SparkSession, path: str, predicate: Column, values: Mapping[str, Column | object], partition_by: Sequence[str] = ()) -> int:
+    """Set ``values`` where the predicate holds, in the files that have such rows; their number."""
+    files = _files_of(_stored(spark, path).where(predicate))
+    if files:
+        _swap_files(spark, path, files, update_where(_stored(spark, path, files), predicate, values), partition_by)
+    return len(files)
+
+
+def delete_files(spark: SparkSession, path: str, predicate: Column, partition_by: Sequence[str] = ()) -> int:
+    """Delete the rows where the predicate holds, rewriting the files that have such rows; their number."""
+    files = _files_of(_stored(spark, path).where(predicate))
+    if files:
+        _swap_files(spark, path, files, delete_where(_stored(spark, path, files), predicate), partition_by)
+    return len(files)
+
+
 def _only_first(df: DataFrame, predicate: Column, keys: Sequence[str]) -> Column:
     """True on the matching row with the smallest key; found by one aggregate, used as a scalar."""
     first = df.where(predicate).agg(F.min(F.struct(*keys)).alias("k"))

@@ -226,13 +226,13 @@ def r5_left(spark, sf):
 _MIDDLE = "DATE '2024-01-15'"
 
 
-def in_triggers(spark, name, table, *parts):
+def in_triggers(spark, name, table, *parts, files=4):
     """A table as a stream that delivers the rows of each part in a trigger of its own, and then the others."""
     folder, rest = fresh(spark, name), F.lit(True)
     for part in (*parts, F.lit(True)):
-        table.where(rest & part).repartition(4).write.mode("append").parquet(folder)
+        table.where(rest & part).repartition(files).write.mode("append").parquet(folder)
         rest = rest & ~part
-    return R.file_stream(spark, folder, table.schema, files_per_trigger=4)
+    return R.file_stream(spark, folder, table.schema, files_per_trigger=files)
 
 
 @query("r5_stream_left_join", f"""WITH {S.BARS_EV}, {S.SENTIMENT},

@@ -88,6 +88,37 @@ def k6_partitions(spark, sf):
     return spark.read.parquet(path).drop("bucket")
 
 
+def _by_date(spark, sf, name):
+    """The bars in files that each hold a span of dates."""
+    path = fresh(spark, name)
+    bars = X.bars(spark, sf).select(*BASE, "close", "volume")
+    bars.where("date < '2000-01-01'").repartitionByRange(8, "date").write.parquet(path)
+    return bars, path
+
+
+@query("k6_upsert_files", f"""WITH {S.BARS} SELECT ticker, date, CASE WHEN date >= DATE '1999-11-01' THEN close * 2 ELSE close END AS close, volume FROM bars""")
+def k6_files(spark, sf):
+    """The last two months' rows change, later rows are new; only the files of those months are written again."""
+    bars, path = _by_date(spark, sf, "k6-files")
+    K.upsert_files(path, bars.where("date >= '1999-11-01'").withColumn("close", F.col("close") * 2), BASE)
+    return spark.read.parquet(path)
+
+
+@query("k7_update_files", f"""WITH {S.BARS} SELECT ticker, date, CASE WHEN date < DATE '1995-06-01' AND volume > 1 THEN -1 ELSE close END AS close, volume
+ FROM bars WHERE date < DATE '2000-01-01'""")
+def k7_files(spark, sf):
+    _, path = _by_date(spark, sf, "k7-files")
+    K.update_files(spark, path, (F.col("date") < "1995-06-01") & (F.col("volume") > 1), {"close": -1.0})
+    return spark.read.parquet(path)
+
+
+@query("k8_delete_files", f"WITH {S.BARS} SELECT ticker, date, close, volume FROM bars WHERE date >= DATE '1995-06-01' AND date < DATE '2000-01-01'")
+def k8_files(spark, sf):
+    _, path = _by_date(spark, sf, "k8-files")
+    K.delete_files(spark, path, F.col("date") < "1995-06-01")
+    return spark.read.parquet(path)
+
+
 @query("k6_upsert_report", f"""WITH {S.BARS}, {_OLD}, {_NEW} SELECT count(*) FILTER (o.close IS NULL) AS inserted,
  count(*) FILTER (o.close IS NOT NULL) AS updated FROM n LEFT JOIN o USING (ticker, date)""")
 def k6_report(spark, sf):
