@@ -398,3 +398,26 @@ def test_stored_changes_leave_other_files_alone(spark, tmp_path):
     want = {(k, p, 9.0 if k == 39 else x, y) for k, p, x, y in want if k != 38}
     assert rows() == sorted(want, key=lambda r: r[:2]) and sum(before.get(f) == t for f, t in files().items()) == len(before) - 3
     assert not [f for f in os.listdir(path) if f.startswith("_staged")]
+
+
+@pytest.mark.parametrize("freq", ["D", "W", "M"])
+def test_spines_are_made_in_chunks(spark, freq):
+    """Small chunks give the same labels as one; a key with one row has one."""
+    days = [("A", datetime.date(2000, 1, 31)), ("A", datetime.date(2001, 3, 1)), ("B", datetime.date(2000, 2, 29))]
+    df = spark.createDataFrame(days, "ticker string, date date")
+    got = sorted(tuple(r) for r in A.period_spine(df, freq, ["ticker"], "date", chunk=3).collect())
+    pandas = {"D": "D", "W": "W-SUN", "M": "ME"}[freq]
+    want = []
+    for t in "AB":
+        own = [d for k, d in days if k == t]
+        s = pd.Series(1, pd.to_datetime([own[0], own[-1]])).resample(pandas).sum()
+        want += [(t, d.date()) for d in s.index]
+    assert got == sorted(set(want))
+
+
+def test_time_buckets_over_a_long_gap(spark):
+    rows = [("A", datetime.datetime(2024, 1, 1), 1.0), ("A", datetime.datetime(2024, 1, 2, 0, 0, 30), 3.0), ("B", None, 1.0)]
+    df = spark.createDataFrame(rows, "ticker string, ts timestamp, v double")
+    out = A.time_buckets(df, "ts", "v", "10 seconds", chunk=100)
+    assert out.where("ticker = 'A'").count() == 8640 + 4 and out.agg(F.sum("n")).first()[0] == 2
+    assert out.select("bucket").distinct().where("bucket is not null").count() == 8644

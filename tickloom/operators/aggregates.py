@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ PERIOD_END = {
     "W": lambda d: F.date_sub(F.next_day(d, "MON"), 1),
     "M": lambda d: F.last_day(d),
 }
-_NEXT_PERIOD = {"D": "interval 1 day", "W": "interval 7 days", "M": "interval 1 month"}
+_PERIOD_DAYS = {"D": 1, "W": 7}
 
 OHLCV = {
     "open": lambda t: F.min_by("open", t), "high": lambda t: F.max("high"), "low": lambda t: F.min("low"),
@@ -36,15 +36,28 @@ OHLCV = {
 }
 
 
-def period_spine(df: DataFrame, freq: str, keys: Sequence[str], time: str) -> DataFrame:
+#: Labels that one row of a spine is exploded from; a key of any span is that many rows at a time.
+SPINE_CHUNK = 10_000
+
+
+def _spine(ends: DataFrame, keys: Sequence[str], n: Column, label: Callable[[Column], Column], name: str, chunk: int) -> DataFrame:
+    """``n`` labels per row of ``ends``, made chunk by chunk, the chunks of a key spread over tasks."""
+    chunks = ends.withColumn("__n", n.cast("long"))
+    chunks = chunks.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / chunk))))
+    first = F.col("__chunk") * chunk
+    inside = F.sequence(first, F.least(F.col("__n"), first + chunk) - 1)
+    return chunks.repartition(*keys, "__chunk").withColumn("__i", F.explode(inside)).select(*keys, label(F.col("__i")).alias(name))
+
+
+def period_spine(df: DataFrame, freq: str, keys: Sequence[str], time: str, chunk: int = SPINE_CHUNK) -> DataFrame:
     """Every period label from each key's first to its last row."""
     ends = df.groupBy(*keys).agg(F.min(time).alias("a"), F.max(time).alias("b"))
     if freq == "M":
-        steps = F.expr("sequence(trunc(a, 'MM'), trunc(b, 'MM'), interval 1 month)")
-        return ends.select(*keys, F.explode(steps).alias("m")).select(*keys, F.last_day("m").alias("period_end"))
-    label = PERIOD_END[freq]
-    steps = F.sequence(label("a"), label("b"), F.expr(_NEXT_PERIOD[freq]))
-    return ends.select(*keys, F.explode(steps).alias("period_end"))
+        months = F.months_between(F.trunc("b", "MM"), F.trunc("a", "MM")) + 1
+        return _spine(ends, keys, months, lambda i: F.last_day(F.add_months(F.trunc("a", "MM"), i.cast("int"))), "period_end", chunk)
+    label, days = PERIOD_END[freq], _PERIOD_DAYS[freq]
+    n = F.datediff(label("b"), label("a")) / days + 1
+    return _spine(ends, keys, n, lambda i: F.date_add(label("a"), (i * days).cast("int")), "period_end", chunk)
 
 
 def resample(df: DataFrame, freq: str = "W", aggs: dict[str, Column] | None = None, fill_empty: bool = True,
@@ -63,12 +76,17 @@ def resample(df: DataFrame, freq: str = "W", aggs: dict[str, Column] | None = No
 
 
 def time_buckets(df: DataFrame, time: str, value: str, width: str = "1 day",
-                 keys: Sequence[str] = ("ticker",)) -> DataFrame:
+                 keys: Sequence[str] = ("ticker",), chunk: int = SPINE_CHUNK) -> DataFrame:
     """Mean per fixed time bucket, buckets without rows included with NULL."""
     binned = (df.groupBy(*keys, F.window(time, width)["start"].alias("bucket"))
               .agg(F.avg(value).alias("mean_value"), F.count(value).alias("n")))
     ends = binned.groupBy(*keys).agg(F.min("bucket").alias("a"), F.max("bucket").alias("b"))
-    spine = ends.select(*keys, F.explode(F.sequence("a", "b", F.expr(f"interval {width}"))).alias("bucket"))
+    step = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"interval {width}"))
+    n = F.expr("timestampdiff(MICROSECOND, a, b)") / step + 1
+
+    def label(i: Column) -> Column:
+        return F.col("a") + F.make_dt_interval(secs=(i * step / 1_000_000).cast("decimal(18,6)"))
+    spine = _spine(ends, keys, n, label, "bucket", chunk)
     return spine.join(binned, [*keys, "bucket"], "left").na.fill(0, ["n"])
 
 

@@ -85,8 +85,9 @@ def unmatched_keys(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("ticker",
 
 
 def hold_out(df: DataFrame, keys: Sequence[str], share: float) -> tuple[DataFrame, DataFrame]:
-    """A repeatable random split by key hash: (kept, held out by anti-join on the keys)."""
-    kept = df.where(F.pmod(F.xxhash64(*keys), F.lit(10_000)) < int(share * 10_000))
+    """A repeatable random split by the MD5 of the keys' texts: (kept, held out by anti-join on the keys)."""
+    place = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys])), 1, 8), 16, 10).cast("long")
+    kept = df.where(place % 10_000 < int(share * 10_000))
     return kept, df.join(kept.select(*keys), list(keys), "left_anti")
 
 
@@ -94,20 +95,20 @@ def tag_keywords(docs: DataFrame, keywords: DataFrame, text: str = "text", key:
     """(key, ticker) for each ticker one of whose keywords occurs in the text.
 
     Text and keywords are reduced to lower-case words, and a keyword of m words is found by an
-    equi-join on the text's runs of m words (a run past the end is NULL and joins nothing);
-    the text itself is never shuffled. The longest keyword's length is read from the keyword list, which is configuration.
+    equi-join on the text's different runs of m words (a run past the end is NULL and joins nothing), for the lengths that
+    keywords have; the text itself is never shuffled. These lengths are read from the keyword list, which is configuration.
     """
     def words(c: str | Column) -> Column:
         return F.split(F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}$]+", " ")), " ")
 
     terms = keywords.select("ticker", words("keyword").alias("__w"))
-    longest = terms.agg(F.max(F.size("__w"))).first()[0] or 1
+    lengths = sorted(r[0] for r in terms.select(F.size("__w")).distinct().collect()) or [1]
     terms = terms.select("ticker", F.array_join("__w", " ").alias("__term")).distinct()
 
     runs = [F.col("__w")]
-    for m in range(2, longest + 1):
+    for m in range(2, lengths[-1] + 1):
         runs.append(F.zip_with(runs[-1], F.slice("__w", m, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b)))
-    tokens = docs.select(key, words(text).alias("__w")).select(key, F.explode(F.concat(*runs)).alias("__term"))
+    tokens = docs.select(key, words(text).alias("__w")).select(key, F.explode(F.array_distinct(F.concat(*(runs[m - 1] for m in lengths)))).alias("__term"))
     return tokens.join(terms, "__term").select(key, "ticker").distinct()
 
 
