@@ -148,13 +148,13 @@ class WordCoder:
 
     Such a tokenizer never joins characters across a blank that stands between two other characters: the blank opens
     the next piece. So texts are cut there, and the different words of a batch are encoded in one call. A text with any
-    other blank is encoded whole. Nothing is kept from batch to batch, so a batch bounds the memory.
+    other blank, or with the name of a special token, is encoded whole. Nothing is kept from batch to batch, so a batch bounds the memory.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose token starts with a blank
         self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
@@ -178,7 +178,9 @@ class WordCoder:
         cores = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
         ordered = cores.dictionary.to_pylist()
         calls = [pa.array(["".join(" " + w for w in ordered[at:at + WORDS])]) for at in range(0, len(ordered), WORDS)]
+        self.tokenizer.encode_special_tokens = True  # no word here is a special token, nor are neighbours together
         ids = np.concatenate([np.zeros(0, np.uint32), *[self._texts(call)[0] for call in calls]])
+        self.tokenizer.encode_special_tokens = False
         starts = np.flatnonzero(self.opens[ids])
         assert len(starts) == len(cores.dictionary)
         number = cores.indices.to_numpy()
@@ -198,6 +200,8 @@ class WordCoder:
         words, number = coded.dictionary, coded.indices.to_numpy()
         blank = pc.or_(pc.equal(words, ""), pc.not_equal(pc.utf8_trim_whitespace(words), words)).to_numpy(zero_copy_only=False)
         whole = np.logical_or.reduceat(blank[number], first)
+        for name in self.special:  # the tokenizer gives them their own ids and cuts the text there
+            whole |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
         # The first word of a text has no blank before it, so it is encoded apart, as are texts that must not be cut.
         apart, apart_sizes = self._texts(pc.if_else(pa.array(whole), texts, words.take(pa.array(number[first]))))
         alone = np.repeat(whole, np.diff(np.append(first, len(number))))
