@@ -312,7 +312,7 @@ def test_tokens(spark):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
     rng = random.Random(2)
-    texts = [None, "", " ", "a  b", " lead", "trail ", "x\n y", "It's the\n\nend.", "<|endoftext|> a", "a b  c", "don't 12 3.5 ..", "é é, è! 漢字 😀.", "word, word. word", words(rng, 60_000)]
+    texts = [None, "", " ", "a  b", " lead", "trail ", "x\n y", "It's the\n\nend.", "<|endoftext|> a", "a <|endoftext|> b", "x b<|endoftext|>c <|endoftext|>", "<|endoftext| > x", "a b  c", "don't 12 3.5 ..", "é é, è! 漢字 😀.", "word, word. word", words(rng, 60_000)]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, "again"), (None, "no id")]
     got = tokens.tokenized(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
     start, want = 0, []
