@@ -51,6 +51,7 @@ def price_trends(bars: DataFrame, period: int = 30, threshold: float = 0.1, as_o
     trends = first_last(bars.where(F.col("date") >= since(as_of, period))).withColumn(
         "price_change", F.try_divide(F.col("end_price") - F.col("start_price"), F.col("start_price")))
     change = F.col("price_change")
+    # The labels.
     direction = (F.when(change > threshold, "Uptrend").when(change < -threshold, "Downtrend")
                  .otherwise("Sideways"))
     return (trends.withColumn("trend_direction", direction).where(F.abs(change) > threshold)
@@ -59,6 +60,7 @@ def price_trends(bars: DataFrame, period: int = 30, threshold: float = 0.1, as_o
 
 def correlation_strength(r: Column) -> Column:
     """The first bucket that matches wins; a boundary belongs to the bucket listed first."""
+    # The labels and their bounds.
     return (F.when(r > 0.7, "Strong Positive").when(r.between(0.3, 0.7), "Positive")
             .when(r.between(-0.3, 0.3), "Weak").when(r.between(-0.7, -0.3), "Negative")
             .when(r < -0.7, "Strong Negative"))
