@@ -171,3 +171,31 @@ def test_position_by_timestamp_and_tie_break(spark):
     panel = P.Panel(order=("t", "seq"), block_rows=4)
     out = P.number_rows(df, panel, P.time_bucket(df, "t", 60)).orderBy("seq").collect()
     assert [r["pos"] for r in out] == list(range(10))
+
+
+@pytest.mark.parametrize("n,gap,start", [(1, 0, 0), (7, 0, 0), (16, 1, 0), (40, 0, 0), (40, 1, 0), (40, 3, 55), (300, 1, 37)])
+def test_sliding_folds(spark, pdf, n, gap, start):
+    """Any window and distance, with NULLs, and where the first rows of each key are filtered away."""
+    holes = with_nulls(pdf)
+    df = P.number_rows(to_spark(spark, holes), SMALL).where(F.col("pos") >= start).withColumn("__mine", F.lit(1))
+    folds = ("count", "sum", "mean", "std", "max", "min")
+    out = P.sliding(df, SMALL, {f: P.Slide(f, "close", n, gap, least=0 if f == "count" else 1) for f in folds})
+    assert out.columns == [*df.columns, *folds]
+
+    def expected(g):
+        g = g.iloc[start:]
+        seen = g["close"].rolling(n, min_periods=1)
+        out = pd.DataFrame({"count": g["close"].notna().rolling(n, min_periods=1).sum(), "sum": seen.sum(), "mean": seen.mean(),
+                            "std": seen.std(), "max": seen.max(), "min": seen.min()}).shift(gap)
+        out["count"] = out["count"].fillna(0)
+        return out
+
+    want, got = by_ticker(holes, expected), collected(out, *folds)
+    assert len(want) == len(got)
+    for f in folds:
+        close_to(got[f], want[f], rtol=1e-7, atol=1e-7)
+
+
+def test_sliding_of_nothing(spark):
+    empty = spark.createDataFrame([], BAR_SCHEMA)
+    assert P.sliding(empty, SMALL, {"top": P.Slide("max", "close", 5)}).collect() == []

@@ -19,7 +19,7 @@ def exchanges(plan):
 
 
 SINGLE_PASS = ["t1_sma", "t14_volume", "w3_returns",
-               "f1_lag_features", "f2_history_features", "f4_return_targets", "w12_sequences", "w4_rolling_ticks"]
+               "f1_lag_features", "f2_history_features", "f4_return_targets", "w12_sequences", "w4_rolling_ticks", "w6_sliding_year", "w5_sliding_ticks"]
 
 
 @pytest.mark.parametrize("name", SINGLE_PASS)

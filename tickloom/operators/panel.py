@@ -245,6 +245,90 @@ def running(df: DataFrame, panel: Panel, outputs: dict[str, Run], bucket: Column
     return joined.select(*[c for c in df.columns if c not in outputs], *result)
 
 
+# --- long sliding windows ----------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Slide:
+    """A fold of ``x`` over the ``n`` rows that end ``gap`` rows before the current one.
+
+    Folds are count, sum, mean, std (of a sample), max and min. The value is NULL where the window has fewer than ``least`` values.
+    """
+
+    fold: str
+    x: str | Column
+    n: int
+    gap: int = 0
+    least: int = 1
+
+
+def _slide_parts(fold: str, x: str, frame: WindowSpec) -> Column:
+    count = F.count(x).over(frame)
+    if fold == "std":
+        return F.struct(count.alias("n"), F.avg(x).over(frame).alias("v"), (F.var_pop(x).over(frame) * count).alias("q"))
+    agg = {"max": F.max, "min": F.min}.get(fold, F.sum)
+    return F.struct(count.alias("n"), agg(x).over(frame).alias("v"))
+
+
+def _slide_value(s: Slide, a: Column, b: Column) -> Column:
+    """The fold of the stretches ``a`` and ``b``, either of which may be missing."""
+    na, nb = F.coalesce(a["n"], F.lit(0)), F.coalesce(b["n"], F.lit(0))
+    n = na + nb
+    if s.fold == "std":
+        between = F.when((na > 0) & (nb > 0), (a["v"] - b["v"]) * (a["v"] - b["v"]) * na * nb / n).otherwise(F.lit(0.0))
+        squares = F.coalesce(a["q"], F.lit(0.0)) + F.coalesce(b["q"], F.lit(0.0)) + between
+        value = F.when(n > 1, F.sqrt(squares / (n - 1)))
+    elif s.fold in ("max", "min"):
+        value = (F.greatest if s.fold == "max" else F.least)(a["v"], b["v"])
+    else:
+        total = F.coalesce(a["v"] + b["v"], a["v"], b["v"])
+        value = {"count": n, "sum": total, "mean": F.try_divide(total, n)}[s.fold]
+    return F.when(n >= s.least, value)
+
+
+def sliding(df: DataFrame, panel: Panel, outputs: dict[str, Slide]) -> DataFrame:
+    """Append folds over sliding windows, at a cost per row that does not grow with the window.
+
+    Rows are cut into chunks of the window's length. A window is the end of one chunk and the beginning of the next, so its fold
+    comes from a running fold backward and one forward, and nothing is ever taken away from a sum. One shuffle in total, two
+    sorts for each window length: for windows of a few dozen rows :func:`rolling` is cheaper.
+    """
+    names = list(enumerate(outputs.items()))
+    lengths = sorted({s.n for s in outputs.values()})
+    pos = F.col(panel.pos)
+
+    def running_fold(way: str) -> Level:
+        def level(w: WindowSpec) -> list[Column]:
+            order = pos.asc() if way == "p" else pos.desc()
+            frames = {n: W.partitionBy(*panel.keys, _BLK, f"__chunk{n}").orderBy(order).rowsBetween(W.unboundedPreceding, 0) for n in lengths}
+            return [_slide_parts(s.fold, f"__x{i}", frames[s.n]).alias(f"__{way}{i}") for i, (_, s) in names]
+        return level
+
+    def ends(w: WindowSpec) -> list[Column]:
+        so_far = w.rowsBetween(W.unboundedPreceding, 0)
+        columns = [F.first(panel.pos).over(so_far).alias("__first")]
+        for i, (_, s) in names:
+            columns += [F.lag(f"__p{i}", s.gap).over(w).alias(f"__end{i}") if s.gap else F.col(f"__p{i}").alias(f"__end{i}"),
+                        F.lag(f"__s{i}", s.gap + s.n - 1).over(w).alias(f"__far{i}"), F.first(f"__s{i}").over(so_far).alias(f"__near{i}")]
+        return columns
+
+    def values(w: WindowSpec) -> list[Column]:
+        columns = []
+        for i, (out, s) in names:
+            end = pos - s.gap
+            start = F.greatest(end - (s.n - 1), F.col("__first"))
+            # A window that lies in one chunk begins with it, or with the rows there are: the forward fold has all of it.
+            other = F.when(F.floor(start / s.n) < F.floor(end / s.n), F.coalesce(f"__far{i}", f"__near{i}"))
+            columns.append(_slide_value(s, other, F.col(f"__end{i}")).alias(out))
+        return columns
+
+    made = windowed(df, panel, [
+        lambda w: [F.floor(pos / n).alias(f"__chunk{n}") for n in lengths] + [
+            (F.col(s.x) if isinstance(s.x, str) else s.x).alias(f"__x{i}") for i, (_, s) in names],
+        running_fold("p"), running_fold("s"), ends, values], before=max(s.gap + s.n - 1 for s in outputs.values()))
+    return made.select(*[c for c in made.columns if not c.startswith("__") or c in df.columns])
+
+
 # --- NULL handling along the order -------------------------------------------------------
 
 

@@ -106,10 +106,7 @@ def positive_sentiment_momentum(sentiment: DataFrame, period: int = 30, window:
 def price_breakouts(bars: DataFrame, period: int = 90, threshold: float = 0.05, as_of=None,
                     panel: P.Panel = P.BARS) -> DataFrame:
     recent = bars.where(F.col("date") >= since(as_of, period))
-    frame = lambda w: w.rowsBetween(-period, -1)
-    marked = P.windowed(recent, panel, [lambda w: [F.max("close").over(frame(w)).alias("prev_max"),
-                                                   F.min("close").over(frame(w)).alias("prev_min")]],
-                        before=period)
+    marked = P.sliding(recent, panel, {"prev_max": P.Slide("max", "close", period, gap=1), "prev_min": P.Slide("min", "close", period, gap=1)})
     kind = (F.when(F.col("close") > F.col("prev_max") * (1 + threshold), "Upside Breakout")
             .when(F.col("close") < F.col("prev_min") * (1 - threshold), "Downside Breakout"))
     return (marked.withColumn("breakout_type", kind).where(F.col("breakout_type").isNotNull())

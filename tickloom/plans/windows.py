@@ -60,6 +60,34 @@ def w6(spark, sf):
     return df.select(*BASE, "hh", "ll", "prev_max", "prev_min")
 
 
+_YEAR = "(PARTITION BY ticker ORDER BY date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW)"
+
+
+@query("w6_sliding_year", f"""WITH {S.BARS}, r AS (SELECT ticker, date, max(high) OVER {_YEAR} AS high_252, min(low) OVER {_YEAR} AS low_252,
+ CAST(sum(volume) OVER {_YEAR} AS BIGINT) AS volume_252, CASE WHEN count(close) OVER {_YEAR} >= 252 THEN avg(close) OVER {_YEAR} END AS mean_252,
+ CASE WHEN count(close) OVER {_YEAR} >= 252 THEN stddev_samp(close) OVER {_YEAR} END AS std_252 FROM bars)
+ SELECT ticker, date, high_252, low_252, volume_252, {sql_rounded(4, 'mean_252')}, {sql_rounded(2, 'std_252')} FROM r""")
+def w6_year(spark, sf):
+    df = P.sliding(X.bars(spark, sf), P.BARS, {
+        "high_252": P.Slide("max", "high", 252), "low_252": P.Slide("min", "low", 252), "volume_252": P.Slide("sum", "volume", 252),
+        "mean_252": P.Slide("mean", "close", 252, least=252), "std_252": P.Slide("std", "close", 252, least=252)})
+    return df.select(*BASE, "high_252", "low_252", "volume_252", *rounded(4, "mean_252"), *rounded(2, "std_252"))
+
+
+_TICKS_900 = "(PARTITION BY ticker ORDER BY ts, event_id ROWS BETWEEN 900 PRECEDING AND 1 PRECEDING)"
+
+
+@query("w5_sliding_ticks", f"""WITH {S.TICKS}, r AS (SELECT ticker, event_id, max(price) OVER {_TICKS_900} AS prev_max, min(price) OVER {_TICKS_900} AS prev_min,
+ CAST(count(price) OVER {_TICKS_900} AS BIGINT) AS n_900, CAST(sum(CAST(price * 100 AS BIGINT)) OVER {_TICKS_900} AS BIGINT) AS cents_900, stddev_samp(price) OVER {_TICKS_900} AS std_900 FROM ticks)
+ SELECT ticker, event_id, prev_max, prev_min, n_900, cents_900, {sql_rounded(6, 'std_900')} FROM r""")
+def w5_sliding(spark, sf):
+    cents = (F.col("price") * 100).cast("decimal(20,0)").cast("long")
+    df = P.sliding(X.ticks_panel(spark, sf), X.TICKS, {
+        "prev_max": P.Slide("max", "price", 900, 1), "prev_min": P.Slide("min", "price", 900, 1), "n_900": P.Slide("count", "price", 900, 1, least=0),
+        "cents_900": P.Slide("sum", cents, 900, 1), "std_900": P.Slide("std", "price", 900, 1, least=2)})
+    return df.select("ticker", "event_id", "prev_max", "prev_min", "n_900", "cents_900", *rounded(6, "std_900"))
+
+
 @query("w7_first_last_value", f"""WITH {S.BARS} SELECT ticker, date, first_value(close) OVER u AS first_close,
  last_value(close) OVER u AS last_close FROM bars
  WINDOW u AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
