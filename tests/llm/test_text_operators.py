@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -258,6 +259,33 @@ def test_short_items_and_scripts_without_blanks(spark):
 
 # --- mixture ----------------------------------------------------------------------------------------------------------
 
+def test_leaks_of_rows_without_id_and_one_word_items(spark):
+    item = "how many red apples does the old farmer sell on a cold market day in spring"
+    docs = spark.createDataFrame([(None, "we asked " + item, 1), (None, "a clean text", 2), (None, None, 3), (7, "Yes, it is.", 4), (8, item, 5)],
+                                 "doc_id long, text string, of int")
+    bench = spark.createDataFrame([(1, item), (2, "Yes"), (3, None), (4, "")], "item_id long, text string")
+    assert sorted(r["of"] for r in decontam.clean(docs, bench).collect()) == [2, 3, 4]
+    got = sorted((r.doc_id or 0, r["items"]) for r in decontam.report(docs, bench).collect())
+    assert got == [(0, ""), (0, ""), (0, "1"), (7, "2"), (8, "1")]
+
+
+def test_leaks_match_sql(spark, tmp_path):
+    """Names, numbers, units, short items, repeated words and scripts without blanks, by the query's own SQL."""
+    rng = random.Random(5)
+    words = ["the", "Anna", "Bo", "Al", "sells", "5", "12", "km", "apples", "$7", "a", "b", "Yes.", "\u6771\u4eac", "(3", "kg,", "Ohio", "why?"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 6, 9, 14, 30]))) for _ in range(60)]
+    docs = [(None if i % 9 == 0 else i, None if i == 7 else f"{rng.choice(texts)} x {t}") for i, t in enumerate(texts * 3)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    want = sorted(con.execute(decontam._ORACLE).fetchall(), key=key)
+    got = sorted((tuple(r) for r in decontam._templates(spark, str(tmp_path)).collect()), key=key)
+    assert got == want and len({r[3] for r in got}) > 20
+
+
 def test_mixture(spark):
     rng = random.Random(9)
     rows = [(i, words(rng, rng.randint(0, 40)), "en", rng.choice(["a", "b", "c", None, ""])) for i in range(400)]
