@@ -44,7 +44,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", good_quality), ("near_duplicates", one_of_each), ("decontamination", without_benchmark),
           ("mixture", weighted), ("tokens", encoded)]
 
-#: Classifier, components and tokenizer are not SQL; tests hold every stage against a brute-force version.
+#: Classifier, components and tokenizer are not SQL; the operators have tests of their own, the stages as a chain have none yet.
 ORACLE_SQL = None
 
 
