@@ -112,6 +112,20 @@ def test_ewm_keeps_the_whole_history(spark, span):
             assert got[t, i] == y or got[t, i] == pytest.approx(y, rel=1e-11, nan_ok=True), (t, i)
 
 
+def test_ewm_over_missing_blocks(spark):
+    """Positions without rows, whole blocks and segments of them included, leave the mean as it is."""
+    rows = [("A", p, float(p % 7)) for p in range(400) if p % 100 < 3 or 250 < p < 270] + [("B", 399, 2.0)]
+    df = spark.createDataFrame(rows, "ticker string, pos bigint, close double")
+    got = {(r.ticker, r.pos): r.y for r in P.ewm(df, SMALL, [P.Ewm("y", F.col("close"), 0.3)]).collect()}
+    want, y = {("B", 399): 2.0}, None
+    for ticker, pos, x in rows[:-1]:
+        y = x if y is None else 0.7 * y + 0.3 * x
+        want[ticker, pos] = y
+    assert got.keys() == want.keys()
+    for key, value in want.items():
+        assert got[key] == pytest.approx(value, rel=1e-12)
+
+
 def test_ewm_with_gaps(spark, pdf):
     holes = with_nulls(pdf)
     df = P.number_rows(to_spark(spark, holes), SMALL)

@@ -35,6 +35,16 @@ def test_exponential_means_by_block(spark, name):
         assert re.match(r"ticker#\d+L?, (__blk|__group|_groupingexpression)#\d+L?", found) or re.fullmatch(r"ticker#\d+L?, \d+", found), found
 
 
+@pytest.mark.parametrize("name,passes,levels", [("t2_ema", 0, 1), ("w9_ewm", 0, 1), ("t6_macd", 0, 2), ("t8_adx", 1, 2)])
+def test_shuffles_of_exponential_means(spark, name, passes, levels):
+    """A level of means costs three shuffles, two of them with a row per segment; what two readers ask for runs once."""
+    df = QUERIES[name](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    run = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert len(run) <= passes + 3 * levels
+
+
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n[0] in "wtpfaqjx"))
 def test_windows_and_joins(spark, name):
     plan = plan_of(spark, name)

@@ -422,7 +422,7 @@ def drop_work_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
-_BLOCKS_PER_SEGMENT = 1024
+_MOST_BLOCKS = 1024
 
 
 def ewm(df: DataFrame, panel: Panel, specs: Sequence[Ewm]) -> DataFrame:
@@ -430,9 +430,11 @@ def ewm(df: DataFrame, panel: Panel, specs: Sequence[Ewm]) -> DataFrame:
 
     The recursion is affine. A block of ``n`` values, the first of them ``f``, turns a value
     ``c`` into ``(q·c + k·f)·q^(n-1) + e``, or ``f·q^(n-1) + e`` where there is none before, and
-    ``e`` is the part of its other values, a running sum of ``k·x·q^-i`` scaled back by ``q^i``. Blocks become one row each; runs of 1,024 of them are folded in an array, then the runs
-    of a key, and each block's rows get the carry of all rows before it. Nothing is cut off,
-    and no rows are copied whatever the span.
+    ``e`` is the part of its other values, a running sum of ``k·x·q^-i`` scaled back by ``q^i``.
+    Rows are dealt by segment, a run of blocks that fits a task. Blocks are folded where they
+    are, segments of a key are chained, and a segment's rows meet one row with the values
+    before each of its blocks. Nothing is cut off, no rows are copied whatever the span, and
+    rows are shuffled once; the other two shuffles hold a row per segment.
     """
     df = ensure_numbered(df, panel)
     keys, pos, columns = list(panel.keys), F.col(panel.pos), df.columns
@@ -445,8 +447,17 @@ def ewm(df: DataFrame, panel: Panel, specs: Sequence[Ewm]) -> DataFrame:
         return df
     numbered = list(enumerate(specs))
     size = min([panel.scan_rows, *[s.chunk for s in specs]])
-    base = df.select("*", _block_of(panel, size).alias(_BLK), *[seen[s.out].alias(f"__x{i}") for i, s in numbered])
-    so_far = W.partitionBy(*keys, _BLK).orderBy(panel.pos).rowsBetween(W.unboundedPreceding, 0)
+    per_segment = min(_MOST_BLOCKS, max(1, panel.scan_rows // size))
+    group = [*keys, "__group"]
+    # Blocks and rows read the same shuffle. The row goes through it as one value, or the blocks' reader, which wants fewer
+    # columns, would get a shuffle of its own and everything below would run twice.
+    whole_row = F.array(F.struct(*df.columns)).alias("__row")
+    dealt = df.select(*keys, _block_of(panel, size * per_segment).alias("__group"), whole_row)
+    # The join below asks its left side for this; the blocks' reader must ask for the same.
+    dealt = dealt.where(" and ".join(f"`{c}` is not null" for c in group)).repartition(*group)
+    dealt = dealt.select(*keys, "__group", *[F.element_at("__row", 1)[c].alias(c) for c in df.columns if c not in keys])
+    base = dealt.select("*", _block_of(panel, size).alias(_BLK), *[seen[s.out].alias(f"__x{i}") for i, s in numbered])
+    so_far = W.partitionBy(*group, _BLK).orderBy(panel.pos).rowsBetween(W.unboundedPreceding, 0)
     counted = base.select("*", *[F.count(f"__x{i}").over(so_far).alias(f"__n{i}") for i, _ in numbered])
 
     def own(i: int, s: Ewm) -> Column:
@@ -475,30 +486,33 @@ def ewm(df: DataFrame, panel: Panel, specs: Sequence[Ewm]) -> DataFrame:
 
     nothing = F.lit(None).cast("double")
     parts = [f"__{k}{i}" for i, _ in numbered for k in "nef"]
-    blocks = local.groupBy(*keys, _BLK).agg(*[c for i, _ in numbered for c in (
+    blocks = local.groupBy(*group, _BLK).agg(*[c for i, _ in numbered for c in (
         F.max(f"__n{i}").alias(f"__n{i}"), F.max_by(f"__e{i}", panel.pos).alias(f"__e{i}"),
         F.min_by(f"__x{i}", F.when(F.col(f"__x{i}").isNotNull(), pos)).alias(f"__f{i}"))])
-    held = F.sort_array(F.collect_list(F.struct(_BLK, *parts)))
-    segments = (blocks.groupBy(*keys, F.floor(F.col(_BLK) / _BLOCKS_PER_SEGMENT).alias("__group"))
-                .agg(held.alias("__held")))
+    place = (F.col(_BLK) - F.col("__group") * per_segment).cast("int").alias("__at")
+    segments = blocks.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct(place, *parts))).alias("__held"))
     whole = [c for i, s in numbered for c in (
         total(f"__n{i}").alias(f"__n{i}"),
         F.coalesce(after(i, s, F.col("__held"), nothing, F.lit(0.0)), F.lit(0.0)).alias(f"__e{i}"),
         first_known(f"__f{i}").alias(f"__f{i}"))]
     earlier = W.partitionBy(*keys).orderBy("__group").rowsBetween(W.unboundedPreceding, -1)
     segments = (segments.select("*", *whole)
-                .select(*keys, "__held", F.collect_list(F.struct(*parts)).over(earlier).alias("__ahead"))
-                .select(*keys, "__held", *[after(i, s, F.col("__ahead"), nothing).alias(f"__s{i}") for i, s in numbered]))
-
-    def block_carries(at: Column) -> Column:
-        ahead, block = F.slice("__held", F.lit(1), at - 1), F.element_at("__held", at)
-        return F.struct(block[_BLK].alias(_BLK), *[c for i, s in numbered for c in (
-            after(i, s, ahead, F.col(f"__s{i}")).alias(f"__c{i}"), block[f"__f{i}"].alias(f"__f{i}"))])
-
-    carries = (segments.select(*keys, F.explode(F.transform(F.sequence(F.lit(1), F.size("__held")), block_carries)).alias("__b"))
-               .select(*keys, "__b.*"))
-    return local.join(carries, [*keys, _BLK]).select(
-        *columns, *latest, *[onward(i, s, F.col(f"__c{i}"), F.col).alias(s.out) for i, s in numbered])
+                .select(*group, "__held", F.collect_list(F.struct(*parts)).over(earlier).alias("__ahead"))
+                .select(*group, "__held", *[after(i, s, F.col("__ahead"), nothing).alias(f"__s{i}") for i, s in numbered]))
+    carry = "struct<" + ",".join(f"c{i}:double,f{i}:double" for i, _ in numbered) + ">"
+
+    def step(state: Column, b: Column) -> Column:
+        """The values after block ``b``, and those before it at its place; places without a block stay empty."""
+        found = F.struct(*[c for i, _ in numbered for c in (state[f"v{i}"].alias(f"c{i}"), b[f"__f{i}"].alias(f"f{i}"))])
+        gap = F.array_repeat(F.lit(None).cast(carry), b["__at"] - F.size(state["carries"]))
+        return F.struct(*[onward(i, s, state[f"v{i}"], lambda name: b[name]).alias(f"v{i}") for i, s in numbered],
+                        F.concat(state["carries"], gap, F.array(found)).alias("carries"))
+
+    begin = F.struct(*[F.col(f"__s{i}").alias(f"v{i}") for i, _ in numbered], F.array().cast(f"array<{carry}>").alias("carries"))
+    carries = segments.select(*group, F.aggregate("__held", begin, step, lambda state: state["carries"]).alias("__carries"))
+    mine = F.element_at("__carries", (F.col(_BLK) - F.col("__group") * per_segment + 1).cast("int"))
+    rows = local.join(carries, group).select("*", *[mine[f"{k}{i}"].alias(f"__{k}{i}") for i, _ in numbered for k in "cf"])
+    return rows.select(*columns, *latest, *[onward(i, s, F.col(f"__c{i}"), F.col).alias(s.out) for i, s in numbered])
 
 
 def ewm_with_gaps(df: DataFrame, panel: Panel, out: str, x: str, alpha: float) -> DataFrame:
