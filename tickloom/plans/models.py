@@ -52,6 +52,52 @@ for _id, _kind in (("m1", "random_forest"), ("m2", "gradient_boosted"), ("m3", "
         query(f"{_id}_{_kind}_{_task}")(_fit_and_score(_kind, _task))
 
 
+_USED = f"""WITH {S.BARS}, f AS (SELECT ticker, date, row_number() OVER {S.W} - 1 AS pos, count(*) OVER (PARTITION BY ticker) AS n,
+ lead(close) OVER {S.W} / close - 1 AS y, CASE WHEN lead(close) OVER {S.W} > close THEN 1.0::DOUBLE ELSE 0 END AS up FROM bars),
+ u AS (SELECT *, pos < floor(n * 0.8::DOUBLE) AS train FROM f WHERE pos >= 19 AND y IS NOT NULL)"""
+
+
+def _single_leaf(kind, **settings):
+    """Models without a split say the mean of the training labels, in every row held out."""
+    def run(spark, sf):
+        out = None
+        for task, label in (("regression", "target_return_1d"), ("classification", "target_direction")):
+            if kind == "gradient_boosted" and task == "classification":
+                continue
+            train, test = parts(spark, sf, label)
+            scored = M.score(M.pipeline(kind, task, FEATURES, maxDepth=0, **settings).fit(train), test, task != "regression")
+            value = F.col("prediction" if task == "regression" else "score")
+            rows = scored.select(*BASE, F.lit(task).alias("task"), F.round(value, 8).alias("value"))
+            out = rows if out is None else out.unionByName(rows)
+        return out
+    return run
+
+
+_LEAF = _USED + """, m AS (SELECT avg(y) AS y, avg(up) AS up FROM u WHERE train)
+ SELECT ticker, date, 'regression' AS task, round(m.y, 8) AS value FROM u, m WHERE NOT train"""
+query("m1_single_leaf", _LEAF + " UNION ALL SELECT ticker, date, 'classification', round(m.up, 8) FROM u, m WHERE NOT train")(
+    _single_leaf("random_forest", numTrees=1, bootstrap=False))
+query("m2_single_leaf", _LEAF)(_single_leaf("gradient_boosted", maxIter=1))
+
+
+@query("m3_mean_identities", _USED + """ SELECT ticker, 'regression' AS task, count(*) AS n, 0.0::DOUBLE AS surplus FROM u WHERE train GROUP BY ticker
+ UNION ALL SELECT ticker, 'classification', count(*), 0.0 FROM u WHERE train GROUP BY ticker""")
+def m3_means(spark, sf):
+    """With an indicator of each ticker among the features, fits without penalty have no surplus over the labels of any ticker."""
+    out = None
+    for task, label in (("regression", "target_return_1d"), ("classification", "target_direction")):
+        train, _ = parts(spark, sf, label)
+        tickers = [r[0] for r in X.bars(spark, sf).select("ticker").distinct().orderBy("ticker").limit(5).collect()]
+        train = train.withColumns({f"is_{i}": (F.col("ticker") == t).cast("double") for i, t in enumerate(tickers)})
+        names = ["daily_return", *[f"is_{i}" for i in range(1, len(tickers))]]
+        scored = M.score(M.pipeline("linear", task, names).fit(train), train, task != "regression")
+        surplus = F.avg(F.col("prediction" if task == "regression" else "score") - F.col("label"))
+        rows = scored.groupBy("ticker").agg(F.count("*").alias("n"), F.round(surplus, 3 if task != "regression" else 8).alias("surplus"))
+        rows = rows.select("ticker", F.lit(task).alias("task"), "n", (F.col("surplus") + 0.0).alias("surplus"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 _ONE = f"""WITH {S.BARS}, f AS (SELECT ticker, date, row_number() OVER {S.W} - 1 AS pos, count(*) OVER (PARTITION BY ticker) AS n,
  close / lag(close) OVER {S.W} - 1 AS x, lead(close) OVER {S.W} / close - 1 AS y FROM bars),
  u AS (SELECT * FROM f WHERE pos >= 19 AND y IS NOT NULL),
@@ -127,6 +173,16 @@ def m8(spark, sf):
     return M.importance(M.pipeline("random_forest", "classification", FEATURES, numTrees=20).fit(train), FEATURES)
 
 
+_ONE_FITS = _ONE[:_ONE.rindex(" SELECT ticker")]
+
+
+@query("m8_linear_importance", _ONE_FITS + " SELECT 'daily_return' AS feature, round(a, 8) AS importance FROM r")
+def m8_linear(spark, sf):
+    train, _ = parts(spark, sf, "target_return_1d")
+    out = M.importance(M.pipeline("linear", "regression", ["daily_return"]).fit(train), ["daily_return"])
+    return out.select("feature", *rounded(8, "importance"))
+
+
 @query("m9_saved_model", _ONE)
 def m9(spark, sf):
     train, test = parts(spark, sf, "target_return_1d")
@@ -182,6 +238,15 @@ def m12(spark, sf):
         "boosted": M.pipeline("gradient_boosted", "regression", FEATURES, maxIter=5)})
 
 
+@query("m12_comparison_metrics", _ONE_FITS + """, e AS (SELECT y, c + a * x - y AS e FROM u, r WHERE pos >= floor(n * 0.8::DOUBLE))
+ SELECT 'one' AS model, count(*) AS n, round(avg(e * e), 8) AS mse, round(sqrt(avg(e * e)), 8) AS rmse, round(avg(abs(e)), 8) AS mae,
+ round(1 - avg(e * e) / var_pop(y), 8) AS r2 FROM e""")
+def m12_metrics(spark, sf):
+    train, test = parts(spark, sf, "target_return_1d")
+    out = M.compare(train, test, {"one": M.pipeline("linear", "regression", ["daily_return"])})
+    return out.select("model", "n", *rounded(8, "mse", "rmse", "mae", "r2"))
+
+
 _GRAM = """g AS (SELECT ticker, w, lag(w, 1) OVER (PARTITION BY ticker ORDER BY date) AS x1, lag(w, 2) OVER (PARTITION BY ticker ORDER BY date) AS x2
  FROM (SELECT ticker, date, close - lag(close) OVER (PARTITION BY ticker ORDER BY date) AS w FROM bars))"""
 
@@ -205,6 +270,25 @@ def m13_ar1(spark, sf):
     return fit.select("ticker", "n", *rounded(3, "intercept"), F.round(F.col("ar")[0], 8).alias("slope"))
 
 
+def _lag_fit(w):
+    return f"""WITH {S.BARS}, d AS (SELECT ticker, date, {w} AS w FROM bars), g AS (SELECT ticker, w, lag(w) OVER {S.W} AS x FROM d)
+ SELECT ticker, CAST(regr_count(w, x) AS BIGINT) AS n, round(regr_intercept(w, x), 3) AS intercept, round(regr_slope(w, x), 8) AS slope FROM g GROUP BY ticker"""
+
+
+def _fitted_lag(fit):
+    return fit.select("ticker", "n", *rounded(3, "intercept"), F.round(F.col("ar")[0], 8).alias("slope"))
+
+
+@query("m13_ar_of_differences", _lag_fit(f"close - lag(close) OVER {S.W}"))
+def m13_differences(spark, sf):
+    return _fitted_lag(C.fit_arima(X.bars(spark, sf), "close", 1, 1, 0))
+
+
+@query("m17_seasonal_ar", _lag_fit(f"close - lag(close, 5) OVER {S.W}"))
+def m17_ar(spark, sf):
+    return _fitted_lag(C.fit_arima(X.bars(spark, sf), "close", 1, 0, 0, seasonal=1, season=5))
+
+
 @query("m13_arima")
 def m13(spark, sf):
     return C.fit_arima(X.bars(spark, sf), "close", 3, 1, 2)
@@ -338,6 +422,15 @@ def f13(spark, sf):
     return M.principal_components(df.select(*BASE, *FEATURES), FEATURES, 5).select(*BASE, *[f"PCA_{i}" for i in range(1, 6)])
 
 
+@query("f13_two_components", f"""WITH {S.BARS}, m AS (SELECT avg(close) AS mc, stddev_samp(close) AS sc, avg(volume) AS mv, stddev_samp(volume) AS sv,
+ sign(corr(close, volume)) AS r FROM bars), z AS (SELECT ticker, date, (close - mc) / sc AS a, r * (volume - mv) / sv AS b FROM bars, m)
+ SELECT ticker, date, round((a + b) ** 2 / 2, 6) AS first, round((a - b) ** 2 / 2, 6) AS second FROM z""")
+def f13_two(spark, sf):
+    """Two standardised features turn by 45 degrees; squares, since the sign of a component is free."""
+    df = M.principal_components(X.bars(spark, sf).select(*BASE, "close", "volume"), ["close", "volume"], 2)
+    return df.select(*BASE, *[F.round(F.col(f"PCA_{i}") ** 2, 6).alias(n) for i, n in ((1, "first"), (2, "second"))])
+
+
 @query("f14_assembled_features", f"""WITH {S.BARS}, t AS (SELECT *, lead(close) OVER {S.W} AS nxt FROM bars)
  SELECT ticker, date, CAST(to_json([open, high, low, close, volume::DOUBLE]) AS VARCHAR) AS features, CASE WHEN nxt > close THEN 1 ELSE 0 END AS label FROM t""")
 def f14(spark, sf):
