@@ -41,8 +41,10 @@ def save_bars(df: DataFrame, path: str, mode: str = "overwrite", buckets: int =
 
 def save_table(df: DataFrame, name: str, database: str, location: str, mode: str = "overwrite",
                partition_by: Sequence[str] = ()) -> DataFrame:
-    """A catalog table in ``database``, stored under ``location``."""
+    """A catalog table in ``database``, stored under ``location``; few files per folder, and large folders split over tasks."""
     spark = df.sparkSession
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
     (df.write.mode(mode).format("parquet").option("path", f"{location}/{name}").partitionBy(*partition_by)
      .saveAsTable(f"`{database}`.`{name}`"))

@@ -80,7 +80,8 @@ def j6_ticks(spark, sf):
     """Each tick with the close of the last hourly bar that was complete."""
     ticks = X.ticks(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
     closes = tick_bars(ticks, "1 hour").select("ticker", F.col("bar_end").alias("ts"), F.col("close").alias("hour_close"))
-    return J.as_of_join(ticks.select("ticker", "ts", "event_id", "price"), closes, ["ticker"], "ts", ["hour_close"])
+    bucket = P.time_bucket(ticks, "ts", P.bucket_seconds(ticks, X.TICKS))
+    return J.as_of_join(ticks.select("ticker", "ts", "event_id", "price"), closes, ["ticker"], "ts", ["hour_close"], bucket)
 
 
 @query("j7_hold_out", f"""WITH {S.BARS} SELECT ticker, date, close,

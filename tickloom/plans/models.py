@@ -167,6 +167,24 @@ def m7(spark, sf):
                      *rounded(6, "sharpe_ratio", "max_drawdown", "win_rate"))
 
 
+@query("m7_backtest_returns", f"""WITH {S.PREDS}, g AS (SELECT model, ticker, date, actual / lag(actual) OVER {_W} - 1 AS a, predicted / lag(predicted) OVER {_W} - 1 AS p FROM preds),
+ r AS (SELECT *, row_number() OVER {_W} AS rn FROM g WHERE a IS NOT NULL), s AS (SELECT *, CASE WHEN p > 0 THEN a ELSE 0 END AS s FROM r),
+ e AS (SELECT *, sum(ln(1 + s)) OVER {_RUN} AS le FROM s), k AS (SELECT *, max(le) OVER {_RUN} AS lp FROM e)
+ SELECT model, ticker, count(*) AS n, round(100 * (exp(arg_max(le, date)) - 1), 4) AS total_return,
+ round(100 * (exp(arg_max(le, date) * 252 / count(*)) - 1), 4) AS annualized_return,
+ round(avg(s) FILTER (rn > 1) / nullif(stddev_pop(s) FILTER (rn > 1), 0) * sqrt(252), 6) AS sharpe_ratio,
+ round(100 * max(1 - exp(le - lp)), 6) AS max_drawdown,
+ round(coalesce(100 * count(*) FILTER (s > 0) / nullif(count(*) FILTER (p <> 0), 0), 0), 6) AS win_rate FROM k GROUP BY 1, 2""")
+def m7_returns(spark, sf):
+    """Actual and predicted returns instead of prices."""
+    moved = P.windowed(P.number_rows(X.predictions(spark, sf).drop("pos"), X.SERIES), X.SERIES, [lambda w: [
+        P.pct_change(F.col(c), F.lag(c, 1).over(w)).alias(f"__{c}") for c in ("actual", "predicted")]], before=1)
+    known = moved.where("__actual is not null").select("model", *BASE, F.col("__actual").alias("actual"), F.col("__predicted").alias("predicted"))
+    df = V.backtest(known, X.SERIES, prices=False)
+    return df.select("model", "ticker", "n", *rounded(4, "total_return", "annualized_return"),
+                     *rounded(6, "sharpe_ratio", "max_drawdown", "win_rate"))
+
+
 @query("m8_feature_importance")
 def m8(spark, sf):
     train, _ = parts(spark, sf, "target_direction")

@@ -53,6 +53,27 @@ def s3(spark, sf):
     return G.load_bars(spark, path, "1-URGENT", "1996-01-01", "1997-12-31").select(*BASE, "close", "volume")
 
 
+@query("s3_load_macro", f"""WITH {S.MACRO} SELECT series_id, date, CASE WHEN month(date) <> 1 THEN value END AS value, CAST(NULL AS VARCHAR) AS indicator_name
+ FROM macro WHERE date BETWEEN DATE '1994-01-01' AND DATE '1996-12-31'""")
+def s3_macro(spark, sf):
+    """CSV files with a time of day and, each January, a mark instead of a number."""
+    path = fresh(spark, "s3-macro")
+    value = F.when(F.month("date") == 1, F.lit(".")).otherwise(F.col("value").cast("string"))
+    K.save(X.macro(spark, sf).select("series_id", F.concat(F.col("date").cast("string"), F.lit(" 09:30:00")).alias("date"), value.alias("value")), path, "csv")
+    return G.load_macro(spark, path, "1994-01-01", "1996-12-31")
+
+
+@query("s3_load_sentiment", f"""WITH {S.SENTIMENT} SELECT ticker, CAST(date AS VARCHAR) || ' 16:00:00' AS published, date AS day, source, polarity, subjectivity, count(*) AS n
+ FROM sentiment WHERE ticker = 'view' AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY ALL""")
+def s3_sentiment(spark, sf):
+    """JSON files of all tickers with ``published_at``; one ticker and a range of days."""
+    path = fresh(spark, "s3-sentiment")
+    at = F.concat(F.col("date").cast("string"), F.lit(" 16:00:00")).alias("published_at")
+    K.save(X.sentiment(spark, sf).select("ticker", at, "source", "polarity", "subjectivity"), path, "json")
+    df = G.load_sentiment(spark, path, "view", "json", "2024-01-05", "2024-01-20")
+    return df.groupBy("ticker", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("published"), "day", "source", "polarity", "subjectivity").agg(F.count("*").alias("n"))
+
+
 def vendor_payloads(spark, sf):
     """One payload per ticker and month, as a polling collector lands them."""
     fields = F.create_map(*[x for name, key in G.VENDOR_FIELDS.items() for x in (

@@ -23,9 +23,9 @@ def k1(spark, sf):
 
 @query("k2_save_table", f"WITH {S.BARS} SELECT ticker, date, close, volume FROM bars")
 def k2(spark, sf):
-    bars = X.bars(spark, sf).select(*BASE, "close", "volume")
+    bars = X.bars(spark, sf).select(*BASE, "close", "volume").withColumn("year", F.year("date"))
     database = f"market_{uuid.uuid4().hex[:12]}"
-    return K.save_table(bars, "bars", database, fresh(spark, "k2"), partition_by=["ticker"]).select(*bars.columns)
+    return K.save_table(bars, "bars", database, fresh(spark, "k2"), partition_by=["year"]).select(*BASE, "close", "volume")
 
 
 @query("k3_view_and_list", f"WITH {S.BARS} SELECT 'bars_view' AS table_name, count(*) AS n_rows FROM bars")

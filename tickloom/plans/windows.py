@@ -202,4 +202,5 @@ def w9_ticks(spark, sf):
  SELECT ticker, event_id, last_value(price IGNORE NULLS) OVER {_SO_FAR} AS price FROM h""")
 def p7_ticks(spark, sf):
     holes = X.ticks(spark, sf).withColumn("price", F.when(F.col("size") > 75, F.col("price")))
-    return P.forward_fill(holes, X.TICKS, ["price"]).select("ticker", "event_id", "price")
+    bucket = P.time_bucket(holes, "ts", P.bucket_seconds(holes, X.TICKS))
+    return P.forward_fill(holes, X.TICKS, ["price"], bucket).select("ticker", "event_id", "price")
