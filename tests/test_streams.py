@@ -184,3 +184,14 @@ def test_bars_wait_for_the_records_of_their_day(spark, tmp_path):
     right = in_triggers(spark, "records-test", records, F.expr("date(ts) <= '2024-01-06' and i < 8"), F.expr("i < 7"), files=1).drop("i")
     got = {r["close"]: (r["polarity_mean"], r["polarity_count"]) for r in R.drain(A.bars_left_sentiment(left, right), "left-join").collect()}
     assert got == {0.0: (0.0, 1), 1.0: (1.5, 2), 2.0: (0.0, 0), 3.0: (3.0, 1), 4.0: (0.0, 0), 5.0: (0.0, 0), 6.0: (4.0, 1), 7.0: (5.0, 1), 8.0: (0.0, 0), 9.0: (6.0, 1)}
+
+
+def test_a_table_streams_from_a_folder_of_files_as_from_one_file(spark, tmp_path):
+    from tickloom.plans.streams import table_stream
+    rows = spark.range(40)
+    rows.repartition(3).write.parquet(f"{tmp_path}/many/documents.parquet")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one")
+    next(tmp_path.glob("one/part-*.parquet")).rename(tmp_path / "one/documents.parquet")
+    for folder in ("many", "one", "one/"):
+        got = R.drain(table_stream(spark, f"{tmp_path}/{folder}", "documents"), "table-test").collect()
+        assert sorted(r["id"] for r in got) == list(range(40)), folder

@@ -10,6 +10,7 @@ from tickloom.plans import sql as S
 from tickloom.plans.models import FEATURES, parts
 from tickloom.plans.registry import query, rounded
 from tickloom.plans.sources import fresh
+from tickloom.session import is_folder
 from tickloom.sources import fixtures as X
 from tickloom.streaming import aggregates as A
 from tickloom.streaming import buffers as B
@@ -18,7 +19,11 @@ from tickloom.streaming import sources as R
 
 
 def table_stream(spark, sf, name):
-    return R.file_stream(spark, sf, X.table(spark, sf, name).schema, glob=f"{name}.parquet")
+    """A table, be it one file or a folder of files, as a stream."""
+    path, schema = f"{sf.rstrip('/')}/{name}.parquet", X.table(spark, sf, name).schema
+    if is_folder(spark, path):
+        return R.file_stream(spark, path, schema)
+    return R.file_stream(spark, sf, schema, glob=f"{name}.parquet")  # a stream's path is a folder
 
 
 def split_stream(spark, sf, name, files=4):

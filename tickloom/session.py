@@ -76,6 +76,11 @@ def fingerprint(spark: SparkSession, source: str) -> str:
     return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()
 
 
+def is_folder(spark: SparkSession, source: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(path).isDirectory()
+
+
 def publish_once(spark: SparkSession, source: str, name: str, build) -> DataFrame:
     """``publish(build(), name)`` once per application, shared folder and content of the source folder."""
     key = (spark.sparkContext.applicationId + shared_root(spark), source + fingerprint(spark, source), name)
