@@ -351,6 +351,27 @@ def test_tokens(spark):
     assert sorted(got, key=lambda r: r.start) == want
 
 
+def test_words_of_letters_are_encoded_together(tmp_path):
+    """One load a process, few pieces for many words, and none of it where a token reaches over a blank."""
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    coder = tokens.word_coder(path)
+    assert coder is tokens.word_coder(path) and coder.joins
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("aeà\u00aa\u0456漢한ǆst12'-.") for _ in range(rng.randint(1, 9))) for _ in range(300)) for _ in range(20)]
+    want = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, sizes = coder.encode(pa.array(texts))
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+    vocabulary = {c: i for i, c in enumerate(["a", "b", "\u0120", ".", ",", ";", ":", "!", "?", "a\u0120", "a\u0120b"])}
+    other = Tokenizer(models.BPE(vocabulary, [("a", "\u0120"), ("a\u0120", "b")]))
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    other.save(str(tmp_path / "over.json"))
+    over = tokens.WordCoder(str(tmp_path / "over.json"))
+    assert not over.joins and over.encode(pa.array(["b a b a b"]))[0].tolist() == other.encode("b a b a b").ids
+
+
 # --- archives ---------------------------------------------------------------------------------------------------------
 
 def test_archives(spark, tmp_path):

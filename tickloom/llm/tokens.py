@@ -11,6 +11,8 @@ id of that size or more, stored beside the words.
 
 from __future__ import annotations
 
+import functools
+import os
 import uuid
 import zlib
 
@@ -35,6 +37,10 @@ BLOCK_IDS = 1 << 20
 BATCH_BYTES = 1 << 23
 #: Different words in one call of the tokenizer.
 WORDS = 1 << 13
+#: Words of letters alone that are encoded as one piece.
+JOINED = 64
+#: Such a word: of ranges that every Unicode version since 5.0 has as letters without a gap.
+LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u048a-\u0513\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]+$"
 
 BLOCKS = ("part int, block int, before long, ids long, docs array<long>, lengths array<long>, words binary, "
           "offsets binary, escapes binary")
@@ -143,24 +149,45 @@ def _runs(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return ids[np.repeat(starts - before, sizes) + np.arange(sizes.sum())]
 
 
+def _lines(words: pa.Array, each: int) -> pa.Array:
+    """The words, each after a blank, joined ``each`` at a time."""
+    offsets = np.append(np.arange(0, len(words), each), len(words)).astype(np.int32)
+    return pc.binary_join_element_wise("", pc.binary_join(pa.ListArray.from_arrays(offsets, words), " "), " ")
+
+
 class WordCoder:
     """A byte-level tokenizer that encodes each different word of a batch once.
 
     Such a tokenizer never joins characters across a blank that stands between two other characters: the blank opens
     the next piece. So texts are cut there, and the different words of a batch are encoded in one call. A text with any
     other blank, or with the name of a special token, is encoded whole. Nothing is kept from batch to batch, so a batch bounds the memory.
+
+    Cutting pieces costs more than merging their bytes. A word of letters is one piece, so many such words go through
+    the merges as one, where the vocabulary has no token that reaches from a letter over a blank.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose token starts with a blank
         self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.pieces, self.bytes = self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.joins = self._joins(vocabulary)
         self.marks = pa.array(list(".,;:!?"))
         self.mark_ids = np.array([self.tokenizer.encode(m).ids[0] for m in self.marks.to_pylist()], np.uint32)
 
+    def _joins(self, vocabulary: dict[str, int]) -> bool:
+        """Whether words of letters keep their ids when they are merged as one piece."""
+        from tokenizers import decoders, models, pre_tokenizers
+        model, pieces, decoder = self.tokenizer.model, self.pieces, decoders.ByteLevel()
+        plain = (isinstance(model, models.BPE) and isinstance(pieces, pre_tokenizers.ByteLevel) and pieces.use_regex
+                 and not pieces.add_prefix_space and self.tokenizer.normalizer is None and not model.ignore_merges
+                 and not (model.dropout or model.continuing_subword_prefix or model.end_of_word_suffix))
+        texts = [decoder.decode([token]) for token in vocabulary if "\u0120" in token[1:]]
+        return plain and all("  " in t or any(not c.isalpha() and c not in " \ufffd" for c in t) for t in texts)
+
     def _texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts as they are, one after another, and each text's number of ids."""
         texts, coded = texts.to_pylist(), []
@@ -176,14 +203,18 @@ class WordCoder:
         """
         marked = pc.match_substring_regex(words, r"[\p{L}\p{N}][.,;:!?]$")
         cores = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
-        ordered = cores.dictionary.to_pylist()
-        calls = [pa.array(["".join(" " + w for w in ordered[at:at + WORDS])]) for at in range(0, len(ordered), WORDS)]
+        lettered = pc.match_substring_regex(cores.dictionary, LETTERS).to_numpy(zero_copy_only=False) & self.joins
         self.tokenizer.encode_special_tokens = True  # no word here is a special token, nor are neighbours together
-        ids = np.concatenate([np.zeros(0, np.uint32), *[self._texts(call)[0] for call in calls]])
+        self.tokenizer.pre_tokenizer = self.bytes
+        joined = self._texts(_lines(cores.dictionary.filter(pa.array(lettered)), JOINED))[0]
+        self.tokenizer.pre_tokenizer = self.pieces
+        lines = _lines(cores.dictionary.filter(pa.array(~lettered)), WORDS)
+        ids = np.concatenate([joined, *[self._texts(lines.slice(at, 1))[0] for at in range(len(lines))]])
         self.tokenizer.encode_special_tokens = False
         starts = np.flatnonzero(self.opens[ids])
         assert len(starts) == len(cores.dictionary)
-        number = cores.indices.to_numpy()
+        place = np.where(lettered, np.cumsum(lettered), lettered.sum() + np.cumsum(~lettered)) - 1
+        number = place[cores.indices.to_numpy()]
         starts, sizes = starts[number], np.diff(np.append(starts, len(ids)))[number]
         marked = marked.to_numpy(zero_copy_only=False)
         last = pc.index_in(pc.utf8_slice_codeunits(words.filter(pa.array(marked)), -1), self.marks).to_numpy(zero_copy_only=False)
@@ -216,6 +247,16 @@ class WordCoder:
         return _runs(np.concatenate((ids, apart)), starts, sizes), np.add.reduceat(sizes, first)
 
 
+@functools.lru_cache(maxsize=1)
+def word_coder(path: str) -> WordCoder:
+    """The coder of a Python worker, loaded once for all its tasks: what a load leaves behind would add up.
+
+    A task has one core, so the tokenizer starts no threads.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordCoder(path)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
     """Token blocks of every text of ``docs`` in ascending doc_id order, as a folder at ``path``.
 
@@ -224,7 +265,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
     are dealt out by ranges of doc_id and sorted in their partition, so ranges stay even whatever the ids are.
     """
     def run(batches):
-        words, part, block, before = WordCoder(tokenizer), TaskContext.get().partitionId(), 0, 0
+        words, part, block, before = word_coder(tokenizer), TaskContext.get().partitionId(), 0, 0
         docs_, lengths, pieces, held = [], [], [], 0
 
         def flush():
