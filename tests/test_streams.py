@@ -195,3 +195,17 @@ def test_a_table_streams_from_a_folder_of_files_as_from_one_file(spark, tmp_path
     for folder in ("many", "one", "one/"):
         got = R.drain(table_stream(spark, f"{tmp_path}/{folder}", "documents"), "table-test").collect()
         assert sorted(r["id"] for r in got) == list(range(40)), folder
+
+
+def test_streamed_sentiment_of_folders_equals_that_of_files(spark, tmp_path):
+    from tickloom.plans.streams import r5
+    events = spark.range(300).selectExpr("id event_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, id % 30) ts", "id user_id",
+                                         "element_at(array('click', 'error', 'purchase', 'signup', 'view'), int(id % 5 + 1)) event_type", "double(id) value", "'{\"k\": 1}' props")
+    documents = spark.range(300).selectExpr("id doc_id", "'x' text", "'en' lang", "'s' source", "1L n_chars")
+    for name, rows in (("events", events), ("documents", documents)):
+        rows.repartition(3).write.parquet(f"{tmp_path}/many/{name}.parquet")
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        (tmp_path / "one").mkdir(exist_ok=True)
+        next(tmp_path.glob(f"{name}/part-*.parquet")).rename(tmp_path / f"one/{name}.parquet")
+    many, one = ({tuple(r) for r in r5(spark, f"{tmp_path}/{folder}").collect()} for folder in ("many", "one"))
+    assert many and many == one
