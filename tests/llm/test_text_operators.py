@@ -335,6 +335,23 @@ def test_simple8b_round_trip(case):
     assert (tokens.decode(packed, offsets, escapes, len(ids)) == ids).all()
 
 
+def test_slices_of_texts_are_stored_once(spark, monkeypatch):
+    """Texts are not shuffled to the log-probabilities, a bin's runs are sent once, and bins change no result."""
+    rng = random.Random(11)
+    rows = [(i, None if i % 17 == 0 else words(rng, 120) + "\n" + "aé漢"[i % 3] * (i % 5), "xyz"[i % 3]) for i in range(60)] + [(60, "", "x"), (61, " .", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2)
+    model = langid.learn(docs.withColumn("key", F.col("doc_id")))
+    seen = {}
+    for name, bytes_each, bin_bytes in (("one", 1 << 21, 1), ("many", 1 << 10, 1 << 13), ("all", 1 << 10, 1 << 30)):
+        monkeypatch.setattr(langid, "SLICE_BYTES", bytes_each)
+        monkeypatch.setattr(langid, "BIN_BYTES", bin_bytes)
+        out = langid.identify(docs, model)
+        seen[name] = sorted((r.doc_id, r.lang_pred, round(r.score, 9), round(r.bits, 9)) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString().split("FlatMapCoGroups")[-1]
+        assert "Bucketed: true" in plan and "Exchange hashpartitioning(bin" not in plan
+    assert len(seen["one"]) == 62 and seen["one"] == seen["many"] == seen["all"]
+
+
 def test_tokens(spark):
     import public_tokenizers
     from tokenizers import Tokenizer

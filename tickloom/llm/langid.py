@@ -2,7 +2,7 @@
 
 Counts of four-character runs come from every learning document and stay in tables, as do the counts of shorter runs
 and of contexts; nothing of the model is cut or sent whole to a task. Texts are packed into slices, the distinct runs
-of a slice are joined with their log-probabilities and looked up as a sorted array of 64-bit hashes. A text gets the
+of a bin of slices are joined with their log-probabilities and looked up as a sorted array of 64-bit hashes. A text gets the
 language of lowest cross-entropy per character, with a calibrated probability and a rejection mark for texts that are
 worse than what the language's own texts look like.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import held_out, mix, query, table, text_slices
-from tickloom.session import publish
+from tickloom.session import publish, publish_buckets
 
 ORDER = 4
 #: Discounts and limits per language are literals of the tasks; more languages raise an error.
@@ -28,6 +28,8 @@ MOST_LANGUAGES = 200
 CALIBRATION_ROWS = 2000
 #: Bytes of text in a slice, with up to four languages; fewer with more, as every run brings a number per language.
 SLICE_BYTES = 2 << 20
+#: Bytes of text and different runs in a bin of slices, likewise: its runs are sent once for all its slices.
+BIN_BYTES, BIN_RUNS = 32 << 20, 1 << 18
 
 
 def _letters() -> np.ndarray:
@@ -230,43 +232,62 @@ class Counts:
 def entropies(rows: DataFrame, carried: str, counts: Counts, finish: Callable, schema: str) -> DataFrame:
     """``finish`` of every slice of ``rows``: the column ``carried``, bits per character of each text under each language, letters.
 
-    Texts travel compressed, once into the table of slices and once to the log-probabilities of their slice's runs.
+    Texts are written once, compressed, in buckets of their bin, and only the log-probabilities of a bin's runs travel to
+    them. A bin is some slices of one task; its runs stand in its last row.
     """
     kind, languages = rows.schema[carried].dataType.simpleString(), counts.languages
-    letters, bytes_each = _letters(), max(1 << 16, SLICE_BYTES * 4 // max(4, languages))
+    letters, few = _letters(), max(4, languages)
+    bytes_each, bin_bytes, bin_runs = (max(1 << 16, n * 4 // few) for n in (SLICE_BYTES, BIN_BYTES, BIN_RUNS))
 
     def cut(batches):
+        def row(names, sizes, text):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.array([names], pa.list_(arrow)), pa.array([sizes], pa.list_(pa.int64())), pa.array([text], pa.binary()),
+                 pa.array([own if full else []], pa.list_(pa.int64()))], ["bin", "carried", "sizes", "text", "runs"])
+
+        name, own, held, arrow = uuid.uuid4().bytes, np.zeros(0, np.int64), 0, None
         for batch in batches:
+            arrow = batch.column(carried).type
             for start, stop, data, at in text_slices(batch, bytes_each=bytes_each):
-                own = np.unique(runs(data, at, letters)[0]).astype(np.int64)
+                own = np.union1d(own, runs(data, at, letters)[0].astype(np.int64))
+                held += len(data)
+                full = held >= bin_bytes or len(own) >= bin_runs
                 text = pa.compress(data.tobytes(), codec="zstd", asbytes=True) if len(data) else b""
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([uuid.uuid4().bytes]), pa.array([batch.column(carried).slice(start, stop - start).to_pylist()], pa.list_(batch.column(carried).type)),
-                     pa.array([np.diff(at).tolist()], pa.list_(pa.int64())), pa.array([text]), pa.array([own], pa.list_(pa.int64()))],
-                    ["slice", "carried", "sizes", "text", "runs"])
-
-    slices = publish(rows.select(carried, "text").mapInArrow(cut, f"slice binary, carried array<{kind}>, sizes array<long>, text binary, runs array<long>"), "slices")
-    each = slices.select("slice", F.explode("runs").alias("run"))
+                yield row(batch.column(carried).slice(start, stop - start).to_pylist(), np.diff(at).tolist(), text)
+                if full:
+                    name, own, held = uuid.uuid4().bytes, np.zeros(0, np.int64), 0
+        if len(own):
+            full = True
+            yield row([], [], b"")
+
+    slices = publish_buckets(rows.select(carried, "text").mapInArrow(cut, f"bin binary, carried array<{kind}>, sizes array<long>, text binary, runs array<long>"), "slices", "bin")
+    each = slices.select("bin", F.explode("runs").alias("run"))
     known = counts.bits(publish(each.select("run").distinct(), "wanted"))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.slice(0, 1).combine_chunks()
-        at = np.concatenate(([0], np.cumsum(row.column("sizes").chunk(0).flatten().to_numpy()))).astype(np.int64)
-        text = row.column("text")[0].as_py()
-        data = np.frombuffer(pa.decompress(text, decompressed_size=int(at[-1]), codec="zstd", asbytes=True) if text else b"", np.uint8)
-        keys, first, lettered = runs(data, at, letters)
-        out, full = np.zeros((len(at) - 1, languages)), np.flatnonzero(np.diff(first))
-        if len(full):
+        known, done = None, []
+        if right.num_rows:
             bits = np.frombuffer(b"".join(right.column("bits").to_pylist()), np.float32).reshape(-1, languages)
             known = HashArray(right.column("run").to_numpy().astype(np.uint64), bits)
-            places, there = known.find(keys)
-            if not there.all():
-                raise ValueError("runs of a slice without log-probabilities")
-            out[full] = -np.add.reduceat(known.values[places], first[full], axis=0, dtype=np.float64) / np.diff(first)[full][:, None]
-        return finish(row.column("carried").chunk(0).flatten(), out, lettered)
-
-    return slices.select("slice", "carried", "sizes", "text").groupBy("slice").cogroup(
-        each.join(known, "run").select(F.col("slice").alias("of"), "run", "bits").groupBy("of")).applyInArrow(score, schema)
+        for k in range(left.num_rows):
+            row = left.slice(k, 1).combine_chunks()
+            at = np.concatenate(([0], np.cumsum(row.column("sizes").chunk(0).flatten().to_numpy()))).astype(np.int64)
+            if len(at) == 1:
+                continue
+            text = row.column("text")[0].as_py()
+            data = np.frombuffer(pa.decompress(text, decompressed_size=int(at[-1]), codec="zstd", asbytes=True) if text else b"", np.uint8)
+            keys, first, lettered = runs(data, at, letters)
+            out, full = np.zeros((len(at) - 1, languages)), np.flatnonzero(np.diff(first))
+            if len(full):
+                places, there = known.find(keys) if known else (None, np.zeros(1, bool))
+                if not there.all():
+                    raise ValueError("runs of a bin without log-probabilities")
+                out[full] = -np.add.reduceat(known.values[places], first[full], axis=0, dtype=np.float64) / np.diff(first)[full][:, None]
+            done.append(finish(row.column("carried").chunk(0).flatten(), out, lettered))
+        return pa.concat_tables(done)
+
+    return slices.select("bin", "carried", "sizes", "text").groupBy("bin").cogroup(
+        each.join(known, "run").select(F.col("bin").alias("of"), "run", "bits").groupBy("of")).applyInArrow(score, schema)
 
 
 class Identifier:

@@ -62,6 +62,15 @@ def publish(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.parquet(path)
 
 
+def publish_buckets(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``publish`` in buckets of ``key``, as many as shuffles have partitions: grouping the table by it shuffles nothing."""
+    spark = df.sparkSession
+    unique = f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("path", f"{shared_root(spark)}/{unique}").saveAsTable(unique)
+    return spark.table(unique)
+
+
 _published: dict[tuple[str, str, str], str] = {}
 
 
